@@ -17,19 +17,21 @@ local day can be cut from them later.  Semantics of the split, with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STEP_MS = 1_800_000
 
 
 def _lit_or_col(x):
+    if isinstance(x, Column):
+        return x
     return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
 def clip_intervals(df: DataFrame, start: str, end: str, lo, hi) -> DataFrame:
     """``start = max(start, lo)``, ``end = min(end, hi)``; ``lo``/``hi`` are
-    epoch values or column names (a per-row window)."""
+    epoch values, column names or expressions (a per-row window)."""
     s, e = F.col(start), F.col(end)
     lo_c, hi_c = _lit_or_col(lo), _lit_or_col(hi)
     return df.withColumn(start, F.when(s < lo_c, lo_c).otherwise(s)) \

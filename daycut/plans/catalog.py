@@ -269,3 +269,12 @@ FROM (SELECT *, CAST(floor(round(startTimeNanos / 1000000) / 1800000) AS BIGINT)
       FROM p)
 GROUP BY user_id, dataTypeName, bucket""",
 }
+
+
+def _merge():
+    from daycut.plans import catalog_io
+    QUERIES.update(catalog_io.QUERIES)
+    ORACLE.update(catalog_io.ORACLE)
+
+
+_merge()

@@ -39,7 +39,21 @@ EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    """The events table, spread over the cluster when it is under-split.
+
+    A table of many files is read with one task per split and left as it is;
+    a single small file (one Parquet row group) would otherwise run every
+    row-wise step before the first shuffle in one task.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread(df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def _lookup(mapping: dict, key):
@@ -57,10 +71,12 @@ def _start_ms():
     return timez.instant_millis(timez.ntz_to_instant("ts"))
 
 
-def points_from_events(events: DataFrame) -> DataFrame:
-    """aggregated_datasets rows: ns times, one value of each kind."""
+def points_from_events(events: DataFrame, carry: tuple = ()) -> DataFrame:
+    """aggregated_datasets rows: ns times, one value of each kind.
+    ``carry`` names extra input columns to pass through."""
     start_ns = F.unix_micros(timez.ntz_to_instant("ts")) * F.lit(1000)
     return events.select(
+        *carry,
         F.col("user_id").cast("string").alias("user_id"),
         F.concat(F.lit("derived:"), F.col("event_type")).alias("dataSourceId"),
         start_ns.alias("startTimeNanos"),
@@ -71,12 +87,13 @@ def points_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def sessions_from_events(events: DataFrame) -> DataFrame:
+def sessions_from_events(events: DataFrame, carry: tuple = ()) -> DataFrame:
     """sessions rows: ms times, ``value`` minutes long, app by user."""
     start = _start_ms()
     end = start + timez.round_long(F.col("value") * F.lit(60000))
     activity = _lookup(EVENT_ACTIVITY_TYPES, F.col("event_type")).cast("long")
     return events.select(
+        *carry,
         F.col("user_id").cast("string").alias("user_id"),
         F.col("event_id").cast("string").alias("id"),
         F.col("event_type").alias("name"),
@@ -107,7 +124,7 @@ def activities_from_events(events: DataFrame) -> DataFrame:
 
 # SQL text of the same derivations, for the DuckDB oracle (views on events).
 ORACLE_POINTS = """
-  SELECT CAST(user_id AS VARCHAR) AS user_id,
+  SELECT event_id // 1000 AS page, CAST(user_id AS VARCHAR) AS user_id,
          'derived:' || event_type AS dataSourceId,
          epoch_us(ts) * 1000 AS startTimeNanos,
          epoch_us(ts) * 1000 + 60000000000 AS endTimeNanos,
@@ -121,7 +138,7 @@ ORACLE_POINTS = """
   FROM events"""
 
 ORACLE_SESSIONS = """
-  SELECT CAST(user_id AS VARCHAR) AS user_id,
+  SELECT event_id // 1000 AS page, CAST(user_id AS VARCHAR) AS user_id,
          CAST(event_id AS VARCHAR) AS id,
          event_type AS name,
          epoch_us(ts) // 1000 AS startTimeMillis,

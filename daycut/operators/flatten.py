@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daycut.functions import labels
+from daycut.operators.rows import computed
 
 CORRUPT = "_corrupt_record"
 REASON = "_reject_reason"
@@ -158,7 +159,8 @@ def flatten_project(lines: DataFrame, target: T.StructType, *,
     if checks:
         reason = F.coalesce(reason, *checks)
     extra = [v.alias(f"_has_{k}") for k, v in present.items() if k in (presence or [])]
-    return base.select(*keep, *cols, *extra, reason.alias(REASON), F.col(LINE))
+    return computed(base, [*[F.col(k) for k in keep], *cols, *extra, reason.alias(REASON),
+                           F.col(LINE)])
 
 
 def apply_productivity(rows: DataFrame, has_col: str = "_has_productivity",
@@ -172,7 +174,9 @@ def apply_productivity(rows: DataFrame, has_col: str = "_has_productivity",
     reason = F.coalesce(F.col(REASON), F.when(bad, F.lit("bad productivity code")))
     label = F.when(has, labels.productivity_label(code)).otherwise(F.col("productivity_string")) \
         if "productivity_string" in rows.columns else labels.productivity_label(code)
-    return rows.withColumn("productivity_string", label).withColumn(REASON, reason)
+    out = [label.alias("productivity_string") if c == "productivity_string"
+           else reason.alias(REASON) if c == REASON else F.col(c) for c in rows.columns]
+    return computed(rows, out)
 
 
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

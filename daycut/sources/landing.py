@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daycut.functions import labels, timez
+from daycut.operators.rows import computed
 
 S = T.StringType()
 
@@ -189,14 +190,16 @@ def parse_matrix(docs: DataFrame, *, load_tz, output_date, output_tz="UTC",
                         F.when(F.col("ms").isNull(), F.lit("unparsable date")))
     keep = reason.isNotNull() | ((F.col("ms") >= F.col("lo"))
                                  & (F.col("ms") < F.col("lo") + F.lit(timez.MILLIS_PER_DAY)))
-    rows = rows.filter(keep)
+    rows = computed(rows, [F.col(c) for c in rows.columns]
+                    + [reason.alias(REASON), keep.alias("__keep")])
+    rows = rows.filter(F.col("__keep"))
     return rows.select(
         "user_id",
-        F.when(reason.isNull(), F.map_concat(
+        F.when(F.col(REASON).isNull(), F.map_concat(
             F.col("fields"),
             F.create_map(F.lit("date_timestamp_millis"), F.col("ms").cast("string"))))
         .alias("fields"),
-        reason.alias(REASON), "_line")
+        REASON, "_line")
 
 
 def matrix_row_json(rows: DataFrame) -> DataFrame:

@@ -1 +1,5 @@
-"""."""
+"""Structured Streaming: incremental pick-up of landed lake files."""
+
+from daycut.streaming.ingest import start_ingest, stream_lake_lines
+
+__all__ = ["start_ingest", "stream_lake_lines"]

@@ -1,0 +1,39 @@
+"""Incremental ingest of landed files: two landings, two available-now runs."""
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from daycut.sinks import lake
+from daycut.streaming import ingest
+
+
+def _land(spark, root, day, rows):
+    df = spark.createDataFrame([(day, "time-tracking", json.dumps(r)) for r in rows],
+                               "day string, dataset string, value string") \
+        .withColumn("day", F.col("day").cast("date"))
+    lake.write_sharded_jsonl(df, root, shards=2)
+
+
+def test_available_now_ingest(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "lake")
+    table = os.path.join(tmpdir_path, "tt")
+    ck = os.path.join(tmpdir_path, "ck")
+    rej = os.path.join(tmpdir_path, "rej")
+    _land(spark, root, "2024-01-01", [
+        {"user_id": "u1", "date_timestamp_millis": "1704070800000",
+         "time_spent_(seconds)": "60", "productivity": "2"},
+        {"user_id": "u1", "productivity": "9"}])
+    for q in ingest.start_ingest(spark, root, "time_tracking", table, ck, rej):
+        q.awaitTermination(120)
+    assert spark.read.parquet(table).count() == 1
+    assert spark.read.parquet(rej).count() == 1
+    _land(spark, root, "2024-01-02", [
+        {"user_id": "u2", "date_timestamp_millis": "1704157200000",
+         "time_spent_(seconds)": "30", "productivity": "-2"}])
+    for q in ingest.start_ingest(spark, root, "time_tracking", table, ck, rej):
+        q.awaitTermination(120)
+    rows = spark.read.parquet(table).collect()
+    assert sorted((r.user_id, r.productivity_string) for r in rows) == [
+        ("u1", "very productive"), ("u2", "very distracting")]

@@ -32,7 +32,7 @@ TRACKING_COLS = [f.name for f in schema.TIME_TRACKING.fields]
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_conf(spark)
-    return standins.read_events(spark, sf_dir)
+    return standins.read_events(spark, sf_dir, spread_rows=True)
 
 
 def _with(target: T.StructType, *extra: tuple[str, str]) -> T.StructType:

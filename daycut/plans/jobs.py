@@ -40,6 +40,9 @@ DATASETS = {"points": "aggregated-datasets", "sessions": "sessions",
 SESSION_CLUSTER = ["user_id", "startTimeMillis"]
 POINT_CLUSTER = ["user_id", "startTimeNanos"]
 TRACKING_CLUSTER = ["user_id", "date_timestamp_millis"]
+MS_PER_HOUR, NS_PER_HOUR = 3_600_000, 3_600_000_000_000
+PER_HOUR = {"startTimeMillis": MS_PER_HOUR, "date_timestamp_millis": MS_PER_HOUR,
+            "startTimeNanos": NS_PER_HOUR}
 
 
 def _fill_user(rows: DataFrame, path_user: str = "user") -> DataFrame:
@@ -126,12 +129,14 @@ def job_load_fitness(spark: SparkSession, lake_root: str, points_table: str,
                                 dataset=DATASETS["points"], by=by)
     pts, pts_rej = point_rows(pts_lines)
     warehouse.load_partition(pts.drop("day"), points_table, window.day,
-                             cluster_by=POINT_CLUSTER, files=files)
+                             cluster_by=POINT_CLUSTER, files=files,
+                             time_per_hour=NS_PER_HOUR)
     ses_lines = lake.scan_jsonl(spark, lake_root, day=window.day,
                                 dataset=DATASETS["sessions"], by=by)
     ses, ses_rej = session_rows(ses_lines, window.begin_ms, window.end_ms)
     warehouse.load_partition(ses.drop("day"), sessions_table, window.day,
-                             cluster_by=SESSION_CLUSTER, files=files)
+                             cluster_by=SESSION_CLUSTER, files=files,
+                             time_per_hour=MS_PER_HOUR)
     if rejects_table:
         warehouse.write_rejects(pts_rej, rejects_table, window.day, DATASETS["points"])
         warehouse.write_rejects(ses_rej, rejects_table, window.day, DATASETS["sessions"])
@@ -145,7 +150,8 @@ def job_load_time_tracking(spark: SparkSession, lake_root: str, table: str,
                             dataset=DATASETS["time_tracking"], by=by)
     good, rejects = time_tracking_rows(lines)
     warehouse.load_partition(good.drop("day"), table, window.day,
-                             cluster_by=TRACKING_CLUSTER, files=files)
+                             cluster_by=TRACKING_CLUSTER, files=files,
+                             time_per_hour=MS_PER_HOUR)
     if rejects_table:
         warehouse.write_rejects(rejects, rejects_table, window.day,
                                 DATASETS["time_tracking"])
@@ -155,10 +161,9 @@ def load_all_days(rows: DataFrame, table: str, cluster_by: list[str],
                   files: int | None = None) -> None:
     """Many days in one job: rows carry ``day``; every day present is
     replaced (dynamic partition overwrite), other days are left alone."""
-    n = files or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (rows.repartitionByRange(n, F.col("day"), *[F.col(c) for c in cluster_by])
-     .sortWithinPartitions("day", *cluster_by)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    laid_out = warehouse.clustered(rows, cluster_by, files,
+                                   PER_HOUR.get(cluster_by[-1]), lead=["day"])
+    (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("day").parquet(table))
 
 

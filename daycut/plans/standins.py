@@ -38,18 +38,21 @@ EVENT_ACTIVITY_TYPES = {"click": 72, "view": 109, "purchase": 7,
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table, spread over the cluster when it is under-split.
-
-    A table of many files is read with one task per split and left as it is;
-    a single small file (one Parquet row group) would otherwise run every
-    row-wise step before the first shuffle in one task.
+def read_events(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
+    """The events table.
+
+    With ``spread_rows`` an under-split table is spread over the cluster: a
+    single small file (one Parquet row group) would otherwise run every
+    row-wise step before the first shuffle in one task.  Worth it only for
+    heavy row-wise work (JSON building and parsing); a table of many files is
+    never touched.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return spread(df)
+    return spread(df) if spread_rows else df
 
 
 def spread(df: DataFrame) -> DataFrame:
+    """Round-robin to the default parallelism only when under-split."""
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)

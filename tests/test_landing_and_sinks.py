@@ -146,3 +146,76 @@ def test_load_jobs_end_to_end(spark, tmpdir_path):
     assert len(t) == 1 and t[0].productivity_string == "productive"
     r = spark.read.parquet(os.path.join(rej, "dataset=time-tracking")).collect()
     assert len(r) == 1 and r[0].reason == "bad productivity code"
+
+
+def test_scan_glob_line_ends(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "g")
+    os.makedirs(d)
+    with open(os.path.join(d, "20240101Z-u1-sessions-0-of-2.jsonl"), "wb") as fh:
+        fh.write(b'{"a":1}\r\n\r\n{"a":2}\r\n')
+    with open(os.path.join(d, "20240101Z-u1-other-0-of-1.jsonl"), "wb") as fh:
+        fh.write(b'{"a":3}\n')
+    rows = [r.value for r in lake.scan_glob(spark, d + "/20240101Z-*-sessions-*").collect()]
+    assert sorted(rows) == ["", '{"a":1}', '{"a":2}']
+
+
+def test_landing_jobs_from_files(spark, tmpdir_path):
+    ses_dir = os.path.join(tmpdir_path, "ses")
+    agg_dir = os.path.join(tmpdir_path, "agg")
+    tt_dir = os.path.join(tmpdir_path, "tt")
+    for d in (ses_dir, agg_dir, tt_dir):
+        os.makedirs(d)
+    with open(os.path.join(ses_dir, "a.json"), "w") as fh:
+        json.dump({"session": [{"id": "s", "startTimeMillis": "1704758400000",
+                                "endTimeMillis": "1704760200000",
+                                "application": {"packageName": "p"}, "activityType": 72}]},
+                  fh, indent=1)
+    with open(os.path.join(agg_dir, "a.json"), "w") as fh:
+        json.dump({"bucket": [{"startTimeMillis": "1704758400000",
+                               "endTimeMillis": "1704760200000",
+                               "dataset": [{"dataSourceId": "d", "point": [
+                                   {"startTimeNanos": "1704758400000000000",
+                                    "endTimeNanos": "1704758460000000000",
+                                    "dataTypeName": "com.google.step_count.delta",
+                                    "value": [{"intVal": 12}]}]}]}]}, fh, indent=1)
+    with open(os.path.join(tt_dir, "a.json"), "w") as fh:
+        json.dump({"row_headers": ["Date", "Time Spent (seconds)", "Productivity"],
+                   "rows": [["2024-01-09T10:00:00", "60", "1"],
+                            ["2024-01-09T08:00:00", "30", "2"]]}, fh)
+    root = os.path.join(tmpdir_path, "lake")
+    jobs.job_land_fitness(spark, ses_dir, agg_dir, root, "2024-01-09", "u1")
+    rejected = jobs.job_land_time_tracking(spark, tt_dir, root, "2024-01-09", "u1",
+                                           load_tz="Asia/Seoul")
+    assert rejected.count() == 0
+    by = lake.USER_PREFIX
+    ses = lake.scan_jsonl(spark, root, day="2024-01-09", dataset="sessions", by=by).collect()
+    assert len(ses) == 1 and json.loads(ses[0].value)["user_id"] == "u1"
+    assert ses[0].user == "u1"
+    pts, _ = jobs.point_rows(lake.scan_jsonl(spark, root, day="2024-01-09",
+                                             dataset="aggregated-datasets", by=by))
+    assert [r.value0_intVal for r in pts.collect()] == [12]
+    # 10:00 Seoul is 01:00 UTC on the 9th (kept); 08:00 Seoul is the 8th in UTC
+    tt, _ = jobs.time_tracking_rows(lake.scan_jsonl(spark, root, day="2024-01-09",
+                                                    dataset="time-tracking", by=by))
+    rows = tt.collect()
+    assert [(r.date_timestamp_millis, r.time_spent_seconds) for r in rows] == [
+        (1704762000000, 60)]
+
+
+def test_run_reload_two_days(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "lake")
+    line = {"user_id": "u1", "id": "s", "startTimeMillis": "1704754800000",
+            "endTimeMillis": "1704762000000", "activityType": 72}
+    lines = spark.createDataFrame(
+        [(d, "sessions", json.dumps(line)) for d in ("2024-01-08", "2024-01-09")],
+        "day string, dataset string, value string").withColumn("day", F.col("day").cast("date"))
+    lake.write_sharded_jsonl(lines, root)
+    tables = {k: os.path.join(tmpdir_path, k) for k in ("points", "sessions", "time_tracking")}
+    jobs.run_reload(spark, "2024-01-09", root, tables)
+    jobs.run_reload(spark, "2024-01-09", root, tables)       # a re-run replaces
+    s = warehouse.read_table(spark, tables["sessions"])
+    got = sorted((r.day.isoformat(), r.startTimeMillis, r.endTimeMillis) for r in s.collect())
+    # the session crossing midnight is cut at the day boundary, no duplicates
+    assert sum(e - b for _, b, e in got) == 1704762000000 - 1704754800000
+    assert {d for d, _, _ in got} == {"2024-01-08", "2024-01-09"}
+    assert warehouse.read_table(spark, tables["points"]).count() == 0

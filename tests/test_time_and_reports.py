@@ -117,3 +117,35 @@ def test_unbounded_calendar_works_without_literal_range(spark):
     b = reports.daily_productive(_activities(spark), cal, start="2024-01-06",
                                  end="2024-01-09").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_calendar_until_yesterday(spark):
+    cal = reports.calendar_report(spark, start="2024-01-01", tz="Asia/Seoul")
+    first = cal.collect()[0]
+    import zoneinfo
+    today = dt.datetime.now(zoneinfo.ZoneInfo("Asia/Seoul")).date()
+    assert first.date == today - dt.timedelta(days=1)
+    assert isinstance(first.date, dt.date) and not isinstance(first.date, dt.datetime)
+
+
+def test_day_partition_pruning_filter(spark, tmpdir_path):
+    """Reports over a warehouse table push the time range to the scan and
+    prune day partitions."""
+    import os
+    from daycut.sinks import warehouse
+    table = os.path.join(tmpdir_path, "acts")
+    acts = _activities(spark)
+    for day in ("2024-01-07", "2024-01-08"):
+        warehouse.load_partition(acts, table, day)
+    t = warehouse.read_table(spark, table)
+    cal = calmod.calendar_days(spark, "2024-01-08", "2024-01-08")
+    df = reports.daily_productive(t, cal, start="2024-01-08", end="2024-01-08",
+                                  day_col="day")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert "GreaterThanOrEqual(date_timestamp_millis" in plan
+    assert "BroadcastHashJoin" in plan

@@ -13,6 +13,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daycut.functions import timez
+from daycut.operators import intervals
 from daycut.plans import reports, standins
 from daycut.session import apply_conf
 from daycut.sources import calendar as calmod
@@ -40,8 +42,8 @@ _RANGE = dict(tz=TZ, start=CAL_START, end=CAL_END)
 
 
 def q_calendar_days(spark, sf_dir):
+    """V1 over the local days the events span (the run date's 'yesterday')."""
     ev = _prep(spark, sf_dir)
-    from daycut.functions import timez
     dates = ev.select(timez.local_date(timez.ntz_to_instant("ts"), TZ).alias("date"))
     return reports._ordered(calmod.calendar_over(dates, "date", TZ), True)
 
@@ -68,7 +70,6 @@ def q_daily_heart_rate(spark, sf_dir):
 
 def loaded_sessions(spark, sf_dir) -> DataFrame:
     """Sessions as the load job stores them: clipped to the window, split."""
-    from daycut.operators import intervals
     s = standins.sessions_from_events(_prep(spark, sf_dir))
     s = intervals.clip_intervals(s, "startTimeMillis", "endTimeMillis",
                                  WINDOW_LO_MS, WINDOW_HI_MS)
@@ -270,11 +271,3 @@ FROM (SELECT *, CAST(floor(round(startTimeNanos / 1000000) / 1800000) AS BIGINT)
 GROUP BY user_id, dataTypeName, bucket""",
 }
 
-
-def _merge():
-    from daycut.plans import catalog_io
-    QUERIES.update(catalog_io.QUERIES)
-    ORACLE.update(catalog_io.ORACLE)
-
-
-_merge()

@@ -182,7 +182,7 @@ def run_reload(spark: SparkSession, run_day, lake_root: str, tables: dict[str, s
 # ---- landing (B3) ------------------------------------------------------------------
 
 def land_documents(rows: DataFrame, lake_root: str, dataset: str, day_col: str = "day",
-                   shards: int = 3, by=lake.PREFIX_COLS) -> None:
+                   shards: int | None = None, by=lake.PREFIX_COLS) -> None:
     """Parsed landing rows (with ``user_id`` and a day column) → lake JSONL,
     replacing exactly the prefixes written."""
     data_cols = [c for c in rows.columns if c != day_col]

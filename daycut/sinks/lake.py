@@ -25,15 +25,20 @@ def lake_schema(by=PREFIX_COLS) -> T.StructType:
                         + [T.StructField(c, _PREFIX_TYPES[c]) for c in by])
 
 
-def write_sharded_jsonl(lines: DataFrame, root: str, shards: int = 3,
+def write_sharded_jsonl(lines: DataFrame, root: str, shards: int | None = None,
                         line_col: str = "value", by=PREFIX_COLS) -> None:
     """Write JSON text lines into at most ``shards`` files per prefix.
 
     Rows are spread over shards by a hash of the line itself, so a retried
-    task produces the same split, and one busy user's prefix is written by
-    ``shards`` tasks instead of one.  Lines are written as they are (LF ends).
+    task produces the same split, and a prefix is written by ``shards`` tasks
+    instead of one.  ``shards`` defaults to ``spark.sql.shuffle.partitions``
+    (sized to the data), since a (day, dataset) prefix holds every user's
+    lines; a single-user run can keep a small fixed number such as 3.  Lines
+    are written as they are (LF ends).
     """
     by = list(by)
+    if not shards:
+        shards = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shard = F.pmod(F.xxhash64(F.col(line_col)), F.lit(shards))
     (lines.select(*[F.col(c) for c in by], F.col(line_col).alias("value"))
      .repartition(*[F.col(c) for c in by], shard)

@@ -5,9 +5,10 @@ as a whole, so a re-run replaces, and an empty input leaves an empty day
 (truncate semantics).  Clustering (K4): rows are hash-partitioned on
 (user, hour of the time column) and sorted by (user, time) inside each file,
 so Parquet row-group min/max statistics skip on user and time filters.  The
-hour in the key spreads a user who holds a large share of the rows over up to
-24 tasks per day, and hashing needs no sampling pass (a range partitioner
-would run the whole upstream scan and parse once more just to sample it).
+hour and a small salt taken from the time value spread a user — or a single
+user-hour — that holds a large share of the rows over many tasks, and hashing
+needs no sampling pass (a range partitioner would run the whole upstream scan
+and parse once more just to sample it).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DAY_COL = "day"
+SALT = 16
 
 
 def day_path(table: str, day) -> str:
@@ -34,7 +36,8 @@ def clustered(df: DataFrame, cluster_by: list[str], files: int | None = None,
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in lead] + [F.col(cluster_by[0])]
     if len(cluster_by) > 1 and time_per_hour:
-        keys.append(F.floor(F.col(cluster_by[1]) / F.lit(time_per_hour)))
+        t = F.col(cluster_by[1])
+        keys += [F.floor(t / F.lit(time_per_hour)), F.pmod(t, F.lit(SALT))]
     return df.repartition(n, *keys).sortWithinPartitions(*lead, *cluster_by)
 
 

@@ -53,10 +53,12 @@ def read_events(spark: SparkSession, sf_dir: str, spread_rows: bool = False) ->
 
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin to the default parallelism only when under-split."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD/SparkContext access (e.g. a Spark Connect session)
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def _lookup(mapping: dict, key):

@@ -62,13 +62,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    master = spark.sparkContext.master or ""
+    master = spark.conf.get("spark.master", "") or ""
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder "
                            "(e.g. an object-store path) before running jobs")
     root = tempfile.mkdtemp(prefix="daycut-ckpt-")
     spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
     return root
 
 

@@ -149,3 +149,20 @@ def test_day_partition_pruning_filter(spark, tmpdir_path):
     assert "PartitionFilters: [isnotnull(day" in plan
     assert "GreaterThanOrEqual(date_timestamp_millis" in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_daily_totals_equal_fact_total(spark):
+    """Property: the report's daily totals add up to the facts whose local
+    date lies in the calendar (whole sf0.01 events table)."""
+    from conftest import SF001
+    from daycut.plans import catalog, standins
+    pts = standins.points_from_events(standins.read_events(spark, SF001))
+    rep = catalog.q_daily_steps(spark, SF001)
+    total = rep.agg(F.sum("step_count")).collect()[0][0]
+    d = timez.local_date(timez.millis_to_instant(timez.nanos_to_millis("startTimeNanos")),
+                         catalog.TZ)
+    want = pts.filter((F.col("dataTypeName") == standins.STEP_TYPE)
+                      & d.between(F.lit(D(2023, 12, 25)), F.lit(D(2024, 2, 5)))) \
+        .agg(F.sum("value0_intVal")).collect()[0][0]
+    assert total == want and total > 0
+    assert rep.count() == (D(2024, 2, 5) - D(2023, 12, 25)).days + 1

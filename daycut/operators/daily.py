@@ -13,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daycut.functions.timez import to_date_value
+from daycut.sources.calendar import day_count
+
 # Conservative per-row size estimate for day-grain rows (date + a few longs).
 DAY_ROW_BYTES = 96
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
@@ -77,6 +80,21 @@ def dense_left_detail(cal: DataFrame, detail: DataFrame, bound_rows: int | None,
     return matched.unionByName(empty_days)
 
 
+def dense_by_user(cal: DataFrame, facts: DataFrame, users: DataFrame, start, end,
+                  on: str = "date", user: str = "user_id") -> DataFrame:
+    """Every (user, calendar day) LEFT JOIN facts keyed by (user, day).
+
+    The grid is generated per user with a day ``sequence`` (no cross join);
+    the calendar's date parts come from a broadcast of the bounded calendar;
+    facts are unique per (user, day), so the final join is a plain shuffle
+    join on two unique keys with nothing to skew.
+    """
+    s, e = F.lit(to_date_value(start)), F.lit(to_date_value(end))
+    grid = users.select(user, F.explode(F.when(s <= e, F.sequence(s, e))).alias(on))
+    grid = grid.join(bounded_broadcast(cal, day_count(start, end)), on=on, how="inner")
+    return grid.join(facts, on=[user, on], how="left")
+
+
 def in_range(col: Column, lo, hi) -> Column:
     """Half-open ``lo <= col < hi`` (either bound may be None)."""
     cond = F.lit(True)

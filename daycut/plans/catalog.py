@@ -90,6 +90,24 @@ def q_daily_productive_details(spark, sf_dir):
     return reports.daily_productive_details(acts, _cal(spark), **_RANGE)
 
 
+def q_daily_steps_by_user(spark, sf_dir):
+    """V4 for every user of the table: one dense series per user."""
+    pts = standins.points_from_events(_prep(spark, sf_dir))
+    return reports.daily_steps(pts, _cal(spark), by_user=True, **_RANGE)
+
+
+def q_daily_sleep_by_user(spark, sf_dir):
+    """V6 for every user of the sessions table."""
+    return reports.daily_sleep(loaded_sessions(spark, sf_dir), _cal(spark), by_user=True,
+                               **_RANGE)
+
+
+def q_daily_productive_by_user(spark, sf_dir):
+    """V7 for every user of the time-tracking table."""
+    acts = standins.activities_from_events(_prep(spark, sf_dir))
+    return reports.daily_productive(acts, _cal(spark), by_user=True, **_RANGE)
+
+
 def q_bucket_points_30m(spark, sf_dir):
     pts = standins.points_from_events(_prep(spark, sf_dir))
     return reports.bucket_points(pts, value_scale=VALUE_SCALE)
@@ -105,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_productive": q_daily_productive,
     "daily_productive_details": q_daily_productive_details,
     "bucket_points_30m": q_bucket_points_30m,
+    "daily_steps_by_user": q_daily_steps_by_user,
+    "daily_sleep_by_user": q_daily_sleep_by_user,
+    "daily_productive_by_user": q_daily_productive_by_user,
 }
 
 
@@ -271,3 +292,59 @@ FROM (SELECT *, CAST(floor(round(startTimeNanos / 1000000) / 1800000) AS BIGINT)
 GROUP BY user_id, dataTypeName, bucket""",
 }
 
+
+
+# ---- per-user forms: every user of the table × every calendar day -------------------
+
+ORACLE["daily_steps_by_user"] = f"""WITH p AS ({standins.ORACLE_POINTS}),
+{CAL},
+users AS (SELECT DISTINCT user_id FROM p)
+SELECT U.user_id, A.date, A.date_year_month,
+       CAST(IFNULL(SUM(B.step_count), 0) AS BIGINT) AS step_count
+FROM users U CROSS JOIN cal A
+LEFT OUTER JOIN (
+  SELECT user_id, {PT_DATE} AS date, SUM(value0_intVal) AS step_count
+  FROM p WHERE dataTypeName = '{standins.STEP_TYPE}'
+  GROUP BY 1, 2) B
+ON A.date = B.date AND U.user_id = B.user_id
+GROUP BY U.user_id, A.date, A.date_year_month"""
+
+ORACLE["daily_sleep_by_user"] = f"""WITH {LOADED_SESSIONS_SQL},
+{CAL},
+users AS (SELECT DISTINCT user_id FROM sessions),
+r AS (
+  SELECT user_id, CAST(epoch_ms(startTimeMillis) + INTERVAL 5 HOUR + {TZ_OFFSET_SQL} AS DATE) AS date,
+         startTimeMillis, endTimeMillis, application_packageName
+  FROM (SELECT user_id, startTimeMillis, endTimeMillis, application_packageName
+        FROM sessions WHERE activityType IN (72, 109, 111)
+        GROUP BY user_id, startTimeMillis, endTimeMillis, application_packageName)),
+b AS (
+  SELECT user_id, date, application_packageName,
+         CAST(SUM(endTimeMillis - startTimeMillis) AS DOUBLE) / 1000 AS sleep_sec,
+         CAST(SUM(endTimeMillis - startTimeMillis) AS DOUBLE) / 3600000 AS sleep_hour
+  FROM r GROUP BY 1, 2, 3)
+SELECT U.user_id, A.date, A.date_year_month, MAX(B.sleep_sec) AS sleep_sec,
+       MAX(B.sleep_hour) AS sleep_hour
+FROM users U CROSS JOIN cal A
+LEFT OUTER JOIN b B ON A.date = B.date AND U.user_id = B.user_id
+GROUP BY U.user_id, A.date, A.date_year_month"""
+
+ORACLE["daily_productive_by_user"] = f"""WITH a AS ({standins.ORACLE_ACTIVITIES}),
+{CAL},
+users AS (SELECT DISTINCT user_id FROM a),
+f AS (
+  SELECT user_id, {_ms_date('date_timestamp_millis')} AS date, time_spent_seconds,
+         ({PRODUCTIVE_COND}) AS working
+  FROM a WHERE productivity_string LIKE '%productive%')
+SELECT U.user_id, A.date, A.date_year_month,
+       CAST(IFNULL(SUM(CASE WHEN F.working THEN F.time_spent_seconds END), 0) AS BIGINT)
+         AS working_time_sec,
+       CAST(IFNULL(SUM(CASE WHEN NOT F.working THEN F.time_spent_seconds END), 0) AS BIGINT)
+         AS outside_working_time_sec,
+       CAST(IFNULL(SUM(CASE WHEN F.working THEN F.time_spent_seconds END), 0)
+            + IFNULL(SUM(CASE WHEN NOT F.working THEN F.time_spent_seconds END), 0) AS BIGINT)
+         AS total_time_sec,
+       A.dayofweek
+FROM users U CROSS JOIN cal A
+LEFT OUTER JOIN f F ON A.date = F.date AND U.user_id = F.user_id
+GROUP BY U.user_id, A.date, A.date_year_month, A.dayofweek"""

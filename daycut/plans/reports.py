@@ -60,14 +60,34 @@ def _user(df: DataFrame, user_id) -> DataFrame:
 
 
 def _ordered(df: DataFrame, ordered: bool, bounded: bool = True) -> DataFrame:
-    """Newest day first.  Outputs bounded by the calendar (one row per day)
-    are sorted in one partition — no range-partitioning sample job; outputs
-    that grow with the facts use a global sort."""
+    """Newest day first (per user for per-user reports).  Outputs bounded by
+    the calendar (one row per day) are sorted in one partition — no
+    range-partitioning sample job; outputs that grow with the facts or the
+    users use a global sort."""
     if not ordered:
         return df
-    if bounded:
-        return df.coalesce(1).sortWithinPartitions(F.col("date").desc())
-    return df.orderBy(F.col("date").desc())
+    keys = ([F.col("user_id")] if "user_id" in df.columns else []) + [F.col("date").desc()]
+    if bounded and "user_id" not in df.columns:
+        return df.coalesce(1).sortWithinPartitions(*keys)
+    return df.orderBy(*keys)
+
+
+def _require_range(start, end):
+    if start is None or end is None:
+        raise ValueError("per-user reports need literal calendar bounds (start, end)")
+
+
+def _densify(cal_cols: DataFrame, per_day: DataFrame, start, end, by_user: bool,
+             users: DataFrame | None) -> DataFrame:
+    if by_user:
+        _require_range(start, end)
+        return daily.dense_by_user(cal_cols, per_day, users, start, end)
+    return daily.dense_left(cal_cols, per_day, _bound(start, end))
+
+
+def _users(df: DataFrame, user_id) -> DataFrame:
+    """Users a per-user report covers: all users of the table (or the one asked)."""
+    return _user(df, user_id).select("user_id").distinct()
 
 
 # ---- V1 ---------------------------------------------------------------------
@@ -85,25 +105,28 @@ def points_by_day(points: DataFrame, data_type: str, tz: str, user_id, start, en
     pts = _user(points.filter(F.col("dataTypeName") == F.lit(data_type)), user_id)
     pts = _prune(pts, "startTimeNanos", timez.NANOS_PER_MILLI, start, end, tz, day_col)
     date = timez.local_date(timez.millis_to_instant(timez.nanos_to_millis("startTimeNanos")), tz)
-    out = pts.select(date.alias("date"), "value0_fpVal", "value0_intVal")
+    out = pts.select("user_id", date.alias("date"), "value0_fpVal", "value0_intVal")
     return out.filter(_in_calendar(F.col("date"), start, end))
 
 
 def daily_metric(points: DataFrame, cal: DataFrame, *, data_type: str, aggs: dict,
                  finish: dict, tz: str = TZ, user_id=None, start=None, end=None,
-                 day_col: str | None = None, ordered: bool = True) -> DataFrame:
+                 day_col: str | None = None, ordered: bool = True,
+                 by_user: bool = False) -> DataFrame:
     """Generic V2–V5: aggregate by local day, then densify on the calendar.
 
     ``aggs`` name → aggregate over the day's points; ``finish`` name →
     expression over the joined row (zero fill and rounding go here, after
     the join, so days without points see NULL aggregates as in SQL).
+    ``by_user`` gives one dense series per user of the table instead of one
+    series over the selected users.
     """
+    keys = ["user_id", "date"] if by_user else ["date"]
     per_day = points_by_day(points, data_type, tz, user_id, start, end, day_col) \
-        .groupBy("date").agg(*[e.alias(n) for n, e in aggs.items()])
-    joined = daily.dense_left(cal.select("date", "date_year_month"), per_day,
-                              _bound(start, end))
-    out = joined.select("date", "date_year_month",
-                        *[e.alias(n) for n, e in finish.items()])
+        .groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
+    joined = _densify(cal.select("date", "date_year_month"), per_day, start, end, by_user,
+                      _users(points, user_id) if by_user else None)
+    out = joined.select(*keys, "date_year_month", *[e.alias(n) for n, e in finish.items()])
     return _ordered(out, ordered)
 
 
@@ -153,8 +176,10 @@ def daily_heart_rate(points, cal, *, data_type=standins.HEART_RATE_TYPE,
 
 def sleep_by_day_and_app(sessions: DataFrame, *, tz: str = TZ, user_id=None,
                          start=None, end=None, day_col: str | None = None,
-                         sleep_types=tuple(labels.SLEEP_ACTIVITY_TYPES)) -> DataFrame:
-    """Distinct sleep pieces → local day of (start + 5 h) → ms per (day, app)."""
+                         sleep_types=tuple(labels.SLEEP_ACTIVITY_TYPES),
+                         by_user: bool = False) -> DataFrame:
+    """Distinct sleep pieces → local day of (start + 5 h) → ms per (day, app)
+    (per (user, day, app) with ``by_user``)."""
     s = _user(sessions.filter(F.col("activityType").isin(*sleep_types)), user_id)
     if start is not None and end is not None:
         shift = SLEEP_SHIFT_HOURS * 3_600_000
@@ -166,24 +191,26 @@ def sleep_by_day_and_app(sessions: DataFrame, *, tz: str = TZ, user_id=None,
                              "application_packageName"])
     date = timez.local_date(timez.add_hours(timez.millis_to_instant("startTimeMillis"),
                                             SLEEP_SHIFT_HOURS), tz)
-    pieces = pieces.select(date.alias("date"), "application_packageName",
+    pieces = pieces.select("user_id", date.alias("date"), "application_packageName",
                            (F.col("endTimeMillis") - F.col("startTimeMillis")).alias("ms"))
+    keys = ["user_id", "date"] if by_user else ["date"]
     return pieces.filter(_in_calendar(F.col("date"), start, end)) \
-        .groupBy("date", "application_packageName").agg(F.sum("ms").alias("ms"))
+        .groupBy(*keys, "application_packageName").agg(F.sum("ms").alias("ms"))
 
 
 def daily_sleep(sessions: DataFrame, cal: DataFrame, *, tz: str = TZ, user_id=None,
                 start=None, end=None, day_col: str | None = None,
-                ordered: bool = True) -> DataFrame:
+                ordered: bool = True, by_user: bool = False) -> DataFrame:
     """V6: per day, the largest per-app total of sleep (seconds and hours)."""
     per_app = sleep_by_day_and_app(sessions, tz=tz, user_id=user_id, start=start,
-                                   end=end, day_col=day_col)
-    per_day = per_app.groupBy("date").agg(
+                                   end=end, day_col=day_col, by_user=by_user)
+    keys = ["user_id", "date"] if by_user else ["date"]
+    per_day = per_app.groupBy(*keys).agg(
         F.max(F.col("ms").cast("double") / F.lit(1000)).alias("sleep_sec"),
         F.max(F.col("ms").cast("double") / F.lit(3_600_000)).alias("sleep_hour"))
-    out = daily.dense_left(cal.select("date", "date_year_month"), per_day,
-                           _bound(start, end))
-    return _ordered(out.select("date", "date_year_month", "sleep_sec", "sleep_hour"),
+    out = _densify(cal.select("date", "date_year_month"), per_day, start, end, by_user,
+                   _users(sessions, user_id) if by_user else None)
+    return _ordered(out.select(*keys, "date_year_month", "sleep_sec", "sleep_hour"),
                     ordered)
 
 
@@ -201,7 +228,7 @@ def productive_facts(activities: DataFrame, *, tz: str = TZ, user_id=None,
 
 def daily_productive(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
                      user_id=None, start=None, end=None, day_col: str | None = None,
-                     ordered: bool = True) -> DataFrame:
+                     ordered: bool = True, by_user: bool = False) -> DataFrame:
     """V7: productive seconds inside / outside working hours and in total.
 
     One scan with complementary conditional sums replaces two scans and two
@@ -211,12 +238,13 @@ def daily_productive(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
                          day_col=day_col)
     inside, outside = daily.split_sum(F.col("time_spent_seconds"),
                                       labels.is_working_time("local_ts"))
-    per_day = a.groupBy("date").agg(inside.alias("w"), outside.alias("o"))
-    j = daily.dense_left(cal.select("date", "date_year_month", "dayofweek"), per_day,
-                         _bound(start, end))
+    keys = ["user_id", "date"] if by_user else ["date"]
+    per_day = a.groupBy(*keys).agg(inside.alias("w"), outside.alias("o"))
+    j = _densify(cal.select("date", "date_year_month", "dayofweek"), per_day, start, end,
+                 by_user, _users(activities, user_id) if by_user else None)
     w = F.coalesce(F.col("w"), F.lit(0)).cast("long")
     o = F.coalesce(F.col("o"), F.lit(0)).cast("long")
-    out = j.select("date", "date_year_month", w.alias("working_time_sec"),
+    out = j.select(*keys, "date_year_month", w.alias("working_time_sec"),
                    o.alias("outside_working_time_sec"), (w + o).alias("total_time_sec"),
                    "dayofweek")
     return _ordered(out, ordered)

@@ -53,18 +53,21 @@ def is_productive(label) -> Column:
     return _c(label).like("%productive%")
 
 
-def is_working_time(local_ts_col) -> Column:
-    """Weekday and local hour within the working window (three-valued)."""
+def is_working_time(local_ts_col, days=WORKING_DAYS, first_hour: int = WORKING_FIRST_HOUR,
+                    last_hour: int = WORKING_LAST_HOUR) -> Column:
+    """Weekday (1 = Sunday) in ``days`` and local hour in
+    ``first_hour..last_hour`` inclusive (three-valued)."""
     ts = _c(local_ts_col)
     hour = F.hour(ts)
-    return (F.dayofweek(F.to_date(ts)).isin(*WORKING_DAYS)
-            & (hour >= WORKING_FIRST_HOUR) & (hour <= WORKING_LAST_HOUR))
+    return (F.dayofweek(F.to_date(ts)).isin(*days)
+            & (hour >= first_hour) & (hour <= last_hour))
 
 
-def working_hours_label(local_ts_col) -> Column:
+def working_hours_label(local_ts_col, days=WORKING_DAYS, first_hour: int = WORKING_FIRST_HOUR,
+                        last_hour: int = WORKING_LAST_HOUR) -> Column:
     """Label; a NULL condition takes the 'outside' branch, like SQL IF."""
-    return F.when(is_working_time(local_ts_col), F.lit(WORKING_LABEL)) \
-        .otherwise(F.lit(OUTSIDE_WORKING_LABEL))
+    return F.when(is_working_time(local_ts_col, days, first_hour, last_hour),
+                  F.lit(WORKING_LABEL)).otherwise(F.lit(OUTSIDE_WORKING_LABEL))
 
 
 def working_hours_label_at(instant, tz="Asia/Seoul") -> Column:

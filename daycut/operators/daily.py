@@ -95,6 +95,23 @@ def dense_by_user(cal: DataFrame, facts: DataFrame, users: DataFrame, start, end
     return grid.join(facts, on=[user, on], how="left")
 
 
+def dense_detail_by_user(cal: DataFrame, detail: DataFrame, users: DataFrame, start, end,
+                         on: str = "date", user: str = "user_id") -> DataFrame:
+    """Per-user form of ``dense_left_detail``: (facts ⋈ broadcast calendar) ∪
+    ((user, day) grid ▷ (user, day) pairs that have facts).  The anti join is
+    a shuffle join on (user, day), unique on its right side."""
+    bound = day_count(start, end)
+    matched = detail.join(bounded_broadcast(cal, bound), on=on, how="inner")
+    s, e = F.lit(to_date_value(start)), F.lit(to_date_value(end))
+    grid = users.select(user, F.explode(F.when(s <= e, F.sequence(s, e))).alias(on))
+    grid = grid.join(bounded_broadcast(cal, bound), on=on, how="inner")
+    empty = grid.join(detail.select(user, on).distinct(), on=[user, on], how="left_anti")
+    for c in detail.columns:
+        if c not in (user, on):
+            empty = empty.withColumn(c, F.lit(None).cast(detail.schema[c].dataType))
+    return matched.unionByName(empty)
+
+
 def in_range(col: Column, lo, hi) -> Column:
     """Half-open ``lo <= col < hi`` (either bound may be None)."""
     cond = F.lit(True)

@@ -226,9 +226,13 @@ def productive_facts(activities: DataFrame, *, tz: str = TZ, user_id=None,
     return a.filter(_in_calendar(F.col("date"), start, end))
 
 
+WORKING = (tuple(labels.WORKING_DAYS), labels.WORKING_FIRST_HOUR, labels.WORKING_LAST_HOUR)
+
+
 def daily_productive(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
                      user_id=None, start=None, end=None, day_col: str | None = None,
-                     ordered: bool = True, by_user: bool = False) -> DataFrame:
+                     ordered: bool = True, by_user: bool = False,
+                     working=WORKING) -> DataFrame:
     """V7: productive seconds inside / outside working hours and in total.
 
     One scan with complementary conditional sums replaces two scans and two
@@ -237,7 +241,7 @@ def daily_productive(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
     a = productive_facts(activities, tz=tz, user_id=user_id, start=start, end=end,
                          day_col=day_col)
     inside, outside = daily.split_sum(F.col("time_spent_seconds"),
-                                      labels.is_working_time("local_ts"))
+                                      labels.is_working_time("local_ts", *working))
     keys = ["user_id", "date"] if by_user else ["date"]
     per_day = a.groupBy(*keys).agg(inside.alias("w"), outside.alias("o"))
     j = _densify(cal.select("date", "date_year_month", "dayofweek"), per_day, start, end,
@@ -257,22 +261,30 @@ DETAIL_KEYS = ["category", "productivity", "productivity_string", "activity",
 def daily_productive_details(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
                              user_id=None, start=None, end=None,
                              day_col: str | None = None,
-                             ordered: bool = True) -> DataFrame:
+                             ordered: bool = True, by_user: bool = False,
+                             working=WORKING) -> DataFrame:
     """V8: seconds per day × category × productivity × activity × hour.
 
-    Days without facts give one row of NULL facts.
+    Days without facts give one row of NULL facts (per user with ``by_user``).
     """
     a = productive_facts(activities, tz=tz, user_id=user_id, start=start, end=end,
                          day_col=day_col)
-    a = a.select("date", "category", "productivity", "productivity_string", "activity",
-                 labels.working_hours_label("local_ts").alias("working_hours"),
+    a = a.select("user_id", "date", "category", "productivity", "productivity_string",
+                 "activity",
+                 labels.working_hours_label("local_ts", *working).alias("working_hours"),
                  F.hour("local_ts").cast("long").alias("date_hour"),
                  "time_spent_seconds")
-    detail = a.groupBy("date", *DETAIL_KEYS).agg(
+    keys = ["user_id", "date"] if by_user else ["date"]
+    detail = a.groupBy(*keys, *DETAIL_KEYS).agg(
         F.sum("time_spent_seconds").alias("time_sec"))
-    j = daily.dense_left_detail(cal.select("date", "date_year_month", "dayofweek"),
-                                detail, _bound(start, end))
-    out = j.select("date", "date_year_month", "category", "productivity",
+    cal_cols = cal.select("date", "date_year_month", "dayofweek")
+    if by_user:
+        _require_range(start, end)
+        j = daily.dense_detail_by_user(cal_cols, detail, _users(activities, user_id),
+                                       start, end)
+    else:
+        j = daily.dense_left_detail(cal_cols, detail, _bound(start, end))
+    out = j.select(*keys[:-1], "date", "date_year_month", "category", "productivity",
                    "productivity_string", "activity", "time_sec", "working_hours",
                    "date_hour", "dayofweek")
     return _ordered(out, ordered, bounded=False)

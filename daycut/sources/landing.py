@@ -159,13 +159,15 @@ def header_name(h) -> Column:
 
 def parse_matrix(docs: DataFrame, *, load_tz, output_date, output_tz="UTC",
                  user_id: str | None = None, user_col: str | None = None,
-                 date_key: str = "date") -> DataFrame:
+                 date_key: str = "date", fixed_day: bool = True) -> DataFrame:
     """S6 + P11: ``row_headers`` zipped with each row into a string map.
 
     ``date`` is civil time in ``load_tz`` (a zone name or a column); a row is
     kept when its instant lies in ``[output_date 00:00 in output_tz, +24 h)``
     and then gets ``date_timestamp_millis``.  ``output_date`` may be a column
-    (one output day per document).  Rows whose date does not parse, documents
+    (one output day per document).  ``fixed_day`` keeps the original fixed
+    24 h window; ``False`` ends the window at the next local midnight of
+    ``output_tz`` instead (23 or 25 h on DST change days).  Rows whose date does not parse, documents
     without a date header or with headers that collide after normalising, and
     rows longer than the header come back with ``_reject_reason``.
     """
@@ -174,22 +176,24 @@ def parse_matrix(docs: DataFrame, *, load_tz, output_date, output_tz="UTC",
         else F.lit(timez.to_date_value(output_date))
     tz_out = output_tz if isinstance(output_tz, Column) else F.lit(output_tz)
     day_start = F.unix_millis(F.to_utc_timestamp(out_date.cast("timestamp"), tz_out))
+    day_end = day_start + F.lit(timez.MILLIS_PER_DAY) if fixed_day else F.unix_millis(
+        F.to_utc_timestamp(F.date_add(out_date, 1).cast("timestamp"), tz_out))
     rows = docs.select(_user(user_id, user_col).alias("user_id"), names.alias("names"),
-                       day_start.alias("lo"), F.explode("rows").alias("r"))
+                       day_start.alias("lo"), day_end.alias("hi"),
+                       F.explode("rows").alias("r"))
     zipped = F.arrays_zip(F.slice(F.col("names"), 1, F.size("r")), F.col("r"))
     fields = F.map_from_entries(zipped)
     doc_bad = F.when(~F.array_contains("names", F.lit(date_key)), F.lit("no date header")) \
         .when(F.size(F.array_distinct("names")) != F.size("names"),
               F.lit("duplicate header names")) \
         .when(F.size("r") > F.size("names"), F.lit("row longer than header"))
-    rows = rows.select("user_id", "lo", F.when(doc_bad.isNull(), fields).alias("fields"),
+    rows = rows.select("user_id", "lo", "hi", F.when(doc_bad.isNull(), fields).alias("fields"),
                        doc_bad.alias("doc_bad"), F.to_json("r").alias("_line"))
     ms = timez.parse_local_millis(F.col("fields")[date_key], load_tz)
     rows = rows.withColumn("ms", ms)
     reason = F.coalesce(F.col("doc_bad"),
                         F.when(F.col("ms").isNull(), F.lit("unparsable date")))
-    keep = reason.isNotNull() | ((F.col("ms") >= F.col("lo"))
-                                 & (F.col("ms") < F.col("lo") + F.lit(timez.MILLIS_PER_DAY)))
+    keep = reason.isNotNull() | ((F.col("ms") >= F.col("lo")) & (F.col("ms") < F.col("hi")))
     rows = computed(rows, [F.col(c) for c in rows.columns]
                     + [reason.alias(REASON), keep.alias("__keep")])
     rows = rows.filter(F.col("__keep"))

@@ -219,3 +219,18 @@ def test_run_reload_two_days(spark, tmpdir_path):
     assert sum(e - b for _, b, e in got) == 1704762000000 - 1704754800000
     assert {d for d, _, _ in got} == {"2024-01-08", "2024-01-09"}
     assert warehouse.read_table(spark, tables["points"]).count() == 0
+
+
+def test_matrix_calendar_day_window_on_dst_change(spark):
+    # 2024-03-10 in New York has 23 hours; 00:30 on the 11th is 04:30 UTC,
+    # inside a fixed 24 h window from 05:00 UTC but outside the local day
+    doc = {"row_headers": ["Date"], "rows": [["2024-03-10T23:30:00"], ["2024-03-11T00:30:00"]]}
+    docs = landing.envelopes_from_text(spark.createDataFrame([(json.dumps(doc),)],
+                                                             "value string"),
+                                       landing.MATRIX_ENVELOPE)
+    kw = dict(load_tz="America/New_York", output_date="2024-03-10",
+              output_tz="America/New_York", user_id="u")
+    fixed = landing.parse_matrix(docs, **kw).collect()
+    local = landing.parse_matrix(docs, fixed_day=False, **kw).collect()
+    assert len(fixed) == 2
+    assert [r.fields["date"] for r in local] == ["2024-03-10T23:30:00"]

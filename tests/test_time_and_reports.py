@@ -166,3 +166,24 @@ def test_daily_totals_equal_fact_total(spark):
         .agg(F.sum("value0_intVal")).collect()[0][0]
     assert total == want and total > 0
     assert rep.count() == (D(2024, 2, 5) - D(2023, 12, 25)).days + 1
+
+
+def test_working_hours_parameters(spark):
+    cal = calmod.calendar_days(spark, "2024-01-06", "2024-01-09")
+    out = {r.date: r for r in reports.daily_productive(
+        _activities(spark), cal, start="2024-01-06", end="2024-01-09",
+        working=((1, 2, 3, 4, 5, 6, 7), 0, 23)).collect()}
+    assert out[D(2024, 1, 8)].working_time_sec == 150
+    assert out[D(2024, 1, 7)].working_time_sec == 30
+
+
+def test_details_by_user_has_a_null_row_per_user_and_empty_day(spark):
+    cal = calmod.calendar_days(spark, "2024-01-06", "2024-01-09")
+    acts = _activities(spark).unionByName(
+        spark.createDataFrame([("v", _ms(2024, 1, 9, 10, 0), 5, "a", "c", "productive", 1)],
+                              _activities(spark).schema))
+    rows = reports.daily_productive_details(acts, cal, start="2024-01-06", end="2024-01-09",
+                                            by_user=True).collect()
+    nulls = sorted((r.user_id, r.date) for r in rows if r.time_sec is None)
+    assert nulls == [("u", D(2024, 1, 6)), ("u", D(2024, 1, 9)),
+                     ("v", D(2024, 1, 6)), ("v", D(2024, 1, 7)), ("v", D(2024, 1, 8))]

@@ -187,3 +187,44 @@ def test_details_by_user_has_a_null_row_per_user_and_empty_day(spark):
     nulls = sorted((r.user_id, r.date) for r in rows if r.time_sec is None)
     assert nulls == [("u", D(2024, 1, 6)), ("u", D(2024, 1, 9)),
                      ("v", D(2024, 1, 6)), ("v", D(2024, 1, 7)), ("v", D(2024, 1, 8))]
+
+
+def test_empty_day_results_v2_to_v5(spark):
+    """A calendar day without facts: distance and steps give 0, calories and
+    heart rate give NULL (FIXTURES §5)."""
+    ns = _ms(2024, 1, 8, 10, 0) * 1_000_000
+    rows = [("u", "s", ns, ns + 60_000_000_000, t, v, i) for t, v, i in [
+        ("com.google.step_count.delta", None, 10),
+        ("com.google.distance.delta", 2.5, None),
+        ("com.google.calories.expended", 1.5, None),
+        ("com.google.heart_rate.summary", 60.5, None)]]
+    pts = spark.createDataFrame(rows, "user_id string, dataSourceId string, startTimeNanos long,"
+                                      " endTimeNanos long, dataTypeName string,"
+                                      " value0_fpVal double, value0_intVal long")
+    cal = calmod.calendar_days(spark, "2024-01-07", "2024-01-08")
+    kw = dict(start="2024-01-07", end="2024-01-08")
+
+    def by_day(df, col):
+        return {r.date: r[col] for r in df.collect()}
+    assert by_day(reports.daily_steps(pts, cal, **kw), "step_count") == {
+        D(2024, 1, 7): 0, D(2024, 1, 8): 10}
+    assert by_day(reports.daily_distance(pts, cal, **kw), "distance") == {
+        D(2024, 1, 7): 0, D(2024, 1, 8): 3}                  # 2.5 rounds half away from zero
+    assert by_day(reports.daily_calories(pts, cal, **kw), "calrories") == {
+        D(2024, 1, 7): None, D(2024, 1, 8): 2}
+    hr = {r.date: r for r in reports.daily_heart_rate(pts, cal, **kw).collect()}
+    assert hr[D(2024, 1, 7)].avg_heart_rate is None
+    assert (hr[D(2024, 1, 8)].avg_heart_rate, hr[D(2024, 1, 8)].min_heart_rate,
+            hr[D(2024, 1, 8)].max_heart_rate) == (61, 61, 61)
+
+
+def test_text_time_parsers(spark):
+    df = spark.createDataFrame([("2020-06-06T23:59:59.99Z", "2020-05-16T09:00:00")],
+                               "a string, b string")
+    r = df.select(timez.parse_rfc3339_millis("a").alias("a"),
+                  timez.parse_local_millis("b", "Asia/Seoul").alias("b")).collect()[0]
+    assert r.a == 1591487999990
+    assert r.b == 1589587200000
+    bad = spark.createDataFrame([("nope",)], "a string") \
+        .select(timez.parse_rfc3339_millis("a").alias("a")).collect()[0]
+    assert bad.a is None

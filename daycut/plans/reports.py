@@ -254,6 +254,26 @@ def daily_productive(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
     return _ordered(out, ordered)
 
 
+def daily_productive_two_joins(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
+                               user_id=None, start=None, end=None,
+                               working=WORKING) -> DataFrame:
+    """V7 in its original shape (J3): calendar LEFT JOIN inside-hours sums
+    LEFT JOIN outside-hours sums, each from its own scan.  Kept as the
+    reference form the one-scan ``daily_productive`` is tested against."""
+    a = productive_facts(activities, tz=tz, user_id=user_id, start=start, end=end)
+    cond = labels.is_working_time("local_ts", *working)
+    inside = a.filter(cond).groupBy("date").agg(F.sum("time_spent_seconds").alias("w"))
+    outside = a.filter(~cond).groupBy("date").agg(F.sum("time_spent_seconds").alias("o"))
+    bound = _bound(start, end)
+    j = daily.dense_left(cal.select("date", "date_year_month", "dayofweek"), inside, bound)
+    j = daily.dense_left(j, outside, bound)
+    w = F.coalesce(F.col("w"), F.lit(0)).cast("long")
+    o = F.coalesce(F.col("o"), F.lit(0)).cast("long")
+    return j.select("date", "date_year_month", w.alias("working_time_sec"),
+                    o.alias("outside_working_time_sec"), (w + o).alias("total_time_sec"),
+                    "dayofweek")
+
+
 DETAIL_KEYS = ["category", "productivity", "productivity_string", "activity",
                "working_hours", "date_hour"]
 

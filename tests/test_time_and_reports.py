@@ -228,3 +228,16 @@ def test_text_time_parsers(spark):
     bad = spark.createDataFrame([("nope",)], "a string") \
         .select(timez.parse_rfc3339_millis("a").alias("a")).collect()[0]
     assert bad.a is None
+
+
+def test_one_scan_v7_equals_two_join_v7(spark):
+    """SURVEY §5 property: the rewritten V7 equals its original two-join shape
+    on the whole sf0.01 events table."""
+    from conftest import SF001
+    from daycut.plans import catalog, standins
+    acts = standins.activities_from_events(standins.read_events(spark, SF001))
+    cal = calmod.calendar_days(spark, catalog.CAL_START, catalog.CAL_END, catalog.TZ)
+    kw = dict(start=catalog.CAL_START, end=catalog.CAL_END, tz=catalog.TZ)
+    one = sorted(map(tuple, reports.daily_productive(acts, cal, ordered=False, **kw).collect()))
+    two = sorted(map(tuple, reports.daily_productive_two_joins(acts, cal, **kw).collect()))
+    assert one == two and len(one) == 43

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from daycut.functions import timez
 
 # ---- fixed values (must equal the source system's codes) -------------------
 # Productivity codes -2..2, in code order.
@@ -68,7 +67,3 @@ def working_hours_label(local_ts_col, days=WORKING_DAYS, first_hour: int = WORKI
     """Label; a NULL condition takes the 'outside' branch, like SQL IF."""
     return F.when(is_working_time(local_ts_col, days, first_hour, last_hour),
                   F.lit(WORKING_LABEL)).otherwise(F.lit(OUTSIDE_WORKING_LABEL))
-
-
-def working_hours_label_at(instant, tz="Asia/Seoul") -> Column:
-    return working_hours_label(timez.local_ts(instant, tz))

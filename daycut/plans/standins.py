@@ -35,9 +35,6 @@ EVENT_ACTIVITY_TYPES = {"click": 72, "view": 109, "purchase": 7,
                         "signup": 111, "error": 3}
 # ----------------------------------------------------------------------------
 
-EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
-
-
 def read_events(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
     """The events table.
 

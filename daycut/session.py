@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,11 +74,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/daycut-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` writes to the shared folder."""
-    root = checkpoint_root(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
-    return root

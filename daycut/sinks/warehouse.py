@@ -31,14 +31,19 @@ def clustered(df: DataFrame, cluster_by: list[str], files: int | None = None,
               time_per_hour: int | None = None, lead: list[str] | None = None) -> DataFrame:
     """Hash layout on ``lead`` + (user, hour of time), sorted by ``lead`` +
     ``cluster_by``.  ``cluster_by`` is ``[user_col, time_col]``;
-    ``time_per_hour`` is the time column's units per hour (ms: 3 600 000)."""
+    ``time_per_hour`` is the time column's units per hour (ms: 3 600 000).
+
+    Without ``files`` the partition count is left to AQE, which coalesces
+    the shuffle to its advisory partition size — files follow the data size
+    instead of a fixed count (a fixed count would also stop AQE from merging
+    small partitions)."""
     lead = lead or []
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in lead] + [F.col(cluster_by[0])]
     if len(cluster_by) > 1 and time_per_hour:
         t = F.col(cluster_by[1])
         keys += [F.floor(t / F.lit(time_per_hour)), F.pmod(t, F.lit(SALT))]
-    return df.repartition(n, *keys).sortWithinPartitions(*lead, *cluster_by)
+    out = df.repartition(files, *keys) if files else df.repartition(*keys)
+    return out.sortWithinPartitions(*lead, *cluster_by)
 
 
 def load_partition(df: DataFrame, table: str, day, *, cluster_by: list[str] | None = None,

@@ -45,7 +45,7 @@ def q_calendar_days(spark, sf_dir):
     """V1 over the local days the events span (the run date's 'yesterday')."""
     ev = _prep(spark, sf_dir)
     dates = ev.select(timez.local_date(timez.ntz_to_instant("ts"), TZ).alias("date"))
-    return reports._ordered(calmod.calendar_over(dates, "date", TZ), True)
+    return reports.newest_first(calmod.calendar_over(dates, "date", TZ), True)
 
 
 def q_daily_steps(spark, sf_dir):

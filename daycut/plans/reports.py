@@ -59,7 +59,7 @@ def _user(df: DataFrame, user_id) -> DataFrame:
     return df if user_id is None else df.filter(F.col("user_id") == F.lit(user_id))
 
 
-def _ordered(df: DataFrame, ordered: bool, bounded: bool = True) -> DataFrame:
+def newest_first(df: DataFrame, ordered: bool, bounded: bool = True) -> DataFrame:
     """Newest day first (per user for per-user reports).  Outputs bounded by
     the calendar (one row per day) are sorted in one partition — no
     range-partitioning sample job; outputs that grow with the facts or the
@@ -94,7 +94,7 @@ def _users(df: DataFrame, user_id) -> DataFrame:
 
 def calendar_report(spark, start=calmod.DEFAULT_START, end=None, tz: str = TZ,
                     ordered: bool = True) -> DataFrame:
-    return _ordered(calmod.calendar_days(spark, start, end, tz), ordered)
+    return newest_first(calmod.calendar_days(spark, start, end, tz), ordered)
 
 
 # ---- V2–V5: one metric of the points table per day ---------------------------
@@ -127,7 +127,7 @@ def daily_metric(points: DataFrame, cal: DataFrame, *, data_type: str, aggs: dic
     joined = _densify(cal.select("date", "date_year_month"), per_day, start, end, by_user,
                       _users(points, user_id) if by_user else None)
     out = joined.select(*keys, "date_year_month", *[e.alias(n) for n, e in finish.items()])
-    return _ordered(out, ordered)
+    return newest_first(out, ordered)
 
 
 def daily_steps(points, cal, *, data_type=standins.STEP_TYPE, **kw) -> DataFrame:
@@ -210,7 +210,7 @@ def daily_sleep(sessions: DataFrame, cal: DataFrame, *, tz: str = TZ, user_id=No
         F.max(F.col("ms").cast("double") / F.lit(3_600_000)).alias("sleep_hour"))
     out = _densify(cal.select("date", "date_year_month"), per_day, start, end, by_user,
                    _users(sessions, user_id) if by_user else None)
-    return _ordered(out.select(*keys, "date_year_month", "sleep_sec", "sleep_hour"),
+    return newest_first(out.select(*keys, "date_year_month", "sleep_sec", "sleep_hour"),
                     ordered)
 
 
@@ -251,7 +251,7 @@ def daily_productive(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
     out = j.select(*keys, "date_year_month", w.alias("working_time_sec"),
                    o.alias("outside_working_time_sec"), (w + o).alias("total_time_sec"),
                    "dayofweek")
-    return _ordered(out, ordered)
+    return newest_first(out, ordered)
 
 
 def daily_productive_two_joins(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
@@ -307,7 +307,7 @@ def daily_productive_details(activities: DataFrame, cal: DataFrame, *, tz: str =
     out = j.select(*keys[:-1], "date", "date_year_month", "category", "productivity",
                    "productivity_string", "activity", "time_sec", "working_hours",
                    "date_hour", "dayofweek")
-    return _ordered(out, ordered, bounded=False)
+    return newest_first(out, ordered, bounded=False)
 
 
 # ---- S11: 30-minute buckets of points ------------------------------------------

@@ -234,3 +234,33 @@ def test_matrix_calendar_day_window_on_dst_change(spark):
     local = landing.parse_matrix(docs, fixed_day=False, **kw).collect()
     assert len(fixed) == 2
     assert [r.fields["date"] for r in local] == ["2024-03-10T23:30:00"]
+
+
+def test_views_over_loaded_tables(spark, tmpdir_path):
+    """Load a day, register the report views and query them with SQL."""
+    from daycut.plans import views
+    root = os.path.join(tmpdir_path, "lake")
+    day = "2024-01-09"
+    pts = [{"user_id": "u1", "dataSourceId": "d", "startTimeNanos": "1704790800000000000",
+            "endTimeNanos": "1704790860000000000",
+            "dataTypeName": "com.google.step_count.delta", "value": [{"intVal": 42}]}]
+    tt = [{"user_id": "u1", "date_timestamp_millis": "1704790800000",
+           "time_spent_(seconds)": "60", "productivity": "2"}]
+    lines = spark.createDataFrame(
+        [(day, "aggregated-datasets", json.dumps(x)) for x in pts]
+        + [(day, "time-tracking", json.dumps(x)) for x in tt],
+        "day string, dataset string, value string").withColumn("day", F.col("day").cast("date"))
+    lake.write_sharded_jsonl(lines, root)
+    tables = {k: os.path.join(tmpdir_path, k) for k in ("points", "sessions", "time_tracking")}
+    w = jobs.day_window(day)
+    jobs.job_load_fitness(spark, root, tables["points"], tables["sessions"], w)
+    jobs.job_load_time_tracking(spark, root, tables["time_tracking"], w)
+    names = views.register_views(spark, tables, start="2024-01-08", end="2024-01-10",
+                                 prefix="t_")
+    assert set(names) == {"t_" + n for n in views.VIEW_NAMES}
+    steps = {r.date.isoformat(): r.step_count for r in
+             spark.sql("SELECT date, step_count FROM t_daily_steps").collect()}
+    assert steps == {"2024-01-08": 0, "2024-01-09": 42, "2024-01-10": 0}
+    prod = spark.sql("SELECT * FROM t_daily_productive WHERE date = '2024-01-09'").collect()
+    assert prod[0].working_time_sec == 60                 # 18:00 Seoul on a Tuesday
+    assert spark.sql("SELECT count(*) AS n FROM t_calendar_days").collect()[0].n == 3

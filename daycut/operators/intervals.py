@@ -40,7 +40,12 @@ def clip_intervals(df: DataFrame, start: str, end: str, lo, hi) -> DataFrame:
 
 def split_intervals(df: DataFrame, start: str, end: str, step: int = STEP_MS,
                     drop_empty: bool = False, drop_inverted: bool = False) -> DataFrame:
-    """One row per piece; all other columns are copied to every piece."""
+    """One row per piece; all other columns are copied to every piece.
+
+    Run it after ``clip_intervals`` (as the load jobs do): the clip bounds
+    the pieces per row by the window length (49 for a day), so a corrupt
+    multi-year session cannot blow up one task.
+    """
     s, e = F.col(start), F.col(end)
     long_ = (e - s) > F.lit(step)
     piece = F.explode(F.when(long_, F.sequence(s, e, F.lit(step).cast("long")))

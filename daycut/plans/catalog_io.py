@@ -100,11 +100,11 @@ def q_parse_matrix(spark, sf_dir):
     """S6 + P8 + P11 + B2 rows: header/rows answers in the user's zone, each
     landed for the two UTC days its local day touches; every row is kept on
     exactly one of them."""
-    docs = landed.matrix_documents(_events(spark, sf_dir))
+    docs = landing.envelopes_from_text(landed.matrix_documents(_events(spark, sf_dir)),
+                                       landing.MATRIX_ENVELOPE, keep=["user_id", "local_day"])
+    # each parsed answer is landed for both UTC days its local day touches
     docs = docs.select("*", F.explode(F.array(F.date_sub("local_day", 1), F.col("local_day")))
                        .alias("out_day"))
-    docs = landing.envelopes_from_text(docs, landing.MATRIX_ENVELOPE,
-                                       keep=["user_id", "out_day"])
     parsed = landing.parse_matrix(docs, load_tz=landed.LOAD_TZ, output_date=F.col("out_day"),
                                   output_tz="UTC", user_col="user_id")
     good = parsed.filter(F.col(landing.REASON).isNull())

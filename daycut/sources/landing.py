@@ -187,15 +187,18 @@ def parse_matrix(docs: DataFrame, *, load_tz, output_date, output_tz="UTC",
         .when(F.size(F.array_distinct("names")) != F.size("names"),
               F.lit("duplicate header names")) \
         .when(F.size("r") > F.size("names"), F.lit("row longer than header"))
-    rows = rows.select("user_id", "lo", "hi", F.when(doc_bad.isNull(), fields).alias("fields"),
-                       doc_bad.alias("doc_bad"), F.to_json("r").alias("_line"))
+    rows = rows.select("user_id", "lo", "hi", "r",
+                       F.when(doc_bad.isNull(), fields).alias("fields"),
+                       doc_bad.alias("doc_bad"))
     ms = timez.parse_local_millis(F.col("fields")[date_key], load_tz)
     rows = rows.withColumn("ms", ms)
     reason = F.coalesce(F.col("doc_bad"),
                         F.when(F.col("ms").isNull(), F.lit("unparsable date")))
     keep = reason.isNotNull() | ((F.col("ms") >= F.col("lo")) & (F.col("ms") < F.col("hi")))
-    rows = computed(rows, [F.col(c) for c in rows.columns]
-                    + [reason.alias(REASON), keep.alias("__keep")])
+    # the row's text is kept for rejects only
+    rows = computed(rows, [F.col(c) for c in rows.columns if c != "r"]
+                    + [reason.alias(REASON), keep.alias("__keep"),
+                       F.when(reason.isNotNull(), F.to_json("r")).alias("_line")])
     rows = rows.filter(F.col("__keep"))
     return rows.select(
         "user_id",

@@ -15,7 +15,14 @@ Two parse modes:
   the driver from the schema, so the select is static;
 * no ``input_schema`` (flat lines): ``from_json`` to ``map<string,string>``;
   each target name takes the last entry whose normalised key equals it.  This
-  mode also tells a JSON ``null`` from an absent key.
+  mode accepts any key spelling, but its per-key lambdas are interpreted
+  (about 5× the cost of the declared mode).
+
+Key presence (a JSON ``null`` is not an absent key) is available in both
+modes: with ``input_schema`` the ``presence`` fields are parsed as VARIANT,
+which is SQL NULL only when the key is absent.  In the declared mode, when
+two declared keys normalise to the same name, the later one in the schema
+that is set in the line wins.
 
 A line that is not a JSON object, or whose present value does not convert to
 the target type, is a reject: rows come back with ``_reject_reason`` set and
@@ -123,16 +130,27 @@ def flatten_project(lines: DataFrame, target: T.StructType, *,
     line = F.col(text_col)
     raw: dict[str, Column] = {}
     if input_schema is not None:
-        parse = T.StructType(list(_as_text(input_schema).fields)
-                             + [T.StructField(CORRUPT, T.StringType(), True)])
+        presence_set = set(presence or [])
+        parse = T.StructType(
+            [T.StructField(f.name, T.VariantType() if f.name in presence_set
+                           else _as_text(f.dataType), True) for f in input_schema.fields]
+            + [T.StructField(CORRUPT, T.StringType(), True)])
         base = lines.select(*keep, line.alias(LINE),
                             F.from_json(line, parse).alias("__j"))
         leaves: list = []
-        _leaves(input_schema, None, "", wanted, drop_chars, leaves)
-        for name, col in leaves:          # later leaves overwrite earlier ones
-            raw[name] = col
-        bad_line = F.col("__j").isNull() | F.col(f"__j.{CORRUPT}").isNotNull()
         present = {}
+        for f in input_schema.fields:     # in schema order: later leaves win
+            if f.name in presence_set:
+                v = F.col(f"__j.`{f.name}`")
+                leaves.append((normalise(f.name, drop_chars),
+                               F.try_variant_get(v, "$", "string")))
+                present[normalise(f.name, drop_chars)] = v.isNotNull()
+            else:
+                _leaves(T.StructType([f]), None, "", wanted, drop_chars, leaves)
+        for name, col in leaves:
+            # several declared keys with one name: the last one that is set wins
+            raw[name] = F.coalesce(col, raw[name]) if name in raw else col
+        bad_line = F.col("__j").isNull() | F.col(f"__j.{CORRUPT}").isNotNull()
     else:
         parsed = F.from_json(line, "map<string,string>")
         base = lines.select(*keep, line.alias(LINE), parsed.isNull().alias("__bad"),

@@ -33,6 +33,14 @@ SESSION_LINE = T.StructType(
     list(landing.SESSIONS_ENVELOPE["session"].dataType.elementType.fields)
     + [T.StructField("user_id", S), T.StructField("activityType_String", S)])
 
+# Keys of a time-tracking lake line: user, the parsed time, and the export's
+# headers after lower-casing and blanks → "_" (both spellings of the seconds
+# column normalise to time_spent_seconds; the later one wins).
+TIME_TRACKING_LINE = T.StructType([T.StructField(n, S) for n in (
+    "user_id", "date", "date_timestamp_millis", "time_spent_(seconds)",
+    "time_spent_seconds", "number_of_people", "activity", "category",
+    "productivity_string", "productivity")])
+
 DATASETS = {"points": "aggregated-datasets", "sessions": "sessions",
             "time_tracking": "time-tracking", "datasources": "datasources",
             "raw_points": "datasets"}
@@ -83,9 +91,18 @@ def session_rows(lines: DataFrame, lo=None, hi=None,
         rejects
 
 
-def time_tracking_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """B2: flat lines; ``(`` ``)`` dropped from names; productivity rule."""
+def time_tracking_rows(lines: DataFrame, line_schema: T.StructType | None = None,
+                       any_key_spelling: bool = False) -> tuple[DataFrame, DataFrame]:
+    """B2: flat lines; ``(`` ``)`` dropped from names; productivity rule.
+
+    Lines are parsed with the declared line schema (the keys the landing
+    writes, both spellings of the seconds key); ``any_key_spelling`` switches
+    to the generic map parse that accepts every key normalising to a column
+    name, at about five times the parse cost.
+    """
     rows = flatten.flatten_project(lines, schema.TIME_TRACKING,
+                                   input_schema=None if any_key_spelling
+                                   else (line_schema or TIME_TRACKING_LINE),
                                    drop_chars=flatten.BRACKETS_AND_PARENS,
                                    keep=_keep(lines), presence=["productivity"])
     rows = flatten.apply_productivity(rows)

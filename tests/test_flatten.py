@@ -59,6 +59,8 @@ def test_bad_lines_rejected(spark):
            json.dumps({**base, "productivity": "1.5"}),
            json.dumps({**base, "time_spent_(seconds)": "abc"})]
     good, rejects = jobs.time_tracking_rows(_lines(spark, bad))
+    g2, r2 = jobs.time_tracking_rows(_lines(spark, bad), any_key_spelling=True)
+    assert g2.count() == 0 and r2.count() == len(bad)
     assert good.count() == 0
     reasons = [r.reason for r in rejects.collect()]
     assert len(reasons) == len(bad) and all(reasons)
@@ -76,8 +78,9 @@ def test_edge_lines_kept(spark):
 
 def test_last_write_wins_on_equal_names(spark):
     line = '{"time_spent_(seconds)": "1", "time_spent_seconds": "2"}'
-    good, _ = jobs.time_tracking_rows(_lines(spark, [line]))
-    assert good.collect()[0].time_spent_seconds == 2
+    for generic in (False, True):
+        good, _ = jobs.time_tracking_rows(_lines(spark, [line]), any_key_spelling=generic)
+        assert good.collect()[0].time_spent_seconds == 2
 
 
 @pytest.mark.parametrize("name,drop,want", [
@@ -100,3 +103,16 @@ def test_schema_file_roundtrip(tmp_path):
     bad.write_text("{not json")
     with pytest.raises(schema.SchemaError):
         schema.load_schema(str(bad))
+
+
+def test_declared_and_generic_time_tracking_agree(spark):
+    lines = [json.dumps(o) for o in (
+        {"user_id": "u", "time_spent_(seconds)": "5", "productivity": 1},
+        {"user_id": "u", "time_spent_seconds": "6", "productivity": None},
+        {"user_id": "u", "activity": "x"},
+        {"user_id": "u", "productivity": "2", "category": "c", "date": "2024-01-01T00:00:00"})]
+    a, ra = jobs.time_tracking_rows(_lines(spark, lines))
+    b, rb = jobs.time_tracking_rows(_lines(spark, lines), any_key_spelling=True)
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert sorted(r.reason for r in ra.collect()) == sorted(r.reason for r in rb.collect()) \
+        == ["bad productivity code"]

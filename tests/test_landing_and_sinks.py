@@ -13,8 +13,8 @@ from daycut.sources import landing
 def test_matrix_fixture(spark):
     doc = {"row_headers": ["Date", "Time Spent (seconds)", "Activity", "Category",
                            "Productivity"],
-           "rows": [["2020-05-16T08:00:00", "120", "editor", "Dev", "2"],
-                    ["2020-05-16T09:00:00", "60", "mail", "Mail", "-1"]]}
+           "rows": [["2020-05-16T08:00:00", 120, "editor", "Dev", 2],
+                    ["2020-05-16T09:00:00", 60, "mail", "Mail", -1]]}   # numbers as numbers
     docs = landing.envelopes_from_text(spark.createDataFrame([(json.dumps(doc),)], "value string"),
                                        landing.MATRIX_ENVELOPE)
     out = landing.parse_matrix(docs, load_tz="Asia/Seoul", output_date="2020-05-16",
@@ -23,6 +23,7 @@ def test_matrix_fixture(spark):
     f = out[0].fields
     assert f["date_timestamp_millis"] == "1589587200000"
     assert f["time_spent_(seconds)"] == "60" and f["date"] == "2020-05-16T09:00:00"
+    assert f["productivity"] == "-1"
 
 
 def test_matrix_rejects(spark):

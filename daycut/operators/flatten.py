@@ -90,12 +90,10 @@ def _leaves(dt: T.DataType, col: Column, path: str, wanted: set[str], drop_chars
 
 
 def _typed(raw: Column, dt: T.DataType) -> Column:
-    if isinstance(dt, T.StringType):
-        return raw
-    if isinstance(dt, (T.LongType, T.IntegerType)):
-        # integers only: "1.5" or "1e3" do not silently become integers
-        return F.when(raw.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(raw).try_cast(dt))
-    return raw.try_cast(dt)
+    # try_cast follows ANSI rules: "1.5", "1e3", "0x10" or an overflow give
+    # NULL for integer types (no silent truncation); blanks around digits
+    # and a sign are accepted
+    return raw if isinstance(dt, T.StringType) else raw.try_cast(dt)
 
 
 def _norm_key(k: Column, drop_chars: str) -> Column:
@@ -192,9 +190,10 @@ def apply_productivity(rows: DataFrame, has_col: str = "_has_productivity",
     reason = F.coalesce(F.col(REASON), F.when(bad, F.lit("bad productivity code")))
     label = F.when(has, labels.productivity_label(code)).otherwise(F.col("productivity_string")) \
         if "productivity_string" in rows.columns else labels.productivity_label(code)
+    # cheap expressions over already computed columns: a plain projection
     out = [label.alias("productivity_string") if c == "productivity_string"
            else reason.alias(REASON) if c == REASON else F.col(c) for c in rows.columns]
-    return computed(rows, out)
+    return rows.select(*out)
 
 
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

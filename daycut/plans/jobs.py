@@ -241,3 +241,28 @@ def job_land_time_tracking(spark: SparkSession, docs_path: str, lake_root: str,
         F.lit(DATASETS["time_tracking"]).alias("dataset"), "value")
     lake.write_sharded_jsonl(lines, lake_root, shards=shards, by=by)
     return parsed.filter(F.col(landing.REASON).isNotNull())
+
+
+def job_land_time_tracking_users(spark: SparkSession, docs_root: str, lake_root: str, day,
+                                 user_zones: DataFrame, output_tz: str = "UTC",
+                                 shards: int | None = None) -> DataFrame:
+    """B3 for many users in one job: saved answers under
+    ``<docs_root>/user=<id>/…`` → rows of UTC ``day`` → lake (day, dataset).
+
+    Each user's export is read in that user's zone, taken from
+    ``user_zones(user_id, tz)`` — a join on ``user_id`` with one row per
+    answer document on the left, so its size follows the number of
+    documents, not rows.  Returns the rejected rows (unknown users included).
+    """
+    docs = landing.read_envelopes(spark, docs_root, landing.MATRIX_ENVELOPE)
+    docs = docs.withColumn("user_id", landing.user_from_path())
+    docs, bad_docs = landing.split_documents(docs, ["row_headers", "rows"])
+    docs = docs.join(user_zones.select("user_id", F.col("tz").alias("__tz")), "user_id", "left")
+    parsed = landing.parse_matrix(docs, load_tz=F.col("__tz"), output_date=day,
+                                  output_tz=output_tz, user_col="user_id")
+    good = parsed.filter(F.col(landing.REASON).isNull())
+    lines = landing.matrix_row_json(good).select(
+        F.lit(timez.to_date_value(day)).alias("day"),
+        F.lit(DATASETS["time_tracking"]).alias("dataset"), "value")
+    lake.write_sharded_jsonl(lines, lake_root, shards=shards)
+    return parsed.filter(F.col(landing.REASON).isNotNull())

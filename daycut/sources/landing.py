@@ -68,6 +68,11 @@ def read_envelopes(spark: SparkSession, path: str, schema: T.StructType) -> Data
             .withColumn("_file", F.col("_metadata.file_path")))
 
 
+def user_from_path(path_col: str = "_file", key: str = "user") -> Column:
+    """User id from a ``…/<key>=<id>/…`` folder of the file path."""
+    return F.regexp_extract(F.col(path_col), f"/{key}=([^/]+)/", 1)
+
+
 def envelopes_from_text(df: DataFrame, schema: T.StructType, text_col: str = "value",
                         keep: list[str] | None = None) -> DataFrame:
     """Documents held as text in a column → parsed envelope columns."""
@@ -178,8 +183,9 @@ def parse_matrix(docs: DataFrame, *, load_tz, output_date, output_tz="UTC",
     day_start = F.unix_millis(F.to_utc_timestamp(out_date.cast("timestamp"), tz_out))
     day_end = day_start + F.lit(timez.MILLIS_PER_DAY) if fixed_day else F.unix_millis(
         F.to_utc_timestamp(F.date_add(out_date, 1).cast("timestamp"), tz_out))
+    zone = load_tz if isinstance(load_tz, Column) else F.lit(load_tz)
     rows = docs.select(_user(user_id, user_col).alias("user_id"), names.alias("names"),
-                       day_start.alias("lo"), day_end.alias("hi"),
+                       day_start.alias("lo"), day_end.alias("hi"), zone.alias("__zone"),
                        F.explode("rows").alias("r"))
     zipped = F.arrays_zip(F.slice(F.col("names"), 1, F.size("r")), F.col("r"))
     fields = F.map_from_entries(zipped)
@@ -187,10 +193,10 @@ def parse_matrix(docs: DataFrame, *, load_tz, output_date, output_tz="UTC",
         .when(F.size(F.array_distinct("names")) != F.size("names"),
               F.lit("duplicate header names")) \
         .when(F.size("r") > F.size("names"), F.lit("row longer than header"))
-    rows = rows.select("user_id", "lo", "hi", "r",
+    rows = rows.select("user_id", "lo", "hi", "r", "__zone",
                        F.when(doc_bad.isNull(), fields).alias("fields"),
                        doc_bad.alias("doc_bad"))
-    ms = timez.parse_local_millis(F.col("fields")[date_key], load_tz)
+    ms = timez.parse_local_millis(F.col("fields")[date_key], F.col("__zone"))
     rows = rows.withColumn("ms", ms)
     reason = F.coalesce(F.col("doc_bad"),
                         F.when(F.col("ms").isNull(), F.lit("unparsable date")))

@@ -265,3 +265,25 @@ def test_views_over_loaded_tables(spark, tmpdir_path):
     prod = spark.sql("SELECT * FROM t_daily_productive WHERE date = '2024-01-09'").collect()
     assert prod[0].working_time_sec == 60                 # 18:00 Seoul on a Tuesday
     assert spark.sql("SELECT count(*) AS n FROM t_calendar_days").collect()[0].n == 3
+
+
+def test_land_many_users_with_their_zones(spark, tmpdir_path):
+    docs_root = os.path.join(tmpdir_path, "answers")
+    for user, rows in (("u1", [["2024-01-09T10:00:00", 60, "a", "c", 1]]),
+                       ("u2", [["2024-01-09T10:00:00", 30, "b", "c", 2]]),
+                       ("u3", [["2024-01-09T10:00:00", 5, "x", "c", 0]])):
+        d = os.path.join(docs_root, f"user={user}")
+        os.makedirs(d)
+        with open(os.path.join(d, "a.json"), "w") as fh:
+            json.dump({"row_headers": ["Date", "Time Spent (seconds)", "Activity",
+                                       "Category", "Productivity"], "rows": rows}, fh)
+    zones = spark.createDataFrame([("u1", "Asia/Seoul"), ("u2", "America/New_York")],
+                                  "user_id string, tz string")
+    root = os.path.join(tmpdir_path, "lake")
+    rejected = jobs.job_land_time_tracking_users(spark, docs_root, root, "2024-01-09", zones)
+    tt, _ = jobs.time_tracking_rows(lake.scan_jsonl(spark, root, day="2024-01-09",
+                                                    dataset="time-tracking"))
+    got = {r.user_id: r.date_timestamp_millis for r in tt.collect()}
+    # 10:00 in Seoul is 01:00 UTC; 10:00 in New York is 15:00 UTC
+    assert got == {"u1": 1704762000000, "u2": 1704812400000}
+    assert [r.user_id for r in rejected.collect()] == ["u3"]    # no zone → unparsable

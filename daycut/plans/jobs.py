@@ -266,3 +266,20 @@ def job_land_time_tracking_users(spark: SparkSession, docs_root: str, lake_root:
         F.lit(DATASETS["time_tracking"]).alias("dataset"), "value")
     lake.write_sharded_jsonl(lines, lake_root, shards=shards)
     return parsed.filter(F.col(landing.REASON).isNotNull())
+
+
+def job_land_fitness_users(spark: SparkSession, sessions_root: str, aggregated_root: str,
+                           lake_root: str, day, shards: int | None = None) -> None:
+    """B3 for many users in one job: session and aggregate answers under
+    ``<root>/user=<id>/…`` → lake (day, dataset), user from the folder."""
+    d = timez.to_date_value(day)
+    for root, envelope, required, parse, dataset in (
+            (sessions_root, landing.SESSIONS_ENVELOPE, ["session"], landing.parse_sessions,
+             DATASETS["sessions"]),
+            (aggregated_root, landing.AGGREGATED_ENVELOPE, ["bucket"],
+             landing.parse_aggregated, DATASETS["points"])):
+        docs = landing.read_envelopes(spark, root, envelope) \
+            .withColumn("__user", landing.user_from_path())
+        docs, _ = landing.split_documents(docs, required)
+        rows = parse(docs, user_col="__user").withColumn("day", F.lit(d))
+        land_documents(rows, lake_root, dataset, shards=shards)

@@ -287,3 +287,27 @@ def test_land_many_users_with_their_zones(spark, tmpdir_path):
     # 10:00 in Seoul is 01:00 UTC; 10:00 in New York is 15:00 UTC
     assert got == {"u1": 1704762000000, "u2": 1704812400000}
     assert [r.user_id for r in rejected.collect()] == ["u3"]    # no zone → unparsable
+
+
+def test_land_fitness_many_users(spark, tmpdir_path):
+    ses_root = os.path.join(tmpdir_path, "ses")
+    agg_root = os.path.join(tmpdir_path, "agg")
+    for user in ("u1", "u2"):
+        for root, doc in ((ses_root, {"session": [{"id": f"s-{user}", "startTimeMillis": "1",
+                                                   "endTimeMillis": "2", "activityType": 72}]}),
+                          (agg_root, {"bucket": [{"startTimeMillis": "0",
+                                                  "endTimeMillis": "1800000",
+                                                  "dataset": [{"dataSourceId": "d", "point": [
+                                                      {"startTimeNanos": "1",
+                                                       "endTimeNanos": "2",
+                                                       "dataTypeName": "t",
+                                                       "value": [{"intVal": 1}]}]}]}]})):
+            os.makedirs(os.path.join(root, f"user={user}"), exist_ok=True)
+            with open(os.path.join(root, f"user={user}", "a.json"), "w") as fh:
+                json.dump(doc, fh)
+    root = os.path.join(tmpdir_path, "lake")
+    jobs.job_land_fitness_users(spark, ses_root, agg_root, root, "2024-01-09")
+    ses, _ = jobs.session_rows(lake.scan_jsonl(spark, root, dataset="sessions"))
+    assert sorted((r.user_id, r.id) for r in ses.collect()) == [("u1", "s-u1"), ("u2", "s-u2")]
+    pts, _ = jobs.point_rows(lake.scan_jsonl(spark, root, dataset="aggregated-datasets"))
+    assert sorted(r.user_id for r in pts.collect()) == ["u1", "u2"]

@@ -27,21 +27,27 @@ def lake_schema(by=PREFIX_COLS) -> T.StructType:
 
 def write_sharded_jsonl(lines: DataFrame, root: str, shards: int | None = None,
                         line_col: str = "value", by=PREFIX_COLS) -> None:
-    """Write JSON text lines into at most ``shards`` files per prefix.
+    """Write JSON text lines, one folder per prefix, replacing the prefixes.
 
-    Rows are spread over shards by a hash of the line itself, so a retried
-    task produces the same split, and a prefix is written by ``shards`` tasks
-    instead of one.  ``shards`` defaults to ``spark.sql.shuffle.partitions``
-    (sized to the data), since a (day, dataset) prefix holds every user's
-    lines; a single-user run can keep a small fixed number such as 3.  Lines
-    are written as they are (LF ends).
+    Without ``shards`` the rows are rebalanced on the prefix columns: AQE
+    splits a prefix larger than the advisory partition size over several
+    tasks (a day holding a third of all lines is written by many tasks, one
+    file each) and merges small prefixes, so files follow the data size.
+    With ``shards`` (e.g. 3 for a one-user run) rows are spread over that
+    many hash shards of the line text — deterministic on retry — and a prefix
+    gets at most ``shards`` files (fewer when two shards share a partition).  Lines are written as they are
+    (LF ends).
     """
     by = list(by)
-    if not shards:
-        shards = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shard = F.pmod(F.xxhash64(F.col(line_col)), F.lit(shards))
-    (lines.select(*[F.col(c) for c in by], F.col(line_col).alias("value"))
-     .repartition(*[F.col(c) for c in by], shard)
+    out = lines.select(*[F.col(c) for c in by], F.col(line_col).alias("value"))
+    if shards:
+        # an explicit partition count: AQE must not merge the shards again
+        n = max(shards, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        shard = F.pmod(F.xxhash64(F.col("value")), F.lit(shards))
+        out = out.repartition(n, *[F.col(c) for c in by], shard)
+    else:
+        out = out.hint("rebalance", *by)
+    (out
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by)

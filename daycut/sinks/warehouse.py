@@ -33,17 +33,24 @@ def clustered(df: DataFrame, cluster_by: list[str], files: int | None = None,
     ``cluster_by``.  ``cluster_by`` is ``[user_col, time_col]``;
     ``time_per_hour`` is the time column's units per hour (ms: 3 600 000).
 
-    Without ``files`` the partition count is left to AQE, which coalesces
-    the shuffle to its advisory partition size — files follow the data size
-    instead of a fixed count (a fixed count would also stop AQE from merging
-    small partitions)."""
+    Without ``files`` the rows are rebalanced: AQE merges small partitions
+    and splits ones above the advisory size, so files follow the data size
+    (a fixed count would stop AQE from merging or splitting)."""
     lead = lead or []
-    keys = [F.col(c) for c in lead] + [F.col(cluster_by[0])]
+    keys = list(lead) + [cluster_by[0]]
+    extra = []
     if len(cluster_by) > 1 and time_per_hour:
         t = F.col(cluster_by[1])
-        keys += [F.floor(t / F.lit(time_per_hour)), F.pmod(t, F.lit(SALT))]
-    out = df.repartition(files, *keys) if files else df.repartition(*keys)
-    return out.sortWithinPartitions(*lead, *cluster_by)
+        df = df.withColumn("__hour", F.floor(t / F.lit(time_per_hour))) \
+               .withColumn("__salt", F.pmod(t, F.lit(SALT)))
+        extra = ["__hour", "__salt"]
+    if files:
+        out = df.repartition(files, *keys, *extra)
+    else:
+        # AQE merges small partitions and splits ones above the advisory size
+        out = df.hint("rebalance", *keys, *extra)
+    out = out.sortWithinPartitions(*lead, *cluster_by)
+    return out.drop(*extra) if extra else out
 
 
 def load_partition(df: DataFrame, table: str, day, *, cluster_by: list[str] | None = None,

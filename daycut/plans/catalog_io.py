@@ -277,6 +277,7 @@ TRACKING_SQL = """
          CAST({code} AS BIGINT) AS productivity{extra}
   FROM events"""
 
+DAY_START_MS = "(epoch_us(CAST(day AS TIMESTAMP)) // 1000)"
 BUCKET_START = "CAST(floor(round(startTimeNanos / 1000000) / 1800000) AS BIGINT) * 1800000"
 
 ORACLE = {
@@ -314,9 +315,8 @@ FROM pieces""",
         extra=",\n         CAST(ts AS DATE) AS day")
     + " WHERE event_id % 7 - 3 BETWEEN -2 AND 2",
     "load_fitness_sessions": f"""WITH {DELIVERED_SQL},
-{split_sql("delivered", "epoch_ms(day)", "epoch_ms(day) + 86400000")}
-SELECT {_cols(SESSION_COLS)}, day FROM pieces""".replace(
-        "epoch_ms(day)", "(epoch_us(CAST(day AS TIMESTAMP)) // 1000)"),
+{split_sql("delivered", DAY_START_MS, DAY_START_MS + " + 86400000")}
+SELECT {_cols(SESSION_COLS)}, day FROM pieces""",
     "load_fitness_points": f"""SELECT {_cols(POINT_COLS)},
        CAST(epoch_ms(CAST(round(startTimeNanos / 1000000) AS BIGINT)) AS DATE) AS day
 FROM ({standins.ORACLE_POINTS})""",

@@ -1 +1 @@
-"""."""
+"""Inputs: landing envelopes, declared schemas and the calendar dimension."""

@@ -265,6 +265,12 @@ def test_views_over_loaded_tables(spark, tmpdir_path):
     prod = spark.sql("SELECT * FROM t_daily_productive WHERE date = '2024-01-09'").collect()
     assert prod[0].working_time_sec == 60                 # 18:00 Seoul on a Tuesday
     assert spark.sql("SELECT count(*) AS n FROM t_calendar_days").collect()[0].n == 3
+    # per-user views: one dense series per user of each table
+    views.register_views(spark, tables, start="2024-01-08", end="2024-01-10",
+                         by_user=True, prefix="pu_")
+    per_user = spark.sql("SELECT user_id, date, step_count FROM pu_daily_steps").collect()
+    assert sorted((r.user_id, r.date.isoformat(), r.step_count) for r in per_user) == [
+        ("u1", "2024-01-08", 0), ("u1", "2024-01-09", 42), ("u1", "2024-01-10", 0)]
 
 
 def test_land_many_users_with_their_zones(spark, tmpdir_path):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from daycut.functions import labels, timez
 from daycut.operators import daily
 from daycut.plans import standins
+from daycut.session import checkpointed
 from daycut.sources import calendar as calmod
 
 TZ = "Asia/Seoul"
@@ -282,10 +283,14 @@ def daily_productive_details(activities: DataFrame, cal: DataFrame, *, tz: str =
                              user_id=None, start=None, end=None,
                              day_col: str | None = None,
                              ordered: bool = True, by_user: bool = False,
-                             working=WORKING) -> DataFrame:
+                             working=WORKING, materialize: bool = False) -> DataFrame:
     """V8: seconds per day × category × productivity × activity × hour.
 
     Days without facts give one row of NULL facts (per user with ``by_user``).
+    Finding those days costs a second, date-only scan of the facts; with
+    ``materialize`` the grouped facts are checkpointed once into the shared
+    checkpoint folder instead and both branches read them (one scan of the
+    facts, one write and two reads of the much smaller aggregate).
     """
     a = productive_facts(activities, tz=tz, user_id=user_id, start=start, end=end,
                          day_col=day_col)
@@ -297,6 +302,8 @@ def daily_productive_details(activities: DataFrame, cal: DataFrame, *, tz: str =
     keys = ["user_id", "date"] if by_user else ["date"]
     detail = a.groupBy(*keys, *DETAIL_KEYS).agg(
         F.sum("time_spent_seconds").alias("time_sec"))
+    if materialize:
+        detail = checkpointed(detail)
     cal_cols = cal.select("date", "date_year_month", "dayofweek")
     if by_user:
         _require_range(start, end)

@@ -74,3 +74,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/daycut-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpointed(df):
+    """``df.checkpoint()`` into the shared folder named by
+    ``spark.checkpoint.dir`` (reliable: survives executor loss, cuts lineage)."""
+    spark = df.sparkSession
+    root = checkpoint_root(spark).rstrip("/")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(f"{root}/daycut-rdd")
+    return df.checkpoint(eager=True)

@@ -241,3 +241,18 @@ def test_one_scan_v7_equals_two_join_v7(spark):
     one = sorted(map(tuple, reports.daily_productive(acts, cal, ordered=False, **kw).collect()))
     two = sorted(map(tuple, reports.daily_productive_two_joins(acts, cal, **kw).collect()))
     assert one == two and len(one) == 43
+
+
+def test_details_materialized_equals_rescan(spark):
+    """V8 with the grouped facts checkpointed gives the same rows, and the
+    facts are scanned once."""
+    from conftest import SF001
+    from daycut.plans import catalog, standins
+    acts = standins.activities_from_events(standins.read_events(spark, SF001))
+    cal = calmod.calendar_days(spark, catalog.CAL_START, catalog.CAL_END, catalog.TZ)
+    kw = dict(start=catalog.CAL_START, end=catalog.CAL_END, tz=catalog.TZ, ordered=False)
+    a = reports.daily_productive_details(acts, cal, **kw)
+    b = reports.daily_productive_details(acts, cal, materialize=True, **kw)
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan          # both branches read the checkpoint

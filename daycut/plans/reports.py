@@ -5,7 +5,9 @@ Each report takes the warehouse table(s) and a calendar frame.  ``start`` and
 filter on the raw time column (pushed to the Parquet scan of a warehouse
 table, and to day-partition pruning when ``day_col`` names the partition
 column) and into the proven row bound that allows broadcasting per-day rows.
-``user_id=None`` reports over all users (the single-user form filters).
+``user_id=None`` reports over all users (the single-user form filters);
+``by_user=True`` gives one dense series per user of the table instead.
+Outputs are ordered newest day first, as the warehouse views are.
 """
 
 from __future__ import annotations

@@ -73,3 +73,55 @@ def test_daily_productive_matches_python(spark, acts):
         working = sunday_first in (2, 3, 4, 5, 6) and 9 <= t.hour <= 19
         want[t.date()][0 if working else 1] += secs
     assert got == {d: (w, o, w + o) for d, (w, o) in want.items()}
+
+
+session = st.tuples(st.integers(T0, T1), st.integers(0, 600), st.sampled_from(["a", "b"]),
+                    st.sampled_from([72, 109, 111, 7]), st.booleans())
+W_LO = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
+W_HI = int(dt.datetime(2024, 1, 9, tzinfo=dt.timezone.utc).timestamp() * 1000)
+STEP = 1_800_000
+
+
+def py_pieces(s, e):
+    """Clip to the window, then the split loop as specified."""
+    s, e = max(s, W_LO), min(e, W_HI)
+    if e - s <= STEP:
+        return [(s, e)]
+    out, cs, ce = [], s, s + STEP
+    while True:
+        out.append((cs, min(ce, e)))
+        if ce > e:
+            return out
+        cs, ce = cs + STEP, ce + STEP
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(session, max_size=30))
+def test_daily_sleep_matches_python(spark, sessions):
+    from daycut.operators import intervals
+    rows = []
+    for start, minutes, app, kind, dup in sessions:
+        row = ("u", start, start + minutes * 60_000, app, kind)
+        rows += [row, row] if dup else [row]               # duplicates collapse
+    df = spark.createDataFrame(rows, "user_id string, startTimeMillis long, "
+                                     "endTimeMillis long, application_packageName string, "
+                                     "activityType long")
+    df = intervals.split_intervals(intervals.clip_intervals(
+        df, "startTimeMillis", "endTimeMillis", W_LO, W_HI), "startTimeMillis", "endTimeMillis")
+    cal = calmod.calendar_days(spark, START, END, "Asia/Seoul")
+    got = {r.date: r.sleep_sec for r in reports.daily_sleep(
+        df, cal, start=START, end=END, ordered=False).collect()}
+    pieces = set()
+    for start, minutes, app, kind, _ in sessions:
+        if kind in (72, 109, 111):
+            for s, e in py_pieces(start, start + minutes * 60_000):
+                pieces.add(("u", s, e, app))
+    per_app = {}
+    for _, s, e, app in pieces:
+        d = (local(s) + dt.timedelta(hours=5)).date()
+        per_app[(d, app)] = per_app.get((d, app), 0) + (e - s)
+    want = {d: None for d in days()}
+    for (d, app), ms in per_app.items():
+        if d in want:
+            want[d] = ms / 1000 if want[d] is None else max(want[d], ms / 1000)
+    assert got == want

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -54,19 +53,12 @@ def apply_conf(spark: SparkSession, shuffle_partitions: int | None = None) -> No
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (tests, local runs) a folder of our own is
-    created and registered; on a cluster a machine-local folder would not be
-    visible to other executors, so there it must be configured.
+    Where the setting is absent (tests, local runs) a folder below the
+    session's warehouse takes its place: executors share the warehouse too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    master = spark.conf.get("spark.master", "") or ""
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder "
-                           "(e.g. an object-store path) before running jobs")
-    root = tempfile.mkdtemp(prefix="daycut-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", root)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_daycut_scratch"
     return root
 
 

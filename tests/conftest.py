@@ -19,11 +19,10 @@ def spark():
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        # tests set their own shared folder
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="daycut-test-"),
     })
     s.sparkContext.setLogLevel("ERROR")
-    # tests set their own shared folder only when the session has none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="daycut-test-"))
     yield s
 
 

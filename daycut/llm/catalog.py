@@ -107,9 +107,9 @@ def _secrets_sql() -> str:
         keep = {"assign": "length(val) >= 8", "bare": "regexp_matches(val, '[0-9]') AND regexp_matches(val, '[a-z]') "
                 "AND regexp_matches(val, '[A-Z]')"}.get(kind, "TRUE")
         each.append(f"""
-  SELECT rid, {no} AS kind, '{kind}' AS name, '{secrets.ROLE[kind]}' AS role, at AS start, at + length(hit) AS stop FROM (
+  SELECT rid, {no} AS kind, '{kind}' AS name, '{secrets.ROLE[kind]}' AS role, place AS start, place + length(hit) AS stop FROM (
     SELECT rid, hit, val, sum(length(gap)) OVER (PARTITION BY rid ORDER BY i)
-           + coalesce(sum(length(hit)) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+           + coalesce(sum(length(hit)) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
     FROM (SELECT rid, unnest(range(len(regexp_extract_all(text, {p})))) AS i,
                  unnest(regexp_split_to_array(text, {p})[1:len(regexp_extract_all(text, {p}))]) AS gap,
                  unnest(regexp_extract_all(text, {p})) AS hit, unnest(regexp_extract_all(text, {p}, {group})) AS val
@@ -135,13 +135,13 @@ SELECT doc_id, coalesce(n1, 0) AS n_assign, coalesce(n2, 0) AS n_access, coalesc
 FROM t LEFT JOIN base USING (rid) LEFT JOIN every USING (rid)"""
 
 
-_SPLIT = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+_SPLIT = r"[x FOR x IN regexp_split_to_array({}, '[\x20\x09-\x0D]+') IF x <> '']"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _JACCARD_SQL = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_SPLIT.format(_LOWER)} AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5
-        THEN list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))
+        THEN [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]
         WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
@@ -175,8 +175,8 @@ FROM f WHERE page_id % 101 = 0 OR page_id % 211 = 5 OR (page_id % 103 = 1 AND le
    OR (page_id % 107 = 2 AND page_id % 103 <> 1 AND length(html) > 100)"""
 
 _TOP_K_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
-           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (

@@ -184,7 +184,7 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     queries = placed.where(is_query(F.col("id")))
     spread = max(1, -(-queries.count() // query_rows))
 
-    def make(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def make(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([{"cell": key[0], "piece": key[1], **build_tree(pdf, dim, top)}])
 
     trees = checkpointed(placed.withColumn("piece", F.pmod(F.xxhash64("id", "v"), per[F.col("cell")]))

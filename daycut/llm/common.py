@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,37 +24,50 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.withColumns({"k1": F.xxhash64("id"), "k2": F.xxhash64("id", "text", F.col("text").isNull())})
 
 
+def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges of one partition as stars: each node once, with the smallest node
+    it is connected to here."""
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := top.get(x, x)) != x:
+            top[x] = x = top.get(up, up)
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            u, v = find(u), find(v)
+            if u != v:
+                top[max(u, v)] = min(u, v)
+    nodes = list(top)
+    for lo in range(0, len(nodes), 1 << 16):
+        part = nodes[lo:lo + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())],
+                                         ["u", "v"])
+
+
 def components(edges: DataFrame, checkpoint=checkpointed) -> DataFrame:
     """Connected components of an undirected graph.
 
     ``edges``: ``u``, ``v`` (long, not null).  Returns ``node``, ``comp`` with
-    the smallest node of each component.  Alternates "hang the larger
-    neighbours on the smallest" and "hang all on the smallest", each a
-    grouped aggregate and a join, until the edges stay the same: a number of
-    rounds in the logarithm of the longest path.  A node of very many
-    neighbours is only ever aggregated, never gathered.
+    the smallest node of each component.  A round deals the edges by their
+    larger node, hangs each node on the smallest one that its partition knows,
+    and then on what that one hangs on (a join); it ends when all hang on
+    nodes that hang on nothing.  A node of very many neighbours is their
+    smallest after the first pass, made before anything moves, and edges are
+    never dealt by the smaller node but in the join, which can be split.
     """
     nodes = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
-    edges = checkpoint(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                       .distinct())
-    state = None
+    now = edges.where("u <> v").select("u", "v").mapInArrow(_stars, "u long, v long")
     while True:
-        both = edges.union(edges.select("v", "u"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        # large star: every larger neighbour hangs on the smallest of the neighbourhood
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        # small star: the node and its smaller neighbours hang on the smallest
-        small = large.join(low, "u")
-        edges = checkpoint(small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                           .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        now = tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
-                              F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == state:
+        stars = checkpoint(now.repartition("u").mapInArrow(_stars, "u long, v long"))
+        up = stars.select(F.col("u").alias("v"), F.col("v").alias("top"))
+        now = stars.join(up, "v", "left").select("u", F.coalesce("top", "v").alias("v"), F.col("top").isNotNull().alias("moved"))
+        if now.where("moved").isEmpty():
             break
-        state = now
-    up = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "node")
-    return nodes.join(up, "node", "left").select("node", F.coalesce("m", "node").alias("comp"))
+        now = now.select("u", "v")
+    up = stars.withColumnsRenamed({"u": "node", "v": "top"})
+    return nodes.join(up, "node", "left").select("node", F.coalesce("top", "node").alias("comp"))
 
 
 class Shared:

@@ -29,8 +29,8 @@ CONTENT = 1 << 15
 META = 1 << 10
 #: Bounds of the samples: labelled rows and unlabelled rows, by smallest hash
 #: of the id.
-LABELLED_ROWS = 9000
-POOL_ROWS = 5000
+LABELLED_ROWS = 6000
+POOL_ROWS = 3000
 ROUNDS = 2
 #: A pseudo-label is given beyond this confidence, to at most this share of
 #: the pool a round.
@@ -224,10 +224,10 @@ def _features(rows: DataFrame, meta_cols: Sequence[str], extra: Sequence[str]) -
     def sparse(index: str, value: str | None) -> Sparse:
         lists = flat(index)
         first = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-        idx = lists.flatten().to_numpy().astype(np.int64)
+        idx = lists.flatten().to_numpy()
         width = max(1, int(first[1])) if len(first) > 1 else 1
-        return Sparse(first, idx, flat(value).flatten().to_numpy().astype(float) if value else
-                      np.full(len(idx), 1 / np.sqrt(width)))
+        return Sparse(first, idx, flat(value).flatten().to_numpy() if value else
+                      np.full(len(idx), 1 / np.sqrt(width), dtype=np.float32))
 
     return [sparse("ci", "cv"), sparse("mi", None), *[flat(c).to_numpy(zero_copy_only=False) for c in extra]]
 

@@ -9,7 +9,6 @@ expressed with DataFrames and built-in Spark functions:
                          daily aggregation blocks, rejects
 * ``daycut.sinks``     — sharded JSONL lake writer, day-partition warehouse load
 * ``daycut.plans``     — the daily reports and the load jobs
-* ``daycut.streaming`` — incremental pick-up of landed files
 """
 
 from daycut.session import build_session, scratch_path

@@ -27,7 +27,8 @@ def broadcast_limit_bytes(df: DataFrame) -> int:
         return DEFAULT_BROADCAST_BYTES
     raw = str(raw).strip().lower()
     mult = 1
-    for suf, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("b", 1)):
+    for suf, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("tb", 1 << 40), ("k", 1 << 10),
+                   ("m", 1 << 20), ("g", 1 << 30), ("t", 1 << 40), ("b", 1)):
         if raw.endswith(suf):
             raw, mult = raw[: -len(suf)], m
             break

@@ -47,7 +47,8 @@ def split_intervals(df: DataFrame, start: str, end: str, step: int = STEP_MS,
     multi-year session cannot blow up one task.
     """
     s, e = F.col(start), F.col(end)
-    long_ = (e - s) > F.lit(step)
+    # a length beyond the type's range (a corrupt row) is no length: one piece
+    long_ = F.coalesce(F.try_subtract(e, s) > F.lit(step), F.lit(False))
     piece = F.explode(F.when(long_, F.sequence(s, e, F.lit(step).cast("long")))
                       .otherwise(F.array(s)))
     others = [c for c in df.columns if c not in (start, end)]

@@ -210,20 +210,33 @@ def land_documents(rows: DataFrame, lake_root: str, dataset: str, day_col: str =
     lake.write_sharded_jsonl(lines, lake_root, shards=shards, by=by)
 
 
+def _rejected(docs: DataFrame, dataset: str) -> DataFrame:
+    """Rejected documents: dataset, file, reason and the text as far as kept."""
+    return docs.select(F.lit(dataset).alias("dataset"), F.col("_file").alias("file"),
+                       F.lit("document").alias(landing.REASON), F.col("_corrupt_record").alias("text"))
+
+
+def _all_rejects(rows: DataFrame, bad_docs: DataFrame) -> DataFrame:
+    """Rejected rows and, with the columns of those null, rejected documents."""
+    return rows.unionByName(_rejected(bad_docs, DATASETS["time_tracking"]), allowMissingColumns=True)
+
+
 def job_land_fitness(spark: SparkSession, sessions_path: str, aggregated_path: str,
                      lake_root: str, day, user_id: str, shards: int = 3,
-                     by=lake.USER_PREFIX) -> None:
-    """B3 for one user and day: saved session and aggregate answers → lake."""
+                     by=lake.USER_PREFIX) -> DataFrame:
+    """B3 for one user and day: saved session and aggregate answers → lake.
+    Returns the rejected documents."""
     d = timez.to_date_value(day)
-    ses_docs, _ = landing.split_documents(
+    ses_docs, ses_bad = landing.split_documents(
         landing.read_envelopes(spark, sessions_path, landing.SESSIONS_ENVELOPE), ["session"])
     ses = landing.parse_sessions(ses_docs, user_id=user_id).withColumn("day", F.lit(d))
     land_documents(ses, lake_root, DATASETS["sessions"], shards=shards, by=by)
-    agg_docs, _ = landing.split_documents(
+    agg_docs, agg_bad = landing.split_documents(
         landing.read_envelopes(spark, aggregated_path, landing.AGGREGATED_ENVELOPE),
         ["bucket"])
     pts = landing.parse_aggregated(agg_docs, user_id=user_id).withColumn("day", F.lit(d))
     land_documents(pts, lake_root, DATASETS["points"], shards=shards, by=by)
+    return _rejected(ses_bad, DATASETS["sessions"]).unionByName(_rejected(agg_bad, DATASETS["points"]))
 
 
 def job_land_time_tracking(spark: SparkSession, docs_path: str, lake_root: str, day,
@@ -232,7 +245,7 @@ def job_land_time_tracking(spark: SparkSession, docs_path: str, lake_root: str,
     """B3 for time tracking: matrix answers → rows of ``day`` (in
     ``output_tz``) → lake.  Returns the rejected rows."""
     docs = landing.read_envelopes(spark, docs_path, landing.MATRIX_ENVELOPE)
-    docs, _ = landing.split_documents(docs, ["row_headers", "rows"])
+    docs, bad_docs = landing.split_documents(docs, ["row_headers", "rows"])
     parsed = landing.parse_matrix(docs, load_tz=load_tz, output_date=day,
                                   output_tz=output_tz, user_id=user_id)
     good = parsed.filter(F.col(landing.REASON).isNull())
@@ -240,7 +253,7 @@ def job_land_time_tracking(spark: SparkSession, docs_path: str, lake_root: str,
         F.lit(timez.to_date_value(day)).alias("day"), F.lit(user_id).alias("user"),
         F.lit(DATASETS["time_tracking"]).alias("dataset"), "value")
     lake.write_sharded_jsonl(lines, lake_root, shards=shards, by=by)
-    return parsed.filter(F.col(landing.REASON).isNotNull())
+    return _all_rejects(parsed.filter(F.col(landing.REASON).isNotNull()), bad_docs)
 
 
 def job_land_time_tracking_users(spark: SparkSession, docs_root: str, lake_root: str, day,
@@ -265,14 +278,16 @@ def job_land_time_tracking_users(spark: SparkSession, docs_root: str, lake_root:
         F.lit(timez.to_date_value(day)).alias("day"),
         F.lit(DATASETS["time_tracking"]).alias("dataset"), "value")
     lake.write_sharded_jsonl(lines, lake_root, shards=shards)
-    return parsed.filter(F.col(landing.REASON).isNotNull())
+    return _all_rejects(parsed.filter(F.col(landing.REASON).isNotNull()), bad_docs)
 
 
 def job_land_fitness_users(spark: SparkSession, sessions_root: str, aggregated_root: str,
-                           lake_root: str, day, shards: int | None = None) -> None:
+                           lake_root: str, day, shards: int | None = None) -> DataFrame:
     """B3 for many users in one job: session and aggregate answers under
-    ``<root>/user=<id>/…`` → lake (day, dataset), user from the folder."""
+    ``<root>/user=<id>/…`` → lake (day, dataset), user from the folder.
+    Returns the rejected documents."""
     d = timez.to_date_value(day)
+    rejects = []
     for root, envelope, required, parse, dataset in (
             (sessions_root, landing.SESSIONS_ENVELOPE, ["session"], landing.parse_sessions,
              DATASETS["sessions"]),
@@ -280,6 +295,8 @@ def job_land_fitness_users(spark: SparkSession, sessions_root: str, aggregated_r
              landing.parse_aggregated, DATASETS["points"])):
         docs = landing.read_envelopes(spark, root, envelope) \
             .withColumn("__user", landing.user_from_path())
-        docs, _ = landing.split_documents(docs, required)
+        docs, bad_docs = landing.split_documents(docs, required)
+        rejects.append(_rejected(bad_docs, dataset))
         rows = parse(docs, user_col="__user").withColumn("day", F.lit(d))
         land_documents(rows, lake_root, dataset, shards=shards)
+    return rejects[0].unionByName(rejects[1])

@@ -46,8 +46,10 @@ def _prune(df: DataFrame, time_col: str, unit_per_ms: int, start, end, tz: str,
     lo, hi = lo - pad_ms, hi + pad_ms
     df = df.filter(daily.in_range(F.col(time_col), lo * unit_per_ms, hi * unit_per_ms))
     if day_col:
-        d_lo = _dt.datetime.fromtimestamp(lo / 1000, _dt.timezone.utc).date()
-        d_hi = _dt.datetime.fromtimestamp(hi / 1000, _dt.timezone.utc).date()
+        # a day on each side: rows may lie in the partition of a neighbouring day
+        one = _dt.timedelta(days=1)
+        d_lo = _dt.datetime.fromtimestamp(lo / 1000, _dt.timezone.utc).date() - one
+        d_hi = _dt.datetime.fromtimestamp(hi / 1000, _dt.timezone.utc).date() + one
         df = df.filter(F.col(day_col).between(F.lit(d_lo), F.lit(d_hi)))
     return df
 
@@ -62,7 +64,7 @@ def _user(df: DataFrame, user_id) -> DataFrame:
     return df if user_id is None else df.filter(F.col("user_id") == F.lit(user_id))
 
 
-def newest_first(df: DataFrame, ordered: bool, bounded: bool = True) -> DataFrame:
+def newest_first(df: DataFrame, ordered: bool, bounded: bool = False) -> DataFrame:
     """Newest day first (per user for per-user reports).  Outputs bounded by
     the calendar (one row per day) are sorted in one partition — no
     range-partitioning sample job; outputs that grow with the facts or the
@@ -97,7 +99,7 @@ def _users(df: DataFrame, user_id) -> DataFrame:
 
 def calendar_report(spark, start=calmod.DEFAULT_START, end=None, tz: str = TZ,
                     ordered: bool = True) -> DataFrame:
-    return newest_first(calmod.calendar_days(spark, start, end, tz), ordered)
+    return newest_first(calmod.calendar_days(spark, start, end, tz), ordered, bounded=True)
 
 
 # ---- V2–V5: one metric of the points table per day ---------------------------
@@ -130,7 +132,7 @@ def daily_metric(points: DataFrame, cal: DataFrame, *, data_type: str, aggs: dic
     joined = _densify(cal.select("date", "date_year_month"), per_day, start, end, by_user,
                       _users(points, user_id) if by_user else None)
     out = joined.select(*keys, "date_year_month", *[e.alias(n) for n, e in finish.items()])
-    return newest_first(out, ordered)
+    return newest_first(out, ordered, _bound(start, end) is not None)
 
 
 def daily_steps(points, cal, *, data_type=standins.STEP_TYPE, **kw) -> DataFrame:
@@ -214,7 +216,7 @@ def daily_sleep(sessions: DataFrame, cal: DataFrame, *, tz: str = TZ, user_id=No
     out = _densify(cal.select("date", "date_year_month"), per_day, start, end, by_user,
                    _users(sessions, user_id) if by_user else None)
     return newest_first(out.select(*keys, "date_year_month", "sleep_sec", "sleep_hour"),
-                    ordered)
+                        ordered, _bound(start, end) is not None)
 
 
 # ---- V7/V8: tracked time ---------------------------------------------------------
@@ -254,7 +256,7 @@ def daily_productive(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
     out = j.select(*keys, "date_year_month", w.alias("working_time_sec"),
                    o.alias("outside_working_time_sec"), (w + o).alias("total_time_sec"),
                    "dayofweek")
-    return newest_first(out, ordered)
+    return newest_first(out, ordered, _bound(start, end) is not None)
 
 
 def daily_productive_two_joins(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,

@@ -49,13 +49,8 @@ def read_events(spark: SparkSession, sf_dir: str, spread_rows: bool = False) ->
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin to the default parallelism only when under-split."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD/SparkContext access (e.g. a Spark Connect session)
-        return df
-    return df.repartition(target) if splits < target else df
+    """Round-robin over the cluster, whatever the input's splits."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _lookup(mapping: dict, key):

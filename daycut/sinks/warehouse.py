@@ -42,7 +42,7 @@ def clustered(df: DataFrame, cluster_by: list[str], files: int | None = None,
     if len(cluster_by) > 1 and time_per_hour:
         t = F.col(cluster_by[1])
         df = df.withColumn("__hour", F.floor(t / F.lit(time_per_hour))) \
-               .withColumn("__salt", F.pmod(t, F.lit(SALT)))
+               .withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALT)))
         extra = ["__hour", "__salt"]
     if files:
         out = df.repartition(files, *keys, *extra)

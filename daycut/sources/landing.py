@@ -70,7 +70,9 @@ def read_envelopes(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 def user_from_path(path_col: str = "_file", key: str = "user") -> Column:
     """User id from a ``…/<key>=<id>/…`` folder of the file path."""
-    return F.regexp_extract(F.col(path_col), f"/{key}=([^/]+)/", 1)
+    raw = F.regexp_extract(F.col(path_col), f"/{key}=([^/]+)/", 1)
+    # paths are URI-encoded, but a plus sign is a plus sign
+    return F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
 
 
 def envelopes_from_text(df: DataFrame, schema: T.StructType, text_col: str = "value",

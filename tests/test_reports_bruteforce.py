@@ -83,16 +83,12 @@ STEP = 1_800_000
 
 
 def py_pieces(s, e):
-    """Clip to the window, then the split loop as specified."""
+    """Clipped to the window: one more piece than whole steps fit, each a step
+    long or up to the end."""
     s, e = max(s, W_LO), min(e, W_HI)
     if e - s <= STEP:
         return [(s, e)]
-    out, cs, ce = [], s, s + STEP
-    while True:
-        out.append((cs, min(ce, e)))
-        if ce > e:
-            return out
-        cs, ce = cs + STEP, ce + STEP
+    return [(s + i * STEP, min(s + (i + 1) * STEP, e)) for i in range((e - s) // STEP + 1)]
 
 
 @settings(max_examples=12, deadline=None)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared
+from .common import Shared, sample
 from .textkit import Words, blocks, text_bytes, word_hashes
 
 #: Hashed features of the content view and of the metadata view.
@@ -243,10 +243,10 @@ def train(docs: DataFrame, labels: DataFrame, targets: Sequence[str], id_col: st
     ids of that bounded length, so joining them moves no document.
     """
     marks = labels.select(F.col(id_col).alias("id"), *[F.col(t).cast("double").alias(t) for t in targets]).dropna()
-    marks = (marks.dropDuplicates(["id"]).withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(labelled_rows))
+    marks = sample(marks.dropDuplicates(["id"]).withColumn("h", F.xxhash64("id")), "h", labelled_rows)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *meta_cols)
-    pool = (docs.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
-            .withColumn("h", F.xxhash64("id", F.lit(1))).orderBy("h", "id").limit(pool_rows))
+    pool = sample(docs.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
+                  .withColumn("h", F.xxhash64("id", F.lit(1))), "h", pool_rows)
     content, meta, *ys = _features(rows.join(F.broadcast(marks), "id"), meta_cols, targets)
     unlabelled = _features(rows.join(F.broadcast(pool), "id"), meta_cols, [])
     return {t: cotrain(content, meta, y, tuple(unlabelled), rounds) for t, y in zip(targets, ys)}

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared
+from .common import Shared, sample
 from .textkit import blocks, mix
 
 SIZES = (3, 4)
@@ -89,8 +89,8 @@ def learn(labelled: DataFrame, text_col: str, lang_col: str, sample_rows: int =
     which there are at most ``CELLS`` a plane.
     """
     rows = (labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-            .where("lang IS NOT NULL AND text IS NOT NULL")
-            .orderBy(F.xxhash64("text"), "lang").limit(sample_rows))
+            .where("lang IS NOT NULL AND text IS NOT NULL"))
+    rows = sample(rows.withColumn("h", F.xxhash64("text", "lang")), "h", sample_rows)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
@@ -102,7 +102,7 @@ def learn(labelled: DataFrame, text_col: str, lang_col: str, sample_rows: int =
                     [pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))],
                     ["lang", "gram", "n"])
 
-    counts = (rows.repartition(64, F.xxhash64("text")).mapInArrow(count, "lang string, gram long, n long")
+    counts = (rows.select("lang", "text").repartition(64).mapInArrow(count, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     kept = counts.join(total, "lang").where((F.col("n") >= F.col("total") * min_share) & (F.col("n") > 1))

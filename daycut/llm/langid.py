@@ -105,7 +105,7 @@ def learn(labelled: DataFrame, text_col: str, lang_col: str, sample_rows: int =
     counts = (rows.select("lang", "text").repartition(64).mapInArrow(count, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    kept = counts.join(total, "lang").where((F.col("n") >= F.col("total") * min_share) & (F.col("n") > 1))
+    kept = counts.join(total, "lang").where(F.col("n") >= F.col("total") * min_share)
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

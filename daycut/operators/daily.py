@@ -67,15 +67,17 @@ def dense_left_detail(cal: DataFrame, detail: DataFrame, bound_rows: int | None,
 
     Written as (facts ⋈ calendar) ∪ (calendar ▷ fact dates): the calendar is
     the bounded side and is broadcast to the facts, instead of shuffling the
-    growing fact side to meet a tiny calendar.  The anti-join's right side is
-    the set of fact dates, again bounded by the calendar.
+    growing fact side to meet a tiny calendar.  The days without facts are
+    those that a count by day lacks: a count over all of ``detail`` keeps its
+    plan as it is, so both branches share one scan and its exchange, and has
+    one row a day, again bounded by the calendar.
     """
     cal_b = bounded_broadcast(cal, bound_rows)
     matched = detail.join(cal_b, on=on, how="inner")
-    fact_days = detail.select(on).distinct()
-    empty_days = cal.join(bounded_broadcast(fact_days, bound_rows), on=on,
-                          how="left_anti")
     missing = [c for c in detail.columns if c != on]
+    per_day = detail.groupBy(on).agg(F.count(F.col(missing[-1])).alias("__n"))
+    empty_days = cal.join(bounded_broadcast(per_day, bound_rows), on=on, how="left") \
+        .filter(F.col("__n").isNull()).drop("__n")
     for c in missing:
         empty_days = empty_days.withColumn(c, F.lit(None).cast(detail.schema[c].dataType))
     return matched.unionByName(empty_days)

@@ -220,6 +220,50 @@ def q_load_fitness_points(spark, sf_dir):
     return warehouse.read_table(spark, table).select(*POINT_COLS, "day")
 
 
+LAND_DAY = "2024-01-31"
+#: Of each landed dataset: its key column and a key that no schema here names.
+LANDED_KEYS = {"sessions": ("id", "activeTimeMillis"), "points": ("startTimeNanos", "computationTimeMillis"),
+               "datasources": ("dataStreamId", "vendor"), "raw_points": ("startTimeNanos", "computationTimeMillis")}
+
+
+def _land_all(spark, sf_dir) -> tuple[str, DataFrame]:
+    """Saved answers of the four fitness datasets, each with a broken document
+    per user, landed for one day: lake root and rejects."""
+    ev = _events(spark, sf_dir)
+    broken = ev.select(F.col("user_id").cast("string").alias("user_id")).distinct() \
+        .withColumn("value", F.concat(F.lit("{broken "), F.col("user_id")))
+    answers = {"sessions": landed.session_documents, "points": landed.aggregated_documents,
+               "datasources": landed.datasource_documents, "raw_points": landed.dataset_documents}
+    root, rejects = scratch_path(spark, "lake"), None
+    for kind, make in answers.items():
+        saved = scratch_path(spark, f"answers-{kind}")
+        make(ev).select("user_id", "value").unionByName(broken).write.parquet(saved)
+        docs = spark.read.parquet(saved).withColumnsRenamed({"user_id": "__user", "value": landing.TEXT})
+        got = jobs.land_answers(landing.parsed_once(docs, jobs.FITNESS[kind][0]), kind, root,
+                                LAND_DAY, user_col="__user")
+        rejects = got if rejects is None else rejects.unionByName(got)
+    return root, rejects
+
+
+def q_land_fitness(spark, sf_dir):
+    """Saved answers of four datasets → lake lines, unknown keys kept."""
+    root, _ = _land_all(spark, sf_dir)
+    out = None
+    for kind, (key, other) in LANDED_KEYS.items():
+        lines = lake.scan_jsonl(spark, root, day=LAND_DAY, dataset=jobs.DATASETS[kind])
+        part = lines.select("dataset", *[F.get_json_object("value", f"$.{k}").alias(n) for n, k in (
+            ("user_id", "user_id"), ("key", key), ("unknown", other))])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_landing_rejects(spark, sf_dir):
+    """The rejected documents of the same landing, counted per dataset."""
+    _, rejects = _land_all(spark, sf_dir)
+    return rejects.groupBy("dataset", F.col(landing.REASON).alias("reason")) \
+        .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("text").alias("texts"))
+
+
 QUERIES = {
     "parse_sessions": q_parse_sessions,
     "parse_datasources": q_parse_datasources,
@@ -234,6 +278,8 @@ QUERIES = {
     "load_time_tracking": q_load_time_tracking,
     "load_fitness_sessions": q_load_fitness_sessions,
     "load_fitness_points": q_load_fitness_points,
+    "land_fitness": q_land_fitness,
+    "landing_rejects": q_landing_rejects,
 }
 
 
@@ -320,4 +366,18 @@ SELECT {_cols(SESSION_COLS)}, day FROM pieces""",
     "load_fitness_points": f"""SELECT {_cols(POINT_COLS)},
        CAST(epoch_ms(CAST(round(startTimeNanos / 1000000) AS BIGINT)) AS DATE) AS day
 FROM ({standins.ORACLE_POINTS})""",
+    "land_fitness": f"""WITH p AS ({standins.ORACLE_POINTS})
+SELECT 'sessions' AS dataset, user_id, id AS "key",
+       CAST(endTimeMillis - startTimeMillis AS VARCHAR) AS unknown
+FROM ({standins.ORACLE_SESSIONS})
+UNION ALL
+SELECT d.dataset, user_id, CAST(startTimeNanos AS VARCHAR),
+       CAST(CAST(round(startTimeNanos / 1000000) AS BIGINT) AS VARCHAR)
+FROM p, (VALUES ('aggregated-datasets'), ('datasets')) d(dataset)
+UNION ALL
+SELECT DISTINCT 'datasources', user_id, dataSourceId, 'v-' || substr(dataSourceId, 9) FROM p""",
+    "landing_rejects": """SELECT dataset, 'document' AS reason, count(DISTINCT user_id) AS n,
+       count(DISTINCT user_id) AS texts
+FROM events, (VALUES ('sessions'), ('aggregated-datasets'), ('datasets'), ('datasources')) d(dataset)
+GROUP BY dataset""",
 }

@@ -211,9 +211,10 @@ def land_documents(rows: DataFrame, lake_root: str, dataset: str, day_col: str =
 
 
 def _rejected(docs: DataFrame, dataset: str) -> DataFrame:
-    """Rejected documents: dataset, file, reason and the text as far as kept."""
-    return docs.select(F.lit(dataset).alias("dataset"), F.col("_file").alias("file"),
-                       F.lit("document").alias(landing.REASON), F.col("_corrupt_record").alias("text"))
+    """Rejected documents: dataset, file, reason and whole text."""
+    file = F.col("_file") if "_file" in docs.columns else F.lit(None).cast("string")
+    return docs.select(F.lit(dataset).alias("dataset"), file.alias("file"),
+                       F.lit("document").alias(landing.REASON), F.col(landing.TEXT).alias("text"))
 
 
 def _all_rejects(rows: DataFrame, bad_docs: DataFrame) -> DataFrame:
@@ -221,22 +222,66 @@ def _all_rejects(rows: DataFrame, bad_docs: DataFrame) -> DataFrame:
     return rows.unionByName(_rejected(bad_docs, DATASETS["time_tracking"]), allowMissingColumns=True)
 
 
+# of each fitness dataset: envelope, the part that a document must have, lines
+FITNESS = {
+    "sessions": (landing.SESSIONS_RAW, "session", landing.session_lines),
+    "points": (landing.AGGREGATED_RAW, "bucket", landing.aggregated_lines),
+    "datasources": (landing.DATASOURCES_RAW, "dataSource", landing.datasource_lines),
+    "raw_points": (landing.DATASETS_RAW, "point", landing.dataset_lines),
+}
+
+
+def land_answers(docs: DataFrame, kind: str, lake_root: str, day, *, user_id: str | None = None,
+                 user_col: str | None = None, shards: int | None = None,
+                 rejects_table: str | None = None) -> DataFrame:
+    """B3 of one fitness dataset: parsed envelopes (``landing.parsed_once`` or
+    ``read_envelopes`` with the envelope of ``FITNESS[kind]``) → lake.
+
+    Replaces the prefix of the day and dataset (with ``user_id``: of the day,
+    user and dataset), also if there are no lines.  Every key of an element is
+    kept.  Returns the rejected documents and elements (dataset, file, reason,
+    text); ``rejects_table`` also writes them.
+    """
+    _, required, to_lines = FITNESS[kind]
+    dataset, d = DATASETS[kind], timez.to_date_value(day)
+    good, bad_docs = landing.split_documents(docs, [required])
+    lines = to_lines(good, user_id=user_id, user_col=user_col)
+    prefix = {"day": d, **({"user": user_id} if user_id is not None else {}), "dataset": dataset}
+    lake.write_prefix(lines.filter(F.col(landing.REASON).isNull()), lake_root, prefix, shards)
+    bad = lines.filter(F.col(landing.REASON).isNotNull()).select(
+        F.lit(dataset).alias("dataset"), F.lit(None).cast("string").alias("file"), landing.REASON,
+        F.col("value").alias("text"))
+    rejects = _rejected(bad_docs, dataset).unionByName(bad)
+    if rejects_table:
+        warehouse.write_rejects(rejects.drop("dataset"), rejects_table, d, dataset)
+    return rejects
+
+
+def _land_fitness(spark: SparkSession, paths: dict[str, str | None], lake_root: str, day,
+                  user_id: str | None, shards: int | None, rejects_table: str | None) -> DataFrame:
+    rejects = None
+    for kind, path in paths.items():
+        if path is None:
+            continue
+        docs = landing.read_envelopes(spark, path, FITNESS[kind][0])
+        user_col = None
+        if user_id is None:
+            docs, user_col = docs.withColumn("__user", landing.user_from_path()), "__user"
+        got = land_answers(docs, kind, lake_root, day, user_id=user_id, user_col=user_col,
+                           shards=shards, rejects_table=rejects_table)
+        rejects = got if rejects is None else rejects.unionByName(got)
+    return rejects
+
+
 def job_land_fitness(spark: SparkSession, sessions_path: str, aggregated_path: str,
-                     lake_root: str, day, user_id: str, shards: int = 3,
-                     by=lake.USER_PREFIX) -> DataFrame:
-    """B3 for one user and day: saved session and aggregate answers → lake.
-    Returns the rejected documents."""
-    d = timez.to_date_value(day)
-    ses_docs, ses_bad = landing.split_documents(
-        landing.read_envelopes(spark, sessions_path, landing.SESSIONS_ENVELOPE), ["session"])
-    ses = landing.parse_sessions(ses_docs, user_id=user_id).withColumn("day", F.lit(d))
-    land_documents(ses, lake_root, DATASETS["sessions"], shards=shards, by=by)
-    agg_docs, agg_bad = landing.split_documents(
-        landing.read_envelopes(spark, aggregated_path, landing.AGGREGATED_ENVELOPE),
-        ["bucket"])
-    pts = landing.parse_aggregated(agg_docs, user_id=user_id).withColumn("day", F.lit(d))
-    land_documents(pts, lake_root, DATASETS["points"], shards=shards, by=by)
-    return _rejected(ses_bad, DATASETS["sessions"]).unionByName(_rejected(agg_bad, DATASETS["points"]))
+                     lake_root: str, day, user_id: str, shards: int = 3, *,
+                     datasources_path: str | None = None, raw_points_path: str | None = None,
+                     rejects_table: str | None = None) -> DataFrame:
+    """B3 for one user and day: saved answers → lake, prefix (day, user,
+    dataset).  Returns the rejected documents and elements."""
+    return _land_fitness(spark, {"sessions": sessions_path, "points": aggregated_path,
+                                 "datasources": datasources_path, "raw_points": raw_points_path},
+                         lake_root, day, user_id, shards, rejects_table)
 
 
 def job_land_time_tracking(spark: SparkSession, docs_path: str, lake_root: str, day,
@@ -249,10 +294,9 @@ def job_land_time_tracking(spark: SparkSession, docs_path: str, lake_root: str,
     parsed = landing.parse_matrix(docs, load_tz=load_tz, output_date=day,
                                   output_tz=output_tz, user_id=user_id)
     good = parsed.filter(F.col(landing.REASON).isNull())
-    lines = landing.matrix_row_json(good).select(
-        F.lit(timez.to_date_value(day)).alias("day"), F.lit(user_id).alias("user"),
-        F.lit(DATASETS["time_tracking"]).alias("dataset"), "value")
-    lake.write_sharded_jsonl(lines, lake_root, shards=shards, by=by)
+    prefix = {"day": timez.to_date_value(day), "user": user_id,
+              "dataset": DATASETS["time_tracking"]}
+    lake.write_prefix(landing.matrix_row_json(good), lake_root, {c: prefix[c] for c in by}, shards)
     return _all_rejects(parsed.filter(F.col(landing.REASON).isNotNull()), bad_docs)
 
 
@@ -265,38 +309,29 @@ def job_land_time_tracking_users(spark: SparkSession, docs_root: str, lake_root:
     Each user's export is read in that user's zone, taken from
     ``user_zones(user_id, tz)`` — a join on ``user_id`` with one row per
     answer document on the left, so its size follows the number of
-    documents, not rows.  Returns the rejected rows (unknown users included).
+    documents, not rows.  A user listed more than once counts once, with the
+    first zone by name.  Returns the rejected rows (unknown users included).
     """
     docs = landing.read_envelopes(spark, docs_root, landing.MATRIX_ENVELOPE)
     docs = docs.withColumn("user_id", landing.user_from_path())
     docs, bad_docs = landing.split_documents(docs, ["row_headers", "rows"])
-    docs = docs.join(user_zones.select("user_id", F.col("tz").alias("__tz")), "user_id", "left")
+    zones = user_zones.groupBy("user_id").agg(F.min("tz").alias("__tz"))
+    docs = docs.join(zones, "user_id", "left")
     parsed = landing.parse_matrix(docs, load_tz=F.col("__tz"), output_date=day,
                                   output_tz=output_tz, user_col="user_id")
     good = parsed.filter(F.col(landing.REASON).isNull())
-    lines = landing.matrix_row_json(good).select(
-        F.lit(timez.to_date_value(day)).alias("day"),
-        F.lit(DATASETS["time_tracking"]).alias("dataset"), "value")
-    lake.write_sharded_jsonl(lines, lake_root, shards=shards)
+    lake.write_prefix(landing.matrix_row_json(good), lake_root,
+                      {"day": timez.to_date_value(day), "dataset": DATASETS["time_tracking"]}, shards)
     return _all_rejects(parsed.filter(F.col(landing.REASON).isNotNull()), bad_docs)
 
 
 def job_land_fitness_users(spark: SparkSession, sessions_root: str, aggregated_root: str,
-                           lake_root: str, day, shards: int | None = None) -> DataFrame:
-    """B3 for many users in one job: session and aggregate answers under
-    ``<root>/user=<id>/…`` → lake (day, dataset), user from the folder.
-    Returns the rejected documents."""
-    d = timez.to_date_value(day)
-    rejects = []
-    for root, envelope, required, parse, dataset in (
-            (sessions_root, landing.SESSIONS_ENVELOPE, ["session"], landing.parse_sessions,
-             DATASETS["sessions"]),
-            (aggregated_root, landing.AGGREGATED_ENVELOPE, ["bucket"],
-             landing.parse_aggregated, DATASETS["points"])):
-        docs = landing.read_envelopes(spark, root, envelope) \
-            .withColumn("__user", landing.user_from_path())
-        docs, bad_docs = landing.split_documents(docs, required)
-        rejects.append(_rejected(bad_docs, dataset))
-        rows = parse(docs, user_col="__user").withColumn("day", F.lit(d))
-        land_documents(rows, lake_root, dataset, shards=shards)
-    return rejects[0].unionByName(rejects[1])
+                           lake_root: str, day, shards: int | None = None, *,
+                           datasources_root: str | None = None, raw_points_root: str | None = None,
+                           rejects_table: str | None = None) -> DataFrame:
+    """B3 for many users in one job: answers under ``<root>/user=<id>/…`` →
+    lake (day, dataset), user from the folder.  Returns the rejected documents
+    and elements."""
+    return _land_fitness(spark, {"sessions": sessions_root, "points": aggregated_root,
+                                 "datasources": datasources_root, "raw_points": raw_points_root},
+                         lake_root, day, None, shards, rejects_table)

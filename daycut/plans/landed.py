@@ -36,6 +36,8 @@ def _point_struct():
         _s("startTimeNanos").alias("startTimeNanos"),
         _s("endTimeNanos").alias("endTimeNanos"),
         F.col("dataTypeName"),
+        # a key that no schema of the landing names
+        timez.nanos_to_millis("startTimeNanos").cast("string").alias("computationTimeMillis"),
         F.array(F.struct(F.col("value0_fpVal").alias("fpVal"),
                          F.col("value0_intVal").alias("intVal"))).alias("value"))
 
@@ -50,6 +52,7 @@ def session_documents(events: DataFrame) -> DataFrame:
         _s("endTimeMillis").alias("endTimeMillis"),
         _s("modifiedTimeMillis").alias("modifiedTimeMillis"),
         F.struct(F.col("application_packageName").alias("packageName")).alias("application"),
+        (F.col("endTimeMillis") - F.col("startTimeMillis")).cast("string").alias("activeTimeMillis"),
         F.col("activityType"))
     docs = s.groupBy("user_id", "page").agg(F.collect_list(item).alias("session"))
     return docs.select("user_id", "page", F.to_json(F.struct("session")).alias("value"))
@@ -94,7 +97,9 @@ def datasource_documents(events: DataFrame) -> DataFrame:
                         F.struct(F.concat(F.lit("derived:"), F.col("event_type"))
                                  .alias("dataStreamId"),
                                  F.col("event_type").alias("dataStreamName"),
-                                 F.lit("derived").alias("type")).alias("s"))
+                                 F.lit("derived").alias("type"),
+                                 F.concat(F.lit("v-"), F.col("event_type")).alias("vendor"))
+                        .alias("s"))
     docs = src.groupBy("user_id").agg(F.collect_set("s").alias("dataSource"))
     return docs.select("user_id", F.to_json(F.struct("dataSource")).alias("value"))
 

@@ -54,6 +54,29 @@ def write_sharded_jsonl(lines: DataFrame, root: str, shards: int | None = None,
      .text(root))
 
 
+# ---- fixed values: characters that a partition folder's name escapes ----
+_ESCAPED = {*map(chr, range(1, 32)), *"\x7f\"#%'*/:=?\\{[]^"}
+# --------------------------------------------------------------------------
+
+
+def prefix_path(root: str, prefix: dict[str, str]) -> str:
+    """Folder of one prefix, named as a partitioned write names it."""
+    parts = ["".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in f"{v}") for v in prefix.values()]
+    return "/".join([root.rstrip("/"), *[f"{k}={v}" for k, v in zip(prefix, parts)]])
+
+
+def write_prefix(lines: DataFrame, root: str, prefix: dict[str, str], shards: int | None = None,
+                 line_col: str = "value") -> None:
+    """Replace one known prefix by ``lines``, also where there are none: a
+    landing that finds nothing must not leave the lines of an earlier run."""
+    out = lines.select(F.col(line_col).alias("value"))
+    if shards:
+        out = out.repartition(shards, F.pmod(F.xxhash64("value"), F.lit(shards)))
+    else:
+        out = out.hint("rebalance")
+    out.write.mode("overwrite").text(prefix_path(root, prefix))
+
+
 def scan_jsonl(spark: SparkSession, root: str, *, day=None, dataset: str | None = None,
                users: list[str] | None = None, by=PREFIX_COLS) -> DataFrame:
     """Lines of the lake (``value`` and the prefix columns); filters on the

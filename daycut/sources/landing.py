@@ -56,16 +56,44 @@ MATRIX_ENVELOPE = T.StructType([
     T.StructField("rows", T.ArrayType(T.ArrayType(S))),
 ])
 
+# The same envelopes down to their elements only: what lands in the lake keeps
+# every key of an element, also those that no schema here names.
+V = T.VariantType()
+
+SESSIONS_RAW = T.StructType([T.StructField("session", T.ArrayType(V))])
+
+DATASOURCES_RAW = T.StructType([T.StructField("dataSource", T.ArrayType(V))])
+
+DATASETS_RAW = T.StructType([
+    T.StructField("minStartTimeNs", S), T.StructField("maxEndTimeNs", S),
+    T.StructField("dataSourceId", S), T.StructField("point", T.ArrayType(V)),
+])
+
+AGGREGATED_RAW = T.StructType([T.StructField("bucket", T.ArrayType(T.StructType([
+    T.StructField("startTimeMillis", S), T.StructField("endTimeMillis", S),
+    T.StructField("dataset", T.ArrayType(T.StructType([
+        T.StructField("dataSourceId", S), T.StructField("point", T.ArrayType(V))]))),
+])))])
+
 REASON = "_reject_reason"
+TEXT = "_text"
 
 
 def read_envelopes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One row per file (``multiLine``); unreadable files keep their text in
-    ``_corrupt_record``.  The file name is kept for the path-derived user."""
+    """One row per file: the envelope, and the file's name (for the
+    path-derived user) and whole text (for rejects)."""
+    raw = spark.read.text(path, wholetext=True) \
+        .select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias(TEXT))
+    return parsed_once(raw, schema)
+
+
+def parsed_once(docs: DataFrame, schema: T.StructType, text_col: str = TEXT) -> DataFrame:
+    """``docs`` with the envelope's columns; each document is parsed once,
+    however many filters follow."""
     full = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", S)])
-    return (spark.read.schema(full).option("multiLine", True)
-            .option("mode", "PERMISSIVE").json(path)
-            .withColumn("_file", F.col("_metadata.file_path")))
+    keep = docs.columns
+    return computed(docs, [*[F.col(c) for c in keep],
+                           F.from_json(F.col(text_col), full).alias("__d")]).select(*keep, "__d.*")
 
 
 def user_from_path(path_col: str = "_file", key: str = "user") -> Column:
@@ -159,6 +187,74 @@ def parse_aggregated(docs: DataFrame, user_id: str | None = None,
                                      "dataSourceId")}))
 
 
+# ---- lake lines with every key of an element ----------------------------------
+
+def _tagged_lines(rows: DataFrame, element: str, tags: dict[str, Column],
+                  tags_win: bool) -> DataFrame:
+    """Elements (VARIANT) → lake lines ``user_id``, ``value``, ``_reject_reason``.
+
+    A line holds every key of the element and the tags that are set; of a name
+    in both, the tag stays if ``tags_win``, else the element's own value.  An
+    element that is no JSON object is a reject with its text as ``value``.
+    """
+    own = F.try_variant_get(F.col(element), "$", "map<string,variant>")
+    pairs = [x for n, c in tags.items() for x in (F.lit(n), c.cast("variant"))]
+    rows = computed(rows, [F.col("user_id"), F.col(element).alias("__v"), own.alias("__own"),
+                           F.create_map(*pairs).alias("__tags")])
+    tag = F.map_filter("__tags", lambda k, v: v.isNotNull())
+    if tags_win:
+        line = F.map_concat(F.map_filter("__own", lambda k, v: ~k.isin(*tags)), tag)
+    else:
+        line = F.map_concat(F.map_filter(tag, lambda k, v: ~F.array_contains(
+            F.map_keys("__own"), k)), F.col("__own"))
+    bad = F.col("__own").isNull()
+    return rows.select(
+        "user_id",
+        F.when(bad, F.to_json("__v")).otherwise(F.to_json(line)).alias("value"),
+        F.when(bad, F.lit("element is not an object")).alias(REASON))
+
+
+def session_lines(docs: DataFrame, user_id: str | None = None,
+                  user_col: str | None = None) -> DataFrame:
+    """S2 to the lake: each session with all its keys, the user and the
+    activity label (which replace keys of the same names)."""
+    s = docs.select(_user(user_id, user_col).alias("user_id"), F.explode("session").alias("s"))
+    kind = F.try_variant_get(F.col("s"), "$.activityType", "bigint")
+    return _tagged_lines(s, "s", {"user_id": F.col("user_id"),
+                                  "activityType_String": labels.activity_type_label(kind)}, True)
+
+
+def datasource_lines(docs: DataFrame, user_id: str | None = None,
+                     user_col: str | None = None) -> DataFrame:
+    """S3 to the lake: each data source with all its keys and the user."""
+    s = docs.select(_user(user_id, user_col).alias("user_id"), F.explode("dataSource").alias("s"))
+    return _tagged_lines(s, "s", {"user_id": F.col("user_id")}, True)
+
+
+def dataset_lines(docs: DataFrame, user_id: str | None = None,
+                  user_col: str | None = None) -> DataFrame:
+    """S4 to the lake: each raw point with all its keys, and of the user, time
+    range and source id those that the point lacks."""
+    carried = ["minStartTimeNs", "maxEndTimeNs", "dataSourceId"]
+    p = docs.select(_user(user_id, user_col).alias("user_id"), *carried,
+                    F.explode("point").alias("p"))
+    return _tagged_lines(p, "p", {c: F.col(c) for c in ("user_id", *carried)}, False)
+
+
+def aggregated_lines(docs: DataFrame, user_id: str | None = None,
+                     user_col: str | None = None) -> DataFrame:
+    """S5 to the lake: each point with all its keys, and of the user, bucket
+    times and source id those that the point lacks."""
+    b = docs.select(_user(user_id, user_col).alias("user_id"), F.explode("bucket").alias("b"))
+    times = [F.col("b.startTimeMillis").alias("startTimeMillis"),
+             F.col("b.endTimeMillis").alias("endTimeMillis")]
+    d = b.select("user_id", *times, F.explode("b.dataset").alias("d"))
+    carried = ["user_id", "startTimeMillis", "endTimeMillis", "dataSourceId"]
+    p = d.select("user_id", "startTimeMillis", "endTimeMillis",
+                 F.col("d.dataSourceId").alias("dataSourceId"), F.explode("d.point").alias("p"))
+    return _tagged_lines(p, "p", {c: F.col(c) for c in carried}, False)
+
+
 def header_name(h) -> Column:
     """Header → key: lower case, blanks → ``_``."""
     return F.replace(F.lower(h), F.lit(" "), F.lit("_"))
@@ -175,8 +271,9 @@ def parse_matrix(docs: DataFrame, *, load_tz, output_date, output_tz="UTC",
     (one output day per document).  ``fixed_day`` keeps the original fixed
     24 h window; ``False`` ends the window at the next local midnight of
     ``output_tz`` instead (23 or 25 h on DST change days).  Rows whose date does not parse, documents
-    without a date header or with headers that collide after normalising, and
-    rows longer than the header come back with ``_reject_reason``.
+    without a date header, with a null header or with headers that collide after
+    normalising, and rows longer than the header come back with ``_reject_reason``.
+    The user and ``date_timestamp_millis`` replace headers of those names.
     """
     names = F.transform(F.col("row_headers"), header_name)
     out_date = output_date if isinstance(output_date, Column) \
@@ -190,8 +287,11 @@ def parse_matrix(docs: DataFrame, *, load_tz, output_date, output_tz="UTC",
                        day_start.alias("lo"), day_end.alias("hi"), zone.alias("__zone"),
                        F.explode("rows").alias("r"))
     zipped = F.arrays_zip(F.slice(F.col("names"), 1, F.size("r")), F.col("r"))
-    fields = F.map_from_entries(zipped)
-    doc_bad = F.when(~F.array_contains("names", F.lit(date_key)), F.lit("no date header")) \
+    # a header named like a tag gives way to the tag
+    fields = F.map_filter(F.map_from_entries(zipped),
+                          lambda k, v: ~k.isin("user_id", "date_timestamp_millis"))
+    doc_bad = F.when(F.exists("names", lambda n: n.isNull()), F.lit("header without a name")) \
+        .when(~F.array_contains("names", F.lit(date_key)), F.lit("no date header")) \
         .when(F.size(F.array_distinct("names")) != F.size("names"),
               F.lit("duplicate header names")) \
         .when(F.size("r") > F.size("names"), F.lit("row longer than header"))

@@ -317,3 +317,68 @@ def test_land_fitness_many_users(spark, tmpdir_path):
     assert sorted((r.user_id, r.id) for r in ses.collect()) == [("u1", "s-u1"), ("u2", "s-u2")]
     pts, _ = jobs.point_rows(lake.scan_jsonl(spark, root, dataset="aggregated-datasets"))
     assert sorted(r.user_id for r in pts.collect()) == ["u1", "u2"]
+
+
+def _docs(spark, *texts):
+    return spark.createDataFrame([("u1", t) for t in texts], f"__user string, {landing.TEXT} string")
+
+
+def test_landing_keeps_every_key(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "lake")
+    point = {"startTimeNanos": "1", "dataTypeName": "t", "dataSourceId": "own", "extra": None,
+             "value": [{"intVal": 3, "mapVal": [{"key": "k", "value": {"fpVal": 0.5}}]}]}
+    docs = {
+        "sessions": {"session": [{"id": "a", "activityType": 72, "activeTimeMillis": "9", "user_id": "no"}]},
+        "datasources": {"dataSource": [{"dataStreamId": "x", "device": {"uid": "d", "n": 1}}]},
+        "raw_points": {"minStartTimeNs": "0", "maxEndTimeNs": "5", "dataSourceId": "s", "point": [point]},
+        "points": {"bucket": [{"startTimeMillis": "0", "endTimeMillis": "1", "dataset": [
+            {"dataSourceId": "s", "point": [point]}, {"dataSourceId": "e", "point": []}]}]}}
+    got = {}
+    for kind, doc in docs.items():
+        parsed = landing.parsed_once(_docs(spark, json.dumps(doc)), jobs.FITNESS[kind][0])
+        assert jobs.land_answers(parsed, kind, root, "2024-01-09", user_col="__user").count() == 0
+        rows = lake.scan_jsonl(spark, root, dataset=jobs.DATASETS[kind]).collect()
+        assert len(rows) == 1
+        got[kind] = json.loads(rows[0].value)
+    # user and label replace a session's own keys
+    assert got["sessions"] == {"id": "a", "activityType": 72, "activeTimeMillis": "9",
+                               "user_id": "u1", "activityType_String": "Sleeping"}
+    assert got["datasources"] == {"dataStreamId": "x", "device": {"uid": "d", "n": 1}, "user_id": "u1"}
+    # a point's own keys win over carried ones
+    assert got["raw_points"] == {**point, "user_id": "u1", "minStartTimeNs": "0", "maxEndTimeNs": "5"}
+    assert got["points"] == {**point, "user_id": "u1", "startTimeMillis": "0", "endTimeMillis": "1"}
+
+
+def test_landing_returns_rejects_with_text(spark, tmpdir_path):
+    root, table = os.path.join(tmpdir_path, "lake"), os.path.join(tmpdir_path, "rejects")
+    texts = ["{broken", "", '{"other": 1}', '{"session": [{"id": "a"}, 5, null]}']
+    parsed = landing.parsed_once(_docs(spark, *texts), landing.SESSIONS_RAW)
+    rejects = jobs.land_answers(parsed, "sessions", root, "2024-01-09", user_col="__user",
+                                rejects_table=table)
+    want = sorted([("document", t) for t in texts[:3]]
+                  + [("element is not an object", t) for t in ("5", "null")])
+    key = "_reject_reason"
+    assert sorted((r[key], "null" if r.text is None else r.text) for r in rejects.collect()) == want
+    assert spark.read.parquet(table).count() == len(want)
+    assert lake.scan_jsonl(spark, root, dataset="sessions").count() == 1
+
+
+def test_empty_landing_replaces_the_prefix(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "lake")
+    for user in ("a b", "u/1=%"):
+        for text, n in (('{"session": [{"id": "a"}]}', 1), ('{"session": []}', 0)):
+            docs = landing.parsed_once(_docs(spark, text), landing.SESSIONS_RAW)
+            jobs.land_answers(docs, "sessions", root, "2024-01-09", user_id=user, shards=3)
+            assert lake.scan_jsonl(spark, root, users=[user], by=lake.USER_PREFIX).count() == n
+
+
+def test_matrix_headers_that_once_stopped_the_job(spark):
+    docs = [{"row_headers": ["Date", None], "rows": [["2020-05-16T08:00:00", "x"]]},
+            {"row_headers": ["Date", "User ID", "Date Timestamp Millis"],
+             "rows": [["2020-05-16T08:00:00", "other", "7"]]}]
+    df = landing.envelopes_from_text(
+        spark.createDataFrame([(json.dumps(d),) for d in docs], "value string"), landing.MATRIX_ENVELOPE)
+    out = landing.parse_matrix(df, load_tz="UTC", output_date="2020-05-16", user_id="u")
+    assert [r[landing.REASON] for r in out.collect() if r[landing.REASON]] == ["header without a name"]
+    line = json.loads(landing.matrix_row_json(out.filter(F.col(landing.REASON).isNull())).first().value)
+    assert line == {"user_id": "u", "date": "2020-05-16T08:00:00", "date_timestamp_millis": "1589616000000"}

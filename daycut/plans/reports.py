@@ -291,10 +291,9 @@ def daily_productive_details(activities: DataFrame, cal: DataFrame, *, tz: str =
     """V8: seconds per day × category × productivity × activity × hour.
 
     Days without facts give one row of NULL facts (per user with ``by_user``).
-    Finding those days costs a second, date-only scan of the facts; with
-    ``materialize`` the grouped facts are checkpointed once into the shared
-    checkpoint folder instead and both branches read them (one scan of the
-    facts, one write and two reads of the much smaller aggregate).
+    Those days come from a count over the grouped facts.  With ``materialize``
+    the grouped facts are checkpointed once into the shared checkpoint folder
+    and both branches read them.
     """
     a = productive_facts(activities, tz=tz, user_id=user_id, start=start, end=end,
                          day_col=day_col)

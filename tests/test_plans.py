@@ -38,3 +38,11 @@ def test_flatten_parses_each_line_once(spark):
         plan = _plan(ent.queries()[name](spark, SF001), optimized=True)
         # the lake-line parse (one from_json on the line) is not repeated per column
         assert plan.count("from_json") <= 2, (name, plan.count("from_json"))
+
+
+def test_details_report_scans_the_facts_once(spark):
+    df = ent.queries()["daily_productive_details"](spark, SF001)
+    df.collect()                                      # the final plan shows what is reused
+    final = _plan(df).split("== Initial Plan ==")[0]
+    # the facts and the calendar's range each read the table
+    assert final.count("ReusedExchange") >= 1 and final.count("FileScan parquet") <= 2, final

@@ -24,6 +24,13 @@ which is SQL NULL only when the key is absent.  In the declared mode, when
 two declared keys normalise to the same name, the later one in the schema
 that is set in the line wins.
 
+A target column that no declared key yields (with ``input_schema``), or whose
+name can be a nested path (without), is looked up at every path that normalises
+to its name (``paths_of``), in a second, VARIANT parse of the line that only
+such a target pays for.  Where a line has several of these paths, the flat key
+wins, then the one with the fewest nested parts.  Keys holding ``.``, brackets or
+parentheses themselves have to be declared.
+
 A line that is not a JSON object, or whose present value does not convert to
 the target type, is a reject: rows come back with ``_reject_reason`` set and
 ``split_rejects`` separates them.
@@ -39,11 +46,15 @@ from pyspark.sql import types as T
 
 from daycut.functions import labels
 from daycut.operators.rows import computed
+from daycut.sources.schema import SchemaError
 
 CORRUPT = "_corrupt_record"
 REASON = "_reject_reason"
 LINE = "_line"
 
+#: Possible paths of one undeclared column beyond which it must be declared.
+MAX_PATHS = 512
+
 BRACKETS = "[]"
 BRACKETS_AND_PARENS = "[]()"
 
@@ -54,6 +65,46 @@ def normalise(path_name: str, drop_chars: str = BRACKETS) -> str:
     return re.sub("[" + re.escape(drop_chars) + "]", "", out) if drop_chars else out
 
 
+def paths_of(name: str) -> list[str]:
+    """Every JSON path whose normalised name is ``name``: each ``_`` may part
+    two keys, and the end of each run of digits may be array positions.
+    Fewest parts first; ``device_uid`` → ``$['device_uid']``,
+    ``$['device']['uid']``."""
+    found: list[tuple[int, str]] = []
+
+    def after_key(at: int, path: str, parts: int) -> None:
+        # behind a whole key or position: the end, a position, or the next key
+        if at == len(name):
+            found.append((parts, path))
+            return
+        if name[at] == "_":
+            key(at + 1, path, parts)
+        number = re.match(r"\d+", name[at:])
+        for n in range(1, len(number.group()) + 1 if number else 0):
+            if n == 1 or name[at] != "0":
+                after_key(at + n, f"{path}[{name[at:at + n]}]", parts + 1)
+
+    def key(at: int, path: str, parts: int) -> None:
+        for end in range(at + 1, len(name) + 1):
+            if end == len(name) or name[end] == "_" or name[end].isdigit():
+                after_key(end, f"{path}['{name[at:end]}']", parts + 1)
+            if len(found) > MAX_PATHS:
+                raise SchemaError(f"column {name!r} has over {MAX_PATHS} possible paths: declare its path")
+
+    key(0, "$", 0)
+    return [p for _, p in sorted(found)]
+
+
+def _found(variant: Column, paths: list[str]) -> Column:
+    """Text of the first of ``paths`` that holds a plain value."""
+    texts = []
+    for p in paths:
+        v = F.try_variant_get(variant, p, "variant")
+        nested = F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)")
+        texts.append(F.when(~nested, F.try_variant_get(variant, p, "string")))
+    return F.coalesce(*texts)
+
+
 def _as_text(dt: T.DataType) -> T.DataType:
     """The same shape with every leaf read as text."""
     if isinstance(dt, T.StructType):
@@ -149,6 +200,7 @@ def flatten_project(lines: DataFrame, target: T.StructType, *,
             # several declared keys with one name: the last one that is set wins
             raw[name] = F.coalesce(col, raw[name]) if name in raw else col
         bad_line = F.col("__j").isNull() | F.col(f"__j.{CORRUPT}").isNotNull()
+        lookup = {n: paths_of(n) for n in sorted(wanted - set(raw))}
     else:
         parsed = F.from_json(line, "map<string,string>")
         base = lines.select(*keep, line.alias(LINE), parsed.isNull().alias("__bad"),
@@ -161,6 +213,13 @@ def flatten_project(lines: DataFrame, target: T.StructType, *,
                 raw[name] = F.try_element_at(hits, F.lit(-1))["v"]
             present[name] = F.size(hits) > 0
         bad_line = F.col("__bad")
+        lookup = {n: nested for n in sorted(wanted) if (nested := paths_of(n)[1:])}
+    whole = F.col("__v")
+    if lookup:
+        base = base.withColumn("__v", F.try_parse_json(F.col(LINE)))
+    for name, paths in lookup.items():
+        found = _found(whole, paths)
+        raw[name] = F.coalesce(raw[name], found) if name in raw else found
     cols, checks = [], []
     for f in target.fields:
         r = raw.get(f.name)
@@ -172,6 +231,9 @@ def flatten_project(lines: DataFrame, target: T.StructType, *,
         checks.append(F.when(r.isNotNull() & typed.isNull(),
                              F.lit(f"bad {f.dataType.simpleString()}: {f.name}")))
     reason = F.when(bad_line, F.lit("not a JSON object"))
+    if lookup and input_schema is not None:
+        # such as a key twice in one object
+        reason = F.coalesce(reason, F.when(whole.isNull(), F.lit("not readable for undeclared columns")))
     if checks:
         reason = F.coalesce(reason, *checks)
     extra = [v.alias(f"_has_{k}") for k, v in present.items() if k in (presence or [])]
@@ -197,9 +259,11 @@ def apply_productivity(rows: DataFrame, has_col: str = "_has_productivity",
 
 
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the bookkeeping columns, rejects with reason and line)."""
+    """(good rows without the bookkeeping columns, rejects with reason, line
+    and, where the rows have one, the lake's ``day``)."""
     good = rows.filter(F.col(REASON).isNull())
     data_cols = [c for c in rows.columns if c not in (REASON, LINE) and not c.startswith("_has_")]
     rejects = rows.filter(F.col(REASON).isNotNull()).select(F.col(REASON).alias("reason"),
-                                                            F.col(LINE).alias("line"))
+                                                            F.col(LINE).alias("line"),
+                                                            *[c for c in data_cols if c == "day"])
     return good.select(*data_cols), rejects

@@ -8,6 +8,8 @@ session's ``spark.checkpoint.dir`` and return the table read back.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -264,6 +266,64 @@ def q_landing_rejects(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("text").alias("texts"))
 
 
+#: A table schema with columns of nested keys that no line schema declares.
+DYNAMIC_SCHEMA = schema.schema_json("devices", [
+    ("user_id", "STRING"), ("device_uid", "STRING"), ("device_firmware_build", "INT64"),
+    ("value0_fpVal", "FLOAT64"), ("parts1_spec_load", "INT64"), ("no_such_key", "STRING")])
+
+
+def q_flatten_dynamic(spark, sf_dir):
+    """A schema file decides which nested keys become columns."""
+    path = scratch_path(spark, "schema")
+    spark.createDataFrame([(DYNAMIC_SCHEMA,)], "value string").coalesce(1).write.text(path)
+    num = F.col("event_id")
+    parts = F.array(*[F.struct(F.struct(load.alias("load")).alias("spec")) for load in (num, num * 2)])
+    lines = _events(spark, sf_dir).select(F.to_json(F.struct(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.struct(F.concat(F.lit("d"), num).alias("uid"),
+                 F.struct((num + 1).alias("build")).alias("firmware")).alias("device"),
+        parts.alias("parts"), F.array(F.struct(F.col("value").alias("fpVal"))).alias("value"))).alias("value"))
+    return jobs.point_rows(lines, path)[0]
+
+
+def q_reload_days(spark, sf_dir):
+    """Every day of the lake loaded into the three tables in one pass;
+    then the last time-tracking day is landed anew without lines, and the
+    two-day reload of that day run.  Rows and sums per table and day, rejects
+    included."""
+    ev = _events(spark, sf_dir)
+    root = scratch_path(spark, "lake")
+    lake.write_sharded_jsonl(landed.time_tracking_lines(ev).withColumn(
+        "dataset", F.lit(jobs.DATASETS["time_tracking"])), root)
+    sessions = delivered_sessions(ev).withColumn("application", F.struct(
+        F.col("application_packageName").alias("packageName"))).drop("application_packageName")
+    jobs.land_documents(sessions, root, jobs.DATASETS["sessions"])
+    points = parsed_aggregated(spark, sf_dir)
+    ms = timez.nanos_to_millis(F.col("startTimeNanos").cast("long"))
+    jobs.land_documents(points.withColumn("day", F.to_date(timez.millis_to_instant(ms))), root,
+                        jobs.DATASETS["points"])
+    tables = {kind: scratch_path(spark, kind) for kind in ("points", "sessions", "time_tracking")}
+    rejects = scratch_path(spark, "rejects")
+    span = lake.scan_jsonl(spark, root).agg(F.min("day").alias("lo"), F.max("day").alias("hi")).head()
+    tracked = lake.scan_jsonl(spark, root, dataset=jobs.DATASETS["time_tracking"]).agg(F.max("day")).head()[0]
+    windows = [jobs.day_window(span.lo + _dt.timedelta(days=i)) for i in range((span.hi - span.lo).days + 1)]
+    jobs.load_windows(spark, root, tables, windows, rejects)
+    lake.write_prefix(spark.createDataFrame([], "value string"), root,
+                      {"day": tracked, "dataset": jobs.DATASETS["time_tracking"]})
+    jobs.run_reload(spark, tracked, root, tables, rejects)
+    sums = {"points": F.col("endTimeNanos") - F.col("startTimeNanos"),
+            "sessions": F.col("endTimeMillis") - F.col("startTimeMillis"),
+            "time_tracking": F.col("date_timestamp_millis") + F.col("time_spent_seconds")}
+    parts = [warehouse.read_table(spark, tables[k]).select(F.lit(k).alias("tbl"), "day", v.alias("x"))
+             for k, v in sums.items()]
+    bad = warehouse.read_table(spark, f"{rejects}/dataset={jobs.DATASETS['time_tracking']}")
+    parts.append(bad.select(F.lit("rejects").alias("tbl"), "day", F.lit(0).cast("long").alias("x")))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows.groupBy("tbl", "day").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"))
+
+
 QUERIES = {
     "parse_sessions": q_parse_sessions,
     "parse_datasources": q_parse_datasources,
@@ -280,6 +340,8 @@ QUERIES = {
     "load_fitness_points": q_load_fitness_points,
     "land_fitness": q_land_fitness,
     "landing_rejects": q_landing_rejects,
+    "flatten_dynamic": q_flatten_dynamic,
+    "reload_days": q_reload_days,
 }
 
 
@@ -380,4 +442,25 @@ SELECT DISTINCT 'datasources', user_id, dataSourceId, 'v-' || substr(dataSourceI
        count(DISTINCT user_id) AS texts
 FROM events, (VALUES ('sessions'), ('aggregated-datasets'), ('datasets'), ('datasources')) d(dataset)
 GROUP BY dataset""",
+    "flatten_dynamic": """SELECT CAST(user_id AS VARCHAR) AS user_id, 'd' || event_id AS device_uid,
+       CAST(event_id + 1 AS BIGINT) AS device_firmware_build, CAST("value" AS DOUBLE) AS value0_fpVal,
+       CAST(event_id * 2 AS BIGINT) AS parts1_spec_load, CAST(NULL AS VARCHAR) AS no_such_key
+FROM events""",
+    "reload_days": f"""WITH {DELIVERED_SQL},
+{split_sql("delivered", DAY_START_MS, DAY_START_MS + " + 86400000")},
+tracked AS (
+  SELECT CAST(ts AS DATE) AS day, event_id % 7 - 3 AS code,
+         epoch_us(ts) // 1000 + CAST(json_extract_string(props, '$.k') AS BIGINT) AS x
+  FROM events WHERE CAST(ts AS DATE) < (SELECT CAST(max(ts) AS DATE) FROM events)),
+loaded AS (
+  SELECT 'sessions' AS tbl, day, endTimeMillis - startTimeMillis AS x FROM pieces
+  UNION ALL
+  SELECT 'points', CAST(epoch_ms(CAST(round(startTimeNanos / 1000000) AS BIGINT)) AS DATE),
+         endTimeNanos - startTimeNanos
+  FROM ({standins.ORACLE_POINTS})
+  UNION ALL
+  SELECT CASE WHEN code BETWEEN -2 AND 2 THEN 'time_tracking' ELSE 'rejects' END, day,
+         CASE WHEN code BETWEEN -2 AND 2 THEN x ELSE 0 END
+  FROM tracked)
+SELECT tbl, day, count(*) AS n, CAST(sum(x) AS BIGINT) AS total FROM loaded GROUP BY ALL""",
 }

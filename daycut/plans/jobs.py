@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,30 +55,39 @@ PER_HOUR = {"startTimeMillis": MS_PER_HOUR, "date_timestamp_millis": MS_PER_HOUR
 
 def _fill_user(rows: DataFrame, path_user: str = "user") -> DataFrame:
     """``user_id`` from the line, else from the lake path."""
-    if path_user not in rows.columns:
-        return rows
+    if path_user not in rows.columns or "user_id" not in rows.columns:
+        return rows.drop(path_user)
     return rows.withColumn("user_id", F.coalesce(F.col("user_id"), F.col(path_user))) \
                .drop(path_user)
 
 
+def _cluster(rows: DataFrame, columns: list[str]) -> list[str] | None:
+    """The clustering columns, where the table's schema has them all."""
+    return columns if set(columns) <= set(rows.columns) else None
+
+
 def _keep(lines: DataFrame) -> list[str]:
     return [c for c in ("user", "day") if c in lines.columns]
 
 
-def point_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """B1 points branch: flatten + project on the aggregated-datasets schema."""
-    rows = flatten.flatten_project(lines, schema.AGGREGATED_DATASETS,
-                                   input_schema=POINT_LINE, keep=_keep(lines))
+def point_rows(lines: DataFrame, target: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
+    """B1 points branch: flatten + project on the table schema (``target``: a
+    schema or the path of a schema file; default: aggregated datasets)."""
+    target = schema.table_schema(lines.sparkSession, target, schema.AGGREGATED_DATASETS)
+    rows = flatten.flatten_project(lines, target, input_schema=POINT_LINE, keep=_keep(lines))
     good, rejects = flatten.split_rejects(rows)
     return _fill_user(good), rejects
 
 
 def session_rows(lines: DataFrame, lo=None, hi=None,
-                 step_ms: int = intervals.STEP_MS) -> tuple[DataFrame, DataFrame]:
-    """B1 sessions branch: flatten + project, then clip to ``[lo, hi]``
-    (epoch ms or column names) and split into ``step_ms`` pieces."""
-    rows = flatten.flatten_project(lines, schema.SESSIONS, input_schema=SESSION_LINE,
-                                   keep=_keep(lines))
+                 step_ms: int = intervals.STEP_MS,
+                 target: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
+    """B1 sessions branch: flatten + project (``target`` as for the points),
+    then clip to ``[lo, hi]`` (epoch ms or column names) and split into
+    ``step_ms`` pieces."""
+    target = schema.table_schema(lines.sparkSession, target, schema.SESSIONS,
+                                 needs=("startTimeMillis", "endTimeMillis"))
+    rows = flatten.flatten_project(lines, target, input_schema=SESSION_LINE, keep=_keep(lines))
     # the split needs both times: a row without them is a reject
     missing = F.col("startTimeMillis").isNull() | F.col("endTimeMillis").isNull()
     rows = rows.withColumn(flatten.REASON, F.coalesce(
@@ -92,20 +101,25 @@ def session_rows(lines: DataFrame, lo=None, hi=None,
 
 
 def time_tracking_rows(lines: DataFrame, line_schema: T.StructType | None = None,
-                       any_key_spelling: bool = False) -> tuple[DataFrame, DataFrame]:
-    """B2: flat lines; ``(`` ``)`` dropped from names; productivity rule.
+                       any_key_spelling: bool = False,
+                       target: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
+    """B2: flat lines (``target`` as for the points, without a ``productivity``
+    column no rule on it); ``(`` ``)`` dropped from names; productivity rule.
 
     Lines are parsed with the declared line schema (the keys the landing
     writes, both spellings of the seconds key); ``any_key_spelling`` switches
     to the generic map parse that accepts every key normalising to a column
     name, at about five times the parse cost.
     """
-    rows = flatten.flatten_project(lines, schema.TIME_TRACKING,
+    target = schema.table_schema(lines.sparkSession, target, schema.TIME_TRACKING)
+    ruled = "productivity" in target.names
+    rows = flatten.flatten_project(lines, target,
                                    input_schema=None if any_key_spelling
                                    else (line_schema or TIME_TRACKING_LINE),
                                    drop_chars=flatten.BRACKETS_AND_PARENS,
-                                   keep=_keep(lines), presence=["productivity"])
-    rows = flatten.apply_productivity(rows)
+                                   keep=_keep(lines), presence=["productivity"] if ruled else None)
+    if ruled:
+        rows = flatten.apply_productivity(rows)
     good, rejects = flatten.split_rejects(rows)
     return _fill_user(good), rejects
 
@@ -128,6 +142,16 @@ def day_window(day, end_inclusive_ms: int | None = None) -> DayWindow:
     return DayWindow(d, begin, end)
 
 
+def text_window(begin: str, end: str) -> DayWindow:
+    """Window between two RFC 3339 times, of the UTC day of its begin."""
+    lo, hi = (_dt.datetime.fromisoformat(t) for t in (begin, end))
+    if lo.tzinfo is None or hi.tzinfo is None:
+        raise ValueError(f"times need an offset: {begin}, {end}")
+    ms = _dt.timedelta(milliseconds=1)
+    epoch = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
+    return DayWindow(lo.astimezone(_dt.timezone.utc).date(), (lo - epoch) // ms, (hi - epoch) // ms)
+
+
 def reload_days(run_day, n_days: int = 2) -> list[DayWindow]:
     """A run for day ``ds`` reloads UTC days ``ds-n+1 … ds`` (late data and
     sessions reported on both days they touch are completed by the re-load)."""
@@ -140,19 +164,22 @@ def reload_days(run_day, n_days: int = 2) -> list[DayWindow]:
 def job_load_fitness(spark: SparkSession, lake_root: str, points_table: str,
                      sessions_table: str, window: DayWindow,
                      rejects_table: str | None = None, files: int | None = None,
-                     by=lake.PREFIX_COLS) -> None:
-    """B1 for one UTC day: both branches, each a truncate-load of the day."""
+                     by=lake.PREFIX_COLS, points_schema: T.StructType | str | None = None,
+                     sessions_schema: T.StructType | str | None = None) -> None:
+    """B1 for one UTC day: both branches, each a truncate-load of the day.
+    The schemas are those of the tables, given or as paths of schema files."""
     pts_lines = lake.scan_jsonl(spark, lake_root, day=window.day,
                                 dataset=DATASETS["points"], by=by)
-    pts, pts_rej = point_rows(pts_lines)
+    pts, pts_rej = point_rows(pts_lines, points_schema)
     warehouse.load_partition(pts.drop("day"), points_table, window.day,
-                             cluster_by=POINT_CLUSTER, files=files,
+                             cluster_by=_cluster(pts, POINT_CLUSTER), files=files,
                              time_per_hour=NS_PER_HOUR)
     ses_lines = lake.scan_jsonl(spark, lake_root, day=window.day,
                                 dataset=DATASETS["sessions"], by=by)
-    ses, ses_rej = session_rows(ses_lines, window.begin_ms, window.end_ms)
+    ses, ses_rej = session_rows(ses_lines, window.begin_ms, window.end_ms,
+                                target=sessions_schema)
     warehouse.load_partition(ses.drop("day"), sessions_table, window.day,
-                             cluster_by=SESSION_CLUSTER, files=files,
+                             cluster_by=_cluster(ses, SESSION_CLUSTER), files=files,
                              time_per_hour=MS_PER_HOUR)
     if rejects_table:
         warehouse.write_rejects(pts_rej, rejects_table, window.day, DATASETS["points"])
@@ -161,13 +188,14 @@ def job_load_fitness(spark: SparkSession, lake_root: str, points_table: str,
 
 def job_load_time_tracking(spark: SparkSession, lake_root: str, table: str,
                            window: DayWindow, rejects_table: str | None = None,
-                           files: int | None = None, by=lake.PREFIX_COLS) -> None:
+                           files: int | None = None, by=lake.PREFIX_COLS,
+                           table_schema: T.StructType | str | None = None) -> None:
     """B2 for one UTC day (all users' lines of that day)."""
     lines = lake.scan_jsonl(spark, lake_root, day=window.day,
                             dataset=DATASETS["time_tracking"], by=by)
-    good, rejects = time_tracking_rows(lines)
+    good, rejects = time_tracking_rows(lines, target=table_schema)
     warehouse.load_partition(good.drop("day"), table, window.day,
-                             cluster_by=TRACKING_CLUSTER, files=files,
+                             cluster_by=_cluster(good, TRACKING_CLUSTER), files=files,
                              time_per_hour=MS_PER_HOUR)
     if rejects_table:
         warehouse.write_rejects(rejects, rejects_table, window.day,
@@ -184,15 +212,42 @@ def load_all_days(rows: DataFrame, table: str, cluster_by: list[str],
      .partitionBy("day").parquet(table))
 
 
+def load_windows(spark: SparkSession, lake_root: str, tables: dict[str, str], windows: list[DayWindow],
+                 rejects_table: str | None = None, by=lake.PREFIX_COLS,
+                 schemas: dict[str, T.StructType | str] | None = None) -> None:
+    """B1 and B2 for several UTC days, one pass per dataset: each day of
+    ``windows`` is replaced, also by nothing, and sessions are clipped to
+    their own day's window."""
+    schemas = schemas or {}
+    days = [w.day for w in windows]
+
+    def bound(pick) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for w in windows for x in (w.day, pick(w))]), F.col("day"))
+
+    makers = {
+        "points": (POINT_CLUSTER, lambda lines, target: point_rows(lines, target)),
+        "sessions": (SESSION_CLUSTER, lambda lines, target: session_rows(
+            lines, bound(lambda w: w.begin_ms), bound(lambda w: w.end_ms), target=target)),
+        "time_tracking": (TRACKING_CLUSTER, lambda lines, target: time_tracking_rows(lines, target=target)),
+    }
+    for kind, table in tables.items():
+        cluster, make = makers[kind]
+        good, rejects = make(lake.scan_jsonl(spark, lake_root, day=days, dataset=DATASETS[kind], by=by),
+                             schemas.get(kind))
+        warehouse.load_days(good, table, days, cluster_by=_cluster(good, cluster),
+                            time_per_hour=PER_HOUR[cluster[-1]])
+        if rejects_table:
+            warehouse.load_days(rejects, f"{rejects_table.rstrip('/')}/dataset={DATASETS[kind]}", days)
+
+
 def run_reload(spark: SparkSession, run_day, lake_root: str, tables: dict[str, str],
-               rejects_table: str | None = None, by=lake.PREFIX_COLS) -> list[DayWindow]:
-    """Re-load the run's days into the fitness and time-tracking tables."""
-    windows = reload_days(run_day)
-    for w in windows:
-        job_load_fitness(spark, lake_root, tables["points"], tables["sessions"], w,
-                         rejects_table, by=by)
-        job_load_time_tracking(spark, lake_root, tables["time_tracking"], w,
-                               rejects_table, by=by)
+               rejects_table: str | None = None, by=lake.PREFIX_COLS, *,
+               windows: list[DayWindow] | None = None,
+               schemas: dict[str, T.StructType | str] | None = None) -> list[DayWindow]:
+    """Re-load the run's days (or the given ``windows``) into the fitness
+    and time-tracking tables."""
+    windows = windows or reload_days(run_day)
+    load_windows(spark, lake_root, tables, windows, rejects_table, by, schemas)
     return windows
 
 

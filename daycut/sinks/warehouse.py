@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 DAY_COL = "day"
 SALT = 16
@@ -62,12 +64,51 @@ def load_partition(df: DataFrame, table: str, day, *, cluster_by: list[str] | No
     out.write.mode("overwrite").parquet(day_path(table, day))
 
 
+def _last_files(spark: SparkSession, table: str, columns: StructType, days: list) -> dict:
+    """Of each of ``days`` that holds rows, the last of its files by name."""
+    try:
+        rows = spark.read.schema(columns).option("basePath", table).parquet(table)
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    rows = rows.filter(F.col(DAY_COL).isin(*[F.lit(f"{d}").cast("date") for d in days]))
+    return {f"{r[0]}": r[1] for r in rows.groupBy(DAY_COL).agg(F.max("_metadata.file_name")).collect()}
+
+
+def load_days(rows: DataFrame, table: str, days: list, *, cluster_by: list[str] | None = None,
+              files: int | None = None, time_per_hour: int | None = None) -> None:
+    """Truncate-and-write several UTC days in one job (rows carry ``day``).
+
+    Days that get rows are replaced by one partitioned write.  Those that
+    still hold the files of an earlier load after it got none, and are
+    emptied; this reads no column but one row per day.
+    """
+    spark, columns = rows.sparkSession, rows.schema
+    before = _last_files(spark, table, columns, days)
+    out = rows.filter(F.col(DAY_COL).isin(*[F.lit(f"{d}").cast("date") for d in days]))
+    if cluster_by:
+        out = clustered(out, cluster_by, files, time_per_hour, lead=[DAY_COL])
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(DAY_COL).parquet(table))
+    after = _last_files(spark, table, columns, days)
+    stale = [d for d, name in after.items() if before.get(d) == name]
+    if not after:
+        stale = days[:1]                                   # an empty table still has its columns
+    nothing = spark.createDataFrame([], rows.drop(DAY_COL).schema)
+    for d in stale:
+        nothing.write.mode("overwrite").parquet(day_path(table, d))
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """A warehouse table with its ``day`` partition column."""
+    """A warehouse table with its ``day`` partition column (S8), by the path
+    of its folder or by its name in the session's catalog."""
+    if "/" not in table:
+        return spark.read.table(table)
     return spark.read.option("basePath", table).parquet(table)
 
 
 def write_rejects(rejects: DataFrame, table: str, day, dataset: str) -> None:
     """Rejected lines with their reason, kept instead of only logged."""
-    rejects.write.mode("overwrite").parquet(
+    rejects.drop(DAY_COL).write.mode("overwrite").parquet(
         f"{table.rstrip('/')}/dataset={dataset}/{DAY_COL}={day}")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import PySparkException
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 # ---- fixed values: type names of the schema files and their Spark types -----
@@ -82,16 +84,32 @@ def parse_schema_json(text: str) -> T.StructType:
     return struct_from_fields(fields)
 
 
-def load_schema(path: str) -> T.StructType:
-    """Read a schema file (driver side; the file is a few hundred bytes)."""
+def load_schema(path: str, spark: SparkSession | None = None) -> T.StructType:
+    """Read a schema file (driver side; the file is a few hundred bytes), with
+    a session from any file system that Spark reads."""
     try:
-        with open(path, encoding="utf-8") as fh:
-            text = fh.read()
-    except OSError as ex:
+        if spark is not None:
+            found = spark.read.text(path, wholetext=True).head()
+            text = found[0] if found else ""
+        else:
+            with open(path, encoding="utf-8") as fh:
+                text = fh.read()
+    except (OSError, PySparkException) as ex:
         raise SchemaError(f"cannot read schema {path}: {ex}") from ex
     return parse_schema_json(text)
 
 
+def table_schema(spark: SparkSession, given: T.StructType | str | None, default: T.StructType,
+                 needs: tuple[str, ...] = ()) -> T.StructType:
+    """A load's table schema: the default, a given one, or the file of a path.
+    Raises where a column that the load ``needs`` is not in it."""
+    out = default if given is None else load_schema(given, spark) if isinstance(given, str) else given
+    lacking = [n for n in needs if n not in out.names]
+    if lacking:
+        raise SchemaError(f"schema lacks {', '.join(lacking)}")
+    return out
+
+
 def schema_json(name: str, fields) -> str:
     """Write a schema in the file format (for tests and new tables)."""
     return json.dumps({"name": name,

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import types as T
 
 from daycut.operators import flatten
 from daycut.plans import jobs
@@ -116,3 +117,53 @@ def test_declared_and_generic_time_tracking_agree(spark):
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
     assert sorted(r.reason for r in ra.collect()) == sorted(r.reason for r in rb.collect()) \
         == ["bad productivity code"]
+
+
+def test_paths_of_a_name():
+    assert flatten.paths_of("user") == ["$['user']"]
+    assert flatten.paths_of("device_uid") == ["$['device_uid']", "$['device']['uid']"]
+    assert set(flatten.paths_of("v12")) == {"$['v12']", "$['v'][12]", "$['v'][1][2]", "$['v1'][2]"}
+    with pytest.raises(schema.SchemaError):
+        flatten.paths_of("a_b_c_d_e_f_g_h_i_j_k")
+
+
+def test_undeclared_nested_paths(spark):
+    target = schema.struct_from_fields([("user_id", "STRING"), ("device_uid", "STRING"), ("value0_fpVal", "FLOAT64"),
+                                        ("more1_x", "INT64"), ("device", "STRING")])
+    lines = ['{"user_id":"a","device":{"uid":"u1"},"value":[{"fpVal":1.5}],"more":[{"x":1},{"x":2}]}',
+             '{"user_id":"b","device_uid":"flat","device":{"uid":"nested"}}',
+             '{"user_id":"c","more":[{"x":1},{"x":"no number"}]}',
+             '{"user_id":"d","device":{"uid":null},"more":[{"x":1}]}', '{"user_id":"e","device":"plain"}',
+             '{"user_id":"f","device":{"uid":"1","uid":"2"}}']
+    declared = T.StructType([T.StructField("user_id", T.StringType())])
+    rows = flatten.flatten_project(_lines(spark, lines), target, input_schema=declared)
+    good, rejects = flatten.split_rejects(rows)
+    assert {tuple(r) for r in good.collect()} == {
+        ("a", "u1", 1.5, 2, None), ("b", "flat", None, None, None), ("d", None, None, None, None),
+        ("e", None, None, None, "plain")}
+    assert sorted(r.reason for r in rejects.collect()) == ["bad bigint: more1_x", "not readable for undeclared columns"]
+    flat = flatten.flatten_project(_lines(spark, lines[:2]), T.StructType(target.fields[:4]))
+    got = {tuple(r) for r in flatten.split_rejects(flat)[0].collect()}
+    assert got == {("a", "u1", 1.5, 2), ("b", "flat", None, None)}
+
+
+def test_schema_file_decides_the_columns(spark, tmp_path):
+    p = tmp_path / "s.json"
+    p.write_text(schema.schema_json("t", [("user_id", "STRING"), ("device_uid", "STRING")]))
+    rows, _ = jobs.point_rows(_lines(spark, ['{"user_id":"a","device":{"uid":"u1"}}']), f"file://{p}")
+    assert [tuple(r) for r in rows.collect()] == [("a", "u1")]
+    with pytest.raises(schema.SchemaError):
+        jobs.point_rows(_lines(spark, []), f"file://{tmp_path}/none.json")
+    with pytest.raises(schema.SchemaError):                       # the split needs both times
+        jobs.session_rows(_lines(spark, []), target=f"file://{p}")
+    rows, _ = jobs.time_tracking_rows(_lines(spark, ['{"user_id":"a","productivity":"9"}']), target=f"file://{p}")
+    assert [tuple(r) for r in rows.collect()] == [("a", None)]
+
+
+def test_text_window():
+    w = jobs.text_window("2024-01-09T00:00:00Z", "2024-01-09T23:59:59.99Z")
+    d = jobs.day_window("2024-01-09")
+    assert (w.day, w.begin_ms, w.end_ms) == (d.day, d.begin_ms, d.end_ms - 10)
+    assert jobs.text_window("2024-01-09T01:00:00+09:00", "2024-01-10T00:00:00Z").day.isoformat() == "2024-01-08"
+    with pytest.raises(ValueError):
+        jobs.text_window("2024-01-09T00:00:00", "2024-01-10T00:00:00Z")

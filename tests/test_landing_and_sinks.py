@@ -382,3 +382,17 @@ def test_matrix_headers_that_once_stopped_the_job(spark):
     assert [r[landing.REASON] for r in out.collect() if r[landing.REASON]] == ["header without a name"]
     line = json.loads(landing.matrix_row_json(out.filter(F.col(landing.REASON).isNull())).first().value)
     assert line == {"user_id": "u", "date": "2020-05-16T08:00:00", "date_timestamp_millis": "1589616000000"}
+
+
+def test_load_days_empties_days_without_rows(spark, tmpdir_path):
+    table = f"{tmpdir_path}/days"
+    rows = lambda *r: spark.createDataFrame(list(r), "user_id string, t long, day string") \
+        .withColumn("day", F.col("day").cast("date"))
+    read = lambda: {(r.user_id, str(r.day)) for r in warehouse.read_table(spark, table).collect()}
+    days = ["2024-01-08", "2024-01-09"]
+    warehouse.load_days(rows(), table, days)
+    assert read() == set()
+    warehouse.load_days(rows(("a", 1, "2024-01-08"), ("b", 2, "2024-01-09"), ("c", 3, "2024-01-10")), table,
+                        [*days, "2024-01-10"], cluster_by=["user_id", "t"], time_per_hour=3_600_000)
+    warehouse.load_days(rows(("d", 1, "2024-01-08"), ("e", 9, "2024-01-10")), table, days)
+    assert read() == {("d", "2024-01-08"), ("c", "2024-01-10")}      # the 10th is not of this load

@@ -95,7 +95,13 @@ def dense_by_user(cal: DataFrame, facts: DataFrame, users: DataFrame, start, end
     s, e = F.lit(to_date_value(start)), F.lit(to_date_value(end))
     grid = users.select(user, F.explode(F.when(s <= e, F.sequence(s, e))).alias(on))
     grid = grid.join(bounded_broadcast(cal, day_count(start, end)), on=on, how="inner")
-    return grid.join(facts, on=[user, on], how="left")
+    return _match(grid, facts, user, on, "left").drop("__user", "__on")
+
+
+def _match(grid: DataFrame, facts: DataFrame, user: str, on: str, how: str) -> DataFrame:
+    """Join on (user, day) that takes rows without a user as one user's."""
+    facts = facts.withColumnsRenamed({user: "__user", on: "__on"})
+    return grid.join(facts, F.col(user).eqNullSafe(F.col("__user")) & (F.col(on) == F.col("__on")), how)
 
 
 def dense_detail_by_user(cal: DataFrame, detail: DataFrame, users: DataFrame, start, end,
@@ -108,7 +114,7 @@ def dense_detail_by_user(cal: DataFrame, detail: DataFrame, users: DataFrame, st
     s, e = F.lit(to_date_value(start)), F.lit(to_date_value(end))
     grid = users.select(user, F.explode(F.when(s <= e, F.sequence(s, e))).alias(on))
     grid = grid.join(bounded_broadcast(cal, bound), on=on, how="inner")
-    empty = grid.join(detail.select(user, on).distinct(), on=[user, on], how="left_anti")
+    empty = _match(grid, detail.select(user, on).distinct(), user, on, "left_anti")
     for c in detail.columns:
         if c not in (user, on):
             empty = empty.withColumn(c, F.lit(None).cast(detail.schema[c].dataType))

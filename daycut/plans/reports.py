@@ -90,9 +90,11 @@ def _densify(cal_cols: DataFrame, per_day: DataFrame, start, end, by_user: bool,
     return daily.dense_left(cal_cols, per_day, _bound(start, end))
 
 
-def _users(df: DataFrame, user_id) -> DataFrame:
-    """Users a per-user report covers: all users of the table (or the one asked)."""
-    return _user(df, user_id).select("user_id").distinct()
+def _users(df: DataFrame, user_id, users: DataFrame | None = None) -> DataFrame:
+    """Users a per-user report covers: those of ``users``, else all of the
+    table (or the one asked).  A table of users saves the scan of all days
+    that finding them in the facts takes."""
+    return _user(df if users is None else users, user_id).select("user_id").distinct()
 
 
 # ---- V1 ---------------------------------------------------------------------
@@ -117,20 +119,21 @@ def points_by_day(points: DataFrame, data_type: str, tz: str, user_id, start, en
 def daily_metric(points: DataFrame, cal: DataFrame, *, data_type: str, aggs: dict,
                  finish: dict, tz: str = TZ, user_id=None, start=None, end=None,
                  day_col: str | None = None, ordered: bool = True,
-                 by_user: bool = False) -> DataFrame:
+                 by_user: bool = False, users: DataFrame | None = None) -> DataFrame:
     """Generic V2–V5: aggregate by local day, then densify on the calendar.
 
     ``aggs`` name → aggregate over the day's points; ``finish`` name →
     expression over the joined row (zero fill and rounding go here, after
     the join, so days without points see NULL aggregates as in SQL).
-    ``by_user`` gives one dense series per user of the table instead of one
-    series over the selected users.
+    ``by_user`` gives one dense series per user of the table (of ``users``,
+    where given) instead of one series over the selected users; rows without
+    a user count as one user.
     """
     keys = ["user_id", "date"] if by_user else ["date"]
     per_day = points_by_day(points, data_type, tz, user_id, start, end, day_col) \
         .groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
     joined = _densify(cal.select("date", "date_year_month"), per_day, start, end, by_user,
-                      _users(points, user_id) if by_user else None)
+                      _users(points, user_id, users) if by_user else None)
     out = joined.select(*keys, "date_year_month", *[e.alias(n) for n, e in finish.items()])
     return newest_first(out, ordered, _bound(start, end) is not None)
 
@@ -205,7 +208,8 @@ def sleep_by_day_and_app(sessions: DataFrame, *, tz: str = TZ, user_id=None,
 
 def daily_sleep(sessions: DataFrame, cal: DataFrame, *, tz: str = TZ, user_id=None,
                 start=None, end=None, day_col: str | None = None,
-                ordered: bool = True, by_user: bool = False) -> DataFrame:
+                ordered: bool = True, by_user: bool = False,
+                users: DataFrame | None = None) -> DataFrame:
     """V6: per day, the largest per-app total of sleep (seconds and hours)."""
     per_app = sleep_by_day_and_app(sessions, tz=tz, user_id=user_id, start=start,
                                    end=end, day_col=day_col, by_user=by_user)
@@ -214,7 +218,7 @@ def daily_sleep(sessions: DataFrame, cal: DataFrame, *, tz: str = TZ, user_id=No
         F.max(F.col("ms").cast("double") / F.lit(1000)).alias("sleep_sec"),
         F.max(F.col("ms").cast("double") / F.lit(3_600_000)).alias("sleep_hour"))
     out = _densify(cal.select("date", "date_year_month"), per_day, start, end, by_user,
-                   _users(sessions, user_id) if by_user else None)
+                   _users(sessions, user_id, users) if by_user else None)
     return newest_first(out.select(*keys, "date_year_month", "sleep_sec", "sleep_hour"),
                         ordered, _bound(start, end) is not None)
 
@@ -237,7 +241,7 @@ WORKING = (tuple(labels.WORKING_DAYS), labels.WORKING_FIRST_HOUR, labels.WORKING
 def daily_productive(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
                      user_id=None, start=None, end=None, day_col: str | None = None,
                      ordered: bool = True, by_user: bool = False,
-                     working=WORKING) -> DataFrame:
+                     working=WORKING, users: DataFrame | None = None) -> DataFrame:
     """V7: productive seconds inside / outside working hours and in total.
 
     One scan with complementary conditional sums replaces two scans and two
@@ -250,7 +254,7 @@ def daily_productive(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
     keys = ["user_id", "date"] if by_user else ["date"]
     per_day = a.groupBy(*keys).agg(inside.alias("w"), outside.alias("o"))
     j = _densify(cal.select("date", "date_year_month", "dayofweek"), per_day, start, end,
-                 by_user, _users(activities, user_id) if by_user else None)
+                 by_user, _users(activities, user_id, users) if by_user else None)
     w = F.coalesce(F.col("w"), F.lit(0)).cast("long")
     o = F.coalesce(F.col("o"), F.lit(0)).cast("long")
     out = j.select(*keys, "date_year_month", w.alias("working_time_sec"),
@@ -287,7 +291,8 @@ def daily_productive_details(activities: DataFrame, cal: DataFrame, *, tz: str =
                              user_id=None, start=None, end=None,
                              day_col: str | None = None,
                              ordered: bool = True, by_user: bool = False,
-                             working=WORKING, materialize: bool = False) -> DataFrame:
+                             working=WORKING, materialize: bool = False,
+                             users: DataFrame | None = None) -> DataFrame:
     """V8: seconds per day × category × productivity × activity × hour.
 
     Days without facts give one row of NULL facts (per user with ``by_user``).
@@ -310,7 +315,10 @@ def daily_productive_details(activities: DataFrame, cal: DataFrame, *, tz: str =
     cal_cols = cal.select("date", "date_year_month", "dayofweek")
     if by_user:
         _require_range(start, end)
-        j = daily.dense_detail_by_user(cal_cols, detail, _users(activities, user_id),
+        if users is not None:
+            asked = _users(activities, user_id, users).withColumnRenamed("user_id", "__user")
+            detail = detail.join(asked, F.col("user_id").eqNullSafe(F.col("__user")), "left_semi")
+        j = daily.dense_detail_by_user(cal_cols, detail, _users(activities, user_id, users),
                                        start, end)
     else:
         j = daily.dense_left_detail(cal_cols, detail, _bound(start, end))

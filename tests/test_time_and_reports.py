@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from daycut.functions import labels, timez
-from daycut.plans import reports
+from daycut.plans import reports, standins
 from daycut.sources import calendar as calmod
 
 D = dt.date
@@ -256,3 +256,20 @@ def test_details_materialized_equals_rescan(spark):
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
     plan = b._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" not in plan          # both branches read the checkpoint
+
+
+def test_by_user_with_a_table_of_users(spark):
+    rows = [(None, 1), ("a", 2), ("b", 4)]
+    ns = 1_704_853_800_000_000_000                               # 2024-01-10 11:30 in Seoul
+    points = spark.createDataFrame([(u, standins.STEP_TYPE, ns, None, n) for u, n in rows],
+                                   "user_id string, dataTypeName string, startTimeNanos long, "
+                                   "value0_fpVal double, value0_intVal long")
+    cal = calmod.calendar_days(spark, "2024-01-10", "2024-01-11", "Asia/Seoul")
+    kw = {"tz": "Asia/Seoul", "start": "2024-01-10", "end": "2024-01-11", "by_user": True}
+    got = lambda df: {(r.user_id, str(r.date), r.step_count) for r in df.collect()}
+    days = ("2024-01-10", "2024-01-11")
+    assert got(reports.daily_steps(points, cal, **kw)) == {
+        (u, d, n if d == days[0] else 0) for u, n in rows for d in days}
+    users = spark.createDataFrame([("a",), ("z",)], "user_id string")
+    assert got(reports.daily_steps(points, cal, users=users, **kw)) == {
+        ("a", days[0], 2), ("a", days[1], 0), ("z", days[0], 0), ("z", days[1], 0)}

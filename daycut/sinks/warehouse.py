@@ -5,7 +5,7 @@ as a whole, so a re-run replaces, and an empty input leaves an empty day
 (truncate semantics).  Clustering (K4): rows are hash-partitioned on
 (user, hour of the time column) and sorted by (user, time) inside each file,
 so Parquet row-group min/max statistics skip on user and time filters.  The
-hour and a small salt taken from the time value spread a user — or a single
+hour and a small salt from the row's hash spread a user — or a single
 user-hour — that holds a large share of the rows over many tasks, and hashing
 needs no sampling pass (a range partitioner would run the whole upstream scan
 and parse once more just to sample it).

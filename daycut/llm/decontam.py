@@ -6,9 +6,10 @@ that a document shares with the benchmark are counted per item in overlapping
 bands of diagonals; bands that meet the bound are verified by a banded
 alignment of the whole item.
 
-Texts are compared as UTF-8 bytes with A-Z lowered and each run of white space
-as one space; edits are edits of bytes.  Documents never move: the index of the
-benchmark goes to them, in blocks of a fixed size.
+Texts are compared as UTF-8 bytes with case folded over all of Unicode (each
+code point by ``str.casefold``) and each run of white space as one space; edits
+are edits of these bytes.  Documents never move: the index of the benchmark goes
+to them, in blocks of a fixed size.
 """
 
 from __future__ import annotations
@@ -31,19 +32,74 @@ EDIT_SHARE = 0.05
 INDEX_BYTES = 16 << 20
 _BITS = 22
 _U = np.uint64
+_FOLD: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+
+def _fold_table() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every code point, the number of its folded form (0: stays as it is);
+    of every form, its bytes and how many there are."""
+    global _FOLD
+    if _FOLD is None:
+        number = np.zeros(0x110000, dtype=np.int16)
+        forms = [b""]
+        for c in range(0x80, 0x20000):
+            if not 0xD800 <= c < 0xE000 and chr(c).casefold() != chr(c):
+                number[c] = len(forms)
+                forms.append(chr(c).casefold().encode())
+        size = np.array([len(f) for f in forms], dtype=np.int64)
+        table = np.zeros((len(forms), size.max()), dtype=np.uint8)
+        for no, f in enumerate(forms):
+            table[no, :len(f)] = list(f)
+        _FOLD = number, table, size
+    return _FOLD
+
+
+def fold(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes with case folded, row offsets into them, and the old place of
+    each; a form longer or shorter than its code point ends where that ends."""
+    out, same = _LOWER[data], np.arange(len(data))
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return out, off, same
+    number, table, size = _fold_table()
+    wide = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int32)
+    a, b, c, d = wide[lead], *(wide[lead + i] & 63 for i in (1, 2, 3))
+    length = 2 + (a >= 0xE0) + (a >= 0xF0)
+    code = np.select([length == 2, length == 3], [(a & 31) << 6 | b, (a & 15) << 12 | b << 6 | c],
+                     (a & 7) << 18 | b << 12 | c << 6 | d)
+    form = number[np.minimum(code, 0x10FFFF)]
+    lead, length, form = lead[form > 0], length[form > 0], form[form > 0]
+    new = size[form]
+    if (new != length).any():
+        count = np.ones(len(data), dtype=np.int64)
+        for i in (1, 2, 3):
+            count[lead[length > i] + i] = 0
+        count[lead] = new
+        at = np.concatenate([[0], np.cumsum(count)])
+        same = np.repeat(same, count)
+        out = out[same]
+        put, off = at[lead], at[off]
+    else:
+        put = lead
+    for i in range(table.shape[1]):
+        has = new > i
+        out[put[has] + i] = table[form[has], i]
+        same[put[has] + i] = lead[has] + np.where(i == new[has] - 1, length[has] - 1, np.minimum(i, length[has] - 1))
+    return out, off, same
 
 
 def normal(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Normalised bytes, row offsets into them, and the old place of each."""
+    data, off, old = fold(data, off)
     space = _SPACE[data]
     keep = ~space
     keep[1:] |= ~space[:-1]
     heads = off[:-1][off[1:] > off[:-1]]
     keep[heads] = True
     at = np.flatnonzero(keep)
-    out = _LOWER[data[at]]
+    out = data[at]
     out[space[at]] = 32
-    return out, np.searchsorted(at, off), at
+    return out, np.searchsorted(at, off), old[at]
 
 
 def qgrams(data: np.ndarray) -> np.ndarray:

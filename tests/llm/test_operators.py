@@ -344,6 +344,22 @@ def test_decontamination_against_brute_force(spark):
     assert decontam.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_folds_all_letters(spark):
+    items = [(1, "Où étaient les élèves âgés, près de la forêt où le maître a prêté ses cahiers?"),
+             (2, "съешь же ещё этих мягких французских булок, да выпей чаю"),
+             (3, "ο γρήγορος σκύλος πηδάει πάνω από τους τεμπέληδες λύκους"),
+             (4, "die große Straße führt über weiße Brücken außen am Schloß vorbei"),
+             (5, "ⱥ and ⱦ with ⱥ or ⱦ in a line of plain words")]
+    texts = [(10 * i, f"Å before {t.upper()} after é") for i, t in items]
+    texts += [(10 * i + 1, f"ẞ K İ {t.swapcase()}") for i, t in items] + [(99, "no such passage, ÀÉÎ " * 9)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.id: r for r in decontam.contaminated(frame(spark, texts), bench).collect()}
+    assert {d: (r.item_id, r.edits) for d, r in got.items()} == {d: (d // 10, 0) for d, _ in texts if d < 99}
+    for d, t in texts[:-1]:
+        assert t[got[d].start:got[d].stop].casefold() == dict(items)[d // 10].casefold()
+    assert [r.doc_id for r in decontam.decontaminate(frame(spark, texts), bench).collect()] == [99]
+
+
 def test_benchmark_in_blocks(spark):
     items = spark.createDataFrame([(i, prose(800 + i, 20)) for i in range(6)], "item_id long, text string")
     assert sum(len(x.items) for x in decontam.indexes(items, limit=100)) == 6

@@ -7,12 +7,16 @@ A window is ``WINDOW`` consecutive words.  Equal windows have the same smallest
    reported at least twice are the only ones around which a window can recur.
 2. Documents that have such grams give their candidate segments: runs of
    windows of one smallest gram.  Grams that are very frequent (a common line in
-   many different documents) are put last in the order, so that no group of
-   segments grows with them.
+   many different documents) are put last in the order, so that fewer segments
+   share a gram.
 3. Equal segments become one row with a count, and are dealt into shards by the
-   gram.  In a shard the windows are counted, the recurring runs of windows are
-   the confirmed passages, and an Aho-Corasick automaton of all passages of the
-   shard, one sign a word, runs over the segments and finds each occurrence.
+   gram.  A gram whose segments are more than a shard (windows that reach out
+   over the edges of a very common passage, different in every document) is
+   dealt over several parts, and the windows of its parts are counted together
+   by their hash.  In a shard the windows are counted, the recurring runs of
+   windows, by the counts of all parts, are the confirmed passages, and an
+   Aho-Corasick automaton of all passages of the shard, one sign a word, runs
+   over the segments and finds each occurrence.
 4. The occurrences go back to all documents that hold the segment, and the
    words they cover are removed.
 
@@ -96,9 +100,28 @@ def _cut(batch: pa.RecordBatch, hot: np.ndarray, window: int, gram: int) -> dict
             "words": join_words(w, which, first)}
 
 
+def _counts(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
+    """Windows of a block of segments: ``key``, ``part``, ``hash`` and the
+    number of times that it occurs in the documents."""
+    w = words(batch.column("words"))
+    at, row = starts_inside(w.first, window)
+    whole = rolling(word_hashes(w), window)[at]
+    key, part = (batch.column(c).to_numpy()[row] for c in ("key", "part"))
+    order = np.lexsort((whole, part, key))
+    key, part, whole = key[order], part[order], whole[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (whole[1:] != whole[:-1])
+    begin = np.flatnonzero(new)
+    n = np.diff(np.append(begin, len(order))).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(key[begin]), pa.array(part[begin]), pa.array(whole[begin].view(np.int64)),
+                                       pa.array(n)], ["key", "part", "hash", "n"])
+
+
 def locate(table: pa.Table, window: int) -> Iterator[tuple[int, int, int]]:
     """Confirms the passages of a shard and finds them: segment row, first
-    word, end word.  ``table``: ``words`` and ``n`` (documents' occurrences)."""
+    word, end word.  ``table``: ``words`` and ``n`` (documents' occurrences);
+    rows without words give in ``hash`` a window that recurs over all parts."""
+    known = pc.drop_null(table.column("hash").combine_chunks()).to_numpy(zero_copy_only=False).view(np.uint64)
     w = words(table.column("words").combine_chunks())
     hashes = word_hashes(w)
     at, row = starts_inside(w.first, window)
@@ -106,8 +129,8 @@ def locate(table: pa.Table, window: int) -> Iterator[tuple[int, int, int]]:
         return
     whole = rolling(hashes, window)[at]
     _, back = np.unique(whole, return_inverse=True)
-    weight = np.bincount(back, table.column("n").to_numpy()[row])
-    again = weight[back] >= 2
+    weight = np.bincount(back, pc.fill_null(table.column("n"), 0).to_numpy()[row])
+    again = (weight[back] >= 2) | np.isin(whole, known)
     # passages: runs of recurring windows
     run_at, run_row = at[again], row[again]
     new = np.ones(len(run_at), dtype=bool)
@@ -140,7 +163,7 @@ def locate(table: pa.Table, window: int) -> Iterator[tuple[int, int, int]]:
 
 
 def _shards(window: int, shard_words: int):
-    """Function over partitions sorted by key: whole groups of a key are
+    """Function over partitions sorted by key and part: whole parts are
     gathered up to ``shard_words`` words and get one automaton."""
 
     def done(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -155,10 +178,10 @@ def _shards(window: int, shard_words: int):
         held: list[pa.RecordBatch] = []
         size, last = 0, None
         for batch in blocks(batches, "words", 256 << 10):
-            key = batch.column("key").to_numpy()
-            edge = np.flatnonzero(key[1:] != key[:-1]) + 1
-            edge = np.concatenate([[0] if last is not None and key[0] != last else [], edge]).astype(np.int64)
-            # a shard ends where a key ends
+            key, part = (batch.column(c).to_numpy() for c in ("key", "part"))
+            edge = np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1
+            edge = np.concatenate([[0] if last is not None and (key[0], part[0]) != last else [], edge]).astype(np.int64)
+            # a shard ends where a part ends
             if size >= shard_words and len(edge):
                 held.append(batch.slice(0, int(edge[0])))
                 yield done(held)
@@ -166,13 +189,40 @@ def _shards(window: int, shard_words: int):
             if batch.num_rows:
                 held.append(batch)
                 size += (pc.sum(pc.binary_length(batch.column("words"))).as_py() or 0) // 6
-                last = key[-1]
+                last = key[-1], part[-1]
         if held:
             yield done(held)
 
     return run
 
 
+def dealt(segments: DataFrame, distinct: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """The distinct segments with the ``part`` of their key, and rows of
+    ``hash`` for what a part cannot see: windows that recur over all parts.
+
+    A key of more than ``shard_words`` words (of six bytes) gets a part for each
+    that many; segments go to parts by their hash, and there are at most as many
+    such keys as shards of text.  A window moves once for each task and part
+    that has it, not once a segment.
+    """
+    # sizes are those with copies: no second exchange of the words, and too many parts do no harm
+    large = (segments.groupBy("key").agg(F.sum(F.octet_length("words")).alias("size")).where(F.col("size") > 6 * shard_words)
+             .select("key", F.ceil(F.col("size") / F.lit(6 * shard_words)).alias("parts")))
+    part = F.coalesce(F.pmod("sid", "parts"), F.lit(0)).cast("long").alias("part")
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "words", 256 << 10):
+            yield _counts(batch, window)
+
+    again = (segments.select("key", "words", F.xxhash64("words").alias("sid")).join(F.broadcast(large), "key")
+             .select("key", part, "words").mapInArrow(count, "key long, part long, hash long, n long")
+             .groupBy("key", "hash").agg(F.sum("n").alias("n"), F.collect_set("part").alias("parts"))
+             .where((F.col("n") > 1) & (F.size("parts") > 1)).select("key", F.explode("parts").alias("part"), "hash"))
+    return (distinct.join(F.broadcast(large), "key", "left")
+            .select("key", part, "words", "n", "sid", F.lit(None).cast("long").alias("hash"))
+            .unionByName(again, allowMissingColumns=True))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    gram: int = GRAM, shard_words: int = SHARD_WORDS, hot_least: int = HOT_LEAST,
                    hot_grams: int = HOT_GRAMS) -> DataFrame:
@@ -218,7 +268,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     segments = (rows.join(marks, "k2").select("id", "k1", "k2", "text", "marks")
                 .mapInArrow(cut, "key long, words string, k1 long, k2 long, start long"))
     distinct = segments.groupBy("key", "words").agg(F.count(F.lit(1)).alias("n")).withColumn("sid", F.xxhash64("words"))
-    found = (distinct.repartition("key").sortWithinPartitions("key")
+    found = (dealt(segments, distinct, window, shard_words).repartition("key", "part").sortWithinPartitions("key", "part")
              .mapInArrow(_shards(window, shard_words), "key long, sid long, lo long, hi long"))
     places = segments.select("key", F.xxhash64("words").alias("sid"), "k1", "k2", "start").join(found, ["key", "sid"])
     cuts = places.select("k2", F.struct("k1", (F.col("start") + F.col("lo")).alias("lo"),

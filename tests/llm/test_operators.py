@@ -209,6 +209,27 @@ def test_remove_repeats(spark, shard, hot):
     assert key([(r.id, r.n_words, r.n_removed, r.kept) for r in got.collect()]) == key(brute_repeats(texts))
 
 
+def test_a_common_passage_is_dealt_over_parts(spark):
+    passage = prose(60, 60)
+    texts = [(i, f"{prose(400 + i, 30)} {passage} {prose(900 + i, 30)}") for i in range(400)]
+    texts += [(1000 + i, f"{prose(400 + i, 30)} {' '.join(passage.split()[:20])}") for i in range(30)]
+    most = []
+
+    def watch(*args, real=substring.dealt):
+        out = real(*args)
+        most.append([out.where("hash IS NULL").groupBy(*by).agg(F.sum(F.octet_length("words") / 6).alias("s"))
+                            .agg(F.max("s")).first()[0] for by in (["key"], ["key", "part"])])
+        return out
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(substring, "dealt", watch)
+        got = substring.remove_repeats(frame(spark, texts), shard_words=1000, hot_least=100)
+        rows = [(r.id, r.n_words, r.n_removed, r.kept) for r in got.collect()]
+    assert key(rows) == key(brute_repeats(texts))
+    whole, part = most[0]
+    assert whole > 4000 and part < 2000
+
+
 # ---- HTML extraction
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>

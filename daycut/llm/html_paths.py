@@ -29,10 +29,20 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td "
                   "tfoot th thead tr ul".split())
-NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|alert|popup|modal|"
-                   r"newsletter|subscribe|nav\w*|menu|breadcrumbs?|sidebar|side|aside|widget|footer|header|masthead|"
-                   r"topbar|toolbar|comments?|comment-list|replies|disqus|respond|share|sharing|social|related|"
-                   r"recommend\w*|pagination|pager|login|signup|search|skip|copyright|legal|gdpr|toc)(?:$|[\s_-])", re.I)
+_NOISE = (r"(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|alert|popup|modal|"
+          r"newsletter|subscribe|nav\w*|menu|breadcrumbs?|sidebar|side|aside|widget|footer|header|masthead|"
+          r"topbar|toolbar|comments?|replies|disqus|respond|share|sharing|social|related|"
+          r"recommend\w*|pagination|pager|login|signup|search|skip|copyright|legal|gdpr|toc)")
+#: Words beside them that say only where or how.
+_PLACE = (r"(?:site|main|global|left|right|top|bottom|primary|secondary|container|wrap|wrapper|inner|outer|box|bar|block|"
+          r"list|links?|items?|buttons?|icons?|area|region|group|panel|col|column|row|unit|slot|zone|form|title|posts?|"
+          r"articles|\d+(?:x\d+)?)")
+_SEP = "[_-]+"
+#: A whole class or id that marks boilerplate.
+NOISE = re.compile(rf"(?:(?:post|entry|article|story|page){_SEP}(?!header))?(?:{_PLACE}{_SEP})*{_NOISE}"
+                   rf"(?:{_SEP}(?:{_NOISE}|{_PLACE}))*", re.I)
+#: Elements whose id is a label; those of others are often made from a heading.
+LABELLED = frozenset("div ul ol table td".split())
 NOISE_ROLE = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 CONTAINER = frozenset("article main section div td body".split())
 #: An opening tag of the first kind ends an open element of the second.
@@ -47,11 +57,29 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:=\s*\"[
 _ATTR = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 
+def noisy(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether class or id say that the element is boilerplate."""
+    if tag in ("html", "body", "article", "main"):
+        return False
+    names = attrs.get("class", "").split()
+    ids = attrs.get("id", "").split() if tag in LABELLED and "section" not in names else []
+    return any(NOISE.fullmatch(x) for x in names + ids)
+
+
+class _Mark:
+    """An element labelled as boilerplate, and what it holds."""
+
+    __slots__ = ("parent", "text", "main", "articles", "gone")
+
+    def __init__(self, parent: "_Mark | None") -> None:
+        self.parent, self.text, self.main, self.articles, self.gone = parent, 0, False, 0, False
+
+
 class _Node:
-    __slots__ = ("path", "parent", "own", "links", "first", "last")
+    __slots__ = ("path", "parent", "mark", "own", "links", "first", "last")
 
-    def __init__(self, path: str, parent: "_Node | None", first: int) -> None:
-        self.path, self.parent, self.first, self.last = path, parent, first, first
+    def __init__(self, path: str, parent: "_Node | None", first: int, mark: _Mark | None) -> None:
+        self.path, self.parent, self.first, self.last, self.mark = path, parent, first, first, mark
         self.own = self.links = 0      # signs of text, and those in links
 
 
@@ -64,52 +92,60 @@ def parse(page: str) -> tuple[list[str], list[_Node]]:
     """Blocks of a page in order, without boilerplate, and its containers.
 
     A container knows the range of blocks it covers.  Unclosed elements end
-    with the element around them; a stray closing tag is ignored.
+    with the element around them; a stray closing tag is ignored.  An element
+    labelled as boilerplate goes at the end, unless it turned out to hold the
+    page's ``main`` or only ``article`` or, with none of these outside it, most
+    of the text that is not in links.
     """
-    done: list[str] = []
-    pending: list[str] = []
+    raw: list[tuple[list, _Node | None]] = []
+    pending: list[tuple[str, _Mark | None, bool]] = []   # text, label around it, in a link
     nodes: list[_Node] = []
-    stack: list[tuple[str, _Node | None, bool]] = []     # tag, container, dropped
+    stack: list[tuple[str, _Node | None, bool, _Mark | None]] = []     # tag, container, dropped, label around it
+    marks: list[_Mark] = []
+    whole = _Mark(None)            # the page
     here: _Node | None = None
-    skip = links = linked = 0      # open dropped elements, open links, pending signs in links
+    mark: _Mark | None = None
+    skip = links = 0               # open dropped elements, open links
 
     def flush() -> None:
-        nonlocal linked
         if pending:
-            line = " ".join(html.unescape("".join(pending)).split())
+            raw.append((pending.copy(), here))
             pending.clear()
-            if line:
-                done.append(line)
-                node = here
-                while node is not None:
-                    node.own += len(line)
-                    node.links += min(linked, len(line))
-                    node = node.parent
-            linked = 0
 
     def close() -> None:
-        nonlocal here, skip, links
-        tag, node, dropped = stack.pop()
+        nonlocal here, skip, links, mark
+        tag, node, dropped, around = stack.pop()
         if tag in BLOCK:
             flush()
         if node is not None:
-            node.last = len(done)
+            node.last = len(raw)
             here = node.parent
+        mark = around
         skip -= dropped
         links -= tag == "a"
 
+    def told() -> Iterator[_Mark]:
+        m = mark
+        while m is not None:
+            yield m
+            m = m.parent
+        yield whole
+
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.match(page, at)
         at = m.end()
         if m[2] is None:
             if not skip and (m[0][0] != "<" or m[0] == "<"):
-                pending.append(m[0])
-                linked += len(m[0]) if links else 0
+                pending.append((m[0], mark, links > 0))
+                if not links:
+                    size = len(" ".join(m[0].split()))
+                    for x in told():
+                        x.text += size
             continue
         tag = m[2].lower()
         if m[1]:
-            if any(t == tag for t, _, _ in stack):
+            if any(x[0] == tag for x in stack):
                 while stack[-1][0] != tag:
                     close()
                 close()
@@ -127,29 +163,53 @@ def parse(page: str) -> tuple[list[str], list[_Node]]:
         if tag in VOID:
             continue
         attrs = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(m[3])}
-        label = f"{attrs.get('class', '')} {attrs.get('id', '')}"
         dropped = (tag in DROP or attrs.get("role", "").lower() in NOISE_ROLE or attrs.get("aria-hidden") == "true"
-                   or bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", m[3]))
-                   or tag not in ("html", "body", "article", "main") and bool(NOISE.search(label)))
+                   or bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", m[3])))
         if tag in ("script", "style", "noscript", "template", "textarea", "title", "iframe"):
             at = _raw_end(page, tag, at)
             continue
         if m[0].endswith("/>") and tag in ("svg", "path", "use"):
             continue
-        node = None
+        node, around = None, mark
+        if not skip and not dropped:
+            if tag in ("article", "main"):
+                for x in told():
+                    x.main |= tag == "main"
+                    x.articles += tag == "article"
+            if noisy(tag, attrs):
+                mark = _Mark(mark)
+                marks.append(mark)
         if not skip and not dropped and tag in CONTAINER:
             name = re.sub(r"\d+", "0", ".".join([tag, *sorted(attrs.get("class", "").lower().split())]))
-            node = _Node(f"{here.path if here else ''}/{name}", here, len(done))
+            node = _Node(f"{here.path if here else ''}/{name}", here, len(raw), mark)
             nodes.append(node)
             here = node
         skip += dropped
         links += tag == "a"
-        stack.append((tag, node, dropped))
+        stack.append((tag, node, dropped, around))
     while stack:
         close()
     flush()
+    for x in marks:                # outer before inner
+        other = whole.main or whole.articles > x.articles       # the page says that its text is elsewhere
+        holds = x.main or not other and (x.articles == 1 or 2 * x.text > whole.text)
+        x.gone = not holds or x.parent is not None and x.parent.gone
+    done: list[str] = []
+    place = [0]
+    for parts, node in raw:
+        parts = [(t, a) for t, x, a in parts if x is None or not x.gone]
+        line = " ".join(html.unescape("".join(t for t, _ in parts)).split())
+        if line:
+            done.append(line)
+            linked = min(sum(len(t) for t, a in parts if a), len(line))
+            while node is not None:
+                node.own += len(line)
+                node.links += linked
+                node = node.parent
+        place.append(len(done))
+    nodes = [n for n in nodes if n.mark is None or not n.mark.gone]
     for node in nodes:
-        node.last = max(node.last, node.first)
+        node.first, node.last = place[node.first], max(place[node.last], place[node.first])
     return done, nodes
 
 

@@ -255,6 +255,19 @@ def test_extraction(spark):
     assert html_paths.extract_pages(pages).count() == 7 and html_paths.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_labels_take_no_article_text():
+    text = "main text of the page " * 20
+    for label in ("site-content has-sidebar", "no-sidebar", "sidebar-right", "sidebar", "page_wrap widget"):
+        page = f"<body><div class='{label}'><article><h1>Top</h1><p>{text}</p></article></div><div class='ad'>Buy</div></body>"
+        assert html_paths.extract(page, [])[0] == f"Top\n{text.strip()}"
+    page = (f"<article><p>{text}</p><h2 id='side-effects'>Side effects</h2><section id='related-work'><p>work</p></section>"
+            "<div id=legal-history class=section><p>law</p></div><h2 id=search-algorithms>Search</h2><h3 id=toc>Toc</h3>"
+            "<div class='related-posts'><article>other</article></div><div class='comment-list'>said</div>"
+            "<p>in <span class='share-buttons'>tweet</span> line</p><div id='ad-300x250'>Buy <a>me</a></div></article>")
+    assert html_paths.extract(page, [])[0].split("\n")[1:] == ["Side effects", "work", "law", "Search", "Toc", "in line"]
+    assert html_paths.extract(f"<div class=ad>{text}</div><article><p>short</article>", [])[0] == "short"
+
+
 def test_host_vote_beats_a_misleading_page(spark):
     good = "<body><div class=story><p>" + "main text " * 30 + "</p></div><div class=box><p>short</p></div></body>"
     odd = "<body><div class=story><p>few words</p></div><div class=box><p>" + "other stuff " * 30 + "</p></div></body>"

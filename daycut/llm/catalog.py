@@ -6,12 +6,14 @@ whole table and derives the digest columns from the operator's result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotrain, decontam, html_paths, jaccard, langid, merkle, mixing, mtree, secrets, substring
+from . import (chat, cotrain, decontam, html_paths, jaccard, langid, merkle, mixing, mtree, repair, resample, secrets,
+               substring)
 
 #: Labels of the quality classifier and what is kept.
 WANT = {"quality": 1, "toxic": 0}
@@ -89,10 +91,51 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+#: A conversation that says the template's own control strings.
+PLANTED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = spark.createDataFrame(PLANTED, "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(planted)
+    return chat.chats_digest(chat.format_chats(turns))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """``turns`` with damage that follows from a checksum of ``conv_id:turn``:
+    lost, emptied, without full stops, repeated, or all the user's."""
+    space = F.lit(" ")
+    code = F.crc32(F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"),
+                            F.coalesce(F.col("turn").cast("string"), space))) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    return (turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), code.alias("code")).where("code <> 0")
+            .select("conv_id", "turn", F.when(F.col("code") == 4, "user").otherwise(F.col("role")).alias("role"),
+                    F.when(F.col("code") == 1, "").when(F.col("code") == 2, F.regexp_replace("text", "[.!?]", ""))
+                    .otherwise(F.col("text")).alias("text"),
+                    F.explode(F.array_repeat(F.lit(0), F.when(F.col("code") == 3, 2).otherwise(1))).alias("copy"))
+            .drop("copy"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    found = repair.repairs_digest(*repair.repair_conversations(damaged_turns(turns))).withColumnRenamed("conv_id", "id")
+    every = turns.select("conv_id").distinct()
+    zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
+        "conv_id", *zero, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_ngram_jaccard, op3_substring_dedup, op4_html_extraction,
                             op5_quality_classifier, op6_warc_fixity, op7_decontamination, op8_language_id,
-                            op9_exact_top_k, op10_source_mixing)}
+                            op9_exact_top_k, op10_source_mixing, op11_chat_formatting,
+                            op12_importance_resampling, op13_conversation_repair)}
 
 
 def _quoted(text: str) -> str:
@@ -182,6 +225,110 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) A
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
+
+
+def _chat_sql() -> str:
+    rests = "|".join(re.escape(c[1:]) for c in chat.INSTRUCTION.control)
+    escaped = rf"regexp_replace({{}}, '([<\[])(\\*)({rests})', '\1\\\2\3', 'g')"
+    marks = {r: sum(len(p.text) for p in parts) for r, parts in chat.INSTRUCTION.turns.items()}
+    sizes = " ".join(f"WHEN '{r}' THEN {n}" for r, n in marks.items())
+    other = sum(len(p.text) for p in chat.INSTRUCTION.other)
+    moves = ", ".join(_quoted(f"{s and '=' + s}>{r}") for s, roles in chat.INSTRUCTION.follows.items() for r in roles)
+    planted = " ".join(f"UNION ALL SELECT {c}, {t}, {_quoted(r)}, {_quoted(x)}" for c, t, r, x in PLANTED)
+    order = "turn NULLS FIRST, role, text"
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations {planted}),
+e AS (SELECT *, length({escaped.format('text')}) + CASE role {sizes} ELSE {other} + length({escaped.format('role')}) END AS chars,
+        coalesce('=' || lag(role) OVER w, '') || '>' || role AS move, lead(role) OVER w IS NULL AS ends
+      FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY {order}))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY {order})) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY {order}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST({len(chat.INSTRUCTION.begin)} + sum(chars) AS BIGINT) AS formatted_chars,
+       bool_and(move IN ({moves})) AND bool_or(ends AND role = 'assistant') AS valid,
+       count(*) FILTER (move NOT IN ({moves})) AS n_faults
+FROM e GROUP BY conv_id"""
+
+
+#: The checksum CRC-32 of the text ``{0}``, by a table of 256 entries.
+_CRC_TABLE = """SELECT list(v ORDER BY i) AS crc FROM (SELECT i, list_reduce(range(8), lambda c, k:
+  CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS v FROM range(256) t(i))"""
+_CRC = """xor(list_reduce([CAST('0x' || hex({0})[j:j + 1] AS BIGINT) FOR j IN range(1, 2 * strlen({0}), 2)],
+  lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"""
+
+_RESAMPLE_SQL = rf"""
+WITH crcs AS ({_CRC_TABLE}),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT rid, unnest(ws) AS word FROM d),
+b AS (SELECT unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+h AS (SELECT word, {_CRC.format('word')} % 10000 AS bucket FROM (SELECT word FROM w UNION SELECT word FROM b), crcs),
+s AS (SELECT bucket, count(*) AS n FROM w JOIN h USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM b JOIN h USING (word) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1::DOUBLE) * ((SELECT count(*) FROM w) + 10000::DOUBLE)
+        / ((s.n + 1::DOUBLE) * ((SELECT count(*) FROM b) + 10000::DOUBLE)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket)),
+x AS (SELECT rid, CAST(sum(gain) AS BIGINT) AS weight FROM w JOIN h USING (word) JOIN g USING (bucket) GROUP BY rid),
+y AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000
+        * ln(-ln((CAST('0x' || left(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8) AS BIGINT) + 0.5::DOUBLE)
+        / 4294967296::DOUBLE))) AS BIGINT) AS score FROM d LEFT JOIN x USING (rid)),
+z AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+        count(*) OVER (PARTITION BY n_features >= 20) AS n FROM y)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM z"""
+
+
+def _repair_sql() -> str:
+    def keep(state: str, initial: str) -> str:
+        return f"WHEN ini = '{initial}' THEN {{'c': more + {state}.c, 'a': 'K' || {state}.a}}"
+
+    none = "{'c': 1000000000, 'a': ''}"
+
+    def best(here: str, forced: str, kept: str) -> str:
+        return (f"least({{'c': 4 + {here}.c, 'a': 'D' || {here}.a}}, CASE WHEN gone THEN {none} {kept} ELSE {none} END, "
+                f"CASE WHEN gone THEN {none} ELSE {{'c': 3 + more + {forced}.c, 'a': 'R' || {forced}.a}} END)")
+
+    def put(node: str, n: int = 1) -> str:
+        return f"{{'c': {3 * n} + {node}.c, 'a': '{'I' * n}' || {node}.a}}"
+
+    return rf"""
+WITH RECURSIVE crcs AS ({_CRC_TABLE}),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+c AS (SELECT k.*, {_CRC.format('key')} % 20 AS code FROM k, crcs),
+m AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+        CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE code <> 0),
+o AS (SELECT *, dense_rank() OVER (ORDER BY conv_id) AS cid,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM m),
+f AS (SELECT *, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+        WHEN row_number() OVER (PARTITION BY cid, role, text ORDER BY i) > 1 THEN 2
+        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY cid ORDER BY i) AS ahead FROM o),
+facts AS (SELECT cid, any_value(conv_id) AS conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+        count(*) FILTER (ahead || ini NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY cid),
+dp AS (SELECT cid, n + 1 AS i, {{'c': 0, 'a': ''}} AS s0, {{'c': 6, 'a': 'II'}} AS s1, {{'c': 3, 'a': 'I'}} AS s2,
+        {{'c': 0, 'a': ''}} AS s3 FROM facts
+  UNION ALL
+  SELECT cid, i, least(n0, {put('n2')}, {put('n3', 2)}), least(n1, {put('n2')}, {put('n3', 2)}),
+         least(n2, {put('n3')}), least(n3, {put('n2')})
+  FROM (SELECT cid, i, {best('s0', 's2', keep('s1', 's') + ' ' + keep('s2', 'u'))} AS n0, {best('s1', 's2', keep('s2', 'u'))} AS n1,
+               {best('s2', 's3', keep('s3', 'a'))} AS n2, {best('s3', 's2', keep('s2', 'u'))} AS n3
+        FROM (SELECT dp.cid, f.i, s0, s1, s2, s3, ini, fault IN (1, 2) AS gone, CASE WHEN fault = 3 THEN 3 ELSE 0 END AS more
+              FROM dp JOIN f ON f.cid = dp.cid AND f.i = dp.i - 1))),
+plan AS (SELECT cid, s0.c AS cost, s0.a AS audit FROM dp WHERE i = 1),
+e AS (SELECT cid, k, substr(audit, k, 1) AS edit FROM (SELECT cid, audit, unnest(range(1, length(audit) + 1)) AS k FROM plan)),
+n AS (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY cid ORDER BY k) AS at FROM e),
+p AS (SELECT n.cid, n.k, n.edit, f.role, f.text, row_number() OVER w AS place, first_value(n.edit = 'K' AND f.ini = 's') OVER w AS s
+      FROM n LEFT JOIN f ON f.cid = n.cid AND f.i = n.at AND n.edit <> 'I' WHERE n.edit <> 'D' WINDOW w AS (PARTITION BY n.cid ORDER BY n.k)),
+r AS (SELECT cid, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - CASE WHEN s THEN 1 ELSE 0 END) % 2 = 1 THEN 'user'
+        ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS repaired FROM p GROUP BY cid)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN plan USING (cid) LEFT JOIN r USING (cid)"""
+
+
 ORACLE: dict[str, str] = {"op1_secret_scan": _secrets_sql(), "op2_ngram_jaccard": _JACCARD_SQL,
                           "op3_substring_dedup": _SUBSTRING_SQL, "op6_warc_fixity": _FIXITY_SQL,
-                          "op9_exact_top_k": _TOP_K_SQL}
+                          "op9_exact_top_k": _TOP_K_SQL, "op11_chat_formatting": _chat_sql(),
+                          "op12_importance_resampling": _RESAMPLE_SQL, "op13_conversation_repair": _repair_sql()}

@@ -68,12 +68,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def words(column: pa.Array, lower: bool = False) -> Words:
-    """Word ranges of a text column; ``lower`` maps A-Z to a-z first."""
+def words(column: pa.Array, lower: bool = False, gap: np.ndarray = _SPACE) -> Words:
+    """Word ranges of a text column; ``lower`` maps A-Z to a-z first, ``gap``
+    marks the bytes that belong to no word."""
     data, off = text_bytes(column)
     if lower:
         data = _LOWER[data]
-    inside = ~_SPACE[data]
+    inside = ~gap[data]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,6 @@ from daycut.sources import landing, schema
 # ---- fixed parameters -------------------------------------------------------------
 # a load window narrower than the data: sessions outside it become negative rows
 NARROW_LO_MS, NARROW_HI_MS = 1_704_844_800_000, 1_705_708_800_000   # 2024-01-10, -20
-WIDE_LO_MS, WIDE_HI_MS = 1_704_067_200_000, 1_706_659_200_000       # 2024-01-01, -31
 # ------------------------------------------------------------------------------------
 
 SESSION_COLS = [f.name for f in schema.SESSIONS.fields]
@@ -149,10 +148,11 @@ def delivered_sessions(events: DataFrame) -> DataFrame:
 
 
 def q_dedup_sessions(spark, sf_dir):
-    """Deliveries on both touched days, clipped to the whole window and
-    split, collapse to distinct (user, start, end, app) pieces."""
+    """Deliveries on both touched days, clipped to the window that all of
+    them span and split, collapse to distinct (user, start, end, app) pieces."""
     s = delivered_sessions(_events(spark, sf_dir)).drop("day")
-    s = intervals.clip_intervals(s, "startTimeMillis", "endTimeMillis", WIDE_LO_MS, WIDE_HI_MS)
+    lo, hi = s.agg(F.min("startTimeMillis"), F.max("endTimeMillis")).head()
+    s = intervals.clip_intervals(s, "startTimeMillis", "endTimeMillis", lo or 0, hi or 0)
     s = intervals.split_intervals(s, "startTimeMillis", "endTimeMillis")
     return daily.dedup(s, ["user_id", "startTimeMillis", "endTimeMillis",
                            "application_packageName"])
@@ -286,6 +286,63 @@ def q_flatten_dynamic(spark, sf_dir):
     return jobs.point_rows(lines, path)[0]
 
 
+def land_users_of(ev: DataFrame, users: Column, bump: Column) -> DataFrame:
+    """Saved sessions answers of the users that ``users`` tells."""
+    docs = landed.session_documents(ev.where(users).withColumn("event_id", F.col("event_id") + bump))
+    return docs.select(F.col("user_id").alias("__user"), F.col("value").alias(landing.TEXT))
+
+
+def q_land_users(spark, sf_dir):
+    """Every user's answers landed for one day in two runs of different
+    users into one lake root; then one half of the users once more, with other
+    sessions.  Each run replaces its own users' lines and keeps the others'."""
+    ev, root = _events(spark, sf_dir), scratch_path(spark, "lake")
+    even = F.col("user_id") % 2 == 0
+    for users, bump in ((even, 0), (~even, 0), (even, 1_000_000_000)):
+        docs = land_users_of(ev, users, F.lit(bump))
+        jobs.land_answers(landing.parsed_once(docs, jobs.FITNESS["sessions"][0]), "sessions", root, LAND_DAY,
+                          user_col="__user")
+    lines = lake.scan_jsonl(spark, root, day=LAND_DAY, dataset=jobs.DATASETS["sessions"])
+    return lines.select(*[F.get_json_object("value", f"$.{k}").alias(k) for k in ("user_id", "id")])
+
+
+def q_load_partition(spark, sf_dir):
+    """K3: every time-tracking day of the lake loaded; then the last day landed
+    anew with the lines of the first and loaded once more.  The days between
+    stay as they were."""
+    ev, root = _events(spark, sf_dir), scratch_path(spark, "lake")
+    kind = jobs.DATASETS["time_tracking"]
+    lines = landed.time_tracking_lines(ev).withColumn("dataset", F.lit(kind))
+    lake.write_sharded_jsonl(lines, root)
+    span = lake.scan_jsonl(spark, root).agg(F.min("day").alias("lo"), F.max("day").alias("hi")).head()
+    windows = [jobs.day_window(span.lo + _dt.timedelta(days=i)) for i in range((span.hi - span.lo).days + 1)]
+    table = scratch_path(spark, "time_tracking")
+    jobs.load_windows(spark, root, {"time_tracking": table}, windows)
+    lake.write_prefix(lake.scan_jsonl(spark, root, day=span.lo, dataset=kind), root, {"day": span.hi, "dataset": kind})
+    jobs.job_load_time_tracking(spark, root, table, jobs.day_window(span.hi))
+    return warehouse.read_table(spark, table).select(*TRACKING_COLS, "day")
+
+
+def q_land_time_tracking(spark, sf_dir):
+    """Matrix answers of every user landed for the second day of the data,
+    each read in the zone that a table gives its user; a user without a zone
+    is rejected.  The day's rows, and per user the kept rejects."""
+    ev = _events(spark, sf_dir)
+    day = ev.select(F.to_date(F.min("ts"))).head()[0] + _dt.timedelta(days=1)
+    zones = ev.select(F.col("user_id").cast("string").alias("user_id"), F.element_at(F.array(
+        F.lit("Asia/Seoul"), F.lit("America/New_York"), F.lit(None).cast("string")), (F.col("user_id") % 3 + 1).cast("int"))
+        .alias("__tz")).distinct()
+    docs = landed.matrix_documents(ev).select("user_id", F.col("value").alias(landing.TEXT)).join(zones, "user_id", "left")
+    root, kept = scratch_path(spark, "lake"), scratch_path(spark, "landing-rejects")
+    jobs.land_matrices(landing.parsed_once(docs, landing.MATRIX_ENVELOPE), root, day, load_tz=F.col("__tz"),
+                       user_col="user_id", rejects_table=kept)
+    good, _ = jobs.time_tracking_rows(lake.scan_jsonl(spark, root, day=day, dataset=jobs.DATASETS["time_tracking"]))
+    bad = lake.scan_jsonl(spark, kept, day=day).select(F.get_json_object("value", "$.user_id").alias("user_id"),
+                                                       F.get_json_object("value", "$.reason").alias("activity"))
+    return good.select("user_id", "date_timestamp_millis", "time_spent_seconds", "activity", "category").unionByName(
+        bad, allowMissingColumns=True)
+
+
 def q_reload_days(spark, sf_dir):
     """Every day of the lake loaded into the three tables in one pass;
     then the last time-tracking day is landed anew without lines, and the
@@ -341,6 +398,9 @@ QUERIES = {
     "land_fitness": q_land_fitness,
     "landing_rejects": q_landing_rejects,
     "flatten_dynamic": q_flatten_dynamic,
+    "land_users": q_land_users,
+    "load_partition": q_load_partition,
+    "land_time_tracking": q_land_time_tracking,
     "reload_days": q_reload_days,
 }
 
@@ -414,7 +474,7 @@ FROM events WHERE event_id % 7 IN (0, 6) GROUP BY 1 HAVING COUNT(*) > 0""",
 {split_sql("s", str(NARROW_LO_MS), str(NARROW_HI_MS))}
 SELECT {_cols(SESSION_COLS)} FROM pieces""",
     "dedup_sessions": f"""WITH {DELIVERED_SQL},
-{split_sql("delivered", str(WIDE_LO_MS), str(WIDE_HI_MS))}
+{split_sql("delivered", "(SELECT min(startTimeMillis) FROM delivered)", "(SELECT max(endTimeMillis) FROM delivered)")}
 SELECT DISTINCT user_id, startTimeMillis, endTimeMillis, application_packageName
 FROM pieces""",
     "lake_roundtrip": f"SELECT {_cols(SESSION_COLS)} FROM ({standins.ORACLE_SESSIONS})",
@@ -442,6 +502,22 @@ SELECT DISTINCT 'datasources', user_id, dataSourceId, 'v-' || substr(dataSourceI
        count(DISTINCT user_id) AS texts
 FROM events, (VALUES ('sessions'), ('aggregated-datasets'), ('datasets'), ('datasources')) d(dataset)
 GROUP BY dataset""",
+    "land_users": """SELECT CAST(user_id AS VARCHAR) AS user_id,
+       CAST(event_id + CASE WHEN user_id % 2 = 0 THEN 1000000000 ELSE 0 END AS VARCHAR) AS id
+FROM events""",
+    "load_partition": "WITH d AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events), t AS ("
+    + TRACKING_SQL.format(ms="epoch_us(ts) // 1000", code="(event_id % 7 - 3)", extra=",\n         CAST(ts AS DATE) AS day")
+    + """ WHERE event_id % 7 - 3 BETWEEN -2 AND 2)
+SELECT t.* FROM t, d WHERE day < hi UNION ALL SELECT t.* REPLACE (hi AS day) FROM t, d WHERE day = lo""",
+    "land_time_tracking": """WITH d AS (SELECT min(CAST(ts AS DATE)) + 1 AS day FROM events),
+t AS (SELECT user_id, event_type, json_extract_string(props, '$.k') AS k, date_trunc('second', ts) AS utc,
+             (date_trunc('second', ts) + INTERVAL 9 HOUR) AT TIME ZONE 'America/New_York' AS ny FROM events),
+m AS (SELECT *, CASE user_id % 3 WHEN 0 THEN epoch_us(utc) // 1000 ELSE epoch_us(ny) // 1000 END AS ms FROM t)
+SELECT CAST(user_id AS VARCHAR) AS user_id, ms AS date_timestamp_millis, CAST(k AS BIGINT) AS time_spent_seconds,
+       'a' || k AS activity, event_type AS category
+FROM m, d WHERE user_id % 3 < 2 AND CAST(epoch_ms(ms) AS DATE) = day
+UNION ALL
+SELECT CAST(user_id AS VARCHAR), NULL, NULL, 'unparsable date', NULL FROM m WHERE user_id % 3 = 2""",
     "flatten_dynamic": """SELECT CAST(user_id AS VARCHAR) AS user_id, 'd' || event_id AS device_uid,
        CAST(event_id + 1 AS BIGINT) AS device_firmware_build, CAST("value" AS DOUBLE) AS value0_fpVal,
        CAST(event_id * 2 AS BIGINT) AS parts1_spec_load, CAST(NULL AS VARCHAR) AS no_such_key

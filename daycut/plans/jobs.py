@@ -10,15 +10,18 @@ only shuffle of a load is the clustering before the write.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daycut.functions import timez
 from daycut.operators import flatten, intervals
-from daycut.sinks import lake, warehouse
+from daycut.session import scratch_path
+from daycut.sinks import lake, published, warehouse
 from daycut.sources import landing, schema
 
 S = T.StringType()
@@ -48,17 +51,7 @@ DATASETS = {"points": "aggregated-datasets", "sessions": "sessions",
 SESSION_CLUSTER = ["user_id", "startTimeMillis"]
 POINT_CLUSTER = ["user_id", "startTimeNanos"]
 TRACKING_CLUSTER = ["user_id", "date_timestamp_millis"]
-MS_PER_HOUR, NS_PER_HOUR = 3_600_000, 3_600_000_000_000
-PER_HOUR = {"startTimeMillis": MS_PER_HOUR, "date_timestamp_millis": MS_PER_HOUR,
-            "startTimeNanos": NS_PER_HOUR}
-
-
-def _fill_user(rows: DataFrame, path_user: str = "user") -> DataFrame:
-    """``user_id`` from the line, else from the lake path."""
-    if path_user not in rows.columns or "user_id" not in rows.columns:
-        return rows.drop(path_user)
-    return rows.withColumn("user_id", F.coalesce(F.col("user_id"), F.col(path_user))) \
-               .drop(path_user)
+CLUSTERS = {"points": POINT_CLUSTER, "sessions": SESSION_CLUSTER, "time_tracking": TRACKING_CLUSTER}
 
 
 def _cluster(rows: DataFrame, columns: list[str]) -> list[str] | None:
@@ -67,44 +60,33 @@ def _cluster(rows: DataFrame, columns: list[str]) -> list[str] | None:
 
 
 def _keep(lines: DataFrame) -> list[str]:
-    return [c for c in ("user", "day") if c in lines.columns]
+    return [c for c in ("day",) if c in lines.columns]
 
 
-def point_rows(lines: DataFrame, target: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
-    """B1 points branch: flatten + project on the table schema (``target``: a
+# ---- parsed lines: table columns, ``day``, reject reason, line ------------------
+
+def parsed_points(lines: DataFrame, target: T.StructType | str | None = None) -> DataFrame:
+    """Points, flattened and projected on the table schema (``target``: a
     schema or the path of a schema file; default: aggregated datasets)."""
     target = schema.table_schema(lines.sparkSession, target, schema.AGGREGATED_DATASETS)
-    rows = flatten.flatten_project(lines, target, input_schema=POINT_LINE, keep=_keep(lines))
-    good, rejects = flatten.split_rejects(rows)
-    return _fill_user(good), rejects
+    return flatten.flatten_project(lines, target, input_schema=POINT_LINE, keep=_keep(lines))
 
 
-def session_rows(lines: DataFrame, lo=None, hi=None,
-                 step_ms: int = intervals.STEP_MS,
-                 target: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
-    """B1 sessions branch: flatten + project (``target`` as for the points),
-    then clip to ``[lo, hi]`` (epoch ms or column names) and split into
-    ``step_ms`` pieces."""
+def parsed_sessions(lines: DataFrame, target: T.StructType | str | None = None) -> DataFrame:
+    """Sessions as they were reported; the split needs both times, so a row
+    without them is a reject."""
     target = schema.table_schema(lines.sparkSession, target, schema.SESSIONS,
                                  needs=("startTimeMillis", "endTimeMillis"))
     rows = flatten.flatten_project(lines, target, input_schema=SESSION_LINE, keep=_keep(lines))
-    # the split needs both times: a row without them is a reject
     missing = F.col("startTimeMillis").isNull() | F.col("endTimeMillis").isNull()
-    rows = rows.withColumn(flatten.REASON, F.coalesce(
+    return rows.withColumn(flatten.REASON, F.coalesce(
         F.col(flatten.REASON), F.when(missing, F.lit("session without start/end"))))
-    good, rejects = flatten.split_rejects(rows)
-    good = _fill_user(good)
-    if lo is not None and hi is not None:
-        good = intervals.clip_intervals(good, "startTimeMillis", "endTimeMillis", lo, hi)
-    return intervals.split_intervals(good, "startTimeMillis", "endTimeMillis", step_ms), \
-        rejects
 
 
-def time_tracking_rows(lines: DataFrame, line_schema: T.StructType | None = None,
-                       any_key_spelling: bool = False,
-                       target: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
-    """B2: flat lines (``target`` as for the points, without a ``productivity``
-    column no rule on it); ``(`` ``)`` dropped from names; productivity rule.
+def parsed_time_tracking(lines: DataFrame, target: T.StructType | str | None = None, *,
+                         line_schema: T.StructType | None = None, any_key_spelling: bool = False) -> DataFrame:
+    """Flat lines; ``(`` ``)`` dropped from names; productivity rule (not
+    without a ``productivity`` column).
 
     Lines are parsed with the declared line schema (the keys the landing
     writes, both spellings of the seconds key); ``any_key_spelling`` switches
@@ -118,10 +100,37 @@ def time_tracking_rows(lines: DataFrame, line_schema: T.StructType | None = None
                                    else (line_schema or TIME_TRACKING_LINE),
                                    drop_chars=flatten.BRACKETS_AND_PARENS,
                                    keep=_keep(lines), presence=["productivity"] if ruled else None)
-    if ruled:
-        rows = flatten.apply_productivity(rows)
-    good, rejects = flatten.split_rejects(rows)
-    return _fill_user(good), rejects
+    return flatten.apply_productivity(rows) if ruled else rows
+
+
+def cut_sessions(good: DataFrame, lo=None, hi=None, step_ms: int = intervals.STEP_MS) -> DataFrame:
+    """Sessions clipped to ``[lo, hi]`` (epoch ms or columns) and split into
+    ``step_ms`` pieces."""
+    if lo is not None and hi is not None:
+        good = intervals.clip_intervals(good, "startTimeMillis", "endTimeMillis", lo, hi)
+    return intervals.split_intervals(good, "startTimeMillis", "endTimeMillis", step_ms)
+
+
+PARSED = {"points": parsed_points, "sessions": parsed_sessions, "time_tracking": parsed_time_tracking}
+
+
+def point_rows(lines: DataFrame, target: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
+    """B1 points branch: (rows, rejects)."""
+    return flatten.split_rejects(parsed_points(lines, target))
+
+
+def session_rows(lines: DataFrame, lo=None, hi=None, step_ms: int = intervals.STEP_MS,
+                 target: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
+    """B1 sessions branch: (clipped and split rows, rejects)."""
+    good, rejects = flatten.split_rejects(parsed_sessions(lines, target))
+    return cut_sessions(good, lo, hi, step_ms), rejects
+
+
+def time_tracking_rows(lines: DataFrame, line_schema: T.StructType | None = None, any_key_spelling: bool = False,
+                       target: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
+    """B2: (rows, rejects)."""
+    return flatten.split_rejects(parsed_time_tracking(lines, target, line_schema=line_schema,
+                                                      any_key_spelling=any_key_spelling))
 
 
 # ---- windows of a run ---------------------------------------------------------
@@ -161,120 +170,125 @@ def reload_days(run_day, n_days: int = 2) -> list[DayWindow]:
 
 # ---- jobs ------------------------------------------------------------------------
 
-def job_load_fitness(spark: SparkSession, lake_root: str, points_table: str,
-                     sessions_table: str, window: DayWindow,
-                     rejects_table: str | None = None, files: int | None = None,
-                     by=lake.PREFIX_COLS, points_schema: T.StructType | str | None = None,
-                     sessions_schema: T.StructType | str | None = None) -> None:
-    """B1 for one UTC day: both branches, each a truncate-load of the day.
-    The schemas are those of the tables, given or as paths of schema files."""
-    pts_lines = lake.scan_jsonl(spark, lake_root, day=window.day,
-                                dataset=DATASETS["points"], by=by)
-    pts, pts_rej = point_rows(pts_lines, points_schema)
-    warehouse.load_partition(pts.drop("day"), points_table, window.day,
-                             cluster_by=_cluster(pts, POINT_CLUSTER), files=files,
-                             time_per_hour=NS_PER_HOUR)
-    ses_lines = lake.scan_jsonl(spark, lake_root, day=window.day,
-                                dataset=DATASETS["sessions"], by=by)
-    ses, ses_rej = session_rows(ses_lines, window.begin_ms, window.end_ms,
-                                target=sessions_schema)
-    warehouse.load_partition(ses.drop("day"), sessions_table, window.day,
-                             cluster_by=_cluster(ses, SESSION_CLUSTER), files=files,
-                             time_per_hour=MS_PER_HOUR)
-    if rejects_table:
-        warehouse.write_rejects(pts_rej, rejects_table, window.day, DATASETS["points"])
-        warehouse.write_rejects(ses_rej, rejects_table, window.day, DATASETS["sessions"])
+@dataclass(frozen=True)
+class Counts:
+    """Lines that passed and lines that were rejected."""
 
+    rows: int
+    rejects: int
 
-def job_load_time_tracking(spark: SparkSession, lake_root: str, table: str,
-                           window: DayWindow, rejects_table: str | None = None,
-                           files: int | None = None, by=lake.PREFIX_COLS,
-                           table_schema: T.StructType | str | None = None) -> None:
-    """B2 for one UTC day (all users' lines of that day)."""
-    lines = lake.scan_jsonl(spark, lake_root, day=window.day,
-                            dataset=DATASETS["time_tracking"], by=by)
-    good, rejects = time_tracking_rows(lines, target=table_schema)
-    warehouse.load_partition(good.drop("day"), table, window.day,
-                             cluster_by=_cluster(good, TRACKING_CLUSTER), files=files,
-                             time_per_hour=MS_PER_HOUR)
-    if rejects_table:
-        warehouse.write_rejects(rejects, rejects_table, window.day,
-                                DATASETS["time_tracking"])
 
+@dataclass(frozen=True)
+class Staged:
+    """Parsed rows, written once: the good ones, the rejects, their counts."""
+
+    path: str
+    good: DataFrame
+    rejects: DataFrame
+    counts: Counts
+
+    def drop(self) -> None:
+        """Delete the good rows; the few rejects stay with who holds them."""
+        published.remove(self.good.sparkSession, f"{self.path}/_rejected=false")
+
+
+def stage(rows: DataFrame, name: str) -> Staged:
+    """Write parsed rows to the shared scratch folder, routed by whether they
+    have a reject reason.  This is the one pass over the raw lines; what comes
+    after (layout, rejects) reads the staged columns.  Counts are observed
+    during the write."""
+    spark, path, seen = rows.sparkSession, scratch_path(rows.sparkSession, name), Observation()
+    flag = F.col(flatten.REASON).isNotNull()
+    (rows.withColumn("_rejected", flag)
+     .observe(seen, F.count_if(~flag).alias("rows"), F.count_if(flag).alias("rejects"))
+     .write.partitionBy("_rejected").parquet(path))
+    back = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_rejected", T.BooleanType())])).parquet(path)
+    got = seen.get
+    return Staged(path, back.filter("NOT _rejected").drop("_rejected"), back.filter("_rejected").drop("_rejected"),
+                  Counts(got["rows"], got["rejects"]))
+
+
+def _load(spark: SparkSession, lake_root: str, kind: str, table: str, windows: list[DayWindow],
+          rejects_table: str | None, target: T.StructType | str | None, files: int | None) -> Counts:
+    """One dataset: scan, parse once, stage, lay out, replace the days."""
+    days = [w.day for w in windows]
+    lines = lake.scan_jsonl(spark, lake_root, day=days, dataset=DATASETS[kind])
+    staged = stage(PARSED[kind](lines, target), f"load-{kind}")
+    good, _ = flatten.split_rejects(staged.good)
+    _, rejects = flatten.split_rejects(staged.rejects)
+    if kind == "sessions":
+        def bound(pick) -> Column:
+            return F.element_at(F.create_map(*[F.lit(x) for w in windows for x in (w.day, pick(w))]), F.col("day"))
 
-def load_all_days(rows: DataFrame, table: str, cluster_by: list[str],
-                  files: int | None = None) -> None:
-    """Many days in one job: rows carry ``day``; every day present is
-    replaced (dynamic partition overwrite), other days are left alone."""
-    laid_out = warehouse.clustered(rows, cluster_by, files,
-                                   PER_HOUR.get(cluster_by[-1]), lead=["day"])
-    (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day").parquet(table))
+        good = cut_sessions(good, bound(lambda w: w.begin_ms), bound(lambda w: w.end_ms))
+    warehouse.load_days(rejects, warehouse.rejects_of(table, rejects_table, DATASETS[kind]), days)
+    warehouse.load_days(good, table, days, cluster_by=_cluster(good, CLUSTERS[kind]), files=files)
+    published.remove(spark, staged.path)
+    return staged.counts
 
 
 def load_windows(spark: SparkSession, lake_root: str, tables: dict[str, str], windows: list[DayWindow],
-                 rejects_table: str | None = None, by=lake.PREFIX_COLS,
-                 schemas: dict[str, T.StructType | str] | None = None) -> None:
-    """B1 and B2 for several UTC days, one pass per dataset: each day of
-    ``windows`` is replaced, also by nothing, and sessions are clipped to
-    their own day's window."""
+                 rejects_table: str | None = None, schemas: dict[str, T.StructType | str] | None = None,
+                 files: int | None = None) -> dict[str, Counts]:
+    """B1 and B2 for several UTC days: each day of ``windows`` is replaced, also
+    by nothing, and sessions are clipped to their own day's window.
+
+    Tables are folders or names in the catalog.  The datasets are independent
+    and loaded at the same time, one pass over the lines each.  Rejected lines
+    are always kept (in ``rejects_table`` by dataset, else next to each table)
+    and the counts returned.
+    """
     schemas = schemas or {}
-    days = [w.day for w in windows]
 
-    def bound(pick) -> Column:
-        return F.element_at(F.create_map(*[F.lit(x) for w in windows for x in (w.day, pick(w))]), F.col("day"))
-
-    makers = {
-        "points": (POINT_CLUSTER, lambda lines, target: point_rows(lines, target)),
-        "sessions": (SESSION_CLUSTER, lambda lines, target: session_rows(
-            lines, bound(lambda w: w.begin_ms), bound(lambda w: w.end_ms), target=target)),
-        "time_tracking": (TRACKING_CLUSTER, lambda lines, target: time_tracking_rows(lines, target=target)),
-    }
-    for kind, table in tables.items():
-        cluster, make = makers[kind]
-        good, rejects = make(lake.scan_jsonl(spark, lake_root, day=days, dataset=DATASETS[kind], by=by),
-                             schemas.get(kind))
-        warehouse.load_days(good, table, days, cluster_by=_cluster(good, cluster),
-                            time_per_hour=PER_HOUR[cluster[-1]])
-        if rejects_table:
-            warehouse.load_days(rejects, f"{rejects_table.rstrip('/')}/dataset={DATASETS[kind]}", days)
+    def one(kind: str) -> Counts:
+        return _load(spark, lake_root, kind, tables[kind], windows, rejects_table, schemas.get(kind), files)
+
+    with ThreadPoolExecutor(max(len(tables), 1)) as pool:
+        return dict(zip(tables, pool.map(inheritable_thread_target(spark)(one), tables)))
+
+
+def job_load_fitness(spark: SparkSession, lake_root: str, points_table: str, sessions_table: str, window: DayWindow,
+                     rejects_table: str | None = None, files: int | None = None,
+                     points_schema: T.StructType | str | None = None,
+                     sessions_schema: T.StructType | str | None = None) -> dict[str, Counts]:
+    """B1 for one UTC day: both branches, each a truncate-load of the day.
+    The schemas are those of the tables, given or as paths of schema files."""
+    return load_windows(spark, lake_root, {"points": points_table, "sessions": sessions_table}, [window], rejects_table,
+                        {"points": points_schema, "sessions": sessions_schema}, files)
+
+
+def job_load_time_tracking(spark: SparkSession, lake_root: str, table: str, window: DayWindow,
+                           rejects_table: str | None = None, files: int | None = None,
+                           table_schema: T.StructType | str | None = None) -> Counts:
+    """B2 for one UTC day (all users' lines of that day)."""
+    return load_windows(spark, lake_root, {"time_tracking": table}, [window], rejects_table,
+                        {"time_tracking": table_schema}, files)["time_tracking"]
+
+
+def load_all_days(rows: DataFrame, table: str, cluster_by: list[str], files: int | None = None) -> None:
+    """Many days in one job: rows carry ``day``; every day present is
+    replaced, other days are left alone."""
+    warehouse.load_days(rows, table, None, cluster_by=cluster_by, files=files)
 
 
 def run_reload(spark: SparkSession, run_day, lake_root: str, tables: dict[str, str],
-               rejects_table: str | None = None, by=lake.PREFIX_COLS, *,
-               windows: list[DayWindow] | None = None,
-               schemas: dict[str, T.StructType | str] | None = None) -> list[DayWindow]:
+               rejects_table: str | None = None, *, windows: list[DayWindow] | None = None,
+               schemas: dict[str, T.StructType | str] | None = None) -> dict[str, Counts]:
     """Re-load the run's days (or the given ``windows``) into the fitness
     and time-tracking tables."""
-    windows = windows or reload_days(run_day)
-    load_windows(spark, lake_root, tables, windows, rejects_table, by, schemas)
-    return windows
+    return load_windows(spark, lake_root, tables, windows or reload_days(run_day), rejects_table, schemas)
 
 
 # ---- landing (B3) ------------------------------------------------------------------
 
 def land_documents(rows: DataFrame, lake_root: str, dataset: str, day_col: str = "day",
-                   shards: int | None = None, by=lake.PREFIX_COLS) -> None:
+                   shards: int | None = None) -> None:
     """Parsed landing rows (with ``user_id`` and a day column) → lake JSONL,
-    replacing exactly the prefixes written."""
+    replacing exactly the (day, dataset) prefixes written."""
     data_cols = [c for c in rows.columns if c != day_col]
-    lines = rows.select(F.col(day_col).cast("date").alias("day"),
-                        F.col("user_id").alias("user"),
-                        F.lit(dataset).alias("dataset"),
+    lines = rows.select(F.col(day_col).cast("date").alias("day"), F.lit(dataset).alias("dataset"),
                         lake.json_line(data_cols).alias("value"))
-    lake.write_sharded_jsonl(lines, lake_root, shards=shards, by=by)
-
-
-def _rejected(docs: DataFrame, dataset: str) -> DataFrame:
-    """Rejected documents: dataset, file, reason and whole text."""
-    file = F.col("_file") if "_file" in docs.columns else F.lit(None).cast("string")
-    return docs.select(F.lit(dataset).alias("dataset"), file.alias("file"),
-                       F.lit("document").alias(landing.REASON), F.col(landing.TEXT).alias("text"))
-
-
-def _all_rejects(rows: DataFrame, bad_docs: DataFrame) -> DataFrame:
-    """Rejected rows and, with the columns of those null, rejected documents."""
-    return rows.unionByName(_rejected(bad_docs, DATASETS["time_tracking"]), allowMissingColumns=True)
+    lake.write_sharded_jsonl(lines, lake_root, shards=shards)
 
 
 # of each fitness dataset: envelope, the part that a document must have, lines
@@ -286,30 +300,59 @@ FITNESS = {
 }
 
 
+def _land(lines: DataFrame, bad_docs: DataFrame, docs: DataFrame, kind: str, lake_root: str, day, *,
+          user_id: str | None, user_col: str | None, shards: int | None, rejects_table: str | None) -> DataFrame:
+    """Lines (``user_id``, ``value``, reject reason) → lake, for the users of
+    ``docs``: their lines of the day and dataset are replaced, also by nothing,
+    those of all other users stay.  Answers are parsed once, into staged lines;
+    the rejected ones come back (user, dataset, file, reason, text), and with
+    ``rejects_table`` are kept in a lake of that root in the same way."""
+    dataset, d, spark = DATASETS[kind], timez.to_date_value(day), docs.sparkSession
+    user = F.lit(user_id).cast("string") if user_col is None else F.col(user_col).cast("string")
+    file = F.col("_file") if "_file" in docs.columns else F.lit(None).cast("string")
+    none = F.lit(None).cast("string")
+    broken = bad_docs.select(user.alias("user_id"), file.alias("file"), F.lit("document").alias(landing.REASON),
+                             F.col(landing.TEXT).alias("value"))
+    staged = stage(lines.select("user_id", none.alias("file"), landing.REASON, "value").unionByName(broken), f"land-{kind}")
+    users = spark.createDataFrame([(user_id,)], "user string") if user_col is None \
+        else docs.select(user.alias("user")).distinct()
+    lake.write_users(staged.good, lake_root, d, dataset, users, shards)
+    rejects = staged.rejects.select("user_id", F.lit(dataset).alias("dataset"), "file", landing.REASON,
+                                    F.col("value").alias("text"))
+    if rejects_table:
+        lake.write_users(rejects.select(F.to_json(F.struct("user_id", "file", F.col(landing.REASON).alias("reason"), "text"))
+                                        .alias("value")), rejects_table, d, dataset, users, shards)
+    staged.drop()
+    return rejects
+
+
 def land_answers(docs: DataFrame, kind: str, lake_root: str, day, *, user_id: str | None = None,
                  user_col: str | None = None, shards: int | None = None,
                  rejects_table: str | None = None) -> DataFrame:
     """B3 of one fitness dataset: parsed envelopes (``landing.parsed_once`` or
-    ``read_envelopes`` with the envelope of ``FITNESS[kind]``) → lake.
-
-    Replaces the prefix of the day and dataset (with ``user_id``: of the day,
-    user and dataset), also if there are no lines.  Every key of an element is
-    kept.  Returns the rejected documents and elements (dataset, file, reason,
-    text); ``rejects_table`` also writes them.
-    """
+    ``read_envelopes`` with the envelope of ``FITNESS[kind]``) of one user
+    (``user_id``) or many (``user_col``) → lake, see :func:`_land`.  Every key
+    of an element is kept."""
     _, required, to_lines = FITNESS[kind]
-    dataset, d = DATASETS[kind], timez.to_date_value(day)
     good, bad_docs = landing.split_documents(docs, [required])
     lines = to_lines(good, user_id=user_id, user_col=user_col)
-    prefix = {"day": d, **({"user": user_id} if user_id is not None else {}), "dataset": dataset}
-    lake.write_prefix(lines.filter(F.col(landing.REASON).isNull()), lake_root, prefix, shards)
-    bad = lines.filter(F.col(landing.REASON).isNotNull()).select(
-        F.lit(dataset).alias("dataset"), F.lit(None).cast("string").alias("file"), landing.REASON,
-        F.col("value").alias("text"))
-    rejects = _rejected(bad_docs, dataset).unionByName(bad)
-    if rejects_table:
-        warehouse.write_rejects(rejects.drop("dataset"), rejects_table, d, dataset)
-    return rejects
+    return _land(lines, bad_docs, docs, kind, lake_root, day, user_id=user_id, user_col=user_col, shards=shards,
+                 rejects_table=rejects_table)
+
+
+def land_matrices(docs: DataFrame, lake_root: str, day, *, load_tz, output_tz: str = "UTC", user_id: str | None = None,
+                  user_col: str | None = None, shards: int | None = None,
+                  rejects_table: str | None = None) -> DataFrame:
+    """B3 for time tracking: parsed matrix answers → rows of ``day`` (in
+    ``output_tz``) → lake, as :func:`land_answers`.  A rejected row comes back
+    with its cells as text."""
+    good, bad_docs = landing.split_documents(docs, ["row_headers", "rows"])
+    rows = landing.parse_matrix(good, load_tz=load_tz, output_date=day, output_tz=output_tz, user_id=user_id,
+                                user_col=user_col)
+    lines = rows.select("user_id", landing.REASON,
+                        F.coalesce(F.col("_line"), landing.matrix_json(rows)).alias("value"))
+    return _land(lines, bad_docs, docs, "time_tracking", lake_root, day, user_id=user_id, user_col=user_col, shards=shards,
+                 rejects_table=rejects_table)
 
 
 def _land_fitness(spark: SparkSession, paths: dict[str, str | None], lake_root: str, day,
@@ -329,11 +372,11 @@ def _land_fitness(spark: SparkSession, paths: dict[str, str | None], lake_root:
 
 
 def job_land_fitness(spark: SparkSession, sessions_path: str, aggregated_path: str,
-                     lake_root: str, day, user_id: str, shards: int = 3, *,
+                     lake_root: str, day, user_id: str, shards: int | None = None, *,
                      datasources_path: str | None = None, raw_points_path: str | None = None,
                      rejects_table: str | None = None) -> DataFrame:
-    """B3 for one user and day: saved answers → lake, prefix (day, user,
-    dataset).  Returns the rejected documents and elements."""
+    """B3 for one user and day: saved answers → lake; other users' lines stay.
+    Returns the rejected documents and elements."""
     return _land_fitness(spark, {"sessions": sessions_path, "points": aggregated_path,
                                  "datasources": datasources_path, "raw_points": raw_points_path},
                          lake_root, day, user_id, shards, rejects_table)
@@ -341,25 +384,18 @@ def job_land_fitness(spark: SparkSession, sessions_path: str, aggregated_path: s
 
 def job_land_time_tracking(spark: SparkSession, docs_path: str, lake_root: str, day,
                            user_id: str, load_tz: str, output_tz: str = "UTC",
-                           shards: int = 3, by=lake.USER_PREFIX) -> DataFrame:
-    """B3 for time tracking: matrix answers → rows of ``day`` (in
-    ``output_tz``) → lake.  Returns the rejected rows."""
+                           shards: int | None = None, rejects_table: str | None = None) -> DataFrame:
+    """B3 for time tracking of one user.  Returns the rejected rows."""
     docs = landing.read_envelopes(spark, docs_path, landing.MATRIX_ENVELOPE)
-    docs, bad_docs = landing.split_documents(docs, ["row_headers", "rows"])
-    parsed = landing.parse_matrix(docs, load_tz=load_tz, output_date=day,
-                                  output_tz=output_tz, user_id=user_id)
-    good = parsed.filter(F.col(landing.REASON).isNull())
-    prefix = {"day": timez.to_date_value(day), "user": user_id,
-              "dataset": DATASETS["time_tracking"]}
-    lake.write_prefix(landing.matrix_row_json(good), lake_root, {c: prefix[c] for c in by}, shards)
-    return _all_rejects(parsed.filter(F.col(landing.REASON).isNotNull()), bad_docs)
+    return land_matrices(docs, lake_root, day, load_tz=load_tz, output_tz=output_tz, user_id=user_id, shards=shards,
+                         rejects_table=rejects_table)
 
 
 def job_land_time_tracking_users(spark: SparkSession, docs_root: str, lake_root: str, day,
                                  user_zones: DataFrame, output_tz: str = "UTC",
-                                 shards: int | None = None) -> DataFrame:
+                                 shards: int | None = None, rejects_table: str | None = None) -> DataFrame:
     """B3 for many users in one job: saved answers under
-    ``<docs_root>/user=<id>/…`` → rows of UTC ``day`` → lake (day, dataset).
+    ``<docs_root>/user=<id>/…`` → rows of UTC ``day`` → lake.
 
     Each user's export is read in that user's zone, taken from
     ``user_zones(user_id, tz)`` — a join on ``user_id`` with one row per
@@ -369,15 +405,9 @@ def job_land_time_tracking_users(spark: SparkSession, docs_root: str, lake_root:
     """
     docs = landing.read_envelopes(spark, docs_root, landing.MATRIX_ENVELOPE)
     docs = docs.withColumn("user_id", landing.user_from_path())
-    docs, bad_docs = landing.split_documents(docs, ["row_headers", "rows"])
     zones = user_zones.groupBy("user_id").agg(F.min("tz").alias("__tz"))
-    docs = docs.join(zones, "user_id", "left")
-    parsed = landing.parse_matrix(docs, load_tz=F.col("__tz"), output_date=day,
-                                  output_tz=output_tz, user_col="user_id")
-    good = parsed.filter(F.col(landing.REASON).isNull())
-    lake.write_prefix(landing.matrix_row_json(good), lake_root,
-                      {"day": timez.to_date_value(day), "dataset": DATASETS["time_tracking"]}, shards)
-    return _all_rejects(parsed.filter(F.col(landing.REASON).isNotNull()), bad_docs)
+    return land_matrices(docs.join(zones, "user_id", "left"), lake_root, day, load_tz=F.col("__tz"), output_tz=output_tz,
+                         user_col="user_id", shards=shards, rejects_table=rejects_table)
 
 
 def job_land_fitness_users(spark: SparkSession, sessions_root: str, aggregated_root: str,
@@ -385,8 +415,7 @@ def job_land_fitness_users(spark: SparkSession, sessions_root: str, aggregated_r
                            datasources_root: str | None = None, raw_points_root: str | None = None,
                            rejects_table: str | None = None) -> DataFrame:
     """B3 for many users in one job: answers under ``<root>/user=<id>/…`` →
-    lake (day, dataset), user from the folder.  Returns the rejected documents
-    and elements."""
+    lake, user from the folder.  Returns the rejected documents and elements."""
     return _land_fitness(spark, {"sessions": sessions_root, "points": aggregated_root,
                                  "datasources": datasources_root, "raw_points": raw_points_root},
                          lake_root, day, None, shards, rejects_table)

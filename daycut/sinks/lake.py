@@ -1,12 +1,12 @@
-"""Data-lake JSONL files: sharded writer (K1), replace-by-prefix (K2), scan.
-
-Layout: ``<root>/day=YYYY-MM-DD/dataset=<name>/part-*.txt`` — one directory
-per (day, dataset) "prefix", each holding ``shards`` files of many users'
-lines (``user_id`` is inside every line).  A landing run replaces exactly the
-prefixes it writes (dynamic partition overwrite); a load reads one day and
-dataset with partition pruning.  Runs that land one user at a time can add a
-``user`` level (``by=USER_PREFIX``) so that each run replaces only its own
-prefix, at the cost of many small files at scale.
+"""Data-lake JSONL files: writer (K1), replace by prefix (K2), scan.
+
+One layout for single- and many-user runs:
+``<root>/load=<id>/day=YYYY-MM-DD/dataset=<name>/bucket=<n>/part-*.txt``.
+``bucket`` is a hash of the line's user (``user_id`` is inside every line), and
+a published list says which load holds a (day, dataset, bucket) now, see
+``published``.  A landing for some users merges: it rewrites only the buckets
+of its users, keeps the lines of all others there, and becomes visible at once.
+A load reads one day and dataset from the folders that the lists name.
 """
 
 from __future__ import annotations
@@ -15,81 +15,132 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daycut.sinks import published
+
 PREFIX_COLS = ("day", "dataset")
-USER_PREFIX = ("day", "user", "dataset")
-_PREFIX_TYPES = {"day": T.DateType(), "user": T.StringType(), "dataset": T.StringType()}
+#: User buckets of a prefix, set by its first write; a landing for one user
+#: rewrites one of them.
+BUCKETS = 8
+#: Attempts of a landing whose buckets another landing replaces meanwhile.
+ATTEMPTS = 5
+
+_FOLDERS = [T.StructField("load", T.StringType()), T.StructField("day", T.DateType()),
+            T.StructField("dataset", T.StringType()), T.StructField("bucket", T.IntegerType())]
+_TEXT = T.StructType([T.StructField("value", T.StringType())])
+
 
+def _user(line: Column) -> Column:
+    return F.get_json_object(line, "$.user_id")
 
-def lake_schema(by=PREFIX_COLS) -> T.StructType:
-    return T.StructType([T.StructField("value", T.StringType())]
-                        + [T.StructField(c, _PREFIX_TYPES[c]) for c in by])
 
+def _bucket(user: Column, buckets: int) -> Column:
+    """Bucket of a user; lines without a user are in the first."""
+    return F.coalesce(F.pmod(F.xxhash64(user), F.lit(buckets)).cast("int"), F.lit(0))
 
-def write_sharded_jsonl(lines: DataFrame, root: str, shards: int | None = None,
-                        line_col: str = "value", by=PREFIX_COLS) -> None:
-    """Write JSON text lines, one folder per prefix, replacing the prefixes.
 
-    Without ``shards`` the rows are rebalanced on the prefix columns: AQE
-    splits a prefix larger than the advisory partition size over several
-    tasks (a day holding a third of all lines is written by many tasks, one
-    file each) and merges small prefixes, so files follow the data size.
-    With ``shards`` (e.g. 3 for a one-user run) rows are spread over that
-    many hash shards of the line text — deterministic on retry — and a prefix
-    gets at most ``shards`` files (fewer when two shards share a partition).  Lines are written as they are
-    (LF ends).
+def _write(lines: DataFrame, root: str, load: str, shards: int | None) -> dict[tuple, int]:
+    """Lines (``day``, ``dataset``, ``bucket``, ``value``) into the load's
+    folder.
+
+    Rows are rebalanced on the folder: AQE splits one larger than the advisory
+    partition size over several tasks (a day holding a third of all lines is
+    written by many) and merges small ones.  With ``shards`` the lines of each
+    folder are dealt over that many hash shards, the same on every retry.
     """
-    by = list(by)
-    out = lines.select(*[F.col(c) for c in by], F.col(line_col).alias("value"))
+    spark, by = lines.sparkSession, ["day", "dataset", "bucket"]
     if shards:
-        # an explicit partition count: AQE must not merge the shards again
-        n = max(shards, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        shard = F.pmod(F.xxhash64(F.col("value")), F.lit(shards))
-        out = out.repartition(n, *[F.col(c) for c in by], shard)
+        n = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        out = lines.repartition(n, *by, F.pmod(F.xxhash64("value"), F.lit(shards)))
     else:
-        out = out.hint("rebalance", *by)
-    (out
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*by)
-     .text(root))
-
+        out = lines.hint("rebalance", *by)
+    out.write.partitionBy(*by).text(published.load_path(root, load))
+    found = published.written(spark, root, load, "value string", "text")
+    return {(k["day"], k["dataset"], int(k["bucket"])): n for k, n in ((dict(key), n) for key, n in found.items())}
 
-# ---- fixed values: characters that a partition folder's name escapes ----
-_ESCAPED = {*map(chr, range(1, 32)), *"\x7f\"#%'*/:=?\\{[]^"}
-# --------------------------------------------------------------------------
 
-
-def prefix_path(root: str, prefix: dict[str, str]) -> str:
-    """Folder of one prefix, named as a partitioned write names it."""
-    parts = ["".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in f"{v}") for v in prefix.values()]
-    return "/".join([root.rstrip("/"), *[f"{k}={v}" for k, v in zip(prefix, parts)]])
+def write_sharded_jsonl(lines: DataFrame, root: str, shards: int | None = None, line_col: str = "value",
+                        buckets: int = BUCKETS) -> None:
+    """Write JSON text lines, replacing every (day, dataset) prefix that gets
+    a line.  Lines are written as they are (LF ends)."""
+    load, value = published.new_load(), F.col(line_col)
+    rows = lines.select("day", "dataset", _bucket(_user(value), buckets).alias("bucket"), value.alias("value"))
+    files = _write(rows, root, load, shards)
+    published.publish(lines.sparkSession, root, [
+        published.Slot(load, *prefix, b, buckets, files.get((*prefix, b), 0))
+        for prefix in sorted({key[:2] for key in files}) for b in range(buckets)])
 
 
 def write_prefix(lines: DataFrame, root: str, prefix: dict[str, str], shards: int | None = None,
-                 line_col: str = "value") -> None:
-    """Replace one known prefix by ``lines``, also where there are none: a
-    landing that finds nothing must not leave the lines of an earlier run."""
-    out = lines.select(F.col(line_col).alias("value"))
-    if shards:
-        out = out.repartition(shards, F.pmod(F.xxhash64("value"), F.lit(shards)))
-    else:
-        out = out.hint("rebalance")
-    out.write.mode("overwrite").text(prefix_path(root, prefix))
+                 line_col: str = "value", buckets: int = BUCKETS) -> None:
+    """Replace one known (day, dataset) prefix by ``lines``, also where there
+    are none; with ``user`` in ``prefix``, that user's lines of it."""
+    if prefix.get("user") is not None:
+        spark = lines.sparkSession
+        users = spark.createDataFrame([(prefix["user"],)], "user string")
+        return write_users(lines, root, prefix["day"], prefix["dataset"], users, shards, line_col, buckets)
+    load, day, dataset = published.new_load(), f"{prefix['day']}", f"{prefix['dataset']}"
+    value = F.col(line_col)
+    files = _write(lines.select(F.lit(day).cast("date").alias("day"), F.lit(dataset).alias("dataset"),
+                                _bucket(_user(value), buckets).alias("bucket"), value.alias("value")), root, load, shards)
+    published.publish(lines.sparkSession, root, [
+        published.Slot(load, day, dataset, b, buckets, files.get((day, dataset, b), 0)) for b in range(buckets)])
+
+
+def write_users(lines: DataFrame, root: str, day, dataset: str, users: DataFrame, shards: int | None = None,
+                line_col: str = "value", buckets: int = BUCKETS) -> None:
+    """Replace the lines of ``users`` (column ``user``) in one (day, dataset)
+    by ``lines``, also where there are none; other users' lines stay.
+
+    Only the buckets of these users are read and rewritten.  If another
+    landing has replaced one of them before this one is published, the merge
+    is done anew on what is there then.
+    """
+    spark, day = lines.sparkSession, f"{day}"
+    users = users.select(F.col("user").alias("__user")).where("__user IS NOT NULL").distinct()
+    for _ in range(ATTEMPTS):
+        base = {s.bucket: s for s in published.current(spark, root, [day], dataset) or []}
+        n = next(iter(base.values())).buckets if base else buckets
+        touched = {r[0] for r in users.select(_bucket(F.col("__user"), n)).distinct().collect()}
+        touched |= {r[0] for r in lines.select(_bucket(_user(F.col(line_col)), n)).distinct().collect()}
+        kept = _scan(spark, root, [s for b, s in base.items() if b in touched]).select("value").withColumn(
+            "__of", _user(F.col("value"))).join(users, F.col("__of") == F.col("__user"), "left_anti").select("value")
+        rows = lines.select(F.col(line_col).alias("value")).union(kept)
+        load = published.new_load()
+        files = _write(rows.select(F.lit(day).cast("date").alias("day"), F.lit(dataset).alias("dataset"),
+                                   _bucket(_user(F.col("value")), n).alias("bucket"), "value"), root, load, shards)
+        now = {s.bucket: s for s in published.current(spark, root, [day], dataset) or []}
+        if all(now.get(b) == base.get(b) for b in touched):
+            published.publish(spark, root, [published.Slot(load, day, dataset, b, n, files.get((day, dataset, b), 0))
+                                            for b in sorted(touched)])
+            return
+        published.remove(spark, published.load_path(root, load))
+    raise RuntimeError(f"{dataset} of {day} was replaced by others during {ATTEMPTS} attempts")
+
+
+def _scan(spark: SparkSession, root: str, slots: list[published.Slot]) -> DataFrame:
+    """Lines and folders' columns of the slots."""
+    folders = published.paths(root, slots)
+    if not folders:
+        return spark.createDataFrame([], T.StructType([*_TEXT.fields, *_FOLDERS]))
+    return (spark.read.schema(T.StructType([*_TEXT.fields, *_FOLDERS])).option("basePath", root.rstrip("/"))
+            .text(folders))
 
 
 def scan_jsonl(spark: SparkSession, root: str, *, day=None, dataset: str | None = None,
-               users: list[str] | None = None, by=PREFIX_COLS) -> DataFrame:
-    """Lines of the lake (``value`` and the prefix columns); filters on the
-    prefix columns prune directories before any file is opened."""
-    df = spark.read.schema(lake_schema(by)).text(root)
+               users: list[str] | None = None) -> DataFrame:
+    """Lines of the lake (``value``, ``day``, ``dataset``).  Only the folders
+    of the days, the dataset and the users' buckets are listed and opened."""
+    days = None
     if day is not None:
-        days = day if isinstance(day, (list, tuple)) else [day]
-        df = df.filter(F.col("day").isin(*[F.lit(str(d)).cast("date") for d in days]))
-    if dataset is not None:
-        df = df.filter(F.col("dataset") == F.lit(dataset))
-    if users and "user" in by:
-        df = df.filter(F.col("user").isin(*users))
-    return df
+        days = [f"{d}" for d in (day if isinstance(day, (list, tuple)) else [day])]
+    slots = published.current(spark, root, days, dataset) or []
+    if users is not None:
+        counts = {s.buckets for s in slots}
+        asked = spark.createDataFrame([(u,) for u in users], "user string")
+        held = {n: {r[0] for r in asked.select(_bucket(F.col("user"), n)).collect()} for n in counts}
+        slots = [s for s in slots if s.bucket in held[s.buckets]]
+    rows = _scan(spark, root, slots).select("value", "day", "dataset")
+    return rows if users is None else rows.where(_user(F.col("value")).isin(*users))
 
 
 def scan_glob(spark: SparkSession, pattern: str) -> DataFrame:

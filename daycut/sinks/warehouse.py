@@ -1,114 +1,141 @@
-"""Warehouse tables: Parquet, one directory per UTC day, clustered by user.
-
-``load_partition`` replaces one day (K3): the day's directory is overwritten
-as a whole, so a re-run replaces, and an empty input leaves an empty day
-(truncate semantics).  Clustering (K4): rows are hash-partitioned on
-(user, hour of the time column) and sorted by (user, time) inside each file,
-so Parquet row-group min/max statistics skip on user and time filters.  The
-hour and a small salt from the row's hash spread a user — or a single
-user-hour — that holds a large share of the rows over many tasks, and hashing
-needs no sampling pass (a range partitioner would run the whole upstream scan
-and parse once more just to sample it).
+"""Warehouse tables: Parquet day partitions, laid out by user and time.
+
+A table is a folder (a published list says which load holds each day, see
+``published``) or a name in the session's catalog (day partitions are replaced
+by INSERT OVERWRITE).  ``load_days`` replaces days (K3), also by nothing, at
+once: a load that fails midway leaves the days as they were.
+
+Layout (K4): rows are dealt by sampled ranges of (day, user, time) and sorted
+by them, so the files of a day hold disjoint user ranges, whose min/max skip
+files on a user filter; a user that holds a large share of the rows is cut by
+time into as many files.  Bloom filters on the user skip the rest.  Sampling
+reads the input twice: the load jobs lay out parsed, staged rows, never raw
+lines.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
+import json
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+
+from daycut.sinks import published
 
 DAY_COL = "day"
-SALT = 16
+#: Distinct users of a row group that its bloom filter is sized for.
+BLOOM_USERS = 100_000
 
 
-def day_path(table: str, day) -> str:
-    d = day if isinstance(day, (_dt.date, str)) else str(day)
-    return f"{table.rstrip('/')}/{DAY_COL}={d}"
+def named(table: str) -> bool:
+    """Whether ``table`` is a name in the catalog and no path."""
+    return "/" not in table
 
 
 def clustered(df: DataFrame, cluster_by: list[str], files: int | None = None,
-              time_per_hour: int | None = None, lead: list[str] | None = None) -> DataFrame:
-    """Hash layout on ``lead`` + (user, hour of time), sorted by ``lead`` +
-    ``cluster_by``.  ``cluster_by`` is ``[user_col, time_col]``;
-    ``time_per_hour`` is the time column's units per hour (ms: 3 600 000).
-
-    Without ``files`` the rows are rebalanced: AQE merges small partitions
-    and splits ones above the advisory size, so files follow the data size
-    (a fixed count would stop AQE from merging or splitting)."""
-    lead = lead or []
-    keys = list(lead) + [cluster_by[0]]
-    extra = []
-    if len(cluster_by) > 1 and time_per_hour:
-        t = F.col(cluster_by[1])
-        df = df.withColumn("__hour", F.floor(t / F.lit(time_per_hour))) \
-               .withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALT)))
-        extra = ["__hour", "__salt"]
-    if files:
-        out = df.repartition(files, *keys, *extra)
-    else:
-        # AQE merges small partitions and splits ones above the advisory size
-        out = df.hint("rebalance", *keys, *extra)
-    out = out.sortWithinPartitions(*lead, *cluster_by)
-    return out.drop(*extra) if extra else out
+              lead: list[str] | None = None) -> DataFrame:
+    """Sampled ranges of ``lead`` + ``cluster_by`` (``[user_col, time_col]``),
+    sorted inside.  Without ``files`` AQE merges neighbouring small ranges."""
+    keys = [*(lead or []), *cluster_by]
+    out = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    return out.sortWithinPartitions(*keys)
 
 
-def load_partition(df: DataFrame, table: str, day, *, cluster_by: list[str] | None = None,
-                   files: int | None = None, time_per_hour: int | None = None) -> None:
-    """Truncate-and-write the rows of one UTC ``day`` into ``table``."""
-    out = df.drop(DAY_COL) if DAY_COL in df.columns else df
-    if cluster_by:
-        out = clustered(out, cluster_by, files, time_per_hour)
-    out.write.mode("overwrite").parquet(day_path(table, day))
+def _days(days) -> list[str]:
+    return [f"{d}" for d in days]
+
+
+def _in_days(days: list[str]) -> Column:
+    return F.col(DAY_COL).isin(*[F.lit(d).cast("date") for d in days])
 
 
-def _last_files(spark: SparkSession, table: str, columns: StructType, days: list) -> dict:
-    """Of each of ``days`` that holds rows, the last of its files by name."""
-    try:
-        rows = spark.read.schema(columns).option("basePath", table).parquet(table)
-    except AnalysisException as ex:
-        if ex.getCondition() != "PATH_NOT_FOUND":
-            raise
+def _bloom(cluster_by: list[str] | None) -> dict[str, str]:
+    if not cluster_by:
         return {}
-    rows = rows.filter(F.col(DAY_COL).isin(*[F.lit(f"{d}").cast("date") for d in days]))
-    return {f"{r[0]}": r[1] for r in rows.groupBy(DAY_COL).agg(F.max("_metadata.file_name")).collect()}
+    return {f"parquet.bloom.filter.enabled#{cluster_by[0]}": "true",
+            f"parquet.bloom.filter.expected.ndv#{cluster_by[0]}": f"{BLOOM_USERS}"}
 
 
-def load_days(rows: DataFrame, table: str, days: list, *, cluster_by: list[str] | None = None,
-              files: int | None = None, time_per_hour: int | None = None) -> None:
-    """Truncate-and-write several UTC days in one job (rows carry ``day``).
+def load_days(rows: DataFrame, table: str, days: list | None, *, cluster_by: list[str] | None = None,
+              files: int | None = None) -> None:
+    """Replace UTC days of a table by ``rows`` (which carry ``day``).
 
-    Days that get rows are replaced by one partitioned write.  Those that
-    still hold the files of an earlier load after it got none, and are
-    emptied; this reads no column but one row per day.
+    ``days`` lists the days to replace, also by nothing; rows of other days
+    are left out.  Without it, the days that get rows are replaced.
     """
-    spark, columns = rows.sparkSession, rows.schema
-    before = _last_files(spark, table, columns, days)
-    out = rows.filter(F.col(DAY_COL).isin(*[F.lit(f"{d}").cast("date") for d in days]))
+    rows = rows.withColumn(DAY_COL, F.col(DAY_COL).cast("date"))
+    out = rows if days is None else rows.filter(_in_days(_days(days)))
     if cluster_by:
-        out = clustered(out, cluster_by, files, time_per_hour, lead=[DAY_COL])
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(DAY_COL).parquet(table))
-    after = _last_files(spark, table, columns, days)
-    stale = [d for d, name in after.items() if before.get(d) == name]
-    if not after:
-        stale = days[:1]                                   # an empty table still has its columns
-    nothing = spark.createDataFrame([], rows.drop(DAY_COL).schema)
-    for d in stale:
-        nothing.write.mode("overwrite").parquet(day_path(table, d))
-
-
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """A warehouse table with its ``day`` partition column (S8), by the path
-    of its folder or by its name in the session's catalog."""
-    if "/" not in table:
-        return spark.read.table(table)
-    return spark.read.option("basePath", table).parquet(table)
+        out = clustered(out, cluster_by, files, lead=[DAY_COL])
+    if named(table):
+        return _insert(out, table, days, cluster_by)
+    spark, load, data = rows.sparkSession, published.new_load(), rows.drop(DAY_COL).schema
+    out.write.options(**_bloom(cluster_by)).partitionBy(DAY_COL).parquet(published.load_path(table, load))
+    held = {dict(key)[DAY_COL]: n for key, n in published.written(spark, table, load, data, "parquet").items()}
+    # a list without any day still tells the columns
+    replaced = sorted(held) if days is None else _days(days)
+    published.publish(spark, table, [published.Slot(load, d, files=held.get(d, 0), columns=data.json())
+                                     for d in replaced or [""]])
 
 
-def write_rejects(rejects: DataFrame, table: str, day, dataset: str) -> None:
-    """Rejected lines with their reason, kept instead of only logged."""
-    rejects.drop(DAY_COL).write.mode("overwrite").parquet(
-        f"{table.rstrip('/')}/dataset={dataset}/{DAY_COL}={day}")
+def load_partition(df: DataFrame, table: str, day, *, cluster_by: list[str] | None = None,
+                   files: int | None = None) -> None:
+    """Replace one UTC ``day`` of ``table`` by the rows."""
+    load_days(df.withColumn(DAY_COL, F.lit(f"{day}").cast("date")), table, [day], cluster_by=cluster_by, files=files)
+
+
+def _insert(rows: DataFrame, table: str, days: list | None, cluster_by: list[str] | None) -> None:
+    """INSERT OVERWRITE of the day partitions of a table in the catalog, which
+    is made where absent; days without rows are dropped.  Row counts and sizes
+    of the replaced partitions go to the catalog's statistics."""
+    spark = rows.sparkSession
+    columns = [c for c in rows.columns if c != DAY_COL] + [DAY_COL]
+    if not spark.catalog.tableExists(table):
+        (rows.limit(0).select(*columns).write.format("parquet").partitionBy(DAY_COL)
+         .options(**_bloom(cluster_by)).saveAsTable(table))
+    into = spark.table(table).columns                       # INSERT goes by position
+    held = {f"{r[0]}" for r in spark.sql(f"SHOW PARTITIONS {table}").selectExpr("substring(partition, 5)").collect()}
+    rows.select(*into).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    now = {f"{r[0]}" for r in spark.sql(f"SHOW PARTITIONS {table}").selectExpr("substring(partition, 5)").collect()}
+    if days is not None:
+        got = {f"{r[0]}" for r in rows.select(DAY_COL).distinct().collect()} if held & set(_days(days)) else now
+        for day in sorted((held & set(_days(days))) - got):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({DAY_COL} = DATE'{day}')")
+    for day in sorted(now if days is None else now & set(_days(days))):
+        if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({DAY_COL} = DATE'{day}')").count():
+            spark.sql(f"ANALYZE TABLE {table} PARTITION ({DAY_COL} = DATE'{day}') COMPUTE STATISTICS")
+
+
+def read_table(spark: SparkSession, table: str, days: list | None = None) -> DataFrame:
+    """A warehouse table with its ``day`` partition column (S8), by the path
+    of its folder or by its name in the session's catalog.
+
+    By path, the rows are those of the days as they are now (a later load does
+    not change a frame made before); ``days`` lists only these.
+    """
+    if named(table):
+        rows = spark.read.table(table)
+        return rows if days is None else rows.filter(_in_days(_days(days)))
+    slots = published.current(spark, table)
+    if slots is None:
+        rows = spark.read.option("basePath", table).parquet(table)      # a plain partitioned folder
+        return rows if days is None else rows.filter(_in_days(_days(days)))
+    newest = max(slots, key=lambda s: s.load)
+    data = T.StructType.fromJson(json.loads(newest.columns))
+    day = T.StructField(DAY_COL, T.DateType())
+    folders = published.paths(table, [s for s in slots if days is None or s.day in _days(days)])
+    if not folders:
+        return spark.createDataFrame([], T.StructType([*data.fields, day]))
+    whole = T.StructType([*data.fields, T.StructField("load", T.StringType()), day])
+    rows = spark.read.schema(whole).option("basePath", table.rstrip("/")).parquet(*folders)
+    return rows.drop("load")
+
+
+def rejects_of(table: str, rejects_table: str | None, dataset: str) -> str:
+    """Where the rejects of a load go: ``rejects_table`` by dataset, or next
+    to the table."""
+    if rejects_table is None:
+        return f"{table.rstrip('/')}_rejects"
+    return f"{rejects_table}_{dataset.replace('-', '_')}" if named(rejects_table) \
+        else f"{rejects_table.rstrip('/')}/dataset={dataset}"

@@ -194,19 +194,21 @@ def _tagged_lines(rows: DataFrame, element: str, tags: dict[str, Column],
     """Elements (VARIANT) → lake lines ``user_id``, ``value``, ``_reject_reason``.
 
     A line holds every key of the element and the tags that are set; of a name
-    in both, the tag stays if ``tags_win``, else the element's own value.  An
-    element that is no JSON object is a reject with its text as ``value``.
+    in both, the tag stays if ``tags_win``, else the element's own value; the
+    user is always the tag, as landings replace lines by it.  An element that
+    is no JSON object is a reject with its text as ``value``.
     """
     own = F.try_variant_get(F.col(element), "$", "map<string,variant>")
     pairs = [x for n, c in tags.items() for x in (F.lit(n), c.cast("variant"))]
     rows = computed(rows, [F.col("user_id"), F.col(element).alias("__v"), own.alias("__own"),
                            F.create_map(*pairs).alias("__tags")])
     tag = F.map_filter("__tags", lambda k, v: v.isNotNull())
+    own = F.map_filter("__own", lambda k, v: ~k.isin(*(tags if tags_win else ["user_id"])))
     if tags_win:
-        line = F.map_concat(F.map_filter("__own", lambda k, v: ~k.isin(*tags)), tag)
+        line = F.map_concat(own, tag)
     else:
-        line = F.map_concat(F.map_filter(tag, lambda k, v: ~F.array_contains(
-            F.map_keys("__own"), k)), F.col("__own"))
+        line = F.map_concat(F.map_filter(tag, lambda k, v: (k == "user_id") | ~F.array_contains(
+            F.map_keys("__own"), k)), own)
     bad = F.col("__own").isNull()
     return rows.select(
         "user_id",
@@ -271,8 +273,9 @@ def parse_matrix(docs: DataFrame, *, load_tz, output_date, output_tz="UTC",
     (one output day per document).  ``fixed_day`` keeps the original fixed
     24 h window; ``False`` ends the window at the next local midnight of
     ``output_tz`` instead (23 or 25 h on DST change days).  Rows whose date does not parse, documents
-    without a date header, with a null header or with headers that collide after
-    normalising, and rows longer than the header come back with ``_reject_reason``.
+    without a date header or with a null header, and rows longer than the header
+    come back with ``_reject_reason``.  Where headers collide after normalising,
+    the last cell of the row wins.
     The user and ``date_timestamp_millis`` replace headers of those names.
     """
     names = F.transform(F.col("row_headers"), header_name)
@@ -286,14 +289,17 @@ def parse_matrix(docs: DataFrame, *, load_tz, output_date, output_tz="UTC",
     rows = docs.select(_user(user_id, user_col).alias("user_id"), names.alias("names"),
                        day_start.alias("lo"), day_end.alias("hi"), zone.alias("__zone"),
                        F.explode("rows").alias("r"))
-    zipped = F.arrays_zip(F.slice(F.col("names"), 1, F.size("r")), F.col("r"))
-    # a header named like a tag gives way to the tag
-    fields = F.map_filter(F.map_from_entries(zipped),
+    # of equal headers the last cell counts, in the place of the first; a header
+    # named like a tag gives way to the tag
+    used = F.slice(F.col("names"), 1, F.size("r"))
+    last = F.transform(F.array_distinct(used), lambda n: F.struct(n.alias("k"), F.get(
+        F.col("r"), F.size(used) - F.array_position(F.reverse(used), n).cast("int")).alias("v")))
+    cells = F.when(F.size(F.array_distinct(used)) == F.size(used), F.arrays_zip(used.alias("k"), F.col("r").alias("v"))) \
+        .otherwise(last)
+    fields = F.map_filter(F.map_from_entries(cells),
                           lambda k, v: ~k.isin("user_id", "date_timestamp_millis"))
     doc_bad = F.when(F.exists("names", lambda n: n.isNull()), F.lit("header without a name")) \
         .when(~F.array_contains("names", F.lit(date_key)), F.lit("no date header")) \
-        .when(F.size(F.array_distinct("names")) != F.size("names"),
-              F.lit("duplicate header names")) \
         .when(F.size("r") > F.size("names"), F.lit("row longer than header"))
     rows = rows.select("user_id", "lo", "hi", "r", "__zone",
                        F.when(doc_bad.isNull(), fields).alias("fields"),
@@ -317,7 +323,10 @@ def parse_matrix(docs: DataFrame, *, load_tz, output_date, output_tz="UTC",
         REASON, "_line")
 
 
-def matrix_row_json(rows: DataFrame) -> DataFrame:
+def matrix_json(rows: DataFrame) -> Column:
     """Lake line text of parsed matrix rows: ``{"user_id": …, <fields>}``."""
-    m = F.map_concat(F.create_map(F.lit("user_id"), F.col("user_id")), F.col("fields"))
-    return rows.select(F.to_json(m).alias("value"))
+    return F.to_json(F.map_concat(F.create_map(F.lit("user_id"), F.col("user_id")), F.col("fields")))
+
+
+def matrix_row_json(rows: DataFrame) -> DataFrame:
+    return rows.select(matrix_json(rows).alias("value"))

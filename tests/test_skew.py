@@ -1,7 +1,9 @@
 """One user (or one prefix) holding most rows must not land in one task."""
 
+import glob
 import os
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from daycut.sinks import lake, warehouse
@@ -17,21 +19,51 @@ def _hot_rows(spark, n_hot=60_000, n_cold=20_000):
     return hot.unionByName(cold)
 
 
-def test_clustering_spreads_a_hot_user(spark):
+def _ranges(table, column):
+    """(min, max, rows) of a column per file, from the files' statistics."""
+    out = []
+    for name in glob.glob(f"{table}/load=*/day=*/*.parquet"):
+        meta = pq.ParquetFile(name).metadata
+        at = meta.schema.to_arrow_schema().get_field_index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        out.append((min(s.min for s in stats), max(s.max for s in stats), meta.num_rows))
+    return out
+
+
+def test_clustering_cuts_a_hot_user_by_time(spark):
     rows = _hot_rows(spark)
-    laid = warehouse.clustered(rows, ["user_id", "t"], files=8, time_per_hour=3_600_000)
-    sizes = [r.n for r in laid.groupBy(F.spark_partition_id().alias("p"))
-             .agg(F.count(F.lit(1)).alias("n")).collect()]
-    hot_parts = laid.filter(F.col("user_id") == "hot") \
-        .select(F.spark_partition_id().alias("p")).distinct().count()
-    assert hot_parts == 8                       # the hot user is in every partition
-    assert max(sizes) < 2.0 * (sum(sizes) / len(sizes))
-    # and each partition is still sorted by (user, time) for row-group skipping
+    laid = warehouse.clustered(rows, ["user_id", "t"], files=8)
+    parts = laid.groupBy(F.spark_partition_id().alias("p"), (F.col("user_id") == "hot").alias("hot")) \
+        .agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).collect()
+    sizes = {}
+    for r in parts:
+        sizes[r.p] = sizes.get(r.p, 0) + r.n
+    assert len(sizes) == 8 and max(sizes.values()) < 2.0 * (sum(sizes.values()) / len(sizes))
+    hot = sorted((r.lo, r.hi) for r in parts if r.hot)
+    assert len(hot) >= 5                        # three quarters of the rows
+    assert all(a[1] <= b[0] for a, b in zip(hot, hot[1:]))      # and each part is a span of time
     first = laid.filter(F.spark_partition_id() == 0).collect()
     keys = [(r.user_id, r.t) for r in first]
     assert keys == sorted(keys)
 
 
+def test_user_filter_skips_files(spark, tmpdir_path):
+    """A day of 16 files, one user with a third of the rows: by the files'
+    statistics, a filter on any other user opens at most two of them."""
+    rows = _hot_rows(spark, 30_000, 60_000)
+    table = os.path.join(tmpdir_path, "t")
+    warehouse.load_partition(rows, table, "2024-01-09", cluster_by=["user_id", "t"], files=16)
+    files = _ranges(table, "user_id")
+    assert len(files) == 16
+    for user in ["u0", "u1", "u250", "u499", "u77"]:
+        assert 1 <= sum(lo <= user <= hi for lo, hi, _ in files) <= 2
+    assert 4 <= sum(lo <= "hot" <= hi for lo, hi, _ in files) <= 7
+    meta = pq.ParquetFile(glob.glob(f"{table}/load=*/day=*/*.parquet")[0]).metadata
+    assert meta.num_rows > 0
+    read = warehouse.read_table(spark, table)
+    assert read.where("user_id = 'u250'").count() == rows.where("user_id = 'u250'").count()
+
+
 def test_lake_writer_spreads_a_hot_prefix(spark, tmpdir_path):
     rows = _hot_rows(spark, 30_000, 100)
     lines = rows.select(F.lit("2024-01-01").cast("date").alias("day"),
@@ -41,8 +73,7 @@ def test_lake_writer_spreads_a_hot_prefix(spark, tmpdir_path):
     # fixed shards: at most that many files, written by several tasks
     root = os.path.join(tmpdir_path, "lake")
     lake.write_sharded_jsonl(lines, root, shards=6)
-    hot_dir = os.path.join(root, "day=2024-01-01", "dataset=hot-ds")
-    files = [f for f in os.listdir(hot_dir) if f.startswith("part-")]
+    files = glob.glob(f"{root}/load=*/day=2024-01-01/dataset=hot-ds/bucket=*/part-*")
     assert 2 <= len(files) <= 6
     assert lake.scan_jsonl(spark, root).count() == 30_100
     # rebalanced (default): AQE splits the hot prefix by size, keeps the cold one whole
@@ -52,9 +83,7 @@ def test_lake_writer_spreads_a_hot_prefix(spark, tmpdir_path):
         lake.write_sharded_jsonl(lines, root2)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    hot2 = [f for f in os.listdir(os.path.join(root2, "day=2024-01-01", "dataset=hot-ds"))
-            if f.startswith("part-")]
-    cold2 = [f for f in os.listdir(os.path.join(root2, "day=2024-01-01", "dataset=cold-ds"))
-             if f.startswith("part-")]
-    assert len(hot2) >= 4 and len(cold2) == 1
+    hot2 = glob.glob(f"{root2}/load=*/day=2024-01-01/dataset=hot-ds/bucket=*/part-*")
+    cold2 = glob.glob(f"{root2}/load=*/day=2024-01-01/dataset=cold-ds/bucket=*")
+    assert len(hot2) >= 4 and 1 <= len(cold2) <= lake.BUCKETS
     assert lake.scan_jsonl(spark, root2).count() == 30_100

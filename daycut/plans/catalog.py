@@ -72,17 +72,17 @@ def q_daily_steps(spark, sf_dir):
 
 def q_daily_distance(spark, sf_dir):
     pts = standins.points_from_events(_prep(spark, sf_dir))
-    return reports.daily_distance(pts, _cal(spark, sf_dir), value_scale=VALUE_SCALE, **_range(spark, sf_dir))
+    return reports.daily_distance(pts, _cal(spark, sf_dir), **_range(spark, sf_dir))
 
 
 def q_daily_calories(spark, sf_dir):
     pts = standins.points_from_events(_prep(spark, sf_dir))
-    return reports.daily_calories(pts, _cal(spark, sf_dir), value_scale=VALUE_SCALE, **_range(spark, sf_dir))
+    return reports.daily_calories(pts, _cal(spark, sf_dir), **_range(spark, sf_dir))
 
 
 def q_daily_heart_rate(spark, sf_dir):
     pts = standins.points_from_events(_prep(spark, sf_dir))
-    return reports.daily_heart_rate(pts, _cal(spark, sf_dir), value_scale=VALUE_SCALE, **_range(spark, sf_dir))
+    return reports.daily_heart_rate(pts, _cal(spark, sf_dir), **_range(spark, sf_dir))
 
 
 def loaded_sessions(spark, sf_dir) -> DataFrame:
@@ -242,7 +242,8 @@ def _details_sql(who: str = "") -> str:
                                             "working_hours", "date_hour"), "NULL"), True, "a" if who else None)
 
 
-FLOAT = f"CAST(value0_fpVal AS DECIMAL(18,{VALUE_SCALE}))"
+# the exact sum of the doubles, which are whole numbers of 2^-60 here, rounded once
+EXACT_SUM = f"(CAST(sum(CAST(value0_fpVal * {2 ** 60} AS HUGEINT)) AS DOUBLE) / {2 ** 60})"
 
 LOADED_SESSIONS_SQL = f"""s AS ({standins.ORACLE_SESSIONS}),
 clipped AS (
@@ -270,15 +271,15 @@ ORACLE: dict[str, str] = {
 {_cal_sql("(SELECT lo FROM b)", "(SELECT hi FROM b)")}
 SELECT * FROM cal ORDER BY date DESC""",
 
-    "daily_calories": _points_sql(standins.CALORIES_TYPE, {}, calrories=f"CAST(round(sum({FLOAT})) AS BIGINT)"),
+    "daily_calories": _points_sql(standins.CALORIES_TYPE, {}, calrories=f"CAST(round({EXACT_SUM}) AS BIGINT)"),
     "daily_distance": _points_sql(standins.DISTANCE_TYPE, {"distance": "0"},
-                                  distance=f"CAST(round(coalesce(sum({FLOAT}), 0)) AS BIGINT)"),
+                                  distance=f"CAST(round(coalesce({EXACT_SUM}, 0)) AS BIGINT)"),
     "daily_steps": _points_sql(standins.STEP_TYPE, {"step_count": "0"},
                                step_count="CAST(coalesce(sum(value0_intVal), 0) AS BIGINT)"),
     "daily_heart_rate": _points_sql(
         standins.HEART_RATE_TYPE, {},
-        avg_heart_rate=f"CAST(round(CAST(sum({FLOAT}) AS DOUBLE) / count({FLOAT})) AS BIGINT)",
-        min_heart_rate=f"CAST(round(min({FLOAT})) AS BIGINT)", max_heart_rate=f"CAST(round(max({FLOAT})) AS BIGINT)"),
+        avg_heart_rate=f"CAST(round({EXACT_SUM} / count(value0_fpVal)) AS BIGINT)",
+        min_heart_rate="CAST(round(min(value0_fpVal)) AS BIGINT)", max_heart_rate="CAST(round(max(value0_fpVal)) AS BIGINT)"),
 
     "daily_sleep": _sleep_sql(),
     "daily_productive": _productive_sql(),

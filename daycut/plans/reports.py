@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daycut.functions import labels, timez
-from daycut.operators import daily
+from daycut.operators import daily, exact
 from daycut.plans import standins
 from daycut.session import checkpointed
 from daycut.sources import calendar as calmod
@@ -90,11 +90,21 @@ def _densify(cal_cols: DataFrame, per_day: DataFrame, start, end, by_user: bool,
     return daily.dense_left(cal_cols, per_day, _bound(start, end))
 
 
-def _users(df: DataFrame, user_id, users: DataFrame | None = None) -> DataFrame:
-    """Users a per-user report covers: those of ``users``, else all of the
-    table (or the one asked).  A table of users saves the scan of all days
-    that finding them in the facts takes."""
-    return _user(df if users is None else users, user_id).select("user_id").distinct()
+def _users(df: DataFrame, user_id, users: DataFrame | None, start, end, tz: str, day_col: str | None) -> DataFrame:
+    """Users a per-user report covers: all of the table, of the user dimension
+    ``users``, or the one asked.
+
+    Without ``users`` they are found by a scan of the facts' user column, over
+    all days.  A user dimension (``sinks.users``: first and last UTC day of
+    each user, kept by the loads) saves that scan; with its days, only users
+    who had a fact by the report's last day are covered.
+    """
+    found = _user(df if users is None else users, user_id)
+    if users is not None and "first_day" in users.columns and end is not None:
+        _, hi = timez.local_range_millis(start, end, tz)
+        last = _dt.datetime.fromtimestamp(hi / 1000, _dt.timezone.utc).date()
+        found = found.filter(F.col("first_day") <= F.lit(last))
+    return found.select("user_id").distinct()
 
 
 # ---- V1 ---------------------------------------------------------------------
@@ -117,31 +127,41 @@ def points_by_day(points: DataFrame, data_type: str, tz: str, user_id, start, en
 
 
 def daily_metric(points: DataFrame, cal: DataFrame, *, data_type: str, aggs: dict,
-                 finish: dict, tz: str = TZ, user_id=None, start=None, end=None,
+                 finish: dict, total: Column | None = None, tz: str = TZ, user_id=None, start=None, end=None,
                  day_col: str | None = None, ordered: bool = True,
                  by_user: bool = False, users: DataFrame | None = None) -> DataFrame:
     """Generic V2–V5: aggregate by local day, then densify on the calendar.
 
-    ``aggs`` name → aggregate over the day's points; ``finish`` name →
-    expression over the joined row (zero fill and rounding go here, after
-    the join, so days without points see NULL aggregates as in SQL).
-    ``by_user`` gives one dense series per user of the table (of ``users``,
-    where given) instead of one series over the selected users; rows without
-    a user count as one user.
+    ``aggs`` name → (count, sum, min or max; column) over the day's points;
+    ``total`` is a float column whose sum ``s`` is exact, whatever the order of
+    the rows; ``finish`` name → expression over the joined row (zero fill and
+    rounding go here, after the join, so days without points see NULL
+    aggregates as in SQL).  ``by_user`` gives one dense series per user of the
+    table (of ``users``, where given) instead of one series over the selected
+    users; rows without a user count as one user.
     """
     keys = ["user_id", "date"] if by_user else ["date"]
-    per_day = points_by_day(points, data_type, tz, user_id, start, end, day_col) \
-        .groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
+    facts = points_by_day(points, data_type, tz, user_id, start, end, day_col)
+    if total is None:
+        per_day = facts.groupBy(*keys).agg(*[getattr(F, how)(c).alias(n) for n, (how, c) in aggs.items()])
+    else:
+        per_day = exact.exact_sum_by(facts, keys, total, "s", aggs)
     joined = _densify(cal.select("date", "date_year_month"), per_day, start, end, by_user,
-                      _users(points, user_id, users) if by_user else None)
+                      _users(points, user_id, users, start, end, tz, day_col) if by_user else None)
     out = joined.select(*keys, "date_year_month", *[e.alias(n) for n, e in finish.items()])
     return newest_first(out, ordered, _bound(start, end) is not None)
 
 
+def _summed(value_scale: int | None) -> tuple[Column | None, dict]:
+    """How to sum the float values: exactly, or in fixed point."""
+    v = F.col("value0_fpVal")
+    return (v, {}) if value_scale is None else (None, {"s": ("sum", daily.exact_values(v, value_scale))})
+
+
 def daily_steps(points, cal, *, data_type=standins.STEP_TYPE, **kw) -> DataFrame:
     """V4: SUM of integer values, zero fill."""
     return daily_metric(points, cal, data_type=data_type,
-                        aggs={"s": F.sum("value0_intVal")},
+                        aggs={"s": ("sum", F.col("value0_intVal"))},
                         finish={"step_count": F.coalesce(F.col("s"), F.lit(0)).cast("long")},
                         **kw)
 
@@ -149,9 +169,8 @@ def daily_steps(points, cal, *, data_type=standins.STEP_TYPE, **kw) -> DataFrame
 def daily_distance(points, cal, *, data_type=standins.DISTANCE_TYPE,
                    value_scale: int | None = None, **kw) -> DataFrame:
     """V3: SUM of float values, zero fill, rounded to an integer."""
-    v = daily.exact_values(F.col("value0_fpVal"), value_scale)
-    return daily_metric(points, cal, data_type=data_type,
-                        aggs={"s": F.sum(v)},
+    total, aggs = _summed(value_scale)
+    return daily_metric(points, cal, data_type=data_type, total=total, aggs=aggs,
                         finish={"distance": timez.round_long(F.coalesce(F.col("s"), F.lit(0)))},
                         **kw)
 
@@ -160,9 +179,8 @@ def daily_calories(points, cal, *, data_type=standins.CALORIES_TYPE,
                    value_scale: int | None = None, **kw) -> DataFrame:
     """V2: SUM of float values, NULL on days without points, rounded.
     (The output name keeps the warehouse view's spelling.)"""
-    v = daily.exact_values(F.col("value0_fpVal"), value_scale)
-    return daily_metric(points, cal, data_type=data_type,
-                        aggs={"s": F.sum(v)},
+    total, aggs = _summed(value_scale)
+    return daily_metric(points, cal, data_type=data_type, total=total, aggs=aggs,
                         finish={"calrories": timez.round_long(F.col("s"))},
                         **kw)
 
@@ -170,10 +188,11 @@ def daily_calories(points, cal, *, data_type=standins.CALORIES_TYPE,
 def daily_heart_rate(points, cal, *, data_type=standins.HEART_RATE_TYPE,
                      value_scale: int | None = None, **kw) -> DataFrame:
     """V5: AVG/MIN/MAX per day, NULL on days without points, rounded."""
-    v = daily.exact_values(F.col("value0_fpVal"), value_scale)
+    total, aggs = _summed(value_scale)
+    v = F.col("value0_fpVal")
     return daily_metric(
-        points, cal, data_type=data_type,
-        aggs={"s": F.sum(v), "n": F.count(v), "lo": F.min(v), "hi": F.max(v)},
+        points, cal, data_type=data_type, total=total,
+        aggs={**aggs, "n": ("count", v), "lo": ("min", v), "hi": ("max", v)},
         finish={"avg_heart_rate": timez.round_long(F.col("s").cast("double") / F.col("n")),
                 "min_heart_rate": timez.round_long(F.col("lo")),
                 "max_heart_rate": timez.round_long(F.col("hi"))},
@@ -218,7 +237,7 @@ def daily_sleep(sessions: DataFrame, cal: DataFrame, *, tz: str = TZ, user_id=No
         F.max(F.col("ms").cast("double") / F.lit(1000)).alias("sleep_sec"),
         F.max(F.col("ms").cast("double") / F.lit(3_600_000)).alias("sleep_hour"))
     out = _densify(cal.select("date", "date_year_month"), per_day, start, end, by_user,
-                   _users(sessions, user_id, users) if by_user else None)
+                   _users(sessions, user_id, users, start, end, tz, day_col) if by_user else None)
     return newest_first(out.select(*keys, "date_year_month", "sleep_sec", "sleep_hour"),
                         ordered, _bound(start, end) is not None)
 
@@ -254,7 +273,7 @@ def daily_productive(activities: DataFrame, cal: DataFrame, *, tz: str = TZ,
     keys = ["user_id", "date"] if by_user else ["date"]
     per_day = a.groupBy(*keys).agg(inside.alias("w"), outside.alias("o"))
     j = _densify(cal.select("date", "date_year_month", "dayofweek"), per_day, start, end,
-                 by_user, _users(activities, user_id, users) if by_user else None)
+                 by_user, _users(activities, user_id, users, start, end, tz, day_col) if by_user else None)
     w = F.coalesce(F.col("w"), F.lit(0)).cast("long")
     o = F.coalesce(F.col("o"), F.lit(0)).cast("long")
     out = j.select(*keys, "date_year_month", w.alias("working_time_sec"),
@@ -316,9 +335,9 @@ def daily_productive_details(activities: DataFrame, cal: DataFrame, *, tz: str =
     if by_user:
         _require_range(start, end)
         if users is not None:
-            asked = _users(activities, user_id, users).withColumnRenamed("user_id", "__user")
+            asked = _users(activities, user_id, users, start, end, tz, day_col).withColumnRenamed("user_id", "__user")
             detail = detail.join(asked, F.col("user_id").eqNullSafe(F.col("__user")), "left_semi")
-        j = daily.dense_detail_by_user(cal_cols, detail, _users(activities, user_id, users),
+        j = daily.dense_detail_by_user(cal_cols, detail, _users(activities, user_id, users, start, end, tz, day_col),
                                        start, end)
     else:
         j = daily.dense_left_detail(cal_cols, detail, _bound(start, end))
@@ -338,12 +357,14 @@ def bucket_points(points: DataFrame, *, step_ms: int = BUCKET_MS, origin_ms: int
     """Points summed per (user, data type, step-long bucket of the start time)."""
     ms = timez.nanos_to_millis("startTimeNanos")
     b = F.floor((ms - F.lit(origin_ms)) / F.lit(step_ms)).cast("long")
-    fp = daily.exact_values(F.col("value0_fpVal"), value_scale)
-    g = points.select("user_id", "dataTypeName", b.alias("bucket"),
-                      fp.alias("fp"), "value0_intVal") \
-        .groupBy("user_id", "dataTypeName", "bucket") \
-        .agg(F.sum("fp").alias("fp"), F.sum("value0_intVal").alias("value0_intVal"),
-             F.count(F.lit(1)).alias("n_points"))
+    keys = ["user_id", "dataTypeName", "bucket"]
+    rows = points.select("user_id", "dataTypeName", b.alias("bucket"), "value0_fpVal", "value0_intVal")
+    others = {"value0_intVal": ("sum", F.col("value0_intVal")), "n_points": ("count", F.lit(1))}
+    if value_scale is None:
+        g = exact.exact_sum_by(rows, keys, F.col("value0_fpVal"), "fp", others)
+    else:
+        fp = daily.exact_values(F.col("value0_fpVal"), value_scale)
+        g = rows.groupBy(*keys).agg(F.sum(fp).alias("fp"), *[getattr(F, how)(c).alias(n) for n, (how, c) in others.items()])
     start = F.col("bucket") * F.lit(step_ms) + F.lit(origin_ms)
     return g.select("user_id", "dataTypeName", start.alias("startTimeMillis"),
                     (start + F.lit(step_ms)).alias("endTimeMillis"),

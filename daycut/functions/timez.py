@@ -123,7 +123,16 @@ def local_day_start_millis(day, tz: str) -> int:
     return int(start.timestamp() * 1000)
 
 
-def local_range_millis(first_day, last_day, tz: str) -> tuple[int, int]:
-    """Half-open UTC epoch-ms range covering local days first..last in ``tz``."""
-    nxt = to_date_value(last_day) + _dt.timedelta(days=1)
-    return local_day_start_millis(first_day, tz), local_day_start_millis(nxt, tz)
+def local_range_millis(first_day, last_day, tz: str) -> tuple:
+    """Half-open UTC epoch-ms range covering local days first..last in ``tz``;
+    a bound of a date expression is an expression."""
+    if isinstance(last_day, Column):
+        hi = _day_start(F.date_add(last_day, 1), tz)
+    else:
+        hi = local_day_start_millis(to_date_value(last_day) + _dt.timedelta(days=1), tz)
+    lo = _day_start(first_day, tz) if isinstance(first_day, Column) else local_day_start_millis(first_day, tz)
+    return lo, hi
+
+
+def _day_start(day: Column, tz: str) -> Column:
+    return F.unix_millis(F.to_utc_timestamp(day.cast("timestamp"), tz))

@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daycut.functions.timez import to_date_value
-from daycut.sources.calendar import day_count
+from daycut.sources.calendar import date_col, day_count
 
 # Conservative per-row size estimate for day-grain rows (date + a few longs).
 DAY_ROW_BYTES = 96
@@ -92,7 +91,7 @@ def dense_by_user(cal: DataFrame, facts: DataFrame, users: DataFrame, start, end
     facts are unique per (user, day), so the final join is a plain shuffle
     join on two unique keys with nothing to skew.
     """
-    s, e = F.lit(to_date_value(start)), F.lit(to_date_value(end))
+    s, e = date_col(start), date_col(end)
     grid = users.select(user, F.explode(F.when(s <= e, F.sequence(s, e))).alias(on))
     grid = grid.join(bounded_broadcast(cal, day_count(start, end)), on=on, how="inner")
     return _match(grid, facts, user, on, "left").drop("__user", "__on")
@@ -111,7 +110,7 @@ def dense_detail_by_user(cal: DataFrame, detail: DataFrame, users: DataFrame, st
     a shuffle join on (user, day), unique on its right side."""
     bound = day_count(start, end)
     matched = detail.join(bounded_broadcast(cal, bound), on=on, how="inner")
-    s, e = F.lit(to_date_value(start)), F.lit(to_date_value(end))
+    s, e = date_col(start), date_col(end)
     grid = users.select(user, F.explode(F.when(s <= e, F.sequence(s, e))).alias(on))
     grid = grid.join(bounded_broadcast(cal, bound), on=on, how="inner")
     empty = _match(grid, detail.select(user, on).distinct(), user, on, "left_anti")
@@ -125,9 +124,9 @@ def in_range(col: Column, lo, hi) -> Column:
     """Half-open ``lo <= col < hi`` (either bound may be None)."""
     cond = F.lit(True)
     if lo is not None:
-        cond = cond & (col >= F.lit(lo))
+        cond = cond & (col >= lo)
     if hi is not None:
-        cond = cond & (col < F.lit(hi))
+        cond = cond & (col < hi)
     return cond
 
 

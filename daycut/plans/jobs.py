@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from daycut.functions import timez
 from daycut.operators import flatten, intervals
 from daycut.session import scratch_path
-from daycut.sinks import lake, published, warehouse
+from daycut.sinks import lake, published, users, warehouse
 from daycut.sources import landing, schema
 
 S = T.StringType()
@@ -222,6 +222,7 @@ def _load(spark: SparkSession, lake_root: str, kind: str, table: str, windows: l
 
         good = cut_sessions(good, bound(lambda w: w.begin_ms), bound(lambda w: w.end_ms))
     warehouse.load_days(rejects, warehouse.rejects_of(table, rejects_table, DATASETS[kind]), days)
+    users.merge_users(good, table)
     warehouse.load_days(good, table, days, cluster_by=_cluster(good, CLUSTERS[kind]), files=files)
     published.remove(spark, staged.path)
     return staged.counts
@@ -314,14 +315,14 @@ def _land(lines: DataFrame, bad_docs: DataFrame, docs: DataFrame, kind: str, lak
     broken = bad_docs.select(user.alias("user_id"), file.alias("file"), F.lit("document").alias(landing.REASON),
                              F.col(landing.TEXT).alias("value"))
     staged = stage(lines.select("user_id", none.alias("file"), landing.REASON, "value").unionByName(broken), f"land-{kind}")
-    users = spark.createDataFrame([(user_id,)], "user string") if user_col is None \
+    landed = spark.createDataFrame([(user_id,)], "user string") if user_col is None \
         else docs.select(user.alias("user")).distinct()
-    lake.write_users(staged.good, lake_root, d, dataset, users, shards)
+    lake.write_users(staged.good, lake_root, d, dataset, landed, shards)
     rejects = staged.rejects.select("user_id", F.lit(dataset).alias("dataset"), "file", landing.REASON,
                                     F.col("value").alias("text"))
     if rejects_table:
         lake.write_users(rejects.select(F.to_json(F.struct("user_id", "file", F.col(landing.REASON).alias("reason"), "text"))
-                                        .alias("value")), rejects_table, d, dataset, users, shards)
+                                        .alias("value")), rejects_table, d, dataset, landed, shards)
     staged.drop()
     return rejects
 

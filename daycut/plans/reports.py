@@ -1,7 +1,8 @@
 """The daily reports (V1–V8) and the 30-minute point buckets.
 
 Each report takes the warehouse table(s) and a calendar frame.  ``start`` and
-``end`` are the calendar's literal bounds when known: they turn into a range
+``end`` are the calendar's bounds when known, dates or expressions that fold to
+a date when the query runs (``calendar.yesterday``): they turn into a range
 filter on the raw time column (pushed to the Parquet scan of a warehouse
 table, and to day-partition pruning when ``day_col`` names the partition
 column) and into the proven row bound that allows broadcasting per-day rows.
@@ -12,8 +13,6 @@ Outputs are ordered newest day first, as the warehouse views are.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,22 +41,23 @@ def _prune(df: DataFrame, time_col: str, unit_per_ms: int, start, end, tz: str,
     """
     if start is None or end is None:
         return df
-    lo, hi = timez.local_range_millis(start, end, tz)
-    lo, hi = lo - pad_ms, hi + pad_ms
-    df = df.filter(daily.in_range(F.col(time_col), lo * unit_per_ms, hi * unit_per_ms))
+    lo, hi = (F.lit(lo) if isinstance(lo, int) else lo for lo in timez.local_range_millis(start, end, tz))
+    lo, hi = lo - F.lit(pad_ms), hi + F.lit(pad_ms)
+    df = df.filter(daily.in_range(F.col(time_col), lo * F.lit(unit_per_ms), hi * F.lit(unit_per_ms)))
     if day_col:
         # a day on each side: rows may lie in the partition of a neighbouring day
-        one = _dt.timedelta(days=1)
-        d_lo = _dt.datetime.fromtimestamp(lo / 1000, _dt.timezone.utc).date() - one
-        d_hi = _dt.datetime.fromtimestamp(hi / 1000, _dt.timezone.utc).date() + one
-        df = df.filter(F.col(day_col).between(F.lit(d_lo), F.lit(d_hi)))
+        df = df.filter(F.col(day_col).between(F.date_sub(_utc_day(lo), 1), F.date_add(_utc_day(hi), 1)))
     return df
 
 
+def _utc_day(ms: Column) -> Column:
+    return F.to_date(timez.millis_to_instant(ms))
+
+
 def _in_calendar(date: Column, start, end) -> Column:
     if start is None or end is None:
         return date.isNotNull()
-    return date.between(F.lit(timez.to_date_value(start)), F.lit(timez.to_date_value(end)))
+    return date.between(calmod.date_col(start), calmod.date_col(end))
 
 
 def _user(df: DataFrame, user_id) -> DataFrame:
@@ -79,7 +79,7 @@ def newest_first(df: DataFrame, ordered: bool, bounded: bool = False) -> DataFra
 
 def _require_range(start, end):
     if start is None or end is None:
-        raise ValueError("per-user reports need literal calendar bounds (start, end)")
+        raise ValueError("per-user reports need calendar bounds (start, end)")
 
 
 def _densify(cal_cols: DataFrame, per_day: DataFrame, start, end, by_user: bool,
@@ -101,9 +101,8 @@ def _users(df: DataFrame, user_id, users: DataFrame | None, start, end, tz: str,
     """
     found = _user(df if users is None else users, user_id)
     if users is not None and "first_day" in users.columns and end is not None:
-        _, hi = timez.local_range_millis(start, end, tz)
-        last = _dt.datetime.fromtimestamp(hi / 1000, _dt.timezone.utc).date()
-        found = found.filter(F.col("first_day") <= F.lit(last))
+        hi = timez.local_range_millis(start, end, tz)[1]
+        found = found.filter(F.col("first_day") <= _utc_day(F.lit(hi) if isinstance(hi, int) else hi))
     return found.select("user_id").distinct()
 
 
@@ -211,7 +210,8 @@ def sleep_by_day_and_app(sessions: DataFrame, *, tz: str = TZ, user_id=None,
     if start is not None and end is not None:
         shift = SLEEP_SHIFT_HOURS * 3_600_000
         lo, hi = timez.local_range_millis(start, end, tz)
-        s = s.filter(daily.in_range(F.col("startTimeMillis"), lo - shift, hi - shift))
+        lo, hi = (F.lit(x) if isinstance(x, int) else x for x in (lo, hi))
+        s = s.filter(daily.in_range(F.col("startTimeMillis"), lo - F.lit(shift), hi - F.lit(shift)))
         if day_col:
             s = _prune(s, "startTimeMillis", 1, start, end, tz, day_col, pad_ms=shift)
     pieces = daily.dedup(s, ["user_id", "startTimeMillis", "endTimeMillis",

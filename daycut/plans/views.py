@@ -11,13 +11,10 @@ report, as the warehouse views reuse the calendar view.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import SparkSession
 
-from daycut.functions import timez
 from daycut.plans import reports
-from daycut.sinks import warehouse
+from daycut.sinks import users, warehouse
 from daycut.sources import calendar as calmod
 
 VIEW_NAMES = ["calendar_days", "daily_calories", "daily_distance", "daily_steps",
@@ -32,28 +29,31 @@ def register_views(spark: SparkSession, tables: dict[str, str], *,
     """Register the calendar and the eight reports as temp views.
 
     ``tables`` maps ``points``/``sessions``/``time_tracking`` to warehouse
-    table paths (day-partitioned); missing tables skip their reports.  With
-    ``end=None`` the calendar ends yesterday in ``tz`` (resolved once, here,
-    so the reports get literal bounds for pruning and broadcast sizing).
+    tables (folders, or names in the catalog); missing tables skip their
+    reports.  With ``end=None`` the calendar ends yesterday in ``tz`` whenever a
+    view is queried: the bound is an expression that each query folds to a
+    literal, so the scans still prune by day.  ``end`` may also be a date or an
+    expression of one's own.
+
+    A view over a table in the catalog sees later loads.  One over a folder
+    shows the loads published when it was registered: register the views again
+    after a load (no data is read).  Per-user views take their users from the
+    user dimension that the loads keep, where there is one.
     """
-    if end is None:
-        today = spark.range(1).select(timez.current_local_date(tz).alias("d")).first().d
-        end = today - _dt.timedelta(days=1)
+    end = calmod.yesterday(tz) if end is None else end
     cal = calmod.calendar_days(spark, start, end, tz)
-    kw = dict(tz=tz, user_id=user_id, start=start, end=end, day_col=warehouse.DAY_COL)
+    kw = dict(tz=tz, user_id=user_id, start=start, end=end, day_col=warehouse.DAY_COL, by_user=by_user)
     views = {"calendar_days": reports.newest_first(cal, True)}
-    if "points" in tables:
-        pts = warehouse.read_table(spark, tables["points"])
-        for name in ("daily_calories", "daily_distance", "daily_steps", "daily_heart_rate"):
-            views[name] = getattr(reports, name)(pts, cal, by_user=by_user, **kw)
-    if "sessions" in tables:
-        views["daily_sleep"] = reports.daily_sleep(
-            warehouse.read_table(spark, tables["sessions"]), cal, by_user=by_user, **kw)
-    if "time_tracking" in tables:
-        tt = warehouse.read_table(spark, tables["time_tracking"])
-        views["daily_productive"] = reports.daily_productive(tt, cal, by_user=by_user, **kw)
-        views["daily_productive_details"] = reports.daily_productive_details(
-            tt, cal, by_user=by_user, **kw)
+
+    def over(kind: str, *names: str) -> None:
+        if kind in tables:
+            facts = warehouse.read_table(spark, tables[kind])
+            asked = users.read_users(spark, tables[kind]) if by_user else None
+            views.update({n: getattr(reports, n)(facts, cal, users=asked, **kw) for n in names})
+
+    over("points", "daily_calories", "daily_distance", "daily_steps", "daily_heart_rate")
+    over("sessions", "daily_sleep")
+    over("time_tracking", "daily_productive", "daily_productive_details")
     for name, df in views.items():
         df.createOrReplaceTempView(prefix + name)
     return [prefix + n for n in views]

@@ -16,7 +16,8 @@ CALENDAR_COLUMNS = ["date", "date_year_month", "isoyear", "isoweek", "year",
                     "month", "week", "dayofweek", "quarter", "timezone"]
 
 
-def _date_col(d) -> Column:
+def date_col(d) -> Column:
+    """A date, its text or a date expression as a Column."""
     if isinstance(d, Column):
         return d.cast("date")
     return F.lit(timez.to_date_value(d))
@@ -38,14 +39,20 @@ def with_date_parts(days: DataFrame, tz: str) -> DataFrame:
     )
 
 
+def yesterday(tz: str = DEFAULT_TZ, now: Column | None = None) -> Column:
+    """The last whole local day in ``tz``.  A query folds it to a literal when
+    it runs, so a view over it moves with the date and still prunes."""
+    now = F.current_timestamp() if now is None else now
+    return F.date_sub(F.to_date(F.from_utc_timestamp(now, tz)), 1)
+
+
 def calendar_days(spark: SparkSession, start=DEFAULT_START, end=None,
                   tz: str = DEFAULT_TZ) -> DataFrame:
     """Dense local days ``start..end`` (inclusive); ``end`` defaults to
     yesterday in ``tz``.  An empty range gives no rows (a plain date
     ``sequence`` would count backwards instead)."""
-    s = _date_col(start)
-    e = timez.current_local_date(tz) - F.expr("INTERVAL 1 DAY") if end is None \
-        else _date_col(end)
+    s = date_col(start)
+    e = yesterday(tz) if end is None else date_col(end)
     days = spark.range(1).select(
         F.explode(F.when(s <= e, F.sequence(s, e))).alias("date"))
     return with_date_parts(days, tz)
@@ -62,8 +69,11 @@ def calendar_over(df: DataFrame, date_col: str, tz: str = DEFAULT_TZ,
     return with_date_parts(days, tz)
 
 
-def day_count(start, end) -> int:
-    """Rows a literal calendar will have (used as a proven broadcast bound)."""
+def day_count(start, end) -> int | None:
+    """Rows a literal calendar will have (used as a proven broadcast bound);
+    None if a bound is an expression."""
+    if isinstance(start, Column) or isinstance(end, Column):
+        return None
     s, e = timez.to_date_value(start), timez.to_date_value(end)
     return max(0, (e - s).days + 1)
 

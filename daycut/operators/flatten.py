@@ -25,11 +25,12 @@ two declared keys normalise to the same name, the later one in the schema
 that is set in the line wins.
 
 A target column that no declared key yields (with ``input_schema``), or whose
-name can be a nested path (without), is looked up at every path that normalises
-to its name (``paths_of``), in a second, VARIANT parse of the line that only
-such a target pays for.  Where a line has several of these paths, the flat key
-wins, then the one with the fewest nested parts.  Keys holding ``.``, brackets or
-parentheses themselves have to be declared.
+name can be a nested path (without), is looked up at every path of the lines
+that normalises to its name, keys holding ``.`` or brackets included.  One
+aggregation over the lines finds these paths (``path_dictionary``; or pass
+``paths``), and a second, VARIANT parse of the line reads them; only such a
+target pays for both.  Where a line has several of these paths, the one with the
+fewest nested parts wins.
 
 A line that is not a JSON object, or whose present value does not convert to
 the target type, is a reject: rows come back with ``_reject_reason`` set and
@@ -52,9 +53,6 @@ CORRUPT = "_corrupt_record"
 REASON = "_reject_reason"
 LINE = "_line"
 
-#: Possible paths of one undeclared column beyond which it must be declared.
-MAX_PATHS = 512
-
 BRACKETS = "[]"
 BRACKETS_AND_PARENS = "[]()"
 
@@ -65,43 +63,86 @@ def normalise(path_name: str, drop_chars: str = BRACKETS) -> str:
     return re.sub("[" + re.escape(drop_chars) + "]", "", out) if drop_chars else out
 
 
-def paths_of(name: str) -> list[str]:
-    """Every JSON path whose normalised name is ``name``: each ``_`` may part
-    two keys, and the end of each run of digits may be array positions.
-    Fewest parts first; ``device_uid`` → ``$['device_uid']``,
-    ``$['device']['uid']``."""
-    found: list[tuple[int, str]] = []
-
-    def after_key(at: int, path: str, parts: int) -> None:
-        # behind a whole key or position: the end, a position, or the next key
-        if at == len(name):
-            found.append((parts, path))
-            return
-        if name[at] == "_":
-            key(at + 1, path, parts)
-        number = re.match(r"\d+", name[at:])
-        for n in range(1, len(number.group()) + 1 if number else 0):
-            if n == 1 or name[at] != "0":
-                after_key(at + n, f"{path}[{name[at:at + n]}]", parts + 1)
-
-    def key(at: int, path: str, parts: int) -> None:
-        for end in range(at + 1, len(name) + 1):
-            if end == len(name) or name[end] == "_" or name[end].isdigit():
-                after_key(end, f"{path}['{name[at:end]}']", parts + 1)
-            if len(found) > MAX_PATHS:
-                raise SchemaError(f"column {name!r} has over {MAX_PATHS} possible paths: declare its path")
-
-    key(0, "$", 0)
-    return [p for _, p in sorted(found)]
-
-
-def _found(variant: Column, paths: list[str]) -> Column:
+Path = tuple[str | int, ...]        # keys and array positions, outermost first
+
+
+def path_dictionary(lines: DataFrame, wanted: set[str], drop_chars: str = BRACKETS,
+                    text_col: str = "value") -> dict[str, list[Path]]:
+    """Of each wanted column name, the paths of the lines that spell it.
+
+    One aggregation over the parsed lines: level by level every key and array
+    position is appended to its path and name, what no wanted name starts with
+    is dropped, and the distinct (name, path) pairs remain, few whatever the
+    number of lines.  Fewest parts first.  Dictionaries of several files merge
+    with :func:`merge_dictionaries`.
+    """
+    if not wanted:
+        return {}
+    if lines.isStreaming:
+        raise SchemaError("a stream needs paths= for columns of undeclared keys: " + ", ".join(sorted(wanted)))
+    names = F.array(*[F.lit(n) for n in sorted(wanted)])
+    step = "struct<key:string,pos:int>"
+    rows = lines.select(F.lit("").alias("name"), F.array().cast(f"array<{step}>").alias("path"),
+                        F.try_parse_json(F.col(text_col)).alias("v")).where("v IS NOT NULL")
+
+    def part(key: Column, pos: Column) -> Column:
+        return F.concat("path", F.array(F.struct(key.cast("string").alias("key"), pos.cast("int").alias("pos")).cast(step)))
+
+    def spelled(kid: Column) -> Column:
+        return F.exists(names, lambda n: n.startswith(kid["name"]))
+
+    kid = "array<struct<name:string,path:array<struct<key:string,pos:int>>,v:variant>>"
+    # a path is at most as deep as its name has parts: keys after "_", positions as digits
+    depth = max(1 + sum(c == "_" or c.isdigit() for c in n) for n in wanted)
+    for level in range(depth):
+        keys = F.map_entries(F.try_variant_get("v", "$", "map<string,variant>"))
+        cells = F.try_variant_get("v", "$", "array<variant>")
+        gap = F.lit("_" if level else "")
+        of_object = F.transform(keys, lambda e: F.struct(F.concat("name", gap, _norm_key(e["key"], drop_chars)).alias("name"),
+                                                         part(e["key"], F.lit(None)).alias("path"), e["value"].alias("v")))
+        of_array = F.transform(cells, lambda x, i: F.struct(F.concat("name", i.cast("string")).alias("name"),
+                                                            part(F.lit(None), i).alias("path"), x.alias("v")))
+        leaf = F.when(F.array_contains(names, F.col("name")), F.array(F.struct("name", "path", "v"))).otherwise(
+            F.array().cast(kid))
+        rows = rows.select(F.inline(F.coalesce(F.filter(of_object, spelled), F.filter(of_array, spelled), leaf)))
+    nested = F.coalesce(F.try_variant_get("v", "$", "map<string,variant>").isNotNull(), F.lit(False)) \
+        | F.try_variant_get("v", "$", "array<variant>").isNotNull()
+    found: dict[str, list[Path]] = {}
+    for r in rows.where(~nested).where(F.array_contains(names, F.col("name"))).select("name", "path").distinct().collect():
+        found.setdefault(r.name, []).append(tuple(p.key if p.pos is None else p.pos for p in r.path))
+    return merge_dictionaries(found)
+
+
+def merge_dictionaries(*parts: dict[str, list[Path]]) -> dict[str, list[Path]]:
+    """The paths of all parts, each once, fewest parts first."""
+    names = sorted({n for p in parts for n in p})
+    return {n: sorted({x for p in parts for x in p.get(n, [])}, key=lambda x: (len(x), [str(k) for k in x])) for n in names}
+
+
+def _at(variant: Column, path: Path) -> Column:
+    """The VARIANT at a path.  A key that the path syntax cannot quote is
+    looked up in the object's map."""
+    text = "$"
+    for key in path:
+        if isinstance(key, int):
+            text += f"[{key}]"
+        elif key and "'" not in key:
+            text += f"['{key}']"
+        elif key and '"' not in key:
+            text += f'["{key}"]'
+        else:
+            variant = F.try_element_at(F.try_variant_get(variant, text, "map<string,variant>"), F.lit(key))
+            text = "$"
+    return variant if text == "$" else F.try_variant_get(variant, text, "variant")
+
+
+def _found(variant: Column, paths: list[Path]) -> Column:
     """Text of the first of ``paths`` that holds a plain value."""
     texts = []
     for p in paths:
-        v = F.try_variant_get(variant, p, "variant")
+        v = _at(variant, p)
         nested = F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)")
-        texts.append(F.when(~nested, F.try_variant_get(variant, p, "string")))
+        texts.append(F.when(~nested, F.try_variant_get(v, "$", "string")))
     return F.coalesce(*texts)
 
 
@@ -168,9 +209,13 @@ def flatten_project(lines: DataFrame, target: T.StructType, *,
                     input_schema: T.StructType | None = None,
                     drop_chars: str = BRACKETS, text_col: str = "value",
                     keep: list[str] | None = None,
-                    presence: list[str] | None = None) -> DataFrame:
+                    presence: list[str] | None = None,
+                    paths: dict[str, list[Path]] | None = None) -> DataFrame:
     """JSON text lines → rows of ``target`` plus ``_reject_reason``/``_line``.
 
+    Columns of undeclared keys are found by ``paths``; without it one pass over
+    the lines finds them (:func:`path_dictionary`).
+
     ``keep`` passes extra input columns through (e.g. a path-derived user id);
     ``presence`` (flat mode) adds ``_has_<name>`` flags for key presence.
     """
@@ -200,7 +245,9 @@ def flatten_project(lines: DataFrame, target: T.StructType, *,
             # several declared keys with one name: the last one that is set wins
             raw[name] = F.coalesce(col, raw[name]) if name in raw else col
         bad_line = F.col("__j").isNull() | F.col(f"__j.{CORRUPT}").isNotNull()
-        lookup = {n: paths_of(n) for n in sorted(wanted - set(raw))}
+        asked = wanted - set(raw)
+        found_at = path_dictionary(lines, asked, drop_chars, text_col) if paths is None else paths
+        lookup = {n: found_at[n] for n in sorted(asked) if found_at.get(n)}
     else:
         parsed = F.from_json(line, "map<string,string>")
         base = lines.select(*keep, line.alias(LINE), parsed.isNull().alias("__bad"),
@@ -213,7 +260,10 @@ def flatten_project(lines: DataFrame, target: T.StructType, *,
                 raw[name] = F.try_element_at(hits, F.lit(-1))["v"]
             present[name] = F.size(hits) > 0
         bad_line = F.col("__bad")
-        lookup = {n: nested for n in sorted(wanted) if (nested := paths_of(n)[1:])}
+        # only a name with "_" or a digit can be a nested path
+        asked = {n for n in wanted if re.search(r"_|\d", n)}
+        found_at = path_dictionary(lines, asked, drop_chars, text_col) if paths is None else paths
+        lookup = {n: deep for n in sorted(asked) if (deep := [p for p in found_at.get(n, []) if len(p) > 1])}
     whole = F.col("__v")
     if lookup:
         base = base.withColumn("__v", F.try_parse_json(F.col(LINE)))

@@ -269,7 +269,8 @@ def q_landing_rejects(spark, sf_dir):
 #: A table schema with columns of nested keys that no line schema declares.
 DYNAMIC_SCHEMA = schema.schema_json("devices", [
     ("user_id", "STRING"), ("device_uid", "STRING"), ("device_firmware_build", "INT64"),
-    ("value0_fpVal", "FLOAT64"), ("parts1_spec_load", "INT64"), ("no_such_key", "STRING")])
+    ("value0_fpVal", "FLOAT64"), ("parts1_spec_load", "INT64"), ("no_such_key", "STRING"),
+    ("a_b_c_d_e_f_g_h_i_j", "INT64"), ("dotted_key_in_it", "STRING")])
 
 
 def q_flatten_dynamic(spark, sf_dir):
@@ -278,11 +279,16 @@ def q_flatten_dynamic(spark, sf_dir):
     spark.createDataFrame([(DYNAMIC_SCHEMA,)], "value string").coalesce(1).write.text(path)
     num = F.col("event_id")
     parts = F.array(*[F.struct(F.struct(load.alias("load")).alias("spec")) for load in (num, num * 2)])
+    deep = num * 3
+    for key in "jihgfedcb":
+        deep = F.struct(deep.alias(key))
+    dotted = F.struct(F.col("event_type").alias("key.in_[it]"))
     lines = _events(spark, sf_dir).select(F.to_json(F.struct(
         F.col("user_id").cast("string").alias("user_id"),
         F.struct(F.concat(F.lit("d"), num).alias("uid"),
                  F.struct((num + 1).alias("build")).alias("firmware")).alias("device"),
-        parts.alias("parts"), F.array(F.struct(F.col("value").alias("fpVal"))).alias("value"))).alias("value"))
+        parts.alias("parts"), F.array(F.struct(F.col("value").alias("fpVal"))).alias("value"),
+        deep.alias("a"), dotted.alias("dotted"))).alias("value"))
     return jobs.point_rows(lines, path)[0]
 
 
@@ -520,7 +526,8 @@ UNION ALL
 SELECT CAST(user_id AS VARCHAR), NULL, NULL, 'unparsable date', NULL FROM m WHERE user_id % 3 = 2""",
     "flatten_dynamic": """SELECT CAST(user_id AS VARCHAR) AS user_id, 'd' || event_id AS device_uid,
        CAST(event_id + 1 AS BIGINT) AS device_firmware_build, CAST("value" AS DOUBLE) AS value0_fpVal,
-       CAST(event_id * 2 AS BIGINT) AS parts1_spec_load, CAST(NULL AS VARCHAR) AS no_such_key
+       CAST(event_id * 2 AS BIGINT) AS parts1_spec_load, CAST(NULL AS VARCHAR) AS no_such_key,
+       CAST(event_id * 3 AS BIGINT) AS a_b_c_d_e_f_g_h_i_j, event_type AS dotted_key_in_it
 FROM events""",
     "reload_days": f"""WITH {DELIVERED_SQL},
 {split_sql("delivered", DAY_START_MS, DAY_START_MS + " + 86400000")},

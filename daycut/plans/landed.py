@@ -17,7 +17,8 @@ from daycut.plans import standins
 
 # ---- fixed values -------------------------------------------------------------
 PAGE_EVENTS = 1000
-MATRIX_HEADERS = ["Date", "Time Spent (seconds)", "Activity", "Category", "Productivity"]
+# two headers normalise to one name: the later one counts
+MATRIX_HEADERS = ["Date", "Time Spent (seconds)", "ACTIVITY", "Activity", "Category", "Productivity"]
 LOAD_TZ = "Asia/Seoul"
 CIVIL_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 # --------------------------------------------------------------------------------
@@ -113,7 +114,7 @@ def matrix_documents(events: DataFrame) -> DataFrame:
     in the user's zone; ``local_day`` is kept for choosing output days."""
     code = (F.pmod(F.col("event_id"), F.lit(5)) - F.lit(2)).cast("string")
     k = F.get_json_object(F.col("props"), "$.k")
-    row = F.array(civil_time(), k, F.concat(F.lit("a"), k), F.col("event_type"), code)
+    row = F.array(civil_time(), k, F.lit("earlier"), F.concat(F.lit("a"), k), F.col("event_type"), code)
     ev = events.select(F.col("user_id").cast("string").alias("user_id"), _page().alias("page"),
                        timez.local_date(timez.ntz_to_instant("ts"), LOAD_TZ).alias("local_day"),
                        row.alias("r"))

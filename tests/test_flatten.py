@@ -119,12 +119,25 @@ def test_declared_and_generic_time_tracking_agree(spark):
         == ["bad productivity code"]
 
 
-def test_paths_of_a_name():
-    assert flatten.paths_of("user") == ["$['user']"]
-    assert flatten.paths_of("device_uid") == ["$['device_uid']", "$['device']['uid']"]
-    assert set(flatten.paths_of("v12")) == {"$['v12']", "$['v'][12]", "$['v'][1][2]", "$['v1'][2]"}
-    with pytest.raises(schema.SchemaError):
-        flatten.paths_of("a_b_c_d_e_f_g_h_i_j_k")
+def test_path_dictionary(spark):
+    lines = [{"device": {"uid": 1, "a'b": {'c"d': 2}}, "device_uid": 3}, {"v": [[0, 1, [5, 6]], 9], "v12": 1, "v1": [7]},
+             {"a": {"b": {"c": {"d": {"e": {"f": {"g": {"h": {"i": {"j": {"k": 1}}}}}}}}}}}, {"x.y": {"z[0]": [{"": 4}]}},
+             {"device": {"uid": {"deeper": 1}}}]
+    df = spark.createDataFrame([(json.dumps(x),) for x in lines] + [("{broken",), (None,), ("5",)], "value string")
+    wanted = {"device_uid", "v02", "v12", "a_b_c_d_e_f_g_h_i_j_k", "x_y_z00_", "device_a'b_c\"d", "no_such"}
+    got = flatten.path_dictionary(df, wanted)
+    assert got == {"device_uid": [("device_uid",), ("device", "uid")], "v12": [("v12",)],
+                   "a_b_c_d_e_f_g_h_i_j_k": [tuple("abcdefghijk")], "x_y_z00_": [("x.y", "z[0]", 0, "")],
+                   "device_a'b_c\"d": [("device", "a'b", 'c"d')]}
+    assert flatten.merge_dictionaries(got, {"v12": [("v", 1, 2), ("v12",)]})["v12"] == [("v12",), ("v", 1, 2)]
+    target = T.StructType([T.StructField(n, T.LongType()) for n in sorted(wanted)])
+    rows = flatten.flatten_project(df.limit(4), target, input_schema=T.StructType([T.StructField("other", T.StringType())]))
+    first = [[r[n] for r in rows.collect() if r[n] is not None] for n in ("device_uid", "a_b_c_d_e_f_g_h_i_j_k", "x_y_z00_",
+                                                                          "device_a'b_c\"d", "no_such")]
+    assert first == [[3], [1], [4], [2], []]
+    # a known dictionary saves the pass
+    again = flatten.flatten_project(df.limit(4), target, input_schema=T.StructType([T.StructField("other", T.StringType())]), paths=got)
+    assert sorted(map(str, again.collect())) == sorted(map(str, rows.collect()))
 
 
 def test_undeclared_nested_paths(spark):

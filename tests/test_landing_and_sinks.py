@@ -383,6 +383,17 @@ def test_matrix_headers_that_once_stopped_the_job(spark):
     assert line == {"user_id": "u", "date": "2020-05-16T08:00:00", "date_timestamp_millis": "1589616000000"}
 
 
+def test_last_of_equal_headers_wins(spark):
+    doc = {"row_headers": ["Date", "Time Spent", "time_spent", "TIME SPENT", "Other"],
+           "rows": [["2020-05-16T08:00:00", 1, 2, 3, "x"], ["2020-05-16T09:00:00", 1, 2], ["2020-05-16T10:00:00"],
+                    ["2020-05-16T11:00:00", 1, 2, None, "y"]]}
+    df = landing.envelopes_from_text(spark.createDataFrame([(json.dumps(doc),)], "value string"), landing.MATRIX_ENVELOPE)
+    out = landing.parse_matrix(df, load_tz="UTC", output_date="2020-05-16", user_id="u").collect()
+    assert all(r[landing.REASON] is None for r in out)
+    got = {r.fields["date"][11:13]: (r.fields.get("time_spent", "-"), r.fields.get("other", "-")) for r in out}
+    assert got == {"08": ("3", "x"), "09": ("2", "-"), "10": ("-", "-"), "11": (None, "y")}
+
+
 def test_load_days_empties_days_without_rows(spark, tmpdir_path):
     table = f"{tmpdir_path}/days"
     rows = lambda *r: spark.createDataFrame(list(r), "user_id string, t long, day string") \

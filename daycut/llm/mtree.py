@@ -32,18 +32,19 @@ CELLS = 256
 TREE_ROWS = 2048
 PAGE_ROWS = 64
 QUERY_ROWS = 1024
-_TREE = ("cell long, piece long, ids array<long>, vectors binary, centre binary, pages array<int>, routes binary, "
+_TREE = ("cell long, piece long, ids array<long>, times array<long>, vectors binary, centre binary, pages array<int>, routes binary, "
          "radius array<double>, parent array<double>, near binary")
-_HIT = "query_id long, vec_id long, score long"
+_HIT = "query_id long, vec_id long, score long, times long"
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``id``, ``v`` with v = floor(256 x) of every vector that takes part."""
+    """``id``, ``v`` with v = floor(256 x) of every vector that takes part, and
+    ``times``, the number of its equal rows."""
     v = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * 256).cast("double"))
     whole = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x)
                      & (F.abs(x.cast("double")) != float("inf")))
     return rows.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & whole).select(
-        F.col(id_col).cast("long").alias("id"), v.alias("v")).distinct()
+        F.col(id_col).cast("long").alias("id"), v.alias("v")).groupBy("id", "v").agg(F.count(F.lit(1)).alias("times"))
 
 
 def _matrix(column, dim: int) -> np.ndarray:
@@ -91,7 +92,7 @@ def build_tree(rows: pd.DataFrame, dim: int, top: float) -> dict:
     centre = points.mean(0)
     routes = np.stack([points[p].mean(0) for p in pages])
     near = [_distances(r[None], points[p])[0] for r, p in zip(routes, pages)]
-    return {"ids": rows["id"].to_numpy()[order], "vectors": m[order].tobytes(), "centre": centre.tobytes(),
+    return {"ids": rows["id"].to_numpy()[order], "times": rows["times"].to_numpy()[order], "vectors": m[order].tobytes(), "centre": centre.tobytes(),
             "pages": np.cumsum([0, *map(len, pages)]).tolist(), "routes": routes.tobytes(),
             "radius": [float(n.max()) for n in near], "parent": _distances(centre[None], routes)[0].tolist(),
             "near": np.concatenate(near).tobytes()}
@@ -101,21 +102,21 @@ class Tree:
     """A tree as read from its row, and the search in it."""
 
     def __init__(self, row, dim: int, top: float) -> None:
-        self.ids, self.top = np.asarray(row.ids, dtype=np.int64), top
+        self.ids, self.times, self.top = np.asarray(row.ids, dtype=np.int64), np.asarray(row.times, dtype=np.int64), top
         self.vectors = np.frombuffer(row.vectors).reshape(-1, dim)
         self.centre = np.frombuffer(row.centre)
         self.pages, self.radius, self.parent = list(row.pages), np.asarray(row.radius), np.asarray(row.parent)
         self.routes, self.near = np.frombuffer(row.routes).reshape(-1, dim + 1), np.frombuffer(row.near)
 
-    def search(self, query: int, v: np.ndarray, k: int, least: float) -> list[tuple[int, int]]:
-        """Up to ``k`` (score, id) of at least ``least``; best first, pages in
+    def search(self, query: int, v: np.ndarray, k: int, least: float) -> list[tuple[int, int, int]]:
+        """Up to ``k`` (score, id, times) of at least ``least``; best first, pages in
         order of their bound.  ``slack`` covers the rounding of distances."""
         point = np.append(v, 0.0)
         both = float(v @ v) + self.top
         slack = 1e-9 * both + 0.25
         reach = lambda s: np.sqrt(max(both - 2 * s, 0.0) + 2 * slack)  # noqa: E731  distance of a score
         to_root = float(np.sqrt(((point - self.centre) ** 2).sum()))
-        best: list[tuple[int, int]] = []                     # heap of (score, -id)
+        best: list[tuple[int, int, int]] = []                # heap of (score, -id, times)
         limit = reach(least) if least > -np.inf else np.inf
         # stored parent distances bound a page before its own distance is known
         queue = [(max(b, 0.0), 0, i) for i, b in enumerate(np.abs(to_root - self.parent) - self.radius)]
@@ -131,16 +132,16 @@ class Tree:
             lo, hi = self.pages[page], self.pages[page + 1]
             rows = np.flatnonzero(np.abs(known - self.near[lo:hi]) <= limit) + lo
             score = np.rint(self.vectors[rows] @ v).astype(np.int64)
-            for s, i in zip(score.tolist(), self.ids[rows].tolist()):
+            for s, i, n in zip(score.tolist(), self.ids[rows].tolist(), self.times[rows].tolist()):
                 if i == query or s < least:
                     continue
                 if len(best) < k:
-                    heapq.heappush(best, (s, -i))
-                elif (s, -i) > best[0]:
-                    heapq.heapreplace(best, (s, -i))
+                    heapq.heappush(best, (s, -i, n))
+                elif (s, -i, n) > best[0]:
+                    heapq.heapreplace(best, (s, -i, n))
             if len(best) == k:
                 limit = min(limit, reach(best[0][0]))
-        return [(s, -i) for s, i in best]
+        return [(s, -i, n) for s, i, n in best]
 
 
 def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5,
@@ -152,8 +153,8 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     but those of the query's own id.  Returns ``query_id``, ``rank`` from 1,
     ``vec_id``, ``score``; ties go to the smaller id, and with fewer candidates
     than ``k`` all are returned.  Rows with a null id, and vectors that are
-    null or hold null or non-finite components, take no part.  Equal rows
-    count once.  Shorter vectors are filled with zeros.  Scores are exact up
+    null or hold null or non-finite components, take no part.  Equal rows are
+    one query, but each of them is a candidate of its own.  Shorter vectors are filled with zeros.  Scores are exact up
     to 2^53.  An empty table, or one vector, gives no rows.
     """
     spark = rows.sparkSession
@@ -174,9 +175,10 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
             d = _distances(_lift(_matrix(batch.column("v").to_numpy(zero_copy_only=False), dim), top), shared.value)
             cell = d.argmin(1) if len(d) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(cell.astype(np.int64)),
-                                              pa.array(d[np.arange(len(d)), cell])], ["id", "v", "cell", "d"])
+                                              pa.array(d[np.arange(len(d)), cell]), batch.column("times")],
+                                             ["id", "v", "cell", "d", "times"])
 
-    placed = checkpointed(base.mapInArrow(assign, "id long, v array<double>, cell long, d double"))
+    placed = checkpointed(base.mapInArrow(assign, "id long, v array<double>, cell long, d double, times long"))
     sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("radius")).collect()
     pieces = {r["cell"]: -(-r["n"] // tree_rows) for r in sizes}        # at most `cells` entries
     radius = {r["cell"]: r["radius"] for r in sizes}
@@ -189,8 +191,6 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
 
     trees = checkpointed(placed.withColumn("piece", F.pmod(F.xxhash64("id", "v"), per[F.col("cell")]))
                          .groupBy("cell", "piece").applyInPandas(make, _TREE))
-    blocks = F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))
-    trees = trees.withColumn("block", F.explode(blocks))
     block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(spread)).alias("block")
 
     def look(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -198,12 +198,16 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
         if len(left) and len(right):
             tree = Tree(right.iloc[0], dim, top)
             for q, v, least in zip(left["id"], _matrix(left["v"], dim), left["least"]):
-                out += [(q, i, s) for s, i in tree.search(int(q), v, k, -np.inf if np.isnan(least) else least)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+                out += [(q, i, s, n) for s, i, n in tree.search(int(q), v, k, -np.inf if np.isnan(least) else least)]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "times"]).astype("int64")
 
     def search(asked: DataFrame) -> DataFrame:
         at = ("cell", "piece", "block")
-        return asked.groupBy(*at).cogroup(trees.groupBy(*at)).applyInPandas(look, _HIT)
+        # a tree goes to the query blocks that ask for it, and to no other
+        named = asked.select(*[F.col(c).alias(f"to_{c}") for c in at]).distinct()
+        sent = (trees.join(named, (F.col("cell") == F.col("to_cell")) & (F.col("piece") == F.col("to_piece")))
+                .drop("to_cell", "to_piece").withColumnRenamed("to_block", "block"))
+        return asked.groupBy(*at).cogroup(sent.groupBy(*at)).applyInPandas(look, _HIT)
 
     home = queries.select("id", "v", "cell", F.pmod(F.xxhash64("id", F.lit(2)), per[F.col("cell")]).alias("piece"), block)
     first = checkpointed(search(home.withColumn("least", F.lit(None).cast("double"))))
@@ -234,8 +238,11 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
                 [batch.column(c).take(take) for c in ("id", "v", "block", "least")]
                 + [pa.array(cell[new]), pa.array(piece[new])], ["id", "v", "block", "least", "cell", "piece"])
 
-    rest = search(asked.mapInArrow(route, "id long, v array<double>, block long, least double, cell long, piece long"))
+    rest = search(checkpointed(asked.mapInArrow(
+        route, "id long, v array<double>, block long, least double, cell long, piece long")))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     # two rows of one id and different vectors stay two candidates
-    return (first.union(rest).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    hits = first.union(rest).select("query_id", "vec_id", "score", F.explode(F.array_repeat(
+        F.lit(0), F.least("times", F.lit(k)).cast("int"))).alias("_"))
+    return (hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -152,18 +152,34 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     (F.col("copies") * F.col("size")).alias("taken")))
 
 
-def mixed_rows(docs: DataFrame, mix_of: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the mix takes, with a column ``copies``.
-
-    Identical rows share their copies evenly, as they are interchangeable:
-    each key's copies are dealt to its rows one after the other.
+def mixed_rows(docs: DataFrame, mix_of: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with a column ``copies`` (which
+    replaces one of that name).
+
+    A row gets copies that were decided for its own id, text and source.  Rows
+    equal in these share them evenly, the rest of the division going to the
+    first by a hash of the whole row, so reruns give the same rows; of rows
+    equal in all columns it is of no consequence which one gets a copy.
     """
-    keys = {"_k2": F.xxhash64(id_col, text_col, F.col(text_col).isNull())}
-    got = mix_of.groupBy("k2").agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("_rows")).where("_all > 0")
-    rows = docs.withColumns(keys).join(got.withColumnRenamed("k2", "_k2"), "_k2")
-    one = rows.where("_rows = 1").withColumn("copies", F.col("_all"))
-    nth = F.row_number().over(Window.partitionBy("_k2").orderBy(F.lit(0))) - 1
-    more = rows.where("_rows > 1").withColumn("_n", nth).withColumn(
-        "copies", F.floor(F.col("_all") / F.col("_rows")) + (F.col("_n") < F.col("_all") % F.col("_rows")).cast("long"))
-    out = [c for c in docs.columns] + ["copies"]
-    return one.select(out).union(more.where("copies > 0").select(out))
+    out = [c for c in docs.columns if c != "copies"]
+    at = ["__mix_k1", "__mix_k2"]
+    got = mix_of.groupBy(F.col("k1").alias(at[0]), F.col("k2").alias(at[1])).agg(
+        F.sum("copies").alias("__mix_all"), F.count(F.lit(1)).alias("__mix_rows")).where("__mix_all > 0")
+    rows = docs.select(*[F.col(f"`{c}`") for c in out]).withColumns(
+        {at[0]: F.xxhash64(id_col, source_col), at[1]: F.xxhash64(id_col, text_col, F.col(text_col).isNull())}).join(got, at)
+    one = rows.where("__mix_rows = 1").withColumn("copies", F.col("__mix_all"))
+    # equal rows are one row with a count, so a key of very many rows is few
+    whole = F.struct(*[F.col(f"`{c}`") for c in out])
+    kinds = (rows.where("__mix_rows > 1").withColumn("__mix_hash", F.xxhash64(F.to_json(whole)))
+             .groupBy(*at, "__mix_all", "__mix_rows", "__mix_hash").agg(F.first(whole).alias("row"), F.count(F.lit(1)).alias("n")))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(*at).orderBy("__mix_hash").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    each = F.floor(F.col("__mix_all") / F.col("__mix_rows"))
+    more = F.greatest(F.lit(0), F.least(F.col("n"), F.col("__mix_all") % F.col("__mix_rows") - before)).cast("long")
+    dealt = kinds.select("row", "n", each.alias("each"), more.alias("more")).select("row", F.inline(F.array(
+        F.struct(F.col("more").alias("times"), (F.col("each") + 1).alias("copies")),
+        F.struct((F.col("n") - F.col("more")).alias("times"), F.col("each").alias("copies")))))
+    dealt = dealt.where("times > 0 AND copies > 0").select(
+        "row", "copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("_"))
+    return one.select(*[F.col(f"`{c}`") for c in out], "copies").union(dealt.select("row.*", "copies"))

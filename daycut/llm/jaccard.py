@@ -253,7 +253,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 [*[batch.column(c) for c in ("sig", "n", "block", "total")],
                  _lists(ngram_sets(batch.column("text"), ngram))], ["sig", "n", "block", "total", "grams"])
 
-    whole_sets = (rows.select("k2", "text").join(placed, "k2").select("text", "sig", "n", "block", "total")
+    # equal rows of a class are one set; they meet before its text is cut
+    whole_sets = (rows.select("k2", "text").join(placed, "k2").dropDuplicates(["k2", "sig", "block"])
+                  .select("text", "sig", "n", "block", "total")
                   .mapInArrow(whole, "sig long, n long, block long, total long, grams array<long>"))
     if placed.where(F.col("total") > block_grams).isEmpty():
         tasks, split = whole_sets.withColumn("task", F.col("block")), False

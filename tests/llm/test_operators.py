@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -435,10 +436,10 @@ def test_language_filters_hold_many_languages(spark):
 # ---- exact top-k
 
 def brute_top(rows, k=5):
-    ok = {(i, tuple(np.floor(np.array(v, float) * 256).astype(int).tolist())) for i, v in rows
-          if i is not None and v is not None and None not in v and np.isfinite(np.array(v, float)).all()}
+    ok = [(i, tuple(np.floor(np.array(v, float) * 256).astype(int).tolist())) for i, v in rows
+          if i is not None and v is not None and None not in v and np.isfinite(np.array(v, float)).all()]
     out = []
-    for q, v in ok:
+    for q, v in sorted(set(ok)):
         if q % 50 == 0:
             best = sorted((-sum(x * y for x, y in zip(v, w)), i) for i, w in ok if i != q)[:k]
             out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
@@ -452,7 +453,7 @@ def test_top_k(spark, n, tree_rows):
     if n > 100:
         rows += [(1000 + i, rows[7][1]) for i in range(80)]                        # a large group of equal vectors
         rows += [(2000, None), (2001, [1.0, None]), (2050, [float("nan")] * 8), (None, [1.0] * 8), (2100, [float("inf")] * 8),
-                 (2150, [0.5, 0.25]), rows[3], rows[50]]
+                 (2150, [0.5, 0.25]), rows[3], rows[50], *[rows[9]] * 30]
     table = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, label int")
     rows = [(r.vec_id, r.embedding) for r in table.collect()]
     got = mtree.top_k(table, tree_rows=tree_rows, query_rows=5)
@@ -487,6 +488,77 @@ def test_mixing(spark):
     assert mixing.mix_sources(docs.limit(0)).count() == 0
 
 
+def test_equal_rows_are_one_set(spark, monkeypatch):
+    """3000 equal rows of one document with one near copy: the task that
+    compares them gets two sets."""
+    text = prose(4, 200)
+    docs = spark.createDataFrame([(1, text)] * 3000 + [(2, text + " more"), (3, prose(5, 80))], "doc_id long, text string").repartition(6)
+    seen, join = [], jaccard._join_tries
+
+    def counted(percent):
+        run = join(percent)
+        sets = spark.sparkContext.accumulator(0)
+        seen.append(sets)
+
+        def counting(batches):
+            def each():
+                for batch in batches:
+                    sets.add(batch.num_rows)
+                    yield batch
+            yield from run(each())
+        return counting
+
+    monkeypatch.setattr(jaccard, "_join_tries", counted)
+    found = jaccard.jaccard_components(docs)
+    assert found.where("component = 1").count() == 3001 and found.where("component = 3").count() == 1
+    assert seen[0].value <= 4                               # checkpoint() runs a job twice
+
+
+def test_mixed_rows_follow_the_source(spark):
+    """One (id, text) in two sources: copies go to the source they were decided
+    for, in either order of the rows, and reruns agree; rows that differ in
+    other columns and equal rows share theirs; a column ``copies`` is replaced."""
+    rows = [(1, "one two three four", s, lang, 7) for s, lang in [("s1", "en"), ("s2", "en"), ("s2", "de"), *[("s3", "fr")] * 50]]
+    rows += [(i, f"w{i} " * (i % 9 + 1), f"s{i % 3 + 1}", "en", 7) for i in range(2, 60)]
+    schema = "doc_id long, text string, source string, lang string, copies int"
+    seen = set()
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, schema).repartition(3)
+        decided = mixing.mix_sources(docs, chunk=8, fanout=4)
+        got = mixing.mixed_rows(docs, decided)
+        assert got.columns == ["doc_id", "text", "source", "lang", "copies"]
+        taken = got.groupBy("doc_id", "source").agg(F.sum("copies").alias("n")).collect()
+        want = decided.groupBy("id", "source").agg(F.sum("copies").alias("n")).where("n > 0").collect()
+        assert {(r.doc_id, r.source): r.n for r in taken} == {(r.id, r.source): r.n for r in want}
+        seen.add(tuple(sorted(map(str, got.collect()))))
+        assert got.where("copies < 1 OR copies > 3").count() == 0
+    assert len(seen) == 1
+
+
+def test_mix_targets_by_sql(spark):
+    """Sizes, source sizes and targets of the mix against DuckDB."""
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    want = con.sql(r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (SELECT source, sum(size) AS total, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM d GROUP BY source)
+SELECT source, total, w FROM s ORDER BY source NULLS LAST""").fetchall()
+    whole, left, target = sum(t for _, t, _ in want), {s: (t, w) for s, t, w in want}, {}
+    rest = float(whole)
+    while left:                                             # stop full sources, share the excess anew
+        share = {s: rest * w / sum(w for _, w in left.values()) for s, (_, w) in left.items()}
+        full = {s for s, (t, _) in left.items() if share[s] > 3 * t}
+        target.update({s: 3.0 * left[s][0] for s in full} if full else share)
+        rest -= sum(3 * left[s][0] for s in full)
+        left = {s: x for s, x in left.items() if s in full} and {s: x for s, x in left.items() if s not in full} if full else {}
+    got = catalog.op10_source_mixing(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source"), "doc_id")
+    rows = got.groupBy("source").agg(F.first("target").alias("t"), F.first("source_size").alias("n"), F.sum("taken").alias("taken")).collect()
+    assert {r.source: r.n for r in rows} == {s: t for s, t, _ in want}
+    for r in rows:
+        assert abs(r.t - target[r.source]) < 1e-6 * max(1, r.t) and r.taken <= 3 * r.n
+
+
 def test_empty_tables(spark):
     docs = frame(spark, ODD).limit(0)
     assert secrets.scan_secrets(docs).count() == 0

@@ -248,14 +248,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     placed = checkpointed(placed.join(sizes, "block").select("sig", "k2", "n", "block", "total"))
 
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()                  # equal rows are one set of a task before anything moves
         for batch in blocks(batches, "text"):
+            first = []
+            for i, at in enumerate(zip(batch.column("sig").to_pylist(), batch.column("block").to_pylist())):
+                if at not in seen:
+                    seen.add(at)
+                    first.append(i)
+            batch = batch.take(pa.array(first, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in ("sig", "n", "block", "total")],
                  _lists(ngram_sets(batch.column("text"), ngram))], ["sig", "n", "block", "total", "grams"])
 
-    # equal rows of a class are one set; they meet before its text is cut
-    whole_sets = (rows.select("k2", "text").join(placed, "k2").dropDuplicates(["k2", "sig", "block"])
-                  .select("text", "sig", "n", "block", "total")
+    whole_sets = (rows.select("k2", "text").join(placed, "k2").select("text", "sig", "n", "block", "total")
                   .mapInArrow(whole, "sig long, n long, block long, total long, grams array<long>"))
     if placed.where(F.col("total") > block_grams).isEmpty():
         tasks, split = whole_sets.withColumn("task", F.col("block")), False

@@ -490,7 +490,7 @@ def test_mixing(spark):
 
 def test_equal_rows_are_one_set(spark, monkeypatch):
     """3000 equal rows of one document with one near copy: the task that
-    compares them gets two sets."""
+    compares them gets at most one set of either from each partition."""
     text = prose(4, 200)
     docs = spark.createDataFrame([(1, text)] * 3000 + [(2, text + " more"), (3, prose(5, 80))], "doc_id long, text string").repartition(6)
     seen, join = [], jaccard._join_tries
@@ -511,7 +511,7 @@ def test_equal_rows_are_one_set(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "_join_tries", counted)
     found = jaccard.jaccard_components(docs)
     assert found.where("component = 1").count() == 3001 and found.where("component = 3").count() == 1
-    assert seen[0].value <= 4                               # checkpoint() runs a job twice
+    assert seen[0].value <= 2 * (6 + 1)                     # six partitions; checkpoint() runs a job twice
 
 
 def test_mixed_rows_follow_the_source(spark):

@@ -11,6 +11,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -395,6 +396,47 @@ def test_decontamination_folds_all_letters(spark):
     assert [r.doc_id for r in decontam.decontaminate(frame(spark, texts), bench).collect()] == [99]
 
 
+def test_decontamination_of_every_length_against_brute_force(spark):
+    """Items of 2 to 63 bytes: the full 5 % of edits at each, short ones as whole words."""
+    rng = random.Random(12)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    items = [(n, " ".join(f"x{some(n - 2)}y".split())) for n in range(2, 64)] + [(100, "what is 2+2?"), (101, " \n"), (102, "é")]
+    texts = [(0, "so What  is 2+2? yes"), (1, "somewhat is 2+2?"), (2, "café"), (3, "caf É"), (4, items[0][1]), (5, None)]
+    for n in range(10, 160):
+        chars = list(rng.choice(items[:62])[1])
+        for _ in range(rng.randrange(0, 5)):
+            at = rng.randrange(len(chars))
+            chars[at:at + 1] = rng.choice([[], ["q"], [chars[at], "q"]])
+        texts.append((n, rng.choice(["", some(12) + " ", some(12)]) + "".join(chars) + rng.choice(["", " " + some(12), some(12)])))
+    flat = lambda t: " ".join((t or "").lower().split())
+    want = {}
+    for d, t in texts:
+        for i, item in items:
+            item = flat(item)
+            if len(item.encode()) < decontam.Q:
+                edge = [r"(?<!\w)" if item[:1].isalnum() else "", r"(?!\w)" if item[-1:].isalnum() else ""]
+                if item and re.search(edge[0] + re.escape(item) + edge[1], flat(t)):
+                    want[d, i] = 0
+            elif (e := edit_distance(item, flat(t))) <= int(len(item) * decontam.EDIT_SHARE):
+                want[d, i] = e
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.id, r.item_id): r.edits for r in decontam.contaminated(frame(spark, texts), bench).collect()}
+    assert got == want and {(0, 100), (3, 102)} <= set(want) and not {(1, 100), (2, 102)} & set(want)
+    assert {i for _, i in want} & set(range(2, 14)) and {e for e in want.values()} >= {0, 1, 2}
+
+
+def test_alignment_of_a_long_item():
+    rng = random.Random(13)
+    item = "".join(rng.choice("abcdefgh") for _ in range(100_000))
+    chars = list(item)
+    for at in rng.sample(range(0, 100_000, 50), 300):
+        chars[at] = "z"
+    index = decontam.Index([(1, item.encode())])
+    text = "".join(rng.choice("abcdefgh") for _ in range(30_000))
+    got = decontam.find(index, pa.array([text, text + "".join(chars) + text]))
+    assert [(g[0], g[2]) for g in got] == [(1, 300)] and abs(got[0][3] - 30_000) < 50
+
+
 def test_benchmark_in_blocks(spark):
     items = spark.createDataFrame([(i, prose(800 + i, 20)) for i in range(6)], "item_id long, text string")
     assert sum(len(x.items) for x in decontam.indexes(items, limit=100)) == 6

@@ -4,11 +4,14 @@ Two views of a document: its content (hashed runs of letters and of other
 signs) and its page metadata (columns such as source and language, and layout
 statistics: length, shares of signs, capitals and digits, word length, lines,
 repetition).  Each view trains a logistic classifier on labelled rows; over
-some rounds each gives the other the unlabelled rows it is most sure of, as
+some rounds each gives the other the unlabelled rows it is sure of, as
 pseudo-labels.  Both are calibrated on labelled rows kept aside and combined.
 
-Only the fit uses samples, and its bounds are parameters; every document is
-scored, in one pass without a shuffle, by weights of a fixed size.
+Only the labelled rows are sampled, and their bound is a parameter.  A round of
+the exchange passes over all other documents and sums up the sure ones, in
+tasks, as mean rows of a fixed number of groups, which join the fit with the
+weight of their rows; every document is scored.  All of these are passes without
+a shuffle of texts, by weights of a fixed size.
 """
 
 from __future__ import annotations
@@ -21,21 +24,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daycut.session import checkpointed
+
 from .common import Shared, sample
 from .textkit import Words, blocks, text_bytes, word_hashes
 
 #: Hashed features of the content view and of the metadata view.
 CONTENT = 1 << 15
 META = 1 << 10
-#: Bounds of the samples: labelled rows and unlabelled rows, by smallest hash
-#: of the id.
+#: Bound of the sample of labelled rows, taken by smallest hash of the id.
 LABELLED_ROWS = 6000
-POOL_ROWS = 3000
 ROUNDS = 2
-#: A pseudo-label is given beyond this confidence, to at most this share of
-#: the pool a round.
+#: A pseudo-label is given from this confidence on.
 CONFIDENT = 0.97
-PER_ROUND = 0.15
+#: The pseudo-labelled rows of a class are summed up in so many mean rows.
+GROUPS = 8
+#: Feature values are summed as multiples of this part of one.
+_UNIT = 1 << 20
 
 _CLASS = np.full(256, 2, dtype=np.uint8)              # other signs
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
@@ -142,6 +147,14 @@ def _small_fit(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
     return w
 
 
+class Lesson(NamedTuple):
+    """Pseudo-labelled rows, as the mean rows of groups of them."""
+
+    x: Sparse
+    y: np.ndarray
+    rows: np.ndarray           # rows of the group
+
+
 class Model(NamedTuple):
     """Weights of the views and of their combination for one label."""
 
@@ -158,45 +171,106 @@ class Model(NamedTuple):
         return tuple(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (*logits, both))
 
 
-def cotrain(content: Sparse, meta: Sparse, y: np.ndarray, pool: tuple[Sparse, Sparse], rounds: int = ROUNDS,
-            confident: float = CONFIDENT, per_round: float = PER_ROUND) -> Model:
-    """Co-trained model of one 0/1 label; every fifth labelled row calibrates.
-
-    With one class only (or no row) the model gives that class's share.
+class Learner:
+    """Both views of the labelled rows for one 0/1 label, and what each view
+    was last taught by the other; every fifth row calibrates."""
+
+    def __init__(self, content: Sparse, meta: Sparse, y: np.ndarray) -> None:
+        self.views, self.y = (content, meta), y
+        held = np.arange(len(y)) % 5 == 4
+        if y[held].min() == y[held].max():
+            held = np.zeros(len(y), dtype=bool)
+        self.train = np.flatnonzero(~held)
+        self.test = np.flatnonzero(held) if held.any() else np.arange(len(y))
+        self.weights = [self._fit(no, None) for no in (0, 1)]
+
+    def _fit(self, no: int, lesson: Lesson | None) -> np.ndarray:
+        x, y = self.views[no].pick(self.train), self.y[self.train]
+        weight = np.ones(len(y))
+        if lesson is not None and len(lesson.y):
+            # a class is taught with at most half the weight of its labelled rows
+            own = np.array([(y == c).sum() for c in (0, 1)])
+            found = np.array([lesson.rows[lesson.y == c].sum() for c in (0, 1)])
+            scale = 0.5 * np.minimum(own, found) / np.maximum(found, 1)
+            b = lesson.x
+            x = Sparse(np.concatenate([x.first, b.first[1:] + x.first[-1]]), np.concatenate([x.index, b.index]),
+                       np.concatenate([x.value, b.value]))
+            weight = np.concatenate([weight, lesson.rows * scale[lesson.y]])
+            y = np.concatenate([y, lesson.y])
+        return fit(x, y, weight, (CONTENT, META)[no])
+
+    def learn(self, lessons: tuple[Lesson, Lesson]) -> None:
+        self.weights = [self._fit(no, lessons[no]) for no in (0, 1)]
+
+    def model(self) -> Model:
+        """Calibrates the views on the rows kept aside, and combines them."""
+        y = self.y[self.test]
+        raw = np.column_stack([v.pick(self.test).times(w) + w[-1] for v, w in zip(self.views, self.weights)])
+        calibrate = np.stack([_small_fit(raw[:, [i]], y) for i in (0, 1)])
+        return Model(*self.weights, calibrate, _small_fit(raw * calibrate[:, 0] + calibrate[:, 1], y))
+
+
+def _constant(y: np.ndarray) -> Model:
+    """Model of a label with too few rows or one class only: that class."""
+    z = 4.0 * (2 * (y.mean() if len(y) else 1.0) - 1)
+    return Model(np.zeros(CONTENT + 1), np.zeros(META + 1), np.array([[1.0, z], [1.0, z]]), np.array([0.5, 0.5, 0.0]))
+
+
+def exchange(rows: DataFrame, weights: dict[str, list[np.ndarray]], meta_cols: Sequence[str],
+             confident: float = CONFIDENT, groups: int = GROUPS) -> dict[str, tuple[Lesson, Lesson]]:
+    """What each view learns from the other on all of ``rows`` (``h``, ``text``
+    and metadata), for each label: a lesson for the content and one for the
+    metadata view.
+
+    One pass without a shuffle of texts: each row that a view is sure of joins
+    the sums of the other view's features, by class and by ``groups`` parts of
+    the hash.  The driver gets these sums alone, whose number is fixed; they
+    are sums of integers, so that the layout of the rows does not matter.
     """
-    if len(y) < 10 or y.min() == y.max():
-        z = 4.0 * (2 * (y.mean() if len(y) else 1.0) - 1)
-        return Model(np.zeros(CONTENT + 1), np.zeros(META + 1), np.array([[1.0, z], [1.0, z]]), np.array([0.5, 0.5, 0.0]))
-    held = np.arange(len(y)) % 5 == 4
-    if y[held].min() == y[held].max():
-        held = np.zeros(len(y), dtype=bool)
-    views, sizes = (content, meta), (CONTENT, META)
-    n_pool = len(pool[0].first) - 1
-    given = [np.full(n_pool, -1.0), np.full(n_pool, -1.0)]         # pseudo-labels that view got
-    train = np.flatnonzero(~held)
-    weights: list[np.ndarray] = []
-    for turn in range(rounds + 1):
-        weights = []
-        for no in (0, 1):
-            got = np.flatnonzero(given[no] >= 0)
-            a, b = views[no].pick(train), pool[no].pick(got)
-            x = Sparse(np.concatenate([a.first, b.first[1:] + a.first[-1]]), np.concatenate([a.index, b.index]),
-                       np.concatenate([a.value, b.value]))
-            weight = np.concatenate([np.ones(len(train)), np.full(len(got), 0.5)])
-            weights.append(fit(x, np.concatenate([y[train], given[no][got]]), weight, sizes[no]))
-        if turn == rounds or not n_pool:
-            break
-        for no in (0, 1):                                           # each view teaches the other
-            p = 1 / (1 + np.exp(-np.clip(pool[no].times(weights[no]) + weights[no][-1], -30, 30)))
-            sure = np.maximum(p, 1 - p)
-            best = np.argsort(-sure, kind="stable")[:int(per_round * (turn + 1) * n_pool)]
-            best = best[sure[best] >= confident]
-            given[1 - no][best] = (p[best] >= 0.5).astype(float)
-    test = np.flatnonzero(held) if held.any() else np.arange(len(y))
-    raw = np.column_stack([v.pick(test).times(w) + w[-1] for v, w in zip(views, weights)])
-    calibrate = np.stack([_small_fit(raw[:, [i]], y[test]) for i in (0, 1)])
-    combine = _small_fit(raw * calibrate[:, 0] + calibrate[:, 1], y[test])
-    return Model(weights[0], weights[1], calibrate, combine)
+    shared, width = Shared(rows.sparkSession, weights), CONTENT + 1
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in blocks(batches, "text"):
+            content, stats = content_view(batch.column("text"))
+            views = content, meta_view(stats, {c: batch.column(c).to_pylist() for c in meta_cols})
+            part = batch.column("h").to_numpy() % groups
+            for t, w in enumerate(shared.value.values()):
+                for giver in (0, 1):
+                    z = views[giver].times(w[giver]) + w[giver][-1]
+                    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+                    for label in (0, 1):
+                        sure = np.flatnonzero((p if label else 1 - p) >= confident)
+                        if not len(sure):
+                            continue
+                        got, of = views[1 - giver].pick(sure), part[sure]
+                        cell = np.repeat(of, np.diff(got.first)) * width + got.index
+                        sums = np.bincount(cell, np.rint(got.value * _UNIT), minlength=groups * width).astype(np.int64)
+                        sums[np.arange(groups) * width + CONTENT] = np.bincount(of, minlength=groups)
+                        key = (t * 2 + 1 - giver) * 2 + label
+                        total[key] = total[key] + sums if key in total else sums
+        for key, sums in total.items():
+            at = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(key * groups * width + at), pa.array(sums[at])], ["cell", "total"])
+
+    table = (rows.mapInArrow(run, "cell long, total long").groupBy("cell").agg(F.sum("total").alias("total"))
+             .toArrow().combine_chunks().sort_by("cell"))
+    cell, total = (table.column(c).to_numpy() for c in ("cell", "total"))
+    out = {}
+    for t, name in enumerate(weights):
+        lessons = []
+        for view in (0, 1):
+            key, lo = (t * 2 + view) * 2 * groups, 0
+            lo, hi = np.searchsorted(cell, [key * width, (key + 2 * groups) * width])
+            line, index, value = cell[lo:hi] // width - key, cell[lo:hi] % width, total[lo:hi]
+            counted = index == CONTENT
+            there, count = line[counted], value[counted]
+            line, index, value = line[~counted], index[~counted], value[~counted]
+            first = np.append(np.searchsorted(line, there), len(line))
+            mean = value / _UNIT / np.repeat(count, np.diff(first))
+            lessons.append(Lesson(Sparse(first, index, mean), there // groups, count.astype(float)))
+        out[name] = tuple(lessons)
+    return out
 
 
 def _features(rows: DataFrame, meta_cols: Sequence[str], extra: Sequence[str]) -> list:
@@ -233,23 +307,32 @@ def _features(rows: DataFrame, meta_cols: Sequence[str], extra: Sequence[str]) -
 
 
 def train(docs: DataFrame, labels: DataFrame, targets: Sequence[str], id_col: str = "doc_id", text_col: str = "text",
-          meta_cols: Sequence[str] = ("source", "lang"), labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS,
-          rounds: int = ROUNDS) -> dict[str, Model]:
+          meta_cols: Sequence[str] = ("source", "lang"), labelled_rows: int = LABELLED_ROWS, rounds: int = ROUNDS,
+          groups: int = GROUPS) -> dict[str, Model]:
     """A co-trained model for each 0/1 column of ``labels`` in ``targets``.
 
-    At most ``labelled_rows`` labels and ``pool_rows`` documents (as unlabelled
-    rows), those of smallest id hash, take part in the fit; labels that are
-    null, or whose ids are null or unknown, do not.  Both samples are lists of
-    ids of that bounded length, so joining them moves no document.
+    At most ``labelled_rows`` labelled ids, those of smallest hash, take part
+    in the fit as such; all other documents are the unlabelled rows of every
+    round.  Labels that are null, or whose ids are null or unknown, do not
+    count; of different labels of one id the smallest counts, and of
+    several documents of one labelled id the smallest by its columns.  The
+    models do not depend on the order or the partitioning of the rows.
     """
     marks = labels.select(F.col(id_col).alias("id"), *[F.col(t).cast("double").alias(t) for t in targets]).dropna()
-    marks = sample(marks.dropDuplicates(["id"]).withColumn("h", F.xxhash64("id")), "h", labelled_rows)
+    marks = marks.groupBy("id").agg(*[F.min(t).alias(t) for t in targets]).withColumn("h", F.xxhash64("id"))
+    marks = checkpointed(sample(marks, "h", labelled_rows))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *meta_cols)
-    pool = sample(docs.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
-                  .withColumn("h", F.xxhash64("id", F.lit(1))), "h", pool_rows)
-    content, meta, *ys = _features(rows.join(F.broadcast(marks), "id"), meta_cols, targets)
-    unlabelled = _features(rows.join(F.broadcast(pool), "id"), meta_cols, [])
-    return {t: cotrain(content, meta, y, tuple(unlabelled), rounds) for t, y in zip(targets, ys)}
+    known = rows.join(F.broadcast(marks), "id").groupBy("id", "h", *targets).agg(
+        F.min(F.struct("text", *meta_cols)).alias("row")).select("id", "h", *targets, "row.*")
+    others = rows.join(F.broadcast(marks.select("id")), "id", "left_anti").select(
+        F.xxhash64("id").alias("h"), "text", *meta_cols)
+    content, meta, *ys = _features(known, meta_cols, targets)
+    learners = {t: Learner(content, meta, y) for t, y in zip(targets, ys) if len(y) >= 10 and y.min() < y.max()}
+    for _ in range(rounds if learners else 0):
+        lessons = exchange(others, {t: x.weights for t, x in learners.items()}, meta_cols, groups=groups)
+        for t, learner in learners.items():
+            learner.learn(lessons[t])
+    return {t: learners[t].model() if t in learners else _constant(y) for t, y in zip(targets, ys)}
 
 
 def score_rows(models: dict[str, Model], batch: pa.RecordBatch, text_col: str,

@@ -296,7 +296,7 @@ def test_classifier(spark):
     docs = frame(spark, rows + [(None, None), (900, ""), (901, "z" * 30000)])
     table = spark.createDataFrame(labels[:300] + [(None, 1, 0), (5000, 1, 0), (7, None, 0)],
                                   "doc_id long, quality int, toxic int")
-    models = cotrain.train(docs, table, ["quality", "toxic"], labelled_rows=280, pool_rows=100)
+    models = cotrain.train(docs, table, ["quality", "toxic"], labelled_rows=280)
     got = {r.id: r.keep for r in cotrain.classify(docs, models, catalog.WANT).collect()}
     truth = {i: q == 1 and t == 0 for i, q, t in labels}
     held = [i for i in truth if i >= 300]
@@ -305,6 +305,44 @@ def test_classifier(spark):
     assert kept.columns == docs.columns and kept.count() == sum(got.values())
 
 
+def test_classifier_does_not_depend_on_layout(spark):
+    """Conflicting labels, repeated ids and other partitions give the same models."""
+    texts = [(i, ("fine words here " if i % 3 else "BAD!! WORDS ") + prose(i, 12)) for i in range(200)]
+    docs = frame(spark, texts + [(5, "another text of id 5"), (5, None), (None, "no id")] * 3)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(120)] + [(i, 0, 1) for i in range(0, 120, 9)],
+                                   "doc_id long, quality int, toxic int")
+    a = cotrain.train(docs, labels, ["quality", "toxic"])
+    b = cotrain.train(docs.repartition(7, "text"), labels.repartition(5, "quality"), ["quality", "toxic"])
+    for t in a:
+        assert all(np.array_equal(x, y) for x, y in zip(a[t], b[t]))
+
+
+def test_classifier_exchange_sums_all_rows(spark):
+    """The lessons against sums over all rows made in one place."""
+    docs = frame(spark, ODD + [(i, prose(i, 9) + "!" * (i % 7)) for i in range(90)])
+    rows = docs.select(F.xxhash64("doc_id").alias("h"), "text", F.col("source"))
+    rng = np.random.default_rng(5)
+    weights = {"q": [rng.normal(0, 9, cotrain.CONTENT + 1), rng.normal(0, 9, cotrain.META + 1)]}
+    got = cotrain.exchange(rows.repartition(5), weights, ["source"], confident=0.9, groups=3)["q"]
+    table = rows.toArrow().combine_chunks()
+    content, stats = cotrain.content_view(table.column("text").combine_chunks())
+    views = content, cotrain.meta_view(stats, {"source": table.column("source").to_pylist()})
+    part = table.column("h").to_numpy() % 3
+    for giver, lesson in ((0, got[1]), (1, got[0])):
+        p = 1 / (1 + np.exp(-np.clip(views[giver].times(weights["q"][giver]) + weights["q"][giver][-1], -30, 30)))
+        want = {}
+        for r in range(len(part)):
+            if max(p[r], 1 - p[r]) >= 0.9:
+                want.setdefault((int(p[r] >= 0.5), part[r]), []).append(r)
+        assert [int(n) for n in lesson.rows] == [len(want[k]) for k in sorted(want)] and len(want) > 2
+        for line, k in enumerate(sorted(want)):
+            x = views[1 - giver].pick(np.array(want[k]))
+            mean = np.bincount(x.index, x.value, minlength=cotrain.CONTENT) / len(want[k])
+            mine = lesson.x.pick(np.array([line]))
+            dense = np.bincount(mine.index, mine.value, minlength=cotrain.CONTENT)
+            assert lesson.y[line] == k[0] and np.abs(mean - dense).max() < 1e-5
+
+
 def test_classifier_without_labels(spark):
     docs = frame(spark, ODD)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daycut.session import checkpointed
@@ -101,3 +101,31 @@ def sample(rows: DataFrame, by: str, size: int) -> DataFrame:
         cells = 1 << 40
         rows = rows.where(F.pmod(by, F.lit(cells)) < int(cells * 2 * size / n))
     return rows.dropDuplicates([name]).orderBy(F.pmod(by, F.lit(1 << 40)), by).limit(size)
+
+
+def sample_each(rows: DataFrame, per: str, by: str, size: int) -> DataFrame:
+    """Columns ``per`` and ``by`` (a hash) of at most ``size`` different rows,
+    the smallest hashes of each value of ``per`` (few values, not null).
+
+    The values share ``size`` evenly; what a rare one leaves goes to the others.
+    Copies are not counted: the threshold that bounds what moves comes from the
+    number of different hashes of each value.
+    """
+    rows, cells = rows.select(per, by), 1 << 40
+    place = F.pmod(F.col(by), F.lit(cells))
+    known = sorted(((r["n"], r[per]) for r in rows.groupBy(per).agg(F.approx_count_distinct(by).alias("n")).collect()))
+    if not known:
+        return rows
+    share, limit, left = {}, {}, size
+    for no, (n, value) in enumerate(known):
+        # with room for what the count of different hashes may be off
+        share[value] = min(left // (len(known) - no), n + n // 5 + 16)
+        limit[value] = cells if n <= 2 * share[value] + 64 else int(cells * (2 * share[value] + 64) / n)
+        left -= share[value]
+
+    def of(numbers: dict[str, int]) -> Column:
+        return F.create_map(*[F.lit(x) for kv in numbers.items() for x in kv])[F.col(per)]
+
+    order = Window.partitionBy(per).orderBy(place, by)
+    return (rows.where(place < of(limit)).distinct().withColumn("_no", F.row_number().over(order))
+            .where(F.col("_no") <= of(share)).select(per, by))

@@ -20,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, sample
+from daycut.session import checkpointed
+
+from .common import Shared, sample_each
 from .textkit import blocks, mix
 
 SIZES = (3, 4)
@@ -28,7 +30,8 @@ SIZES = (3, 4)
 #: and 64 languages).
 CELLS = 1 << 19
 PROBES = 2
-#: Labelled rows the filters are learned from: the rows of smallest hash.
+#: Labelled rows the filters are learned from: those of smallest hash of each
+#: language.
 SAMPLE_ROWS = 24_000
 #: An n-gram belongs to a language if this share of its n-grams is it.
 MIN_SHARE = 4e-5
@@ -84,13 +87,18 @@ def learn(labelled: DataFrame, text_col: str, lang_col: str, sample_rows: int =
     """Languages and bit-sliced filter (planes x cells) of labelled rows.
 
     Rows without a language or without a text teach nothing.  At most
-    ``sample_rows`` rows are used, taken by the hash of the text.  The grams
+    ``sample_rows`` rows of different texts are used, of each language those of
+    smallest hash; languages share them evenly, and a rare one has all its rows
+    taken.  The grams
     are counted and thresholded in Spark; the driver gets set cells only, of
     which there are at most ``CELLS`` a plane.
     """
     rows = (labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
             .where("lang IS NOT NULL AND text IS NOT NULL"))
-    rows = sample(rows.withColumn("h", F.xxhash64("text", "lang")), "h", sample_rows)
+    rows = rows.withColumn("h", F.xxhash64("text", "lang"))
+    # a list of hashes of that bounded length moves, not the texts
+    taken = checkpointed(sample_each(rows, "lang", "h", sample_rows).select("h"))
+    rows = rows.join(F.broadcast(taken), "h", "left_semi").dropDuplicates(["h"])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
@@ -102,8 +110,8 @@ def learn(labelled: DataFrame, text_col: str, lang_col: str, sample_rows: int =
                     [pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))],
                     ["lang", "gram", "n"])
 
-    counts = (rows.select("lang", "text").repartition(64).mapInArrow(count, "lang string, gram long, n long")
-              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    counts = checkpointed(rows.select("lang", "text").repartition(64).mapInArrow(count, "lang string, gram long, n long")
+                          .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     kept = counts.join(total, "lang").where(F.col("n") >= F.col("total") * min_share)
 
@@ -138,7 +146,7 @@ def identify(docs: DataFrame, id_col: str, text_col: str, model: tuple[list[str]
     share of the text's n-grams after the correction for false positives.
     ``und`` with score 0: null text, text without a letter, or nothing
     learned.  Ties, also texts of which no language knows an n-gram, go to the
-    first language by name.  Only the text is read.
+    first language by name.  Only the text is read.  An empty table gives no rows.
     """
     keep = keep or {}
     langs, planes = model

@@ -503,6 +503,19 @@ def test_language_id(spark):
     assert langid.identify(docs, "doc_id", "text", nothing).where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_sample_counts_no_copies_and_spares_rare_languages(spark):
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") < 3, "rare").when(F.col("id") % 2 == 0, "a").otherwise("b").alias("lang"),
+        F.concat(F.lit("t"), (F.col("id") % 3000).cast("string")).alias("text")).withColumn("h", F.xxhash64("text", "lang"))
+    got = {r.lang: (r.n, r.d) for r in common.sample_each(rows, "lang", "h", 1003).groupBy("lang").agg(
+        F.count("*").alias("n"), F.countDistinct("h").alias("d")).collect()}
+    assert got == {"a": (492, 492), "b": (492, 492), "rare": (3, 3)}
+    assert common.sample_each(rows, "lang", "h", 10**6).count() == 3003
+    assert common.sample_each(rows.limit(0), "lang", "h", 10).count() == 0
+    docs = spark.createDataFrame([(None, None, None)], "doc_id long, text string, lang string").limit(0)
+    assert langid.identify(docs, "doc_id", "text", (["en"], np.zeros((1, langid.CELLS), np.uint64))).count() == 0
+
+
 def test_language_filters_hold_many_languages(spark):
     rows = [(f"l{i:03d}", " ".join(f"{chr(0x4E00 + 40 * i + j)}{chr(0x4E00 + 40 * i + j + 1)}" for j in range(20)))
             for i in range(70) for _ in range(2)]

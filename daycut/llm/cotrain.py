@@ -375,7 +375,12 @@ def classify(docs: DataFrame, models: dict[str, Model], want: dict[str, float],
 
 def keep_good(docs: DataFrame, models: dict[str, Model], want: dict[str, float], text_col: str = "text",
               meta_cols: Sequence[str] = ("source", "lang")) -> DataFrame:
-    """The rows of ``docs`` that :func:`classify` keeps, all columns kept."""
+    """The rows of ``docs`` that :func:`classify` keeps, all columns kept.
+
+    Null texts count as empty ones; repeated rows are kept or go together; an
+    empty table stays empty.  Columns may have any name, as only the text and
+    the metadata columns are read.
+    """
     shared = Shared(docs.sparkSession, models)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,6 +24,19 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.withColumns({"k1": F.xxhash64("id"), "k2": F.xxhash64("id", "text", F.col("text").isNull())})
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it none of
+    the table's columns (Spark's names do not tell case apart)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges of one partition as stars: each node once, with the smallest node
     it is connected to here."""

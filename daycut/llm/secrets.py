@@ -7,7 +7,9 @@ its complementary parts lie within that scope.
 
 Spans come from two built-in functions: ``split`` gives the text between the
 matches of a pattern and ``regexp_extract_all`` the matches, so the running sum
-of their lengths gives every start, in code points.
+of their lengths gives every start, in code points.  Running sums are taken by
+doubled distances and spans are looked up by bisection, so a text of n findings
+costs about n log n.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from daycut.session import checkpointed
 
-from .common import keyed
+from .common import free_names, keyed
 
 #: Kinds in the order in which they sort, patterns and roles.
 #: The first three are the base kinds.
@@ -36,26 +38,50 @@ NEEDS = {"account": ("secret",), "bare": ("identifier",), "endpoint": ("identifi
 SCOPE = 256
 
 _SPANS = "array<struct<start:int,kind:int,stop:int>>"
+#: Texts are cut for redaction in pieces of 2 to this power of code points.
+_PIECE = 10
 
 
-def _spans(text: Column, pattern: str, kind: int, group: int = 0, keep=None) -> Column:
+def _powers(falling: bool = False) -> Column:
+    """Powers of two that an array index can hold."""
+    return F.array(*[F.lit(1 << k) for k in sorted(range(31), reverse=falling)])
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once for all lambdas inside it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, join) -> Column:
+    """Running totals of an array under ``join``, by doubled distances: a pass
+    for each power of two below the array's size."""
+    return F.aggregate(F.filter(_powers(), lambda d: d < F.size(values)), values, lambda acc, d: F.transform(
+        acc, lambda x, i: F.when(i >= d, join(x, F.get(acc, i - d))).otherwise(x)))
+
+
+def _spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
     """Spans of all matches (leftmost, not overlapping) that ``keep``."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
-    rows = F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)).alias("gap"),
-                        hits.alias("hit"), value.alias("value"))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
 
-    def step(acc: Column, row: Column) -> Column:
-        start = acc["at"] + F.length(row["gap"])
-        stop = start + F.length(row["hit"])
-        span = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop")))
-        out = acc["out"]
-        out = F.concat(out, span) if keep is None else F.when(keep(row["value"]), F.concat(out, span)).otherwise(out)
-        return F.struct(stop.alias("at"), out.alias("out"))
+    def located(hits: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
+        ends = _let(F.zip_with(gaps, hits, lambda gap, hit: F.length(gap) + F.length(hit)),
+                    lambda steps: _running(steps, lambda x, y: x + y))
+        spans = F.zip_with(hits, ends, lambda hit, stop: F.struct(
+            (stop - F.length(hit)).alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"),
+            (F.lit(True) if keep is None else keep(hit)).alias("ok")))
+        return F.transform(F.filter(spans, lambda s: s["ok"]), lambda s: F.struct(
+            s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop")))
+
+    found = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), located)
+    return F.when(text.rlike(pattern), found.cast(_SPANS)).otherwise(F.array().cast(_SPANS))
+
 
-    found = F.aggregate(rows, empty, step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPANS))
+def _meets(spans: Column, other: Column) -> Column:
+    """Whether ``other`` overlaps one of ``spans``, which are sorted and apart
+    from each other: only the last that starts before its end can."""
+    before = F.aggregate(F.filter(_powers(falling=True), lambda d: d <= F.size(spans)), F.lit(0), lambda n, d: F.when(
+        (n + d <= F.size(spans)) & (F.get(spans, n + d - 1)["start"] < other["stop"]), n + d).otherwise(n))
+    return F.coalesce(F.get(spans, before - 1)["stop"] > other["start"], F.lit(False))
 
 
 def _random_looking(value: Column) -> Column:
@@ -81,11 +107,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     weak = F.concat(_spans(text, ACCOUNT, 4), _spans(text, BARE, 5, keep=_random_looking), _spans(text, ENDPOINT, 6))
     facts = checkpointed(keyed(docs, id_col, text_col).select(
         "id", "k1", "k2",
-        F.array_sort(F.concat(_spans(text, ASSIGN, 1, 2, lambda v: F.length(v) >= 8),
-                              _spans(text, ACCESS, 2), _spans(text, HEX, 3))).alias("base"),
-        weak.alias("weak")))
+        _spans(text, ASSIGN, 1, lambda hit: F.length(F.regexp_extract(hit, ASSIGN, 2)) >= 8).alias("assign"),
+        _spans(text, ACCESS, 2).alias("access"), _spans(text, HEX, 3).alias("hex"), weak.alias("weak"))
+        .withColumn("base", F.array_sort(F.concat(*KINDS[:3]))))
     # a weak candidate inside a base finding says nothing new
-    new = F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] < w["stop"]) & (w["start"] < b["stop"])))
+    new = F.filter("weak", lambda w: ~(_meets(F.col("assign"), w) | _meets(F.col("access"), w) | _meets(F.col("hex"), w)))
     one = facts.where(F.size("weak") > 0).select("k1", "k2", "base", new.alias("weak")).where(F.size("weak") > 0)
     role = F.element_at(F.array(*[F.lit(ROLE[k]) for k in KINDS]), F.col("kind"))
     parts = one.select("k1", "k2", F.explode(F.concat("base", "weak")).alias("p")).select(
@@ -129,19 +155,30 @@ def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
     All columns stay; texts without a finding (and null texts) are unchanged.
     Overlapping spans give one mark.
     """
-    spans = (found.where(F.size("found") > 0).groupBy("k1", "k2").agg(F.first("found").alias("_found"))
-             .withColumnsRenamed({"k1": "_k1", "k2": "_k2"}))
-    text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        between = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], between, F.lit(mark))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), out.alias("out"))
-
-    clean = F.aggregate("_found", start, step,
-                        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    keys = {"_k1": F.xxhash64(id_col), "_k2": F.xxhash64(id_col, text_col, text.isNull())}
-    return (docs.withColumns(keys).join(spans, ["_k1", "_k2"], "left")
-            .withColumn(text_col, F.when(F.col("_found").isNull(), text).otherwise(clean))
-            .drop("_k1", "_k2", "_found"))
+    k1, k2, spans = free_names(docs, "_k1", "_k2", "_found")
+    found = (found.where(F.size("found") > 0).groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2))
+             .agg(F.first("found").alias(spans)))
+    text, size = F.col(text_col), 1 << _PIECE
+
+    def cut(pieces: Column, start: Column, stop: Column) -> Column:
+        """Code points ``start`` to ``stop``, from the pieces they lie in."""
+        part = F.transform(F.sequence(F.shiftright(start, _PIECE), F.shiftright(stop - 1, _PIECE)), lambda no: F.substring(
+            F.get(pieces, no), F.greatest(start - no * size, F.lit(0)) + 1,
+            F.least(stop - no * size, F.lit(size)) - F.greatest(start - no * size, F.lit(0))))
+        return F.when(start < stop, F.array_join(part, "")).otherwise("")
+
+    def marked(given: Column) -> Column:
+        # a span that starts where all before it have ended gets a mark
+        lead = F.transform(given["spans"], lambda s, i: F.struct(
+            F.when(i > 0, F.get(given["ends"], i - 1)).otherwise(0).alias("at"), s["start"].alias("start")))
+        out = F.transform(F.filter(lead, lambda s: s["start"] >= s["at"]),
+                          lambda s: F.concat(cut(given["pieces"], s["at"], s["start"]), F.lit(mark)))
+        end = F.get(given["ends"], F.size(given["ends"]) - 1)
+        return F.concat(F.array_join(out, ""), cut(given["pieces"], end, given["size"]))
+
+    ends = _let(F.transform(spans, lambda s: s["stop"]), lambda v: _running(v, lambda x, y: F.greatest(x, y)))
+    clean = _let(F.struct(F.col(spans).alias("spans"), ends.alias("ends"), F.length(text).alias("size"),
+                          F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0)).alias("pieces")), marked)
+    keys = {k1: F.xxhash64(id_col), k2: F.xxhash64(id_col, text_col, text.isNull())}
+    return (docs.withColumns(keys).join(found, [k1, k2], "left")
+            .withColumn(text_col, F.when(F.col(spans).isNull(), text).otherwise(clean)).drop(k1, k2, spans))

@@ -83,6 +83,43 @@ def test_redact(spark):
     assert out.count() == docs.count() and out.where("text IS NULL").count() == 1
 
 
+def brute_redact(text, spans):
+    out, at = "", 0
+    for start, _, stop in spans:
+        if start >= at:
+            out += text[at:start] + "[SECRET]"
+        at = max(at, stop)
+    return out + text[at:]
+
+
+def test_redact_long_texts_and_clashing_names(spark):
+    rng = random.Random(3)
+    pool = ["secret=abcdefgh12", "é" * 700, "\U0001f600" * 900, "deadbeef" * 5, "token: secret=abcdefghij", "\n", " word ",
+            "AKIA" + "A" * 12, "password='" + "ab12" * 9 + "'"]
+    texts = [(i, "".join(rng.choice(pool) + rng.choice(["", " "]) for _ in range(rng.randrange(1, 40)))) for i in range(60)]
+    docs = frame(spark, texts).withColumnsRenamed({"k1": "_k1", "n": "_found"})
+    found = secrets.scan_secrets(docs)
+    spans = {r.id: r.found for r in found.collect()}
+    for i, text in texts:
+        assert set(brute_base(text)) <= {tuple(s) for s in spans[i]}
+    out = secrets.redact(docs, found)
+    assert out.columns == docs.columns
+    assert {r.doc_id: (r.text, r._k1, r._found) for r in out.collect()} == {
+        i: (brute_redact(t, spans[i]), "x", "y") for i, t in texts}
+
+
+def test_secrets_of_a_text_with_100_000_findings(spark):
+    parts = [f"secret=abcdefgh{n:06d} user=u{n:06d}x" for n in range(50_000)]
+    text = "\n".join(parts)
+    docs = spark.createDataFrame([(1, text), (2, "clean")], "doc_id long, text string")
+    found = secrets.scan_secrets(docs)
+    spans = {r.id: r.found for r in found.collect()}
+    assert len(spans[1]) == 100_000 and spans[2] == []
+    assert [tuple(s) for s in spans[1] if s.kind == 1] == brute_base(text)
+    clean = {r.doc_id: r.text for r in secrets.redact(docs, found).collect()}
+    assert clean == {1: "\n".join(["[SECRET] [SECRET]"] * 50_000), 2: "clean"}
+
+
 def test_secret_scan_has_no_python(spark):
     plan = secrets.scan_secrets(frame(spark, ODD))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

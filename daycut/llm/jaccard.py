@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from daycut.session import checkpointed
 
-from .common import components, keyed
+from .common import components, free_names, keyed
 from .textkit import blocks, mix, rolling, starts_inside, word_hashes, words
 
 NGRAM = 5
@@ -288,13 +288,13 @@ def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_
     # several rows of one key are identical; one of them stays
     many = found.where("n > 0").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("times"))
     drop = many.join(kept, ["k1", "k2"], "left_anti")
-    twice = many.where("times > 1").join(kept, ["k1", "k2"], "left_semi").select(
-        F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.lit(True).alias("_twice"))
-    keys = {"_k1": F.xxhash64(id_col), "_k2": F.xxhash64(id_col, text_col, F.col(text_col).isNull())}
-    left = docs.withColumns(keys).join(drop.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")),
-                                       ["_k1", "_k2"], "left_anti").join(twice, ["_k1", "_k2"], "left")
-    return (left.where("_twice IS NULL").union(left.where("_twice").dropDuplicates(["_k1", "_k2"]))
-            .drop("_k1", "_k2", "_twice"))
+    k1, k2, again = free_names(docs, "_k1", "_k2", "_twice")
+    named = [F.col("k1").alias(k1), F.col("k2").alias(k2)]
+    twice = many.where("times > 1").join(kept, ["k1", "k2"], "left_semi").select(*named, F.lit(True).alias(again))
+    keys = {k1: F.xxhash64(id_col), k2: F.xxhash64(id_col, text_col, F.col(text_col).isNull())}
+    left = docs.withColumns(keys).join(drop.select(*named), [k1, k2], "left_anti").join(twice, [k1, k2], "left")
+    return (left.where(F.col(again).isNull()).union(left.where(F.col(again)).dropDuplicates([k1, k2]))
+            .drop(k1, k2, again))
 
 
 def _cut_large(sets: DataFrame, percent: int, block_grams: int) -> tuple[DataFrame, bool]:

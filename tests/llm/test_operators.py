@@ -200,6 +200,14 @@ def test_trie_links_against_all_pairs():
         assert jaccard.trie_links(sets, percent).tolist() == top
 
 
+def test_one_of_each_keeps_clashing_columns(spark):
+    docs = frame(spark, ODD).withColumnsRenamed({"k1": "_k1", "n": "_twice", "gram": "_K2"})
+    out = jaccard.one_of_each(docs, jaccard.jaccard_components(docs))
+    assert out.columns == docs.columns
+    assert {(r._k1, r._twice, r._K2) for r in out.collect()} == {("x", "y", 1)}
+    assert sorted(r.doc_id for r in out.collect() if r.doc_id) == [1, 2, 3, 5, 6, 7, 10, 11]
+
+
 def test_one_of_each(spark):
     texts = ODD + near_copies(4, 20)
     docs = frame(spark, texts)

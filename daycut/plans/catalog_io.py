@@ -253,8 +253,7 @@ def q_land_fitness(spark, sf_dir):
     out = None
     for kind, (key, other) in LANDED_KEYS.items():
         lines = lake.scan_jsonl(spark, root, day=LAND_DAY, dataset=jobs.DATASETS[kind])
-        part = lines.select("dataset", *[F.get_json_object("value", f"$.{k}").alias(n) for n, k in (
-            ("user_id", "user_id"), ("key", key), ("unknown", other))])
+        part = lines.select("dataset", F.json_tuple("value", "user_id", key, other).alias("user_id", "key", "unknown"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -309,7 +308,7 @@ def q_land_users(spark, sf_dir):
         jobs.land_answers(landing.parsed_once(docs, jobs.FITNESS["sessions"][0]), "sessions", root, LAND_DAY,
                           user_col="__user")
     lines = lake.scan_jsonl(spark, root, day=LAND_DAY, dataset=jobs.DATASETS["sessions"])
-    return lines.select(*[F.get_json_object("value", f"$.{k}").alias(k) for k in ("user_id", "id")])
+    return lines.select(F.json_tuple("value", "user_id", "id").alias("user_id", "id"))
 
 
 def q_load_partition(spark, sf_dir):

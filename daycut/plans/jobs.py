@@ -180,31 +180,34 @@ class Counts:
 
 @dataclass(frozen=True)
 class Staged:
-    """Parsed rows, written once: the good ones, the rejects, their counts."""
+    """Parsed rows, written once: all, the good ones, the rejects, their counts."""
 
     path: str
+    rows: DataFrame
     good: DataFrame
     rejects: DataFrame
     counts: Counts
 
     def drop(self) -> None:
         """Delete the good rows; the few rejects stay with who holds them."""
-        published.remove(self.good.sparkSession, f"{self.path}/_rejected=false")
+        for kept in ("false", "__HIVE_DEFAULT_PARTITION__"):
+            published.remove(self.good.sparkSession, f"{self.path}/_rejected={kept}")
 
 
-def stage(rows: DataFrame, name: str) -> Staged:
+def stage(rows: DataFrame, name: str, flag: Column | None = None) -> Staged:
     """Write parsed rows to the shared scratch folder, routed by whether they
-    have a reject reason.  This is the one pass over the raw lines; what comes
+    have a reject reason (or by ``flag``; where it is null, a row is neither
+    good nor a reject).  This is the one pass over the raw lines; what comes
     after (layout, rejects) reads the staged columns.  Counts are observed
     during the write."""
     spark, path, seen = rows.sparkSession, scratch_path(rows.sparkSession, name), Observation()
-    flag = F.col(flatten.REASON).isNotNull()
+    flag = F.col(flatten.REASON).isNotNull() if flag is None else flag
     (rows.withColumn("_rejected", flag)
      .observe(seen, F.count_if(~flag).alias("rows"), F.count_if(flag).alias("rejects"))
      .write.partitionBy("_rejected").parquet(path))
     back = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_rejected", T.BooleanType())])).parquet(path)
     got = seen.get
-    return Staged(path, back.filter("NOT _rejected").drop("_rejected"), back.filter("_rejected").drop("_rejected"),
+    return Staged(path, back, back.filter("NOT _rejected").drop("_rejected"), back.filter("_rejected").drop("_rejected"),
                   Counts(got["rows"], got["rejects"]))
 
 
@@ -301,28 +304,27 @@ FITNESS = {
 }
 
 
-def _land(lines: DataFrame, bad_docs: DataFrame, docs: DataFrame, kind: str, lake_root: str, day, *,
-          user_id: str | None, user_col: str | None, shards: int | None, rejects_table: str | None) -> DataFrame:
-    """Lines (``user_id``, ``value``, reject reason) → lake, for the users of
-    ``docs``: their lines of the day and dataset are replaced, also by nothing,
-    those of all other users stay.  Answers are parsed once, into staged lines;
-    the rejected ones come back (user, dataset, file, reason, text), and with
-    ``rejects_table`` are kept in a lake of that root in the same way."""
-    dataset, d, spark = DATASETS[kind], timez.to_date_value(day), docs.sparkSession
-    user = F.lit(user_id).cast("string") if user_col is None else F.col(user_col).cast("string")
-    file = F.col("_file") if "_file" in docs.columns else F.lit(None).cast("string")
-    none = F.lit(None).cast("string")
-    broken = bad_docs.select(user.alias("user_id"), file.alias("file"), F.lit("document").alias(landing.REASON),
-                             F.col(landing.TEXT).alias("value"))
-    staged = stage(lines.select("user_id", none.alias("file"), landing.REASON, "value").unionByName(broken), f"land-{kind}")
-    landed = spark.createDataFrame([(user_id,)], "user string") if user_col is None \
-        else docs.select(user.alias("user")).distinct()
-    lake.write_users(staged.good, lake_root, d, dataset, landed, shards)
+def _land(rows: DataFrame, kind: str, lake_root: str, day, *, user_id: str | None, shards: int | None,
+          rejects_table: str | None) -> DataFrame:
+    """Rows (``user_id``, ``file``, reject reason, ``value``) → lake, for the
+    users they name: their lines of the day and dataset are replaced, also by
+    nothing (a row of neither value nor reason), those of all other users stay.
+    Answers are parsed once, into staged lines; the rejected ones come back
+    (user, dataset, file, reason, text), and with ``rejects_table`` are kept in
+    a lake of that root in the same way."""
+    dataset, d, spark = DATASETS[kind], timez.to_date_value(day), rows.sparkSession
+    bad = F.col(landing.REASON).isNotNull()
+    staged = stage(rows.select("user_id", "file", landing.REASON, "value"), f"land-{kind}",
+                   F.when(bad | F.col("value").isNotNull(), bad))
+    landed = staged.rows.select(F.col("user_id").alias("user")).distinct() if user_id is None \
+        else spark.createDataFrame([(user_id,)], "user string")
+    lake.write_users(staged.good, lake_root, d, dataset, landed, shards, user_col="user_id")
     rejects = staged.rejects.select("user_id", F.lit(dataset).alias("dataset"), "file", landing.REASON,
                                     F.col("value").alias("text"))
     if rejects_table:
-        lake.write_users(rejects.select(F.to_json(F.struct("user_id", "file", F.col(landing.REASON).alias("reason"), "text"))
-                                        .alias("value")), rejects_table, d, dataset, landed, shards)
+        lake.write_users(rejects.select("user_id", F.to_json(F.struct(
+            "user_id", "file", F.col(landing.REASON).alias("reason"), "text")).alias("value")),
+            rejects_table, d, dataset, landed, shards, user_col="user_id")
     staged.drop()
     return rejects
 
@@ -335,10 +337,9 @@ def land_answers(docs: DataFrame, kind: str, lake_root: str, day, *, user_id: st
     (``user_id``) or many (``user_col``) → lake, see :func:`_land`.  Every key
     of an element is kept."""
     _, required, to_lines = FITNESS[kind]
-    good, bad_docs = landing.split_documents(docs, [required])
-    lines = to_lines(good, user_id=user_id, user_col=user_col)
-    return _land(lines, bad_docs, docs, kind, lake_root, day, user_id=user_id, user_col=user_col, shards=shards,
-                 rejects_table=rejects_table)
+    user_id = None if user_col is not None else user_id
+    lines = to_lines(landing.marked_documents(docs, [required]), user_id=user_id, user_col=user_col)
+    return _land(lines, kind, lake_root, day, user_id=user_id, shards=shards, rejects_table=rejects_table)
 
 
 def land_matrices(docs: DataFrame, lake_root: str, day, *, load_tz, output_tz: str = "UTC", user_id: str | None = None,
@@ -350,10 +351,16 @@ def land_matrices(docs: DataFrame, lake_root: str, day, *, load_tz, output_tz: s
     good, bad_docs = landing.split_documents(docs, ["row_headers", "rows"])
     rows = landing.parse_matrix(good, load_tz=load_tz, output_date=day, output_tz=output_tz, user_id=user_id,
                                 user_col=user_col)
-    lines = rows.select("user_id", landing.REASON,
-                        F.coalesce(F.col("_line"), landing.matrix_json(rows)).alias("value"))
-    return _land(lines, bad_docs, docs, "time_tracking", lake_root, day, user_id=user_id, user_col=user_col, shards=shards,
-                 rejects_table=rejects_table)
+    none = F.lit(None).cast("string")
+    user = F.lit(user_id).cast("string") if user_col is None else F.col(user_col).cast("string")
+    file = F.col("_file") if "_file" in docs.columns else none
+    rows = rows.select("user_id", none.alias("file"), landing.REASON,
+                       F.coalesce(F.col("_line"), landing.matrix_json(rows)).alias("value"))
+    rows = rows.union(bad_docs.select(user, file, F.lit("document"), F.col(landing.TEXT)))
+    # a user without rows of the day is landed too
+    rows = rows.union(docs.select(user, none, none, none).distinct())
+    return _land(rows, "time_tracking", lake_root, day, user_id=None if user_col is not None else user_id,
+                 shards=shards, rejects_table=rejects_table)
 
 
 def _land_fitness(spark: SparkSession, paths: dict[str, str | None], lake_root: str, day,

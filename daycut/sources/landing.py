@@ -133,6 +133,16 @@ def split_documents(docs: DataFrame, required: list[str]) -> tuple[DataFrame, Da
     return docs.filter(~bad), docs.filter(bad)
 
 
+def marked_documents(docs: DataFrame, required: list[str]) -> DataFrame:
+    """Every document, for the ``*_lines`` functions: ``__bad`` tells a rejected
+    one, which keeps its text and file but no elements.  So one pass over parsed
+    documents gives the lines, the rejects and the documents without either."""
+    bad = _bad_doc(docs, required)
+    file = F.col("_file") if "_file" in docs.columns else F.lit(None).cast("string")
+    return docs.withColumns({"__bad": bad, "__text": F.when(bad, F.col(TEXT)), "__file": F.when(bad, file),
+                             **{r: F.when(~bad, F.col(r)) for r in required}})
+
+
 def parse_sessions(docs: DataFrame, user_id: str | None = None,
                    user_col: str | None = None) -> DataFrame:
     """One row per session, all session keys, plus ``user_id`` and the
@@ -189,6 +199,23 @@ def parse_aggregated(docs: DataFrame, user_id: str | None = None,
 
 # ---- lake lines with every key of an element ----------------------------------
 
+_MARKS = ("__bad", "__text", "__file")
+
+
+def _marks(docs: DataFrame) -> list[str]:
+    return [c for c in _MARKS if c in docs.columns]
+
+
+def _each(docs: DataFrame, part: str, name: str) -> Column:
+    """The elements of an array; of marked documents, one null where it has none."""
+    return (F.explode_outer(part) if _marks(docs) else F.explode(part)).alias(name)
+
+
+def _last(docs: DataFrame, part: str) -> list[Column]:
+    """What marked documents hand to the rows of their last array."""
+    return [*[F.col(c) for c in _marks(docs)], (F.coalesce(F.size(part), F.lit(0)) < 1).alias("__gone")]
+
+
 def _tagged_lines(rows: DataFrame, element: str, tags: dict[str, Column],
                   tags_win: bool) -> DataFrame:
     """Elements (VARIANT) → lake lines ``user_id``, ``value``, ``_reject_reason``.
@@ -197,30 +224,49 @@ def _tagged_lines(rows: DataFrame, element: str, tags: dict[str, Column],
     in both, the tag stays if ``tags_win``, else the element's own value; the
     user is always the tag, as landings replace lines by it.  An element that
     is no JSON object is a reject with its text as ``value``.
+
+    The tags' text is put beside the element's; only an element that holds a
+    key which gives way to a tag is taken apart.  Marked documents give
+    ``file`` too, their reject where they are bad, and a row without value and
+    reason where they hold nothing.
     """
-    own = F.try_variant_get(F.col(element), "$", "map<string,variant>")
-    pairs = [x for n, c in tags.items() for x in (F.lit(n), c.cast("variant"))]
-    rows = computed(rows, [F.col("user_id"), F.col(element).alias("__v"), own.alias("__own"),
-                           F.create_map(*pairs).alias("__tags")])
-    tag = F.map_filter("__tags", lambda k, v: v.isNotNull())
-    own = F.map_filter("__own", lambda k, v: ~k.isin(*(tags if tags_win else ["user_id"])))
-    if tags_win:
-        line = F.map_concat(own, tag)
-    else:
-        line = F.map_concat(F.map_filter(tag, lambda k, v: (k == "user_id") | ~F.array_contains(
-            F.map_keys("__own"), k)), own)
-    bad = F.col("__own").isNull()
-    return rows.select(
-        "user_id",
-        F.when(bad, F.to_json("__v")).otherwise(F.to_json(line)).alias("value"),
-        F.when(bad, F.lit("element is not an object")).alias(REASON))
+    out = list(tags) if tags_win else ["user_id"]          # keys that give way
+    marks = _marks(rows)
+    # Spark keeps a projection apart whose costly columns are used more than once
+    rows = rows.select(F.to_json(element).alias("__json"), F.col(element).alias("__v"), "user_id",
+                       *[c.alias(f"__tag_{n}") for n, c in tags.items()], *marks, "__gone")
+
+    def holds(name: str) -> Column:
+        # the element's text tells most that lack the key
+        return F.col("__json").contains(f'"{name}":') & F.try_variant_get("__v", f"$.{name}", "variant").isNotNull()
+
+    def given(name: str) -> Column:
+        tag = F.col(f"__tag_{name}")
+        text = F.when(tag.rlike(r'["\\\x00-\x1f]'), F.to_json(tag.cast("variant"))).otherwise(F.concat(F.lit('"'), tag, F.lit('"')))
+        return F.when(tag.isNotNull() if name in out else tag.isNotNull() & ~holds(name), F.concat(F.lit(f'"{name}":'), text))
+
+    own = F.when(F.greatest(*[holds(n) for n in out], F.lit(False)), F.to_json(F.map_filter(
+        F.try_variant_get("__v", "$", "map<string,variant>"), lambda k, v: ~k.isin(*out)))).otherwise(F.col("__json"))
+    cols = [F.col("user_id"), own.alias("__own"), F.concat_ws(",", *map(given, tags)).alias("__tags"),
+            *[F.col(c) for c in (*marks, "__gone")]]
+    rows = rows.select(*cols) if marks else computed(rows, cols)      # unmarked lines may be filtered
+    keys = F.col("__own").substr(F.lit(2), F.length("__own") - 2)
+    parts = [F.when(c != "", c) for c in ((keys, F.col("__tags")) if tags_win else (F.col("__tags"), keys))]
+    bad = ~F.coalesce(F.col("__own").startswith("{"), F.lit(False))
+    value = F.when(bad, F.col("__own")).otherwise(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
+    reason = F.when(bad, F.lit("element is not an object"))
+    if not marks:
+        return rows.select("user_id", value.alias("value"), reason.alias(REASON))
+    return rows.select("user_id", F.col("__file").alias("file"),
+                       F.when(F.col("__bad"), F.lit("document")).when(~F.col("__gone"), reason).alias(REASON),
+                       F.when(F.col("__bad"), F.col("__text")).when(~F.col("__gone"), value).alias("value"))
 
 
 def session_lines(docs: DataFrame, user_id: str | None = None,
                   user_col: str | None = None) -> DataFrame:
     """S2 to the lake: each session with all its keys, the user and the
     activity label (which replace keys of the same names)."""
-    s = docs.select(_user(user_id, user_col).alias("user_id"), F.explode("session").alias("s"))
+    s = docs.select(_user(user_id, user_col).alias("user_id"), *_last(docs, "session"), _each(docs, "session", "s"))
     kind = F.try_variant_get(F.col("s"), "$.activityType", "bigint")
     return _tagged_lines(s, "s", {"user_id": F.col("user_id"),
                                   "activityType_String": labels.activity_type_label(kind)}, True)
@@ -229,7 +275,8 @@ def session_lines(docs: DataFrame, user_id: str | None = None,
 def datasource_lines(docs: DataFrame, user_id: str | None = None,
                      user_col: str | None = None) -> DataFrame:
     """S3 to the lake: each data source with all its keys and the user."""
-    s = docs.select(_user(user_id, user_col).alias("user_id"), F.explode("dataSource").alias("s"))
+    s = docs.select(_user(user_id, user_col).alias("user_id"), *_last(docs, "dataSource"),
+                    _each(docs, "dataSource", "s"))
     return _tagged_lines(s, "s", {"user_id": F.col("user_id")}, True)
 
 
@@ -238,8 +285,8 @@ def dataset_lines(docs: DataFrame, user_id: str | None = None,
     """S4 to the lake: each raw point with all its keys, and of the user, time
     range and source id those that the point lacks."""
     carried = ["minStartTimeNs", "maxEndTimeNs", "dataSourceId"]
-    p = docs.select(_user(user_id, user_col).alias("user_id"), *carried,
-                    F.explode("point").alias("p"))
+    p = docs.select(_user(user_id, user_col).alias("user_id"), *carried, *_last(docs, "point"),
+                    _each(docs, "point", "p"))
     return _tagged_lines(p, "p", {c: F.col(c) for c in ("user_id", *carried)}, False)
 
 
@@ -247,13 +294,14 @@ def aggregated_lines(docs: DataFrame, user_id: str | None = None,
                      user_col: str | None = None) -> DataFrame:
     """S5 to the lake: each point with all its keys, and of the user, bucket
     times and source id those that the point lacks."""
-    b = docs.select(_user(user_id, user_col).alias("user_id"), F.explode("bucket").alias("b"))
+    marks = _marks(docs)
+    b = docs.select(_user(user_id, user_col).alias("user_id"), *marks, _each(docs, "bucket", "b"))
     times = [F.col("b.startTimeMillis").alias("startTimeMillis"),
              F.col("b.endTimeMillis").alias("endTimeMillis")]
-    d = b.select("user_id", *times, F.explode("b.dataset").alias("d"))
+    d = b.select("user_id", *marks, *times, _each(b, "b.dataset", "d"))
     carried = ["user_id", "startTimeMillis", "endTimeMillis", "dataSourceId"]
-    p = d.select("user_id", "startTimeMillis", "endTimeMillis",
-                 F.col("d.dataSourceId").alias("dataSourceId"), F.explode("d.point").alias("p"))
+    p = d.select("user_id", "startTimeMillis", "endTimeMillis", F.col("d.dataSourceId").alias("dataSourceId"),
+                 *_last(d, "d.point"), _each(d, "d.point", "p"))
     return _tagged_lines(p, "p", {c: F.col(c) for c in carried}, False)
 
 

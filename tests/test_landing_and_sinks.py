@@ -406,3 +406,38 @@ def test_load_days_empties_days_without_rows(spark, tmpdir_path):
                         [*days, "2024-01-10"], cluster_by=["user_id", "t"])
     warehouse.load_days(rows(("d", 1, "2024-01-08"), ("e", 9, "2024-01-10")), table, days)
     assert read() == {("d", "2024-01-08"), ("c", "2024-01-10")}      # the 10th is not of this load
+
+
+def test_landing_reads_each_answer_once(spark, tmpdir_path):
+    """One pass over the answers gives lines, rejects and the users landed by
+    nothing; and a second landing keeps the other users' lines."""
+    seen, root = spark.sparkContext.accumulator(0), os.path.join(tmpdir_path, "lake")
+
+    def counted(text):
+        seen.add(1)
+        return text
+
+    texts = {"u1": '{"bucket": [{"startTimeMillis": "1", "dataset": [{"dataSourceId": "d", "point": ['
+                   '{"a": "é\\"", "user_id": null, "startTimeMillis": null}, {}, 3, null]}, {"point": []}]}, null]}',
+             "u2": "{broken", "u3": '{"bucket": []}', "u4": "[]", "u5": '{"bucket": [{"dataset": [{"point": [{"b": 1}]}]}]}'}
+
+    def land(users):
+        docs = spark.createDataFrame([(u, texts[u]) for u in users], f"__user string, {landing.TEXT} string") \
+            .withColumn(landing.TEXT, F.udf(counted, "string")(landing.TEXT))
+        got = jobs.land_answers(landing.parsed_once(docs, jobs.FITNESS["points"][0]), "points", root, "2024-01-09",
+                                user_col="__user")
+        return sorted((r.user_id, r[landing.REASON], r.text or "") for r in got.collect())
+
+    assert land(["u1", "u2", "u3", "u4"]) == [
+        ("u1", "element is not an object", "3"), ("u1", "element is not an object", "null"),
+        ("u2", "document", "{broken"), ("u4", "document", "[]")]
+    assert seen.value == 4
+    lines = lake.scan_jsonl(spark, root, day="2024-01-09")
+    own = {"user_id": "u1", "startTimeMillis": "1", "dataSourceId": "d"}
+    assert sorted((json.loads(r.value) for r in lines.collect()), key=len) == [
+        own, {"user_id": "u1", "a": "é\"", "startTimeMillis": None, "dataSourceId": "d"}]
+    texts["u1"] = '{"bucket": []}'
+    assert land(["u5"]) == [] and len(lake.scan_jsonl(spark, root, day="2024-01-09").collect()) == 3
+    assert land(["u1"]) == []                                    # replaced by nothing
+    assert [json.loads(r.value) for r in lake.scan_jsonl(spark, root, day="2024-01-09").collect()] == [
+        {"user_id": "u5", "b": 1}]

@@ -47,6 +47,7 @@ from pyspark.sql import types as T
 
 from daycut.functions import labels
 from daycut.operators.rows import computed
+from daycut.session import checkpointed
 from daycut.sources.schema import SchemaError
 
 CORRUPT = "_corrupt_record"
@@ -65,16 +66,30 @@ def normalise(path_name: str, drop_chars: str = BRACKETS) -> str:
 
 Path = tuple[str | int, ...]        # keys and array positions, outermost first
 
+_CHARS = r'(?:[^"\\\x00-\x1f]++|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*+'
+_KEY_OR_TEXT = f'("{_CHARS}"\\s*+:)|("){_CHARS}(")'
+_QUOTED_OR_PLAIN = (f'("{_CHARS}")|(?<![-+.\\w])(?:-?+(?:0|[1-9][0-9]*+)(?:\\.[0-9]++)?+(?:[eE][-+]?+[0-9]++)?+|true|false|null)'
+                    r'(?![-+.\w])')
+_MARK = "\x01"                      # no character of a JSON text
+
+
+def shape(line: Column) -> Column:
+    """A JSON line with every text value emptied and every other plain value
+    0: keys, nesting and positions alone.  What is no JSON stays no JSON."""
+    bare = F.regexp_replace(line, _KEY_OR_TEXT, "$1$2$3")
+    bare = F.replace(F.regexp_replace(bare, _QUOTED_OR_PLAIN, f"$1{_MARK}"), F.lit(f'"{_MARK}'), F.lit('"'))
+    return F.when(line.contains(_MARK), line).otherwise(F.translate(bare, _MARK, "0"))
+
 
 def path_dictionary(lines: DataFrame, wanted: set[str], drop_chars: str = BRACKETS,
                     text_col: str = "value") -> dict[str, list[Path]]:
     """Of each wanted column name, the paths of the lines that spell it.
 
-    One aggregation over the parsed lines: level by level every key and array
-    position is appended to its path and name, what no wanted name starts with
-    is dropped, and the distinct (name, path) pairs remain, few whatever the
-    number of lines.  Fewest parts first.  Dictionaries of several files merge
-    with :func:`merge_dictionaries`.
+    Lines of one shape have the same paths, so only the distinct shapes are
+    parsed: level by level every key and array position is appended to its path
+    and name, what no wanted name starts with is dropped, and the distinct
+    (name, path) pairs remain, few whatever the number of lines.  Fewest parts
+    first.  Dictionaries of several files merge with :func:`merge_dictionaries`.
     """
     if not wanted:
         return {}
@@ -82,8 +97,10 @@ def path_dictionary(lines: DataFrame, wanted: set[str], drop_chars: str = BRACKE
         raise SchemaError("a stream needs paths= for columns of undeclared keys: " + ", ".join(sorted(wanted)))
     names = F.array(*[F.lit(n) for n in sorted(wanted)])
     step = "struct<key:string,pos:int>"
-    rows = lines.select(F.lit("").alias("name"), F.array().cast(f"array<{step}>").alias("path"),
-                        F.try_parse_json(F.col(text_col)).alias("v")).where("v IS NOT NULL")
+    # no filter of the levels below may run on the lines themselves
+    shapes = checkpointed(lines.select(shape(F.col(text_col)).alias("shape")).distinct())
+    rows = shapes.select(F.lit("").alias("name"), F.array().cast(f"array<{step}>").alias("path"),
+                         F.try_parse_json("shape").alias("v")).where("v IS NOT NULL")
 
     def part(key: Column, pos: Column) -> Column:
         return F.concat("path", F.array(F.struct(key.cast("string").alias("key"), pos.cast("int").alias("pos")).cast(step)))
@@ -119,9 +136,9 @@ def merge_dictionaries(*parts: dict[str, list[Path]]) -> dict[str, list[Path]]:
     return {n: sorted({x for p in parts for x in p.get(n, [])}, key=lambda x: (len(x), [str(k) for k in x])) for n in names}
 
 
-def _at(variant: Column, path: Path) -> Column:
-    """The VARIANT at a path.  A key that the path syntax cannot quote is
-    looked up in the object's map."""
+def _at(variant: Column, path: Path, as_type: str = "variant") -> Column:
+    """The VARIANT (or ``as_type``) at a path.  A key that the path syntax
+    cannot quote is looked up in the object's map."""
     text = "$"
     for key in path:
         if isinstance(key, int):
@@ -133,17 +150,24 @@ def _at(variant: Column, path: Path) -> Column:
         else:
             variant = F.try_element_at(F.try_variant_get(variant, text, "map<string,variant>"), F.lit(key))
             text = "$"
-    return variant if text == "$" else F.try_variant_get(variant, text, "variant")
+    return F.try_variant_get(variant, text, as_type)
+
+
+def _found(rows: DataFrame, variant: Column, lookup: dict[str, list[Path]]) -> tuple[DataFrame, dict[str, Column]]:
+    """Of each name, text of the first of its paths that holds a plain value.
+    The texts are columns of their own, made once a row."""
+    paths = sorted({p for ps in lookup.values() for p in ps}, key=str)
+    of = {p: f"__at{i}" for i, p in enumerate(paths)}
+    rows = rows.select("*", *[_at(variant, p, "string").alias(c) for p, c in of.items()])
 
+    def plain(p: Path) -> Column:
+        text = F.col(of[p])
+        # an object or array gives text too; a plain text may begin like one
+        nested = F.substring(text, 1, 1).isin("{", "[") & F.schema_of_variant(_at(variant, p)).rlike("^(OBJECT|ARRAY)")
+        return F.when(~nested, text)
 
-def _found(variant: Column, paths: list[Path]) -> Column:
-    """Text of the first of ``paths`` that holds a plain value."""
-    texts = []
-    for p in paths:
-        v = _at(variant, p)
-        nested = F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)")
-        texts.append(F.when(~nested, F.try_variant_get(v, "$", "string")))
-    return F.coalesce(*texts)
+    rows = rows.select("*", *[F.coalesce(*map(plain, ps)).alias(f"__name{i}") for i, ps in enumerate(lookup.values())])
+    return rows, {n: F.col(f"__name{i}") for i, n in enumerate(lookup)}
 
 
 def _as_text(dt: T.DataType) -> T.DataType:
@@ -266,9 +290,9 @@ def flatten_project(lines: DataFrame, target: T.StructType, *,
         lookup = {n: deep for n in sorted(asked) if (deep := [p for p in found_at.get(n, []) if len(p) > 1])}
     whole = F.col("__v")
     if lookup:
-        base = base.withColumn("__v", F.try_parse_json(F.col(LINE)))
-    for name, paths in lookup.items():
-        found = _found(whole, paths)
+        base, texts = _found(base.withColumn("__v", F.try_parse_json(F.col(LINE))), whole, lookup)
+    for name in lookup:
+        found = texts[name]
         raw[name] = F.coalesce(raw[name], found) if name in raw else found
     cols, checks = [], []
     for f in target.fields:

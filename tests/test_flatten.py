@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daycut.operators import flatten
@@ -180,3 +181,16 @@ def test_text_window():
     assert jobs.text_window("2024-01-09T01:00:00+09:00", "2024-01-10T00:00:00Z").day.isoformat() == "2024-01-08"
     with pytest.raises(ValueError):
         jobs.text_window("2024-01-09T00:00:00", "2024-01-10T00:00:00Z")
+
+
+def test_paths_are_found_on_distinct_shapes(spark):
+    """However many lines there are, the paths of each shape are looked for once."""
+    lines = [f'{{"a":{{"b":[{i},"x\\"{i}"]}},"k{i % 2}":{{"c d":-{i}.5e3}}, "t":null, "":true}}' for i in range(40)]
+    odd = ['{"a":01}', '{"a":1.5.5}', '{"a":"x""y"}', '{"z":\x01}', '{"z":"\\q"}', '{"z":tru}', '[1]', '', 'x']
+    shapes = [r[0] for r in _lines(spark, lines + odd).select(flatten.shape(F.col("value"))).distinct().collect()]
+    assert sorted(s for s in shapes if s.startswith('{"a":{')) == [
+        '{"a":{"b":[0,""]},"k0":{"c d":0}, "t":0, "":0}', '{"a":{"b":[0,""]},"k1":{"c d":0}, "t":0, "":0}']
+    bad = spark.createDataFrame([(s,) for s in shapes], "value string")
+    assert bad.where("try_parse_json(value) IS NOT NULL").count() == 3          # the two above and [1]
+    assert flatten.path_dictionary(_lines(spark, lines + odd), {"a_b1", "k1_c d", "z", "t"}) == {
+        "a_b1": [("a", "b", 1)], "k1_c d": [("k1", "c d")], "t": [("t",)]}

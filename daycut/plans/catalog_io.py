@@ -356,7 +356,7 @@ def q_reload_days(spark, sf_dir):
     ev = _events(spark, sf_dir)
     root = scratch_path(spark, "lake")
     lake.write_sharded_jsonl(landed.time_tracking_lines(ev).withColumn(
-        "dataset", F.lit(jobs.DATASETS["time_tracking"])), root)
+        "dataset", F.lit(jobs.DATASETS["time_tracking"])), root, user_col="user")
     sessions = delivered_sessions(ev).withColumn("application", F.struct(
         F.col("application_packageName").alias("packageName"))).drop("application_packageName")
     jobs.land_documents(sessions, root, jobs.DATASETS["sessions"])
@@ -366,9 +366,9 @@ def q_reload_days(spark, sf_dir):
                         jobs.DATASETS["points"])
     tables = {kind: scratch_path(spark, kind) for kind in ("points", "sessions", "time_tracking")}
     rejects = scratch_path(spark, "rejects")
-    span = lake.scan_jsonl(spark, root).agg(F.min("day").alias("lo"), F.max("day").alias("hi")).head()
-    tracked = lake.scan_jsonl(spark, root, dataset=jobs.DATASETS["time_tracking"]).agg(F.max("day")).head()[0]
-    windows = [jobs.day_window(span.lo + _dt.timedelta(days=i)) for i in range((span.hi - span.lo).days + 1)]
+    held = lake.days_held(spark, root)
+    tracked = lake.days_held(spark, root, jobs.DATASETS["time_tracking"])[-1]
+    windows = [jobs.day_window(held[0] + _dt.timedelta(days=i)) for i in range((held[-1] - held[0]).days + 1)]
     jobs.load_windows(spark, root, tables, windows, rejects)
     lake.write_prefix(spark.createDataFrame([], "value string"), root,
                       {"day": tracked, "dataset": jobs.DATASETS["time_tracking"]})

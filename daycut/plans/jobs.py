@@ -290,9 +290,11 @@ def land_documents(rows: DataFrame, lake_root: str, dataset: str, day_col: str =
     """Parsed landing rows (with ``user_id`` and a day column) → lake JSONL,
     replacing exactly the (day, dataset) prefixes written."""
     data_cols = [c for c in rows.columns if c != day_col]
+    # a user that is text stands in the line as it is
+    user = "user_id" if dict(rows.dtypes).get("user_id") == "string" else None
     lines = rows.select(F.col(day_col).cast("date").alias("day"), F.lit(dataset).alias("dataset"),
-                        lake.json_line(data_cols).alias("value"))
-    lake.write_sharded_jsonl(lines, lake_root, shards=shards)
+                        lake.json_line(data_cols).alias("value"), *([user] if user else []))
+    lake.write_sharded_jsonl(lines, lake_root, shards=shards, user_col=user)
 
 
 # of each fitness dataset: envelope, the part that a document must have, lines

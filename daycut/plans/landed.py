@@ -68,6 +68,8 @@ def aggregated_documents(events: DataFrame) -> DataFrame:
     """``{"bucket": [{start, end, "dataset": [{dataSourceId, "point": [...]}]}]}``
     per (user, page), buckets of 30 minutes."""
     p = _points_paged(events)
+    # one exchange serves the three groupings
+    p = p.repartition("user_id", "page")
     ms = timez.nanos_to_millis("startTimeNanos")
     p = p.withColumn("bstart", F.floor(ms / F.lit(1_800_000)).cast("long") * F.lit(1_800_000))
     ds = p.groupBy("user_id", "page", "bstart", "dataSourceId") \

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from daycut.plans import jobs
+from daycut.plans import jobs, landed, standins
 from daycut.sinks import lake, warehouse
 from daycut.sources import landing
 
@@ -441,3 +441,25 @@ def test_landing_reads_each_answer_once(spark, tmpdir_path):
     assert land(["u1"]) == []                                    # replaced by nothing
     assert [json.loads(r.value) for r in lake.scan_jsonl(spark, root, day="2024-01-09").collect()] == [
         {"user_id": "u5", "b": 1}]
+
+
+def test_lake_writes_by_a_user_column(spark, tmpdir_path):
+    """Lines go to the bucket of the user column, the same that their text
+    tells; the lists alone give the days."""
+    rows = spark.createDataFrame([("2024-01-0%d" % (i % 3 + 1), None if i == 9 else f"ü{i}\"", i) for i in range(20)],
+                                 "day string, user_id string, n int")
+    by_text, by_col = os.path.join(tmpdir_path, "a"), os.path.join(tmpdir_path, "b")
+    jobs.land_documents(rows, by_col, "sessions")
+    lines = rows.select(F.col("day").cast("date").alias("day"), F.lit("sessions").alias("dataset"),
+                        lake.json_line(["user_id", "n"]).alias("value"))
+    lake.write_sharded_jsonl(lines, by_text)
+    asked = [None, "ü3\"", "ü10\"", "ü19\""]
+    for users in (None, *[[u] for u in asked[1:]]):
+        a, b = (sorted(r.value for r in lake.scan_jsonl(spark, root, users=users).collect()) for root in (by_text, by_col))
+        assert a == b and len(a) == (20 if users is None else 1)
+    assert [d.day for d in lake.days_held(spark, by_col)] == [1, 2, 3]
+    lake.write_prefix(spark.createDataFrame([], "value string"), by_col, {"day": "2024-01-03", "dataset": "sessions"})
+    assert [d.day for d in lake.days_held(spark, by_col, "sessions")] == [1, 2]
+    plan = rows.sparkSession._jvm.PythonSQLUtils.explainString(
+        landed.aggregated_documents(standins.read_events(spark, "/root/testdata/sf0.001"))._jdf.queryExecution(), "simple")
+    assert plan.count("Exchange hashpartitioning") == 1

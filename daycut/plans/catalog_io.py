@@ -9,7 +9,10 @@ session's ``spark.checkpoint.dir`` and return the table read back.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -236,15 +239,18 @@ def _land_all(spark, sf_dir) -> tuple[str, DataFrame]:
         .withColumn("value", F.concat(F.lit("{broken "), F.col("user_id")))
     answers = {"sessions": landed.session_documents, "points": landed.aggregated_documents,
                "datasources": landed.datasource_documents, "raw_points": landed.dataset_documents}
-    root, rejects = scratch_path(spark, "lake"), None
-    for kind, make in answers.items():
+    root = scratch_path(spark, "lake")
+
+    def one(kind: str) -> DataFrame:
         saved = scratch_path(spark, f"answers-{kind}")
-        make(ev).select("user_id", "value").unionByName(broken).write.parquet(saved)
+        answers[kind](ev).select("user_id", "value").unionByName(broken).write.parquet(saved)
         docs = spark.read.parquet(saved).withColumnsRenamed({"user_id": "__user", "value": landing.TEXT})
-        got = jobs.land_answers(landing.parsed_once(docs, jobs.FITNESS[kind][0]), kind, root,
-                                LAND_DAY, user_col="__user")
-        rejects = got if rejects is None else rejects.unionByName(got)
-    return root, rejects
+        return jobs.land_answers(landing.parsed_once(docs, jobs.FITNESS[kind][0]), kind, root, LAND_DAY, user_col="__user")
+
+    # independent prefixes of the lake, landed at the same time
+    with ThreadPoolExecutor(len(answers)) as pool:
+        rejects = list(pool.map(inheritable_thread_target(spark)(one), answers))
+    return root, reduce(DataFrame.unionByName, rejects)
 
 
 def q_land_fitness(spark, sf_dir):

@@ -77,6 +77,21 @@ AGGREGATED_RAW = T.StructType([T.StructField("bucket", T.ArrayType(T.StructType(
 
 REASON = "_reject_reason"
 TEXT = "_text"
+TEXTS = "__texts"
+
+# Of a document, numbers that a double need not give back digit by digit: the
+# text of its elements may differ from what their VARIANT writes.
+_ODD_NUMBER = (r"\.(?<=[0-9]\.)(?=[0-9]++\s*+[,\]}])"
+               r"(?:(?!(?:[0-9]{0,7}|(?<![0-9]{3}\.)[0-9]{0,12})[1-9]\s*+[,\]}])|(?<=[0-9]{8}\.)|(?<=[^0-9]0\.)000)")
+
+
+def _as_text(kind: T.DataType) -> T.DataType:
+    """The same shape with text in the place of VARIANT."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    return S if isinstance(kind, T.VariantType) else kind
 
 
 def read_envelopes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -89,11 +104,21 @@ def read_envelopes(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 def parsed_once(docs: DataFrame, schema: T.StructType, text_col: str = TEXT) -> DataFrame:
     """``docs`` with the envelope's columns; each document is parsed once,
-    however many filters follow."""
+    however many filters follow.
+
+    An envelope with VARIANT elements is also read with their text (``__texts``,
+    null where that could differ): the VARIANT tells what is valid and what an
+    element holds, but costs several times a parse to be written as text again.
+    """
     full = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", S)])
-    keep = docs.columns
-    return computed(docs, [*[F.col(c) for c in keep],
-                           F.from_json(F.col(text_col), full).alias("__d")]).select(*keep, "__d.*")
+    keep, text = docs.columns, F.col(text_col)
+    cols = [*[F.col(c) for c in keep], F.from_json(text, full).alias("__d")]
+    if _as_text(schema) == schema:
+        return computed(docs, cols).select(*keep, "__d.*")
+    # a text element that looks like an object is none
+    odd = text.contains('"{') | text.contains("'{") | text.contains("u007") | text.rlike(_ODD_NUMBER)
+    cols.append(F.when(~odd, F.from_json(text, _as_text(schema))).alias(TEXTS))
+    return computed(docs, cols).select(*keep, "__d.*", TEXTS)
 
 
 def user_from_path(path_col: str = "_file", key: str = "user") -> Column:
@@ -206,35 +231,51 @@ def _marks(docs: DataFrame) -> list[str]:
     return [c for c in _MARKS if c in docs.columns]
 
 
-def _each(docs: DataFrame, part: str, name: str) -> Column:
-    """The elements of an array; of marked documents, one null where it has none."""
-    return (F.explode_outer(part) if _marks(docs) else F.explode(part)).alias(name)
+def _texted(docs: DataFrame, schema: T.StructType) -> DataFrame:
+    if TEXTS in docs.columns:
+        return docs
+    return docs.withColumn(TEXTS, F.lit(None).cast(_as_text(schema)))
+
+
+def _each(docs: DataFrame, keep: list[Column], part: str, text: str, name: str) -> DataFrame:
+    """The elements of an array as ``v``, each with its text ``t`` if there is
+    one; of marked documents, one null where the array is empty, and ``__gone``
+    tells so."""
+    pairs = F.arrays_zip(F.col(part).alias("v"), F.coalesce(F.col(text), F.array()).alias("t"))
+    # made before the array is taken apart, whose rows then do not carry it
+    docs = docs.select(*keep, *_marks(docs), (F.coalesce(F.size(part), F.lit(0)) < 1).alias("__gone"), pairs.alias("__pairs"))
+    each = F.explode_outer("__pairs") if _marks(docs) else F.explode("__pairs")
+    return docs.select(*[c for c in docs.columns if c != "__pairs"], each.alias(name))
 
 
-def _last(docs: DataFrame, part: str) -> list[Column]:
-    """What marked documents hand to the rows of their last array."""
-    return [*[F.col(c) for c in _marks(docs)], (F.coalesce(F.size(part), F.lit(0)) < 1).alias("__gone")]
+def _tag(name: str, value: Column) -> Column:
+    """A tag as the text of a key and its value, null where it is not set."""
+    text = F.when(value.rlike(r'["\\\x00-\x1f]'), F.to_json(value.cast("variant"))).otherwise(F.concat(F.lit('"'), value, F.lit('"')))
+    return F.when(value.isNotNull(), F.concat(F.lit(f'"{name}":'), text)).alias(f"__tag_{name}")
 
 
-def _tagged_lines(rows: DataFrame, element: str, tags: dict[str, Column],
-                  tags_win: bool) -> DataFrame:
-    """Elements (VARIANT) → lake lines ``user_id``, ``value``, ``_reject_reason``.
+def _tagged_lines(rows: DataFrame, element: str, tags: list[str], tags_win: bool) -> DataFrame:
+    """Elements (VARIANT ``v``, text ``t``) → lake lines ``user_id``, ``value``,
+    ``_reject_reason``.
 
-    A line holds every key of the element and the tags that are set; of a name
-    in both, the tag stays if ``tags_win``, else the element's own value; the
-    user is always the tag, as landings replace lines by it.  An element that
-    is no JSON object is a reject with its text as ``value``.
+    A line holds every key of the element and the tags that are set (columns of
+    :func:`_tag`); of a name in both, the tag stays if ``tags_win``, else the
+    element's own value; the user is always the tag, as landings replace lines
+    by it.  An element that is no JSON object is a reject with its text as
+    ``value``.
 
     The tags' text is put beside the element's; only an element that holds a
     key which gives way to a tag is taken apart.  Marked documents give
     ``file`` too, their reject where they are bad, and a row without value and
     reason where they hold nothing.
     """
-    out = list(tags) if tags_win else ["user_id"]          # keys that give way
+    out = tags if tags_win else ["user_id"]                # keys that give way
     marks = _marks(rows)
     # Spark keeps a projection apart whose costly columns are used more than once
-    rows = rows.select(F.to_json(element).alias("__json"), F.col(element).alias("__v"), "user_id",
-                       *[c.alias(f"__tag_{n}") for n, c in tags.items()], *marks, "__gone")
+    text = F.col(f"{element}.t")
+    json = F.when(text.startswith("{"), text).otherwise(F.to_json(f"{element}.v"))
+    rows = rows.select(json.alias("__json"), F.col(f"{element}.v").alias("__v"), "user_id",
+                       *[f"__tag_{n}" for n in tags], *marks, "__gone")
 
     def holds(name: str) -> Column:
         # the element's text tells most that lack the key
@@ -242,18 +283,17 @@ def _tagged_lines(rows: DataFrame, element: str, tags: dict[str, Column],
 
     def given(name: str) -> Column:
         tag = F.col(f"__tag_{name}")
-        text = F.when(tag.rlike(r'["\\\x00-\x1f]'), F.to_json(tag.cast("variant"))).otherwise(F.concat(F.lit('"'), tag, F.lit('"')))
-        return F.when(tag.isNotNull() if name in out else tag.isNotNull() & ~holds(name), F.concat(F.lit(f'"{name}":'), text))
+        return tag if name in out else F.when(tag.isNotNull() & ~holds(name), tag)
 
     own = F.when(F.greatest(*[holds(n) for n in out], F.lit(False)), F.to_json(F.map_filter(
         F.try_variant_get("__v", "$", "map<string,variant>"), lambda k, v: ~k.isin(*out)))).otherwise(F.col("__json"))
     cols = [F.col("user_id"), own.alias("__own"), F.concat_ws(",", *map(given, tags)).alias("__tags"),
             *[F.col(c) for c in (*marks, "__gone")]]
     rows = rows.select(*cols) if marks else computed(rows, cols)      # unmarked lines may be filtered
-    keys = F.col("__own").substr(F.lit(2), F.length("__own") - 2)
-    parts = [F.when(c != "", c) for c in ((keys, F.col("__tags")) if tags_win else (F.col("__tags"), keys))]
     bad = ~F.coalesce(F.col("__own").startswith("{"), F.lit(False))
-    value = F.when(bad, F.col("__own")).otherwise(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
+    value = F.when(bad | (F.col("__tags") == ""), F.col("__own")) \
+        .when(F.col("__own") == "{}", F.concat(F.lit("{"), F.col("__tags"), F.lit("}"))) \
+        .otherwise(F.concat(F.lit("{"), F.col("__tags"), F.lit(","), F.substring("__own", 2, 2**31 - 1)))
     reason = F.when(bad, F.lit("element is not an object"))
     if not marks:
         return rows.select("user_id", value.alias("value"), reason.alias(REASON))
@@ -266,18 +306,19 @@ def session_lines(docs: DataFrame, user_id: str | None = None,
                   user_col: str | None = None) -> DataFrame:
     """S2 to the lake: each session with all its keys, the user and the
     activity label (which replace keys of the same names)."""
-    s = docs.select(_user(user_id, user_col).alias("user_id"), *_last(docs, "session"), _each(docs, "session", "s"))
-    kind = F.try_variant_get(F.col("s"), "$.activityType", "bigint")
-    return _tagged_lines(s, "s", {"user_id": F.col("user_id"),
-                                  "activityType_String": labels.activity_type_label(kind)}, True)
+    docs, user = _texted(docs, SESSIONS_RAW), _user(user_id, user_col)
+    s = _each(docs, [user.alias("user_id"), _tag("user_id", user)], "session", f"{TEXTS}.session", "s")
+    kind = F.try_variant_get(F.col("s.v"), "$.activityType", "bigint")
+    s = s.select("*", _tag("activityType_String", labels.activity_type_label(kind)))
+    return _tagged_lines(s, "s", ["user_id", "activityType_String"], True)
 
 
 def datasource_lines(docs: DataFrame, user_id: str | None = None,
                      user_col: str | None = None) -> DataFrame:
     """S3 to the lake: each data source with all its keys and the user."""
-    s = docs.select(_user(user_id, user_col).alias("user_id"), *_last(docs, "dataSource"),
-                    _each(docs, "dataSource", "s"))
-    return _tagged_lines(s, "s", {"user_id": F.col("user_id")}, True)
+    docs, user = _texted(docs, DATASOURCES_RAW), _user(user_id, user_col)
+    s = _each(docs, [user.alias("user_id"), _tag("user_id", user)], "dataSource", f"{TEXTS}.dataSource", "s")
+    return _tagged_lines(s, "s", ["user_id"], True)
 
 
 def dataset_lines(docs: DataFrame, user_id: str | None = None,
@@ -285,24 +326,23 @@ def dataset_lines(docs: DataFrame, user_id: str | None = None,
     """S4 to the lake: each raw point with all its keys, and of the user, time
     range and source id those that the point lacks."""
     carried = ["minStartTimeNs", "maxEndTimeNs", "dataSourceId"]
-    p = docs.select(_user(user_id, user_col).alias("user_id"), *carried, *_last(docs, "point"),
-                    _each(docs, "point", "p"))
-    return _tagged_lines(p, "p", {c: F.col(c) for c in ("user_id", *carried)}, False)
+    docs, user = _texted(docs, DATASETS_RAW), _user(user_id, user_col)
+    p = _each(docs, [user.alias("user_id"), _tag("user_id", user), *[_tag(c, F.col(c)) for c in carried]],
+              "point", f"{TEXTS}.point", "p")
+    return _tagged_lines(p, "p", ["user_id", *carried], False)
 
 
 def aggregated_lines(docs: DataFrame, user_id: str | None = None,
                      user_col: str | None = None) -> DataFrame:
     """S5 to the lake: each point with all its keys, and of the user, bucket
     times and source id those that the point lacks."""
-    marks = _marks(docs)
-    b = docs.select(_user(user_id, user_col).alias("user_id"), *marks, _each(docs, "bucket", "b"))
-    times = [F.col("b.startTimeMillis").alias("startTimeMillis"),
-             F.col("b.endTimeMillis").alias("endTimeMillis")]
-    d = b.select("user_id", *marks, *times, _each(b, "b.dataset", "d"))
-    carried = ["user_id", "startTimeMillis", "endTimeMillis", "dataSourceId"]
-    p = d.select("user_id", "startTimeMillis", "endTimeMillis", F.col("d.dataSourceId").alias("dataSourceId"),
-                 *_last(d, "d.point"), _each(d, "d.point", "p"))
-    return _tagged_lines(p, "p", {c: F.col(c) for c in carried}, False)
+    docs, user = _texted(docs, AGGREGATED_RAW), _user(user_id, user_col)
+    b = _each(docs, [user.alias("user_id"), _tag("user_id", user)], "bucket", f"{TEXTS}.bucket", "b")
+    held, times = [F.col("user_id"), F.col("__tag_user_id")], ["startTimeMillis", "endTimeMillis"]
+    d = _each(b, [*held, *[_tag(c, F.col(f"b.v.{c}")) for c in times]], "b.v.dataset", "b.t.dataset", "d")
+    p = _each(d, [*held, *[F.col(f"__tag_{c}") for c in times], _tag("dataSourceId", F.col("d.v.dataSourceId"))],
+              "d.v.point", "d.t.point", "p")
+    return _tagged_lines(p, "p", ["user_id", *times, "dataSourceId"], False)
 
 
 def header_name(h) -> Column:

@@ -3,10 +3,11 @@
 import glob
 import json
 import os
+import threading
 
 from pyspark.sql import functions as F
 
-from daycut.plans import jobs, landed, standins
+from daycut.plans import catalog_io, jobs, landed, standins
 from daycut.sinks import lake, warehouse
 from daycut.sources import landing
 
@@ -463,3 +464,46 @@ def test_lake_writes_by_a_user_column(spark, tmpdir_path):
     plan = rows.sparkSession._jvm.PythonSQLUtils.explainString(
         landed.aggregated_documents(standins.read_events(spark, "/root/testdata/sf0.001"))._jdf.queryExecution(), "simple")
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_elements_land_with_the_documents_text(spark):
+    """Plain elements keep their text of the document; where it could differ
+    from what their VARIANT writes, that is written as before."""
+    plain = ['{"session": [{"b": {"y": 1, "x": [2, null]}, "a": -71.4000015258789, "user_id": "z"}, {"s": "\\ud83d\\ude00\\n"}]}',
+             "{'session': [{'a': 'x\"y'}, 3, \"q\", null, true, [1], {}, {\"activityType\": 72}]}",
+             '{"session": [{"a": 1, "a": 2}]}', '{"session": {"a": 1}}', '{"session": [{"a": 1e5, "b": 1E400, "c": -0}]}',
+             '{"session": [{"v": "1.2.30", "n": 123456789012345678901234567890}]}', '{"session": []}']
+    odd = ['{"session": [{"a": 0.12345678901234567890123}]}', '{"session": [{"a": 12345678901234567.25}]}',
+           '{"session": [{"a": 72.0}, {"a":0.0001}]}', '{"session": [{"a": 100000000.5}]}',
+           '{"session": ["{\\"a\\":1}", {"b": 1}]}', '{"session": ["\\u007b}"]}']
+    docs = landing.parsed_once(_docs(spark, *plain, *odd), landing.SESSIONS_RAW)
+    texts = {r[0]: r[1] for r in docs.select(landing.TEXT, F.col(landing.TEXTS).isNotNull()).collect()}
+    assert texts == {**dict.fromkeys(plain, True), **dict.fromkeys(odd, False)}
+
+    def lines(docs):
+        rows = landing.session_lines(landing.marked_documents(docs, ["session"]), user_col="__user")
+        return sorted(((r[landing.REASON] or "", json.dumps(json.loads(r.value), sort_keys=True))
+                       if r.value and r[landing.REASON] != "document" else (r[landing.REASON] or "", r.value or "")
+                       for r in rows.collect()))
+
+    assert lines(docs) == lines(docs.drop(landing.TEXTS))
+    point = '{"a": 1.5, "value": [{"fpVal": 29.27}]}'
+    nested = f'{{"bucket": [{{"startTimeMillis": "1", "dataset": [{{"point": [{point}, {point}]}}, {{"point": []}}]}}, null]}}'
+    docs = landing.parsed_once(_docs(spark, nested), landing.AGGREGATED_RAW)
+    for d in (docs, docs.drop(landing.TEXTS)):
+        rows = landing.aggregated_lines(d, user_col="__user").collect()
+        assert [json.loads(r.value) for r in rows] == [{"user_id": "u1", "startTimeMillis": "1", **json.loads(point)}] * 2
+
+
+def test_fitness_datasets_land_at_the_same_time(spark, monkeypatch):
+    """All four landings of the query are under way together."""
+    met, land = threading.Barrier(4, timeout=120), jobs.land_answers
+
+    def together(*args, **kwargs):
+        met.wait()
+        return land(*args, **kwargs)
+
+    monkeypatch.setattr(jobs, "land_answers", together)
+    _, rejects = catalog_io._land_all(spark, "/root/testdata/sf0.001")
+    assert {r.dataset for r in rejects.select("dataset").distinct().collect()} == {
+        "sessions", "aggregated-datasets", "datasources", "datasets"}

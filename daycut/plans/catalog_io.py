@@ -297,9 +297,9 @@ def q_flatten_dynamic(spark, sf_dir):
     return jobs.point_rows(lines, path)[0]
 
 
-def land_users_of(ev: DataFrame, users: Column, bump: Column) -> DataFrame:
+def land_users_of(ev: DataFrame, users: Column, bump: Column, tasks: int | None = None) -> DataFrame:
     """Saved sessions answers of the users that ``users`` tells."""
-    docs = landed.session_documents(ev.where(users).withColumn("event_id", F.col("event_id") + bump))
+    docs = landed.session_documents(ev.where(users).withColumn("event_id", F.col("event_id") + bump), tasks)
     return docs.select(F.col("user_id").alias("__user"), F.col("value").alias(landing.TEXT))
 
 
@@ -307,10 +307,11 @@ def q_land_users(spark, sf_dir):
     """Every user's answers landed for one day in two runs of different
     users into one lake root; then one half of the users once more, with other
     sessions.  Each run replaces its own users' lines and keeps the others'."""
-    ev, root = _events(spark, sf_dir), scratch_path(spark, "lake")
-    even = F.col("user_id") % 2 == 0
+    apply_conf(spark)
+    ev, root = standins.read_events(spark, sf_dir), scratch_path(spark, "lake")
+    even, tasks = F.col("user_id") % 2 == 0, landed.document_tasks(ev)
     for users, bump in ((even, 0), (~even, 0), (even, 1_000_000_000)):
-        docs = land_users_of(ev, users, F.lit(bump))
+        docs = land_users_of(ev, users, F.lit(bump), tasks)
         jobs.land_answers(landing.parsed_once(docs, jobs.FITNESS["sessions"][0]), "sessions", root, LAND_DAY,
                           user_col="__user")
     lines = lake.scan_jsonl(spark, root, day=LAND_DAY, dataset=jobs.DATASETS["sessions"])

@@ -17,6 +17,8 @@ from daycut.plans import standins
 
 # ---- fixed values -------------------------------------------------------------
 PAGE_EVENTS = 1000
+# events of a table for each task that makes documents
+TASK_EVENTS = 100_000
 # two headers normalise to one name: the later one counts
 MATRIX_HEADERS = ["Date", "Time Spent (seconds)", "ACTIVITY", "Activity", "Category", "Productivity"]
 LOAD_TZ = "Asia/Seoul"
@@ -43,10 +45,23 @@ def _point_struct():
                          F.col("value0_intVal").alias("intVal"))).alias("value"))
 
 
-def session_documents(events: DataFrame) -> DataFrame:
-    """``{"session": [...]}`` per (user, page); times as strings."""
-    s = standins.sessions_from_events(events.select("*", _page().alias("page")),
-                                      carry=("page",))
+def document_tasks(events: DataFrame) -> int:
+    """Tasks to make documents in, for ``tasks=``: more for a larger table."""
+    return max(events.sparkSession.sparkContext.defaultParallelism, -(-events.count() // TASK_EVENTS))
+
+
+def session_documents(events: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``{"session": [...]}`` per (user, page); times as strings.
+
+    With ``tasks`` the events themselves are dealt by (user, page) over that
+    many tasks, whatever the input's splits: a row of a few numbers crosses the
+    exchange instead of its session, and the documents are made where it ends.
+    """
+    paged = events.select("*", _page().alias("page"))
+    if tasks:
+        # under the name and type that the documents are grouped by
+        paged = paged.withColumn("user_id", _s("user_id")).repartition(tasks, "user_id", "page")
+    s = standins.sessions_from_events(paged, carry=("page",))
     item = F.struct(
         F.col("id"), F.col("name"),
         _s("startTimeMillis").alias("startTimeMillis"),
@@ -55,8 +70,9 @@ def session_documents(events: DataFrame) -> DataFrame:
         F.struct(F.col("application_packageName").alias("packageName")).alias("application"),
         (F.col("endTimeMillis") - F.col("startTimeMillis")).cast("string").alias("activeTimeMillis"),
         F.col("activityType"))
-    docs = s.groupBy("user_id", "page").agg(F.collect_list(item).alias("session"))
-    return docs.select("user_id", "page", F.to_json(F.struct("session")).alias("value"))
+    # groups of texts: cheaper to hold and to merge than groups of structs
+    docs = s.groupBy("user_id", "page").agg(F.concat_ws(",", F.collect_list(F.to_json(item))).alias("session"))
+    return docs.select("user_id", "page", F.concat(F.lit('{"session":['), "session", F.lit("]}")).alias("value"))
 
 
 def _points_paged(events: DataFrame) -> DataFrame:

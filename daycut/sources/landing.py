@@ -116,7 +116,8 @@ def parsed_once(docs: DataFrame, schema: T.StructType, text_col: str = TEXT) ->
     if _as_text(schema) == schema:
         return computed(docs, cols).select(*keep, "__d.*")
     # a text element that looks like an object is none
-    odd = text.contains('"{') | text.contains("'{") | text.contains("u007") | text.rlike(_ODD_NUMBER)
+    odd = text.contains('"{') | text.contains("'{") | text.contains("u007") \
+        | (text.contains(".") & text.rlike(_ODD_NUMBER))
     cols.append(F.when(~odd, F.from_json(text, _as_text(schema))).alias(TEXTS))
     return computed(docs, cols).select(*keep, "__d.*", TEXTS)
 

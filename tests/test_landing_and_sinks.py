@@ -507,3 +507,53 @@ def test_fitness_datasets_land_at_the_same_time(spark, monkeypatch):
     _, rejects = catalog_io._land_all(spark, "/root/testdata/sf0.001")
     assert {r.dataset for r in rejects.select("dataset").distinct().collect()} == {
         "sessions", "aggregated-datasets", "datasources", "datasets"}
+
+
+def _plan(df):
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+
+def test_sessions_are_made_where_their_events_are_dealt(spark):
+    """Of an event only its own columns cross the one exchange; the documents
+    are the same, however many tasks make them."""
+    events = standins.read_events(spark, "/root/testdata/sf0.001").withColumns({
+        "event_type": F.when(F.col("event_id") % 7 == 0, F.lit('a"\\ü\n')).otherwise(F.col("event_type")),
+        "value": F.when(F.col("event_id") % 5 != 0, F.col("value"))})
+
+    def made(tasks):
+        docs = landed.session_documents(events, tasks).collect()
+        return sorted((r.user_id, r.page, sorted(json.dumps(s, sort_keys=True) for s in json.loads(r.value)["session"]))
+                      for r in docs)
+
+    assert made(3) == made(None) and sum(len(r[2]) for r in made(3)) == events.count()
+    sessions = [json.loads(s) for r in made(3) for s in r[2]]
+    assert {s["name"] for s in sessions} > {'a"\\ü\n'}
+    assert {("endTimeMillis" in s) == (int(s["id"]) % 5 != 0) for s in sessions} == {True}
+    plan = _plan(landed.session_documents(events, 3))
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan[plan.index("Exchange"):]
+    assert landed.document_tasks(events) == spark.sparkContext.defaultParallelism
+
+
+def test_user_of_a_line_is_the_one_that_its_text_tells(spark):
+    """Lines that begin with the user are not parsed for it; all others are."""
+    lines = ['{"user_id":"u1","a":1}', '{"user_id":"u1"}', '{"user_id":"ü 1","user_id":"b"}', '{"user_id":""}',
+             '{"user_id":"a\\"b","c":1}', '{"user_id":"\\u0041"}', '{"user_id":null}', '{"user_id":5}', '{"user_id": "u1"}',
+             '{"a":1,"user_id":"u2"}', '{"a":{"user_id":"u3"}}', '{"user_id":"u1","a":', '{"user_id":"u1"', '{"user_id":"u1"x}',
+             '{"user_id":"a\tb"}', '{"user_id":{"user_id":"u1"}}', '["user_id"]', "u1", "", None]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = df.select("value", lake._user(F.col("value")).alias("own"), F.get_json_object("value", "$.user_id").alias("all"))
+    assert [(r.value, r.own) for r in got.collect()] == [(r.value, r.all) for r in got.collect()]
+    assert "regexp_extract" in _plan(got)
+
+
+def test_kept_lines_do_not_move_to_meet_a_few_users(spark):
+    """Lines that a landing keeps are dealt out once, for the write; for users
+    beyond a broadcast by a shuffle join.  Both keep the same lines."""
+    held = spark.createDataFrame([(i % 8, json.dumps({"user_id": f"u{i}"}, separators=(",", ":"))) for i in range(100)]
+                                 + [(0, '{"a":1}'), (0, "broken")], "bucket int, value string")
+    users = spark.createDataFrame([(f"u{i}",) for i in range(0, 200, 2)] + [("broken",)], "__user string")
+    few, many = lake._kept(held, users, 101 * 70), lake._kept(held, users, 1 << 40)
+    plan = _plan(few)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    want = sorted([json.dumps({"user_id": f"u{i}"}, separators=(",", ":")) for i in range(1, 100, 2)] + ['{"a":1}', "broken"])
+    assert sorted(r.value for r in few.collect()) == want == sorted(r.value for r in many.collect())

@@ -71,7 +71,8 @@ def session_documents(events: DataFrame, tasks: int | None = None) -> DataFrame:
         (F.col("endTimeMillis") - F.col("startTimeMillis")).cast("string").alias("activeTimeMillis"),
         F.col("activityType"))
     # groups of texts: cheaper to hold and to merge than groups of structs
-    docs = s.groupBy("user_id", "page").agg(F.concat_ws(",", F.collect_list(F.to_json(item))).alias("session"))
+    docs = s.select("user_id", "page", F.to_json(item).alias("item")) \
+        .groupBy("user_id", "page").agg(F.concat_ws(",", F.collect_list("item")).alias("session"))
     return docs.select("user_id", "page", F.concat(F.lit('{"session":['), "session", F.lit("]}")).alias("value"))
 
 

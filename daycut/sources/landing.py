@@ -279,8 +279,8 @@ def _tagged_lines(rows: DataFrame, element: str, tags: list[str], tags_win: bool
                        *[f"__tag_{n}" for n in tags], *marks, "__gone")
 
     def holds(name: str) -> Column:
-        # the element's text tells most that lack the key
-        return F.col("__json").contains(f'"{name}":') & F.try_variant_get("__v", f"$.{name}", "variant").isNotNull()
+        # the element's text tells most that lack the key, and faster without the quote that every key begins with
+        return F.col("__json").contains(f'{name}":') & F.try_variant_get("__v", f"$.{name}", "variant").isNotNull()
 
     def given(name: str) -> Column:
         tag = F.col(f"__tag_{name}")
